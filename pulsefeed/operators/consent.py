@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsefeed.functions.times import utc_date
 from pulsefeed.schemas import CONSENT
 
 USER = "user_pseudo_id"
@@ -77,10 +78,11 @@ def read_consent(spark: SparkSession, load: Callable[[], DataFrame]) -> DataFram
 def revocations(audit: DataFrame) -> DataFrame:
     return (
         audit.filter(F.col("action") == "REVOKE")
-        .groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
+        .groupBy(utc_date(F.unix_micros("timestamp")).alias("day"))
         .agg(F.count("*").alias("revocations"), F.countDistinct(USER).alias("users"))
     )
 
 
 def audit_month(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    """Calendar month in UTC, whatever the session zone."""
+    return F.substring(utc_date(F.unix_micros(ts)), 1, 7)

@@ -36,6 +36,8 @@ from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS
 
 USER = "pseudo_user_id"
 _EXACT = "decimal(21,18)"
+_SUM = "decimal(38,18)"
+_NO_GENRES = f"array<struct<genre:string,n:bigint,pct:{_SUM}>>"
 _AXIS_CELLS = 64
 _MAX_EXPONENT = 60.0
 
@@ -252,12 +254,12 @@ def _genre_entries(genres: list[str]) -> Column:
         F.struct(
             F.lit(g).alias("genre"),
             F.col(f"w_gn_{i}").alias("n"),
-            F.col(f"w_gp_{i}").cast("double").alias("pct"),
+            F.col(f"w_gp_{i}").cast(_SUM).alias("pct"),
         )
         for i, g in enumerate(genres)
     ]
     if not entries:
-        return F.array().cast("array<struct<genre:string,n:bigint,pct:double>>")
+        return F.array().cast(_NO_GENRES)
     return F.filter(F.array(*entries), lambda e: e["n"] > 0)
 
 
@@ -363,11 +365,11 @@ def _with_long_genres(state: DataFrame, marked: DataFrame, spec: WindowSpec) ->
         .groupBy(USER, *ARRIVAL)
         .agg(
             F.array_sort(
-                F.collect_list(F.struct("genre", F.col("n").cast("bigint").alias("n"), F.col("pct").cast("double").alias("pct")))
+                F.collect_list(F.struct("genre", F.col("n").cast("bigint").alias("n"), F.col("pct").cast(_SUM).alias("pct")))
             ).alias("genre_counts")
         )
     )
-    none = F.array().cast("array<struct<genre:string,n:bigint,pct:double>>")
+    none = F.array().cast(_NO_GENRES)
     return (
         state.drop("genre_counts")
         .join(vectors, [USER, *ARRIVAL], "left")
@@ -379,14 +381,15 @@ def _with_long_genres(state: DataFrame, marked: DataFrame, spec: WindowSpec) ->
 
 
 def genre_total(counts: Column) -> Column:
-    return F.aggregate(counts, F.lit(0.0), lambda acc, e: acc + e["pct"])
+    """Exact sum over genres, so that nothing watched is exactly zero."""
+    return F.aggregate(counts, F.lit(0).cast(_SUM), lambda acc, e: (acc + e["pct"]).cast(_SUM)).cast("double")
 
 
 def genre_distribution(counts: Column) -> Column:
     """Genre weights as a map that sums to 1; empty when nothing was watched."""
     total = genre_total(counts)
     normalized = F.map_from_entries(
-        F.transform(counts, lambda e: F.struct(e["genre"].alias("k"), (e["pct"] / total).alias("v")))
+        F.transform(counts, lambda e: F.struct(e["genre"].alias("k"), (e["pct"].cast("double") / total).alias("v")))
     )
     return F.when(total > 0, normalized).otherwise(
         F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
@@ -431,6 +434,6 @@ def genre_weights(events: DataFrame, spec: WindowSpec = WindowSpec(), genres: li
         USER,
         *ARRIVAL,
         F.col("e.genre").alias("genre"),
-        (F.col("e.pct") / 100.0).alias("weight"),
-        F.when(F.col("_total") > 0, F.col("e.pct") / F.col("_total")).alias("share"),
+        (F.col("e.pct").cast("double") / 100.0).alias("weight"),
+        F.when(F.col("_total") > 0, F.col("e.pct").cast("double") / F.col("_total")).alias("share"),
     )

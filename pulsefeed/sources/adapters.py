@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsefeed import settings as cfg
 from pulsefeed.functions.pseudonym import pseudonymize
-from pulsefeed.functions.times import HOUR_US, utc_date
+from pulsefeed.functions.times import DAY_US, HOUR_US, utc_date
 
 # Zone by user_id % 5; the null and the unknown name exercise the UTC fallback.
 ZONES = ["America/New_York", "Asia/Kolkata", "Not/ATimezone", None, "Europe/London"]
@@ -65,6 +65,52 @@ def watch_events(spark: SparkSession, sf_dir: str, secret: str | None = None) ->
     )
 
 
+def raw_watch_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watch events as untyped text with every kind of invalid row among them."""
+    events = read_events(spark, sf_dir)
+    n = F.col("event_id")
+    return events.select(
+        "event_id",
+        F.when(n % 97 != 0, F.col("user_id")).alias("user_id"),
+        F.when(n % 89 != 0, _pick([c[0] for c in cfg.CATALOG], n % len(cfg.CATALOG))).alias("content_id"),
+        F.when(n % 83 == 0, F.lit("abc")).when(n % 79 != 0, F.col("value").cast("string")).alias("watch_pct"),
+        F.when(n % 73 == 0, F.lit("not-a-date"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).alias("timestamp"),
+        F.lit(None).cast("string").alias("genre"),
+        F.lit(None).cast("string").alias("timezone"),
+    )
+
+
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic messages; eleven in sixteen event ids carry one kind of defect or oddity."""
+    kind = F.col("event_id") % 16
+    user = F.when(kind == 3, F.lit("null")).otherwise(F.concat(F.lit('"u'), F.col("user_id"), F.lit('"')))
+    content = F.when(kind == 8, F.lit("null")).otherwise(
+        F.concat(F.lit('"'), _pick([c[0] for c in cfg.CATALOG], F.col("event_id") % len(cfg.CATALOG)), F.lit('"'))
+    )
+    value = F.col("value").cast("string")
+    pct = F.when(kind == 4, F.concat(F.lit('"'), value, F.lit('"'))).when(kind == 5, F.lit("true")).otherwise(value)
+    clock = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    time = (
+        F.when(kind == 6, F.lit('"not-a-date"'))
+        .when(kind == 9, F.lit("1704067200"))
+        .when(kind == 7, F.concat(F.lit('"'), clock, F.lit('-05:00"')))
+        .otherwise(F.concat(F.lit('"'), clock, F.lit('Z"')))
+    )
+    body = F.concat(
+        F.lit('{"pseudo_user_id":'), user,
+        F.when(kind == 2, F.lit("")).otherwise(F.concat(F.lit(',"content_id":'), content)),
+        F.lit(',"watch_pct":'), pct, F.lit(',"timestamp":'), time, F.lit(',"genre":"drama"}'),
+    )
+    text = (
+        F.when(kind == 0, F.lit("not json {"))
+        .when(kind == 1, F.lit("[1,2]"))
+        .when(kind == 10, F.lit("42"))
+        .otherwise(body)
+    )
+    return read_events(spark, sf_dir).select("event_id", text.alias("value"))
+
+
 def computed_at() -> Column:
     """Compute time of a feature row: up to eight seconds after arrival."""
     return F.col("arrival_us") / float(cfg.MICROS) + (F.col("arrival_seq") % 9)
@@ -86,13 +132,13 @@ def session_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consent_changes(spark: SparkSession, sf_dir: str, secret: str | None = None) -> DataFrame:
-    """signup grants consent, error revokes it, at the event's time."""
+    """signup grants consent, error revokes it; times reach back up to seven months."""
     events = read_events(spark, sf_dir).filter(F.col("event_type").isin("signup", "error"))
     return events.select(
         pseudonymize(F.col("user_id"), secret or cfg.pseudonym_secret()).alias("user_pseudo_id"),
         (F.col("event_type") == "signup").alias("consent_granted"),
         F.when(F.col("event_type") == "error", F.lit("user request")).alias("reason"),
-        F.timestamp_micros("t_us").alias("ts"),
+        F.timestamp_micros(F.col("t_us") - (F.col("event_id") % 8) * F.lit(30 * DAY_US)).alias("ts"),
         F.col("event_id").alias("seq"),
     )
 

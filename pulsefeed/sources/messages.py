@@ -17,9 +17,10 @@ def kafka_messages(
 ) -> DataFrame:
     """Value-only message stream; needs the Kafka connector on the class path.
 
-    The offset order within a partition is the arrival order of a user, because
-    the producer keys messages by user. A checkpoint, not the starting offset,
-    decides where a restart resumes.
+    Arrival order is (broker append time, offset): set the topic's timestamp
+    type to LogAppendTime. Messages are keyed by user, so a user's offsets are in
+    one partition. A checkpoint, not the starting offset, decides where a restart
+    resumes.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -31,7 +32,7 @@ def kafka_messages(
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     return reader.load().select(
         F.col("value").cast("string").alias("value"),
-        F.col("partition").cast("bigint").alias("arrival_us"),
+        F.unix_micros("timestamp").alias("arrival_us"),
         F.col("offset").alias("arrival_seq"),
     )
 
