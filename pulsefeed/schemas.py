@@ -53,15 +53,16 @@ FEATURE_COLUMNS = FEATURE_ROW.fieldNames()
 # Arrival position travels with a feature row until it is stored.
 ARRIVAL = ["arrival_us", "arrival_seq"]
 
-# Keyed state of the streaming feature operator.
+# Keyed state of the streaming feature operator. Fields may be added at the
+# end; none may change its type or be removed.
 WATCH_RECORD = _schema(
-    ("content_id", S, True), ("watch_pct", D, False), ("event_time_epoch", D, False), ("genre", S, True),
+    ("content_id", S, True), ("watch_pct", D, False), ("event_us", L, False), ("genre", S, True),
 )
 USER_STATE = _schema(
     ("recent_watches", T.ArrayType(WATCH_RECORD), False),
     ("session_genre_counts", T.MapType(S, D), False),
     ("last_computed_at_epoch", D, False),
-    ("max_seen_event_time", D, False),
+    ("hwm_us", L, False),
 )
 
 CONSENT = _schema(("user_pseudo_id", S, False), ("consent_granted", B, False), ("updated_at", TS, False))

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsefeed.schemas import FEATURE_COLUMNS, FEATURE_ROW
+from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS, FEATURE_ROW
 
 PARTITIONS = ["year", "month", "day"]
-# Partition values are declared as text: inference would read month=05 as 5.
+# Files written by the stream also hold the arrival position. Partition values
+# are declared as text: inference would read month=05 as 5.
 LOG_SCHEMA = T.StructType(
-    FEATURE_ROW.fields + [T.StructField(p, T.StringType(), True) for p in PARTITIONS]
+    FEATURE_ROW.fields
+    + [T.StructField(c, T.LongType(), True) for c in ARRIVAL]
+    + [T.StructField(p, T.StringType(), True) for p in PARTITIONS]
 )
 
 
@@ -21,6 +24,7 @@ def with_partitions(rows: DataFrame) -> DataFrame:
     """Feature rows with year, month and day taken from their event date."""
     return rows.select(
         *FEATURE_COLUMNS,
+        *[c for c in ARRIVAL if c in rows.columns],
         F.substring("event_date", 1, 4).alias("year"),
         F.substring("event_date", 6, 2).alias("month"),
         F.substring("event_date", 9, 2).alias("day"),
