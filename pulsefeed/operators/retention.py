@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsefeed import settings as cfg
 from pulsefeed.operators.consent import audit_month
+from pulsefeed.schemas import AUDIT_LOG
 
 MONTH = "audit_month"
 
@@ -57,9 +59,10 @@ def write_audit(audit: DataFrame, path: str, mode: str = "append") -> None:
     with_month(audit).write.partitionBy(MONTH).mode(mode).parquet(path)
 
 
-def read_audit(spark: SparkSession, path: str, schema) -> DataFrame:
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The partitioned log; months stay text so that filters on them prune directories."""
-    return spark.read.schema(schema.add(MONTH, "string")).parquet(path)
+    schema = T.StructType([*AUDIT_LOG.fields, T.StructField(MONTH, T.StringType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def _filesystem(spark: SparkSession, path: str):

@@ -1,0 +1,193 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql import functions as F
+
+from pulsefeed.operators import consent as co
+from pulsefeed.operators import dedup, online, retention
+from pulsefeed.schemas import ARRIVAL, AUDIT_LOG, FEATURE_COLUMNS, FEATURE_ROW
+from pulsefeed.sources import feature_log as log
+
+
+def feature(user="u", epoch=1.0, computed=1.0, count=1, date="2026-05-01", avg=60.0, vector="{}"):
+    return (user, count, 0.5, avg, "evening", 0.7, vector, float(epoch), float(computed), date)
+
+
+def rows(spark, data):
+    return spark.createDataFrame(data, FEATURE_ROW)
+
+
+def arrived(spark, data):
+    return spark.createDataFrame(
+        [(*r, i, i) for i, r in enumerate(data)], StructType([*FEATURE_ROW.fields, StructField("arrival_us", LongType()), StructField("arrival_seq", LongType())])
+    )
+
+
+def test_feature_schema_is_the_contract():
+    assert FEATURE_ROW.fieldNames()[:len(FEATURE_COLUMNS)] == FEATURE_COLUMNS
+
+
+def test_log_round_trip(spark, tmp_path):
+    path = str(tmp_path / "log")
+    data = [feature(f"u{i}", i, date="2026-05-01") for i in range(10)] + [feature(f"v{i}", i, date="2026-05-03") for i in range(5)]
+    log.write_log(spark.createDataFrame(data, log.FEATURE_ROW.fieldNames()).select(
+        *[F.col(f.name).cast(f.dataType) for f in log.FEATURE_ROW.fields]), path)
+    assert (tmp_path / "log" / "year=2026" / "month=05" / "day=01").is_dir()
+    assert log.read_log(spark, path, "2026-05-01", "2026-05-03").count() == 15
+    assert log.read_log(spark, path, "2026-05-02", "2026-05-31").count() == 5
+    one = log.read_log(spark, path, dt.date(2026, 5, 1), dt.date(2026, 5, 1))
+    assert one.count() == 10 and one.columns == FEATURE_COLUMNS
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(concat_ws(-, year" in plan
+    with pytest.raises(ValueError):
+        log.read_log(spark, path, "2026-06-01", "2026-06-30")
+    with pytest.raises(ValueError):
+        log.read_log(spark, str(tmp_path / "nowhere"), "2026-05-01", "2026-05-03")
+
+
+def test_unreadable_day_is_skipped(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log.write_log(arrived(spark, [feature(date="2026-05-01"), feature(date="2026-05-02")]), path)
+    for f in (tmp_path / "log" / "year=2026" / "month=05" / "day=02").glob("*.parquet"):
+        f.write_bytes(b"not parquet at all")
+    assert log.read_log(spark, path, "2026-05-01", "2026-05-02").count() == 1
+    with pytest.raises(ValueError):
+        log.read_log(spark, path, "2026-05-02", "2026-05-02")
+
+
+def test_dedup_keeps_newest_then_fullest(spark):
+    data = [feature(epoch=1, computed=5, count=1), feature(epoch=1, computed=9, count=2), feature(epoch=1, computed=9, count=3),
+            feature(epoch=2, computed=1)]
+    got = sorted((r["last_event_epoch"], r["computed_at_epoch"], r["watch_count_10min"])
+                 for r in dedup.dedup_feature_rows(arrived(spark, data)).collect())
+    assert got == [(1.0, 9.0, 3), (2.0, 1.0, 1)]
+
+
+def test_last_write_wins_even_if_older(spark):
+    latest = online.latest_rows(arrived(spark, [feature(epoch=100, computed=10), feature(epoch=50, computed=11)]))
+    row = latest.first()
+    assert row["last_event_epoch"] == 50.0 and row["expires_at"] == 3611.0
+    assert online.live(latest, F.lit(3610.9)).count() == 1
+    assert online.live(latest, F.lit(3611.0)).count() == 0
+
+
+def test_merge_latest_is_idempotent(spark):
+    first = online.latest_rows(arrived(spark, [feature(epoch=1)]))
+    second = online.latest_rows(arrived(spark, [feature(epoch=1), feature(epoch=2)]))
+    once = online.merge_latest(first, second)
+    assert once.first()["last_event_epoch"] == 2.0
+    assert online.merge_latest(once, second).collect() == once.collect()
+
+
+def test_hash_round_trip_and_tolerant_decode(spark):
+    latest = online.latest_rows(arrived(spark, [feature(count=7, avg=72.5)]))
+    stored = online.encode_hash(latest)
+    assert stored.first()["key"] == "user:u:features"
+    back = online.decode_hash(stored).first()
+    assert (back["watch_count_10min"], back["avg_watch_duration"], back["event_date"]) == (7, 72.5, "2026-05-01")
+    raw = spark.createDataFrame(
+        [("k1", {"watch_count_10min": "x", "recency_score": "y", "time_of_day_bucket": "z"}),
+         ("k2", {"watch_count_10min": "3.0"}), ("k3", {"watch_count_10min": " 7 "}), ("k4", {})],
+        "key string, fields map<string,string>",
+    ).withColumn("pseudo_user_id", F.lit("u"))
+    got = {r["key"]: r for r in online.decode_hash(raw).collect()}
+    assert (got["k1"]["watch_count_10min"], got["k1"]["recency_score"], got["k1"]["time_of_day_bucket"]) == (0, 0.0, "z")
+    assert (got["k2"]["watch_count_10min"], got["k3"]["watch_count_10min"], got["k4"]["watch_count_10min"]) == (0, 7, None)
+
+
+def test_features_as_of_matches_a_direct_scan(spark):
+    import random
+
+    rng = random.Random(4)
+    writes = [(*feature(f"u{rng.randrange(3)}", i, rng.randrange(40_000)), i, i) for i in range(200)]
+    schema = "pseudo_user_id string, watch_count_10min int, a double, b double, t string, r double, v string, last_event_epoch double, computed_at_epoch double, event_date string, arrival_us long, arrival_seq long"
+    df = spark.createDataFrame(writes, schema).toDF(*FEATURE_COLUMNS, *ARRIVAL).withColumn(
+        "written_us", (F.col("computed_at_epoch") * 1_000_000).cast("bigint"))
+    asks = [(i, f"u{rng.randrange(4)}", rng.randrange(50_000) * 1_000_000) for i in range(100)]
+    requests = spark.createDataFrame(asks, "request_id long, pseudo_user_id string, request_us long")
+    got = {r["request_id"]: r for r in online.features_as_of(requests, df, 3600).collect()}
+    for i, u, at in asks:
+        seen = [w for w in writes if w[0] == u and w[8] * 1e6 <= at]
+        best = max(seen, key=lambda w: (w[8], w[10], w[11]), default=None)
+        hit = best is not None and best[8] + 3600 > at / 1e6
+        assert got[i]["has_features"] == hit
+        assert got[i]["last_event_epoch"] == (best[7] if hit else None)
+
+
+# --- consent -------------------------------------------------------------------------
+
+T0 = dt.datetime(2026, 4, 1, 12)
+
+
+def changes(spark, data):
+    """data: (user, granted, minutes)"""
+    return spark.createDataFrame(
+        [(u, g, None, T0 + dt.timedelta(minutes=m), i) for i, (u, g, m) in enumerate(data)],
+        "user_pseudo_id string, consent_granted boolean, reason string, ts timestamp, seq long",
+    )
+
+
+def test_consent_last_write_and_audit(spark):
+    c = changes(spark, [("a", True, 0), ("a", False, 1), ("a", True, 2), ("b", True, 0), ("b", True, 5)])
+    state = {r[0]: r[1] for r in co.current_consent(c).select("user_pseudo_id", "consent_granted").collect()}
+    assert state == {"a": True, "b": True}
+    audit = co.audit_entries(c)
+    assert audit.count() == 5
+    only_a = spark.createDataFrame([("a",)], "user_pseudo_id string")
+    assert [r["action"] for r in co.audit_history(audit, only_a).collect()] == ["GRANT", "REVOKE", "GRANT"]
+    nobody = spark.createDataFrame([("zz",)], "user_pseudo_id string")
+    assert co.audit_history(audit, nobody).count() == 0
+    assert co.audit_mismatch(co.current_consent(c), audit).count() == 0
+    broken = co.current_consent(c).withColumn("consent_granted", ~F.col("consent_granted"))
+    assert co.audit_mismatch(broken, audit).count() == 2
+
+
+def test_merge_consent(spark):
+    snap = co.current_consent(changes(spark, [("a", True, 0), ("b", True, 0)]))
+    later = changes(spark, [("a", False, 9)])
+    merged = co.merge_consent(snap, later)
+    again = co.merge_consent(merged, later)
+    want = [("a", False), ("b", True)]
+    for df in (merged, again):
+        assert sorted((r[0], r[1]) for r in df.collect()) == want
+
+
+def test_gate_fails_closed(spark, tmp_path):
+    users = spark.createDataFrame([("a",), ("b",), ("nobody",)], "user_pseudo_id string")
+    state = co.current_consent(changes(spark, [("a", True, 0), ("b", True, 0), ("b", False, 1)]))
+    got = {r["user_pseudo_id"]: r["granted"] for r in co.consent_gate(users, state).collect()}
+    assert got == {"a": True, "b": False, "nobody": False}
+    unreadable = co.read_consent(spark, lambda: spark.read.parquet(str(tmp_path / "missing")))
+    assert not any(r["granted"] for r in co.consent_gate(users, unreadable).collect())
+
+
+# --- retention ------------------------------------------------------------------------
+
+
+def _audit(spark, stamps):
+    return spark.createDataFrame([(i, "u", "GRANT", t, None) for i, t in enumerate(stamps)], AUDIT_LOG)
+
+
+def test_retention_drops_whole_months(spark, tmp_path):
+    path, archive = str(tmp_path / "audit"), str(tmp_path / "cold")
+    stamps = [dt.datetime(2025, m, 15) for m in (9, 10, 11, 12)] + [dt.datetime(2026, 1, 31, 23, 59)]
+    audit = _audit(spark, stamps)
+    retention.write_audit(audit, path)
+    as_of = dt.date(2026, 1, 5)
+    assert retention.drop_expired(spark, path, as_of, 3, dry_run=True) == ["2025-09"]
+    assert retention.drop_expired(spark, path, as_of, 2, archive=archive) == ["2025-09", "2025-10"]
+    assert retention.stored_months(spark, path) == ["2025-11", "2025-12", "2026-01"]
+    assert spark.read.parquet(archive).count() == 2
+    assert retention.drop_expired(spark, path, as_of, 2) == []
+    day = F.lit("2026-01-05").cast("date")
+    assert [r[0] for r in retention.expired_months(audit, day, 3).collect()] == ["2025-09"]
+    assert retention.retained(audit, day, 3).count() == 4
+
+
+def test_month_bounds_carry_the_year(spark):
+    df = spark.createDataFrame([("2026-11",)], "audit_month string")
+    got = sorted(tuple(r) for r in retention.month_bounds(df).collect())
+    assert got == [("2026-11", "2026-11-01", "2026-12-01"), ("2026-12", "2026-12-01", "2027-01-01"), ("2027-01", "2027-01-01", "2027-02-01")]
+    back = spark.range(1).select(retention.first_of_month(F.lit("2026-01-17").cast("date"), -1).cast("string"))
+    assert back.first()[0] == "2025-12-01"
