@@ -14,22 +14,26 @@ HOUR_US = 3600 * MICROS
 DAY_US = 24 * HOUR_US
 
 # Extended ISO-8601: date, optional time down to the fraction, optional offset.
-_ISO = (
-    r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:[T ](\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?)?(Z|[+-]\d{2}:\d{2})?)?$"
-)
+_DATE = r"\d{4}-\d{2}-\d{2}"
+_OFFSET = r"(Z|[+-]\d{2}:\d{2})"
+_FULL = rf"^{_DATE}[T ]\d{{2}}:\d{{2}}:\d{{2}}([.,]\d{{1,9}})?{_OFFSET}?$"
+_MINUTES = rf"^{_DATE}[T ]\d{{2}}:\d{{2}}{_OFFSET}?$"
+_HOURS = rf"^{_DATE}[T ]\d{{2}}{_OFFSET}?$"
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to TIMESTAMP, NULL if it does not parse. No offset means UTC."""
-    part = lambda i, default: F.when(
-        F.regexp_extract(text, _ISO, i) == "", F.lit(default)
-    ).otherwise(F.regexp_extract(text, _ISO, i))
-    canonical = F.concat(
-        part(1, ""), F.lit("T"), part(2, "00"), F.lit(":"), part(3, "00"), F.lit(":"), part(4, "00"),
-        F.lit("."), part(5, "0"), part(6, "Z"),
+    """ISO-8601 text to TIMESTAMP, NULL if it does not parse. No offset means UTC.
+
+    The usual full form costs two pattern matches; shorter forms are completed first.
+    """
+    full = (
+        F.when(text.rlike(_FULL), F.translate(text, ",", "."))
+        .when(text.rlike(_MINUTES), F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 6)))
+        .when(text.rlike(_HOURS), F.concat(F.substring(text, 1, 13), F.lit(":00:00"), F.substring(text, 14, 6)))
+        .when(text.rlike(f"^{_DATE}$"), F.concat(text, F.lit("T00:00:00")))
     )
-    return F.when(text.rlike(_ISO), canonical.try_cast("timestamp"))
+    zoned = F.when(text.rlike(f"[T ].*{_OFFSET}$"), full).otherwise(F.concat(full, F.lit("Z")))
+    return zoned.try_cast("timestamp")
 
 
 def local_event_date(text: Column) -> Column:
@@ -66,13 +70,16 @@ def known_zones() -> tuple[str, ...]:
     return tuple(sorted(zoneinfo.available_timezones() - {"Factory", "localtime", "ROC"}))
 
 
-def time_of_day(event_us: Column, tz: Column) -> Column:
+def time_of_day(event_us: Column, tz: str) -> Column:
     """morning [6,12), afternoon [12,17), evening [17,21), else night, in local time.
 
-    A null, empty or unknown zone means UTC. The allow-list is needed because
-    the conversion raises on unknown names and accepts bare offsets.
+    ``tz`` names the zone column; a null, empty or unknown zone means UTC. The
+    allow-list is needed because the conversion raises on unknown names and
+    accepts bare offsets. It is passed as SQL text: one parse instead of a call
+    per name, and a hash set at run time.
     """
-    zone = F.when(tz == "ROC", F.lit("Asia/Taipei")).when(tz.isin(*known_zones()), tz).otherwise(F.lit("UTC"))
+    names = ", ".join(f"'{z}'" for z in known_zones())
+    zone = F.expr(f"CASE WHEN {tz} = 'ROC' THEN 'Asia/Taipei' WHEN {tz} IN ({names}) THEN {tz} ELSE 'UTC' END")
     local_us = F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(event_us), zone))
     hour = floor_div(F.pmod(local_us, F.lit(DAY_US)), HOUR_US)
     return (

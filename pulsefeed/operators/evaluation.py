@@ -28,10 +28,13 @@ def auc(scored: DataFrame, score: str = "score", label: str = cfg.LABEL) -> Data
         F.sum((1 - F.col(label)).cast("bigint")).alias("neg"),
     )
     sliced = per_score.withColumn("all", F.lit(0)).withColumn("bin", _score_slice(F.col("s")))
-    below = sliced_running(sliced, ["all"], "bin", ["s"], {"neg_to": ("sum", F.col("neg"))})
+    # Both sums are carried so that both readers of the counts share one shuffle.
+    below = sliced_running(
+        sliced, ["all"], "bin", ["s"], {"neg_to": ("sum", F.col("neg")), "pos_to": ("sum", F.col("pos"))}
+    )
     wins = F.col("pos").cast("double") * (F.col("neg_to").cast("double") - F.col("neg").cast("double") / 2.0)
     return below.agg(
-        F.sum(wins).alias("w"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
+        F.sum(wins).alias("w"), F.max("pos_to").alias("n_pos"), F.max("neg_to").alias("n_neg")
     ).select(
         F.when(
             (F.col("n_pos") > 0) & (F.col("n_neg") > 0),

@@ -107,30 +107,33 @@ def check_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     timestamp not ISO-8601.
     """
     text = F.col(value)
-    keys = F.json_object_keys(text)
-    parsed = F.from_json(text, WATCH_MESSAGE)
-    fields = messages.withColumn("_keys", keys).withColumn("_m", parsed)
-    m = lambda c: F.col(f"_m.{c}")
-    ts = parse_iso(m("timestamp"))
+    # One-element arrays: a filter on the reason is not pushed below an explode,
+    # so each message is parsed once however often its fields are used.
+    decoded = messages.select(
+        "*",
+        F.explode(F.array(F.struct(F.json_object_keys(text).alias("keys"), F.from_json(text, WATCH_MESSAGE).alias("m")))).alias("_p"),
+    )
+    m = lambda c: F.col(f"_p.m.{c}")
+    timed = decoded.select(
+        "*", F.explode(F.array(F.struct(parse_iso(m("timestamp")).alias("ts")))).alias("_t")
+    )
+    keys = F.col("_p.keys")
     absent = F.lit(False)
     for key in MESSAGE_REQUIRED:
-        absent = absent | ~F.array_contains("_keys", key)
-    is_null = F.col("_keys").isNull()
+        absent = absent | ~F.array_contains(keys, key)
     reason = _first_failure(
         [
-            ("not_json", is_null & F.try_parse_json(text).isNull()),
-            ("not_an_object", is_null),
+            ("not_json", keys.isNull() & F.try_parse_json(text).isNull()),
+            ("not_an_object", keys.isNull()),
             ("missing_field", absent),
             ("null_key", m("pseudo_user_id").isNull()),
             # A quoted number or a boolean is NULL under a DOUBLE schema.
             ("bad_watch_pct", m("watch_pct").isNull() | ~_in_percent(m("watch_pct"))),
-            ("bad_timestamp", ts.isNull()),
+            ("bad_timestamp", F.col("_t.ts").isNull()),
         ]
     )
-    return (
-        fields.withColumn(REASON, reason)
-        .withColumn("_ts", ts)
-        .select(*messages.columns, "_m.*", F.col("_ts").alias("event_ts"), REASON)
+    return timed.withColumn(REASON, reason).select(
+        *messages.columns, "_p.m.*", F.col("_t.ts").alias("event_ts"), REASON
     )
 
 

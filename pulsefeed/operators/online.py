@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsefeed import settings as cfg
+from pulsefeed.functions.times import HOUR_US, floor_div
 from pulsefeed.functions.values import safe_double, safe_int
 from pulsefeed.operators.scan import sliced_running
-from pulsefeed.functions.times import HOUR_US, floor_div
 from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS
 
 USER = "pseudo_user_id"
@@ -83,12 +83,18 @@ def cold_start(users: DataFrame, latest: DataFrame, as_of: Column) -> DataFrame:
     return users.join(live(latest, as_of).select(USER), USER, "left_anti")
 
 
-def features_as_of(requests: DataFrame, rows: DataFrame, ttl_seconds: int = cfg.ONLINE_TTL_SECONDS) -> DataFrame:
+def features_as_of(
+    requests: DataFrame,
+    rows: DataFrame,
+    ttl_seconds: int = cfg.ONLINE_TTL_SECONDS,
+    hot: list[str] | None = None,
+) -> DataFrame:
     """Each request with the feature row a lookup at its time would have returned.
 
     Rows and requests are merged on one time axis per user and the last row
     written is carried forward (a running maximum of its position): no range
-    join. Slices of one hour keep a hot user's history out of a single task.
+    join. Users in ``hot`` are carried over slices of one hour, so that no task
+    sorts their whole history; None treats every user that way.
 
     ``rows`` need written_us besides the feature columns and arrival position;
     ``requests`` need request_id and request_us.
@@ -102,8 +108,24 @@ def features_as_of(requests: DataFrame, rows: DataFrame, ttl_seconds: int = cfg.
         USER, F.col("request_us").alias("at_us"), F.lit(1).alias("side"), "request_id",
         F.lit(None).cast(writes.schema["write"].dataType).alias("write"),
     )
-    axis = writes.unionByName(asks).withColumn("hour", floor_div(F.col("at_us"), HOUR_US))
-    carried = sliced_running(axis, [USER], "hour", ["at_us", "side"], {"last": ("max", F.col("write"))})
+    axis = writes.unionByName(asks)
+    columns = [*axis.columns, "last"]
+
+    def plain(part: DataFrame) -> DataFrame:
+        so_far = Window.partitionBy(USER).orderBy("at_us", "side").rowsBetween(Window.unboundedPreceding, 0)
+        return part.withColumn("last", F.max("write").over(so_far)).select(*columns)
+
+    def sliced(part: DataFrame) -> DataFrame:
+        hourly = part.withColumn("hour", floor_div(F.col("at_us"), HOUR_US))
+        return sliced_running(hourly, [USER], "hour", ["at_us", "side"], {"last": ("max", F.col("write"))}).select(*columns)
+
+    if hot is None:
+        carried = sliced(axis)
+    elif not hot:
+        carried = plain(axis)
+    else:
+        listed = F.col(USER).isin(hot)
+        carried = plain(axis.filter(~listed)).unionByName(sliced(axis.filter(listed)))
     fresh = F.col("last.row.computed_at_epoch") + F.lit(float(ttl_seconds)) > F.col("at_us") / float(cfg.MICROS)
     return carried.filter(F.col("side") == 1).select(
         "request_id",

@@ -24,6 +24,8 @@ weights are anchored at the slice start, which bounds their exponents.
 
 from __future__ import annotations
 
+import json
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,7 +39,7 @@ from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS
 USER = "pseudo_user_id"
 _EXACT = "decimal(21,18)"
 _SUM = "decimal(38,18)"
-_NO_GENRES = f"array<struct<genre:string,n:bigint,pct:{_SUM}>>"
+_GENRES = f"array<struct<genre:string,n:bigint,pct:{_SUM}>>"
 _AXIS_CELLS = 64
 _MAX_EXPONENT = 60.0
 
@@ -93,15 +95,28 @@ def high_water_mark(events: DataFrame, spec: WindowSpec = WindowSpec(), split: b
     return _mark(marked, spec)
 
 
+_HOT_CACHE: dict[tuple, tuple[float, list[str] | None]] = {}
+_HOT_CACHE_SECONDS = 600
+
+
 def hot_users(events: DataFrame, threshold: int) -> list[str] | None:
     """Users with more than ``threshold`` rows; None when they are too many to list.
 
     One map-side combined count over a single column. At most rows/threshold
-    users can qualify, and the list is cut off one past its bound.
+    users can qualify, and the list is cut off one past its bound. The answer
+    only chooses between two exact plans, so queries over the same events share
+    it for a few minutes.
     """
     limit = cfg.MAX_LISTED_HOT_USERS
-    found = events.groupBy(USER).count().filter(F.col("count") > threshold).select(USER).limit(limit + 1).collect()
-    return None if len(found) > limit else [r[0] for r in found]
+    users = events.select(USER)
+    key = (events.sparkSession.sparkContext.applicationId, users.semanticHash(), threshold, limit)
+    known = _HOT_CACHE.get(key)
+    if known is not None and time.monotonic() - known[0] < _HOT_CACHE_SECONDS:
+        return known[1]
+    found = users.groupBy(USER).count().filter(F.col("count") > threshold).select(USER).limit(limit + 1).collect()
+    hot = None if len(found) > limit else [r[0] for r in found]
+    _HOT_CACHE[key] = (time.monotonic(), hot)
+    return hot
 
 
 def by_load(events: DataFrame, threshold: int) -> list[tuple[DataFrame, bool]]:
@@ -138,64 +153,72 @@ def classify_late(events: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFra
 
 
 # --- the sweep ----------------------------------------------------------------
+#
+# Written as SQL text: with a column per genre that is one call into the JVM per
+# expression instead of dozens.
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _sweep(marked: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Entries, carried-in entries and exits, placed on the cutoff axis."""
+    """Entries, carried-in entries and exits on the cutoff axis, with their signed contributions.
+
+    Adds slice, axis, kind, sign and d_n, d_pct, d_recency, d_affinity.
+    """
     width = spec.slice_us
     home = floor_div(F.col("cutoff_us"), width)
     leaves = floor_div(F.col("event_us"), width)
 
-    def step(slice_: Column, axis: Column, kind: int, sign: Column) -> Column:
-        return F.struct(
-            slice_.alias("slice"), axis.alias("axis"), F.lit(kind).alias("kind"), sign.cast("int").alias("sign")
-        )
-
-    entry = step(home, F.col("cutoff_us"), 1, F.col("alive"))
-    carry = step(leaves, leaves * F.lit(width), 0, F.lit(1))
-    leave = step(leaves, F.col("event_us"), 2, F.lit(-1))
-    steps = (
-        F.when(~F.col("alive"), F.array(entry))
-        .when(leaves == home, F.array(entry, leave))
-        .otherwise(F.array(entry, carry, leave))
+    def step(slice_: str, axis: str, kind: int, sign: str) -> str:
+        return f"struct({slice_} AS slice, {axis} AS axis, {kind} AS kind, CAST({sign} AS INT) AS sign)"
+
+    entry = step("_home", "cutoff_us", 1, "alive")
+    carry = step("_leaves", f"_leaves * {width}L", 0, "1")
+    leave = step("_leaves", "event_us", 2, "-1")
+    steps = f"""explode(CASE WHEN NOT alive THEN array({entry}) WHEN _leaves = _home THEN array({entry}, {leave})
+        ELSE array({entry}, {carry}, {leave}) END) AS _step"""
+    # Ages count from the slice start, so exponents stay small.
+    age = f"((event_us - _step.slice * {width}L) / {float(cfg.MICROS)}D)"
+    placed = marked.withColumns({"_home": home, "_leaves": leaves}).selectExpr(*marked.columns, steps)
+    return placed.selectExpr(
+        *marked.columns,
+        "_step.*",
+        "CAST(_step.sign AS BIGINT) AS d_n",
+        f"CAST(CAST(watch_pct AS {_EXACT}) * _step.sign AS {_EXACT}) AS d_pct",
+        f"_step.sign * watch_pct * exp({spec.recency_lambda}D * {age}) AS d_recency",
+        f"_step.sign * watch_pct * exp({spec.affinity_lambda}D * {age}) AS d_affinity",
     )
-    return marked.withColumn("_step", F.explode(steps)).select("*", "_step.*").drop("_step")
-
-
-def _measures(spec: WindowSpec, genres: list[str]) -> dict[str, Column]:
-    """Signed contribution of one sweep row to each running sum."""
-    pct, genre, sign = F.col("watch_pct"), F.col("genre"), F.col("sign")
-    exact = (pct.cast(_EXACT) * sign).cast(_EXACT)
-    age = us_to_seconds(F.col("event_us") - F.col("slice") * F.lit(spec.slice_us))
 
-    def decayed(rate: float) -> Column:
-        return sign * pct * F.exp(F.lit(rate) * age)
 
+def _measures(genres: list[str]) -> dict[str, str]:
+    """What each running sum adds up, per sweep row."""
+    zero = f"CAST(0 AS {_EXACT})"
     out = {
-        "n": sign.cast("bigint"),
-        "pct": exact,
-        "recency": decayed(spec.recency_lambda),
-        # A null genre carries no preference; an empty one still counts here.
-        "tagged_pct": F.when(genre.isNotNull(), exact).otherwise(F.lit(0).cast(_EXACT)),
-        "affinity": F.when(genre.isNotNull(), decayed(spec.affinity_lambda)).otherwise(F.lit(0.0)),
+        "n": "d_n",
+        "pct": "d_pct",
+        "recency": "d_recency",
+        # A null genre carries no preference; an empty one counts for affinity only.
+        "tagged_pct": f"IF(genre IS NOT NULL, d_pct, {zero})",
+        "affinity": "IF(genre IS NOT NULL, d_affinity, 0D)",
+        "named_pct": f"IF(genre <> '', d_pct, {zero})",
     }
     for i, g in enumerate(genres):
-        hit = genre == F.lit(g)
-        out[f"gn_{i}"] = F.when(hit, sign.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-        out[f"gp_{i}"] = F.when(hit, exact).otherwise(F.lit(0).cast(_EXACT))
+        hit = f"genre = {_quoted(g)}"
+        out[f"gn_{i}"] = f"IF({hit}, d_n, 0L)"
+        out[f"gp_{i}"] = f"IF({hit}, d_pct, {zero})"
     return out
 
 
 def _running_plain(marked: DataFrame, spec: WindowSpec, genres: list[str]) -> DataFrame:
     """One sort per (user, slice); reuses the user partitioning of the mark."""
-    rows = _sweep(marked, spec)
     along = (
-        Window.partitionBy(USER, "slice")
-        .orderBy("axis", "kind", *ARRIVAL)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        f"PARTITION BY {USER}, slice ORDER BY axis, kind, {', '.join(ARRIVAL)} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     )
-    sums = {f"w_{name}": F.sum(expr).over(along) for name, expr in _measures(spec, genres).items()}
-    return rows.withColumns(sums).filter(F.col("kind") == 1)
+    sums = [f"sum({expr}) OVER ({along}) AS w_{name}" for name, expr in _measures(genres).items()]
+    return _sweep(marked, spec).selectExpr("*", *sums).filter("kind = 1")
 
 
 def _running_split(marked: DataFrame, spec: WindowSpec, genres: list[str]) -> DataFrame:
@@ -207,60 +230,65 @@ def _running_split(marked: DataFrame, spec: WindowSpec, genres: list[str]) -> Da
     are only ordered within their own cell. A high-water mark that stands still
     for long is still cut by arrival slice.
     """
-    names = list(_measures(spec, genres))
+    measures = _measures(genres)
     rows = _sweep(marked, spec)
-    cell = F.when(F.col("kind") == 1, F.col("arrival_slice")).otherwise(F.lit(0).cast("bigint"))
-    rows = rows.withColumn("cell", cell)
-    cells = rows.groupBy(USER, "slice", "axis", "kind", "cell").agg(
-        *[F.sum(expr).alias(f"s_{name}") for name, expr in _measures(spec, genres).items()]
+    cells = (
+        rows.withColumn("cell", F.expr("IF(kind = 1, arrival_slice, 0L)"))
+        .groupBy(USER, "slice", "axis", "kind", "cell")
+        .agg(*[F.expr(f"sum({expr}) AS s_{name}") for name, expr in measures.items()])
+        .withColumn("axis_cell", floor_div(F.col("axis"), spec.slice_us // _AXIS_CELLS))
     )
-    cells = cells.withColumn("axis_cell", floor_div(F.col("axis"), spec.slice_us // _AXIS_CELLS))
     offsets = sliced_running(
         cells,
         [USER, "slice"],
         "axis_cell",
         ["axis", "kind", "cell"],
-        {f"o_{name}": ("sum", F.col(f"s_{name}")) for name in names},
+        {f"o_{name}": ("sum", F.col(f"s_{name}")) for name in measures},
         inclusive=False,
     )
-    offsets = offsets.filter(F.col("kind") == 1).select(
-        USER, "slice", "axis", F.col("cell").alias("arrival_slice"), *[f"o_{name}" for name in names]
+    offsets = offsets.filter("kind = 1").select(
+        USER, "slice", "axis", F.col("cell").alias("arrival_slice"), *[f"o_{name}" for name in measures]
     )
-    queries = rows.filter(F.col("kind") == 1)
-    joined = queries.join(offsets, [USER, "slice", "axis", "arrival_slice"], "inner")
+    joined = rows.filter("kind = 1").join(offsets, [USER, "slice", "axis", "arrival_slice"], "inner")
     along = (
-        Window.partitionBy(USER, "slice", "axis", "arrival_slice")
-        .orderBy(*ARRIVAL)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return joined.withColumns(
-        {
-            f"w_{name}": F.coalesce(F.col(f"o_{name}") + F.sum(expr).over(along), F.sum(expr).over(along))
-            for name, expr in _measures(spec, genres).items()
-        }
+        f"PARTITION BY {USER}, slice, axis, arrival_slice ORDER BY {', '.join(ARRIVAL)} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     )
+    local = {name: f"sum({expr}) OVER ({along})" for name, expr in measures.items()}
+    sums = [f"coalesce(o_{name} + {term}, {term}) AS w_{name}" for name, term in local.items()]
+    return joined.selectExpr("*", *sums)
 
 
-def _score(weight: Column, exact_pct: Column, rate: float, spec: WindowSpec) -> Column:
-    """min(decayed sum / (100 n), 1), seen from the event's own time."""
-    shift = us_to_seconds(F.col("slice") * F.lit(spec.slice_us) - F.col("event_us"))
-    raw = F.greatest(weight, F.lit(0.0)) * F.exp(F.lit(rate) * shift) / (F.lit(100.0) * F.col("w_n"))
-    # Exactly zero percent in the window is exactly zero, never rounding noise.
-    return F.when((F.col("w_n") > 0) & (exact_pct > 0), F.least(raw, F.lit(1.0))).otherwise(F.lit(0.0))
+def _score(weight: str, exact_pct: str, rate: float, spec: WindowSpec) -> str:
+    """min(decayed sum / (100 n), 1), seen from the event's own time.
 
+    Exactly zero percent in the window is exactly zero, never rounding noise.
+    """
+    shift = f"((slice * {spec.slice_us}L - event_us) / {float(cfg.MICROS)}D)"
+    raw = f"greatest({weight}, 0D) * exp({rate}D * {shift}) / (100D * w_n)"
+    return f"IF(w_n > 0 AND {exact_pct} > 0, least({raw}, 1D), 0D)"
 
-def _genre_entries(genres: list[str]) -> Column:
+
+def _genre_entries(genres: list[str]) -> str:
     entries = [
-        F.struct(
-            F.lit(g).alias("genre"),
-            F.col(f"w_gn_{i}").alias("n"),
-            F.col(f"w_gp_{i}").cast(_SUM).alias("pct"),
-        )
+        f"struct({_quoted(g)} AS genre, w_gn_{i} AS n, CAST(w_gp_{i} AS {_SUM}) AS pct)" for i, g in enumerate(genres)
+    ]
+    return f"filter(CAST(array({', '.join(entries)}) AS {_GENRES}), e -> e.n > 0)"
+
+
+def _vector_json(genres: list[str]) -> str:
+    """The normalized genre weights as compact JSON with sorted keys, straight from the sums.
+
+    Plain string functions stay inside generated code; a map built per row would not.
+    """
+    if not genres:
+        return "'{}'"
+    entries = [
+        f"IF(w_gn_{i} > 0, concat({_quoted(json.dumps(g, ensure_ascii=False) + ':')}, "
+        f"CAST(CAST(w_gp_{i} AS DOUBLE) / CAST(w_named_pct AS DOUBLE) AS STRING)), NULL)"
         for i, g in enumerate(genres)
     ]
-    if not entries:
-        return F.array().cast(_NO_GENRES)
-    return F.filter(F.array(*entries), lambda e: e["n"] > 0)
+    return f"IF(w_named_pct > 0, concat('{{', concat_ws(',', {', '.join(entries)}), '}}'), '{{}}')"
 
 
 def distinct_genres(events: DataFrame, limit: int = cfg.MAX_GENRE_COLUMNS) -> list[str] | None:
@@ -281,8 +309,10 @@ def window_state(
 ) -> DataFrame:
     """Every event with the aggregates of its surviving window.
 
-    Adds watch_count, avg_watch_duration, recency_score, category_affinity_score
-    and (with_genres) genre_counts: array of (genre, n, pct) sorted by genre.
+    Adds watch_count, avg_watch_duration, recency_score, category_affinity_score,
+    named_pct (percent over non-empty genres) and, with_genres, the same weights
+    by genre as genre_counts (array of (genre, n, pct), sorted) and as the JSON
+    session_genre_vector. Columns a caller does not select are not computed.
 
     ``genres`` lists the genres to sum if the caller knows them. ``in_order``
     promises that no event is late: the high-water mark is then the event time
@@ -306,18 +336,18 @@ def window_state(
             marked = high_water_mark(part, spec, split)
         running = _running_split if split else _running_plain
         state = running(marked, spec, wide)
-        state = state.select(
+        state = state.selectExpr(
             *events.columns,
             "hwm_us",
             "cutoff_us",
             "alive",
-            F.col("w_n").alias("watch_count"),
-            F.when(F.col("w_n") > 0, F.col("w_pct").cast("double") / F.col("w_n"))
-            .otherwise(F.lit(0.0)).alias("avg_watch_duration"),
-            _score(F.col("w_recency"), F.col("w_pct"), spec.recency_lambda, spec).alias("recency_score"),
-            _score(F.col("w_affinity"), F.col("w_tagged_pct"), spec.affinity_lambda, spec)
-            .alias("category_affinity_score"),
-            _genre_entries(wide).alias("genre_counts"),
+            "w_n AS watch_count",
+            "IF(w_n > 0, CAST(w_pct AS DOUBLE) / w_n, 0D) AS avg_watch_duration",
+            _score("w_recency", "w_pct", spec.recency_lambda, spec) + " AS recency_score",
+            _score("w_affinity", "w_tagged_pct", spec.affinity_lambda, spec) + " AS category_affinity_score",
+            "w_named_pct AS named_pct",
+            _genre_entries(wide) + " AS genre_counts",
+            _vector_json(wide) + " AS session_genre_vector",
         )
         if long_form:
             state = _with_long_genres(state, marked, spec)
@@ -339,8 +369,7 @@ def _with_long_genres(state: DataFrame, marked: DataFrame, spec: WindowSpec) ->
     rows = _sweep(marked, spec)
     tagged = F.col("genre").isNotNull() & (F.col("genre") != "")
     moves = rows.filter(tagged & (F.col("sign") != 0)).select(
-        USER, "slice", "genre", "axis", "kind", *ARRIVAL,
-        F.lit(False).alias("asks"), "sign", (F.col("watch_pct").cast(_EXACT) * F.col("sign")).cast(_EXACT).alias("d_pct"),
+        USER, "slice", "genre", "axis", "kind", *ARRIVAL, F.lit(False).alias("asks"), "sign", "d_pct",
     )
     present = moves.select(USER, "slice", "genre").distinct()
     asks = (
@@ -369,31 +398,23 @@ def _with_long_genres(state: DataFrame, marked: DataFrame, spec: WindowSpec) ->
             ).alias("genre_counts")
         )
     )
-    none = F.array().cast(_NO_GENRES)
+    none = F.array().cast(_GENRES)
     return (
-        state.drop("genre_counts")
+        state.drop("genre_counts", "session_genre_vector")
         .join(vectors, [USER, *ARRIVAL], "left")
         .withColumn("genre_counts", F.coalesce("genre_counts", none))
+        .withColumn("session_genre_vector", _vector_from_counts(F.col("genre_counts"), F.col("named_pct").cast("double")))
     )
 
 
 # --- feature rows ---------------------------------------------------------------
 
 
-def genre_total(counts: Column) -> Column:
-    """Exact sum over genres, so that nothing watched is exactly zero."""
-    return F.aggregate(counts, F.lit(0).cast(_SUM), lambda acc, e: (acc + e["pct"]).cast(_SUM)).cast("double")
-
-
-def genre_distribution(counts: Column) -> Column:
-    """Genre weights as a map that sums to 1; empty when nothing was watched."""
-    total = genre_total(counts)
-    normalized = F.map_from_entries(
+def _vector_from_counts(counts: Column, total: Column) -> Column:
+    shares = F.map_from_entries(
         F.transform(counts, lambda e: F.struct(e["genre"].alias("k"), (e["pct"].cast("double") / total).alias("v")))
     )
-    return F.when(total > 0, normalized).otherwise(
-        F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
-    )
+    return F.when(total > 0, F.to_json(shares)).otherwise(F.lit("{}"))
 
 
 def feature_rows(
@@ -414,9 +435,9 @@ def feature_rows(
         F.col("watch_count").cast("int").alias("watch_count_10min"),
         "category_affinity_score",
         "avg_watch_duration",
-        time_of_day(F.col("event_us"), F.col("timezone")).alias("time_of_day_bucket"),
+        time_of_day(F.col("event_us"), "timezone").alias("time_of_day_bucket"),
         "recency_score",
-        F.to_json(genre_distribution(F.col("genre_counts"))).alias("session_genre_vector"),
+        "session_genre_vector",
         us_to_seconds(F.col("event_us")).alias("last_event_epoch"),
         F.col("_computed_at").alias("computed_at_epoch"),
         "event_date",
@@ -427,9 +448,8 @@ def feature_rows(
 def genre_weights(events: DataFrame, spec: WindowSpec = WindowSpec(), genres: list[str] | None = None) -> DataFrame:
     """Long form of the session genre counts: one row per (event, surviving genre)."""
     state = window_state(events, spec, genres)
-    total = genre_total(F.col("genre_counts"))
-    return state.withColumn("_total", total).select(
-        USER, *ARRIVAL, "_total", F.explode("genre_counts").alias("e")
+    return state.select(
+        USER, *ARRIVAL, F.col("named_pct").cast("double").alias("_total"), F.explode("genre_counts").alias("e")
     ).select(
         USER,
         *ARRIVAL,

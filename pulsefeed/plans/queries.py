@@ -247,7 +247,7 @@ def session_genre_distribution(spark, sf):
 @query
 def time_of_day_bucket(spark, sf):
     return ad.watch_events(spark, sf).select(
-        "arrival_seq", time_of_day(F.col("event_us"), F.col("timezone")).alias("time_of_day_bucket")
+        "arrival_seq", time_of_day(F.col("event_us"), "timezone").alias("time_of_day_bucket")
     )
 
 
@@ -280,10 +280,14 @@ def training_rows_in_range(spark, sf):
 @query
 def dedup_feature_rows(spark, sf):
     # A replay: every row again with a later compute time, two in three of them a third time.
-    rows = _rows(spark, sf)
-    again = rows.withColumn("computed_at_epoch", F.col("computed_at_epoch") + 60.0)
-    replayed = rows.unionByName(again).unionByName(again.filter(F.col("arrival_seq") % 3 != 0))
-    return _feature_view(dedup.dedup_feature_rows(replayed), "arrival_seq")
+    delay = F.explode(
+        F.when(F.col("arrival_seq") % 3 != 0, F.array(F.lit(0.0), F.lit(60.0), F.lit(60.0)))
+        .otherwise(F.array(F.lit(0.0), F.lit(60.0)))
+    )
+    replayed = _rows(spark, sf).withColumn("_delay", delay).withColumn(
+        "computed_at_epoch", F.col("computed_at_epoch") + F.col("_delay")
+    )
+    return _feature_view(dedup.dedup_feature_rows(replayed.drop("_delay")), "arrival_seq")
 
 
 @query
@@ -316,7 +320,8 @@ def cold_start_users(spark, sf):
 @query
 def features_as_of_request(spark, sf):
     rows = _rows(spark, sf).withColumn("written_us", (F.col("computed_at_epoch") * 1_000_000.0).cast("bigint"))
-    found = online.features_as_of(ad.recommendation_requests(spark, sf), rows, SERVING_TTL)
+    hot = wf.hot_users(ad.watch_events(spark, sf), cfg.HOT_USER_ROWS)
+    found = online.features_as_of(ad.recommendation_requests(spark, sf), rows, SERVING_TTL, hot)
     return found.select(
         "request_id", USER, "has_features", "watch_count_10min",
         r6("last_event_epoch").alias("last_event_epoch"), r6("avg_watch_duration").alias("avg_watch_duration"),

@@ -188,7 +188,7 @@ def stream_features(events: DataFrame, spec: WindowSpec = WindowSpec()) -> DataF
         "watch_count_10min",
         "category_affinity_score",
         "avg_watch_duration",
-        time_of_day(F.col("event_us"), F.col("timezone")).alias("time_of_day_bucket"),
+        time_of_day(F.col("event_us"), "timezone").alias("time_of_day_bucket"),
         "recency_score",
         "session_genre_vector",
         us_to_seconds(F.col("event_us")).alias("last_event_epoch"),

@@ -96,7 +96,8 @@ def test_hash_round_trip_and_tolerant_decode(spark):
     assert (got["k2"]["watch_count_10min"], got["k3"]["watch_count_10min"], got["k4"]["watch_count_10min"]) == (0, 7, None)
 
 
-def test_features_as_of_matches_a_direct_scan(spark):
+@pytest.mark.parametrize("hot", [None, [], ["u1"]])
+def test_features_as_of_matches_a_direct_scan(spark, hot):
     import random
 
     rng = random.Random(4)
@@ -106,7 +107,7 @@ def test_features_as_of_matches_a_direct_scan(spark):
         "written_us", (F.col("computed_at_epoch") * 1_000_000).cast("bigint"))
     asks = [(i, f"u{rng.randrange(4)}", rng.randrange(50_000) * 1_000_000) for i in range(100)]
     requests = spark.createDataFrame(asks, "request_id long, pseudo_user_id string, request_us long")
-    got = {r["request_id"]: r for r in online.features_as_of(requests, df, 3600).collect()}
+    got = {r["request_id"]: r for r in online.features_as_of(requests, df, 3600, hot).collect()}
     for i, u, at in asks:
         seen = [w for w in writes if w[0] == u and w[8] * 1e6 <= at]
         best = max(seen, key=lambda w: (w[8], w[10], w[11]), default=None)
