@@ -32,8 +32,8 @@ def parse_iso(text: Column) -> Column:
         .when(text.rlike(_HOURS), F.concat(F.substring(text, 1, 13), F.lit(":00:00"), F.substring(text, 14, 6)))
         .when(text.rlike(f"^{_DATE}$"), F.concat(text, F.lit("T00:00:00")))
     )
-    zoned = F.when(text.rlike(f"[T ].*{_OFFSET}$"), full).otherwise(F.concat(full, F.lit("Z")))
-    return zoned.try_cast("timestamp")
+    suffix = F.when(text.rlike(f"[T ].*{_OFFSET}$"), F.lit("")).otherwise(F.lit("Z"))
+    return F.concat(full, suffix).try_cast("timestamp")
 
 
 def local_event_date(text: Column) -> Column:

@@ -30,7 +30,7 @@ def auc(scored: DataFrame, score: str = "score", label: str = cfg.LABEL) -> Data
     sliced = per_score.withColumn("all", F.lit(0)).withColumn("bin", _score_slice(F.col("s")))
     # Both sums are carried so that both readers of the counts share one shuffle.
     below = sliced_running(
-        sliced, ["all"], "bin", ["s"], {"neg_to": ("sum", F.col("neg")), "pos_to": ("sum", F.col("pos"))}
+        sliced, ["all"], ["bin"], ["s"], {"neg_to": ("sum", F.col("neg")), "pos_to": ("sum", F.col("pos"))}
     )
     wins = F.col("pos").cast("double") * (F.col("neg_to").cast("double") - F.col("neg").cast("double") / 2.0)
     return below.agg(
@@ -67,15 +67,15 @@ def index_percentiles(df: DataFrame, keys: list[str], value: str, percents: list
     """
     counts = df.groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("c"))
     sliced = counts.withColumn("bin", _value_slice(F.col("v")))
-    cumulative = sliced_running(sliced, keys, "bin", ["v"], {"upto": ("sum", F.col("c"))})
-    totals = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
-    joined = cumulative.join(totals, keys)
+    cumulative = sliced_running(
+        sliced, keys, ["bin"], ["v"], {"upto": ("sum", F.col("c"))}, grand={"n": "upto"}
+    )
 
     def pick(p: int) -> Column:
         index = F.least(F.floor(F.col("n") * F.lit(p) / F.lit(100.0)).cast("bigint"), F.col("n") - 1)
         return F.min(F.when(F.col("upto") > index, F.col("v"))).alias(f"p{p}")
 
-    return joined.groupBy(*keys).agg(F.first("n").alias("n"), *[pick(p) for p in percents])
+    return cumulative.groupBy(*keys).agg(F.first("n").alias("n"), *[pick(p) for p in percents])
 
 
 def score_histogram(scored: DataFrame, score: str = "score", bins: int = 10, by: list[str] | None = None) -> DataFrame:

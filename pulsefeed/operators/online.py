@@ -117,7 +117,7 @@ def features_as_of(
 
     def sliced(part: DataFrame) -> DataFrame:
         hourly = part.withColumn("hour", floor_div(F.col("at_us"), HOUR_US))
-        return sliced_running(hourly, [USER], "hour", ["at_us", "side"], {"last": ("max", F.col("write"))}).select(*columns)
+        return sliced_running(hourly, [USER], ["hour"], ["at_us", "side"], {"last": ("max", F.col("write"))}).select(*columns)
 
     if hot is None:
         carried = sliced(axis)

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import json
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ _EXACT = "decimal(21,18)"
 _SUM = "decimal(38,18)"
 _GENRES = f"array<struct<genre:string,n:bigint,pct:{_SUM}>>"
 _AXIS_CELLS = 64
+_SLICES = ["arrival_slice", "arrival_part", "seq_part"]
 _MAX_EXPONENT = 60.0
 
 
@@ -53,6 +54,8 @@ class WindowSpec:
     affinity_lambda: float = cfg.AFFINITY_LAMBDA
     hot_user_rows: int = cfg.HOT_USER_ROWS
     arrival_slice_seconds: int = cfg.ARRIVAL_SLICE_SECONDS
+    busy_slice_rows: int = cfg.BUSY_SLICE_ROWS
+    max_windows_per_slice: int = 16
 
     @property
     def us(self) -> int:
@@ -63,7 +66,7 @@ class WindowSpec:
         """Axis slice: as many windows as keep decayed weights in double range."""
         rate = max(self.recency_lambda, self.affinity_lambda, 1e-9)
         windows = int(_MAX_EXPONENT / (rate * self.seconds)) - 1
-        return self.us * max(1, min(16, windows))
+        return self.us * max(1, min(self.max_windows_per_slice, windows))
 
 
 # --- high-water mark and lateness -------------------------------------------
@@ -74,17 +77,39 @@ def _mark(df: DataFrame, spec: WindowSpec) -> DataFrame:
     return df.withColumn("cutoff_us", cutoff).withColumn("alive", F.col("event_us") >= F.col("cutoff_us"))
 
 
+def _arrival_slices(events: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Cut hot users' arrivals into consecutive runs small enough for a task.
+
+    The usual run is a fixed span of arrival time. The few spans that hold too
+    many rows (at most rows / busy_slice_rows of them, so they can be broadcast)
+    are cut by arrival instant, and each instant by runs of the sequence.
+    """
+    base = events.withColumn("arrival_slice", floor_div(F.col("arrival_us"), spec.arrival_slice_seconds * cfg.MICROS))
+    busy = (
+        base.groupBy(USER, "arrival_slice").count()
+        .filter(F.col("count") > spec.busy_slice_rows)
+        .select(USER, "arrival_slice", F.lit(True).alias("_busy"))
+    )
+    flagged = base.join(F.broadcast(busy), [USER, "arrival_slice"], "left")
+    run = floor_div(F.col("arrival_seq"), max(spec.busy_slice_rows, 1))
+    zero = F.lit(0).cast("bigint")
+    return flagged.withColumns(
+        {
+            "arrival_part": F.when(F.col("_busy"), F.col("arrival_us")).otherwise(zero),
+            "seq_part": F.when(F.col("_busy"), run).otherwise(zero),
+        }
+    ).drop("_busy")
+
+
 def high_water_mark(events: DataFrame, spec: WindowSpec = WindowSpec(), split: bool = False) -> DataFrame:
     """Add hwm_us, cutoff_us and alive (survives its own arrival).
 
     ``split`` carries the running maximum over arrival slices instead of
-    sorting each user's history in one task.
+    sorting each user's history in one task, and keeps the slice columns.
     """
     if split:
-        width = spec.arrival_slice_seconds * cfg.MICROS
-        sliced = events.withColumn("arrival_slice", floor_div(F.col("arrival_us"), width))
         running = sliced_running(
-            sliced, [USER], "arrival_slice", ARRIVAL, {"hwm_us": ("max", F.col("event_us"))}
+            _arrival_slices(events, spec), [USER], _SLICES, ARRIVAL, {"hwm_us": ("max", F.col("event_us"))}
         )
         marked = running.withColumn("hwm_us", F.greatest(F.col("hwm_us"), F.lit(0).cast("bigint")))
     else:
@@ -233,25 +258,25 @@ def _running_split(marked: DataFrame, spec: WindowSpec, genres: list[str]) -> Da
     measures = _measures(genres)
     rows = _sweep(marked, spec)
     cells = (
-        rows.withColumn("cell", F.expr("IF(kind = 1, arrival_slice, 0L)"))
-        .groupBy(USER, "slice", "axis", "kind", "cell")
+        rows.withColumns({f"c_{c}": F.expr(f"IF(kind = 1, {c}, 0L)") for c in _SLICES})
+        .groupBy(USER, "slice", "axis", "kind", *[f"c_{c}" for c in _SLICES])
         .agg(*[F.expr(f"sum({expr}) AS s_{name}") for name, expr in measures.items()])
         .withColumn("axis_cell", floor_div(F.col("axis"), spec.slice_us // _AXIS_CELLS))
     )
     offsets = sliced_running(
         cells,
         [USER, "slice"],
-        "axis_cell",
-        ["axis", "kind", "cell"],
+        ["axis_cell"],
+        ["axis", "kind", *[f"c_{c}" for c in _SLICES]],
         {f"o_{name}": ("sum", F.col(f"s_{name}")) for name in measures},
         inclusive=False,
     )
     offsets = offsets.filter("kind = 1").select(
-        USER, "slice", "axis", F.col("cell").alias("arrival_slice"), *[f"o_{name}" for name in measures]
+        USER, "slice", "axis", *[F.col(f"c_{c}").alias(c) for c in _SLICES], *[f"o_{name}" for name in measures]
     )
-    joined = rows.filter("kind = 1").join(offsets, [USER, "slice", "axis", "arrival_slice"], "inner")
+    joined = rows.filter("kind = 1").join(offsets, [USER, "slice", "axis", *_SLICES], "inner")
     along = (
-        f"PARTITION BY {USER}, slice, axis, arrival_slice ORDER BY {', '.join(ARRIVAL)} "
+        f"PARTITION BY {USER}, slice, axis, {', '.join(_SLICES)} ORDER BY {', '.join(ARRIVAL)} "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     )
     local = {name: f"sum({expr}) OVER ({along})" for name, expr in measures.items()}
@@ -330,8 +355,7 @@ def window_state(
         if in_order:
             marked = _mark(part.withColumn("hwm_us", F.greatest("event_us", F.lit(0).cast("bigint"))), spec)
             if split:
-                width = spec.arrival_slice_seconds * cfg.MICROS
-                marked = marked.withColumn("arrival_slice", floor_div(F.col("arrival_us"), width))
+                marked = _arrival_slices(marked, spec)
         else:
             marked = high_water_mark(part, spec, split)
         running = _running_split if split else _running_plain
@@ -365,6 +389,9 @@ def _with_long_genres(state: DataFrame, marked: DataFrame, spec: WindowSpec) ->
     genre alive in its slice, so the extra rows are proportional to the vectors
     being produced, not to pairs of events.
     """
+    # No exponents here, so slices as short as a window: a query then meets
+    # hardly more genres than its vector lists.
+    spec = replace(spec, max_windows_per_slice=1)
     width = spec.slice_us
     rows = _sweep(marked, spec)
     tagged = F.col("genre").isNotNull() & (F.col("genre") != "")
@@ -385,7 +412,7 @@ def _with_long_genres(state: DataFrame, marked: DataFrame, spec: WindowSpec) ->
     summed = sliced_running(
         cells,
         [USER, "slice", "genre"],
-        "axis_cell",
+        ["axis_cell"],
         ["axis", "kind", *ARRIVAL, "asks"],
         {"n": ("sum", F.col("sign")), "pct": ("sum", F.col("d_pct"))},
     )

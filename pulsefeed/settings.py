@@ -86,6 +86,9 @@ HOT_USER_ROWS = 2_000_000
 # listing the users in the plan.
 MAX_LISTED_HOT_USERS = 5_000
 ARRIVAL_SLICE_SECONDS = 60
+# A hot user's arrival slice with more rows than this is cut again by arrival
+# instant and by runs of the arrival sequence (bulk loads share one instant).
+BUSY_SLICE_ROWS = 20_000_000
 # Up to this many genres get a column each inside the window; beyond it the
 # long form is used.
 MAX_GENRE_COLUMNS = 64

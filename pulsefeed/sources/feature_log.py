@@ -31,14 +31,13 @@ def with_partitions(rows: DataFrame) -> DataFrame:
     )
 
 
-def write_log(rows: DataFrame, path: str, mode: str = "append", files_per_day: int = 1) -> None:
+def write_log(rows: DataFrame, path: str, mode: str = "append") -> None:
     """Append rows to the log; a batch may span days.
 
-    Rows are spread over ``files_per_day`` writers per day by user, so a heavy
-    day is not one task and a quiet one is not hundreds of small files.
+    The rebalance gathers each day's rows into few files and, by size at run
+    time, spreads a heavy day over many writers.
     """
-    salt = F.pmod(F.xxhash64("pseudo_user_id", "last_event_epoch"), F.lit(files_per_day))
-    laid_out = with_partitions(rows).repartition(*PARTITIONS, salt)
+    laid_out = with_partitions(rows).hint("rebalance", *PARTITIONS)
     laid_out.write.partitionBy(*PARTITIONS).mode(mode).option("compression", "snappy").parquet(path)
 
 

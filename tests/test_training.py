@@ -119,7 +119,7 @@ def test_label_source_can_be_dropped(spark):
 def trained(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("models")
     path = str(root / "log")
-    log.write_log(rows(spark, many()), path, files_per_day=2)
+    log.write_log(rows(spark, many()), path)
     reg = ModelRegistry(spark, str(root / "registry"))
     config = training.TrainingConfig(params={"maxIter": 3})
     first = training.train_and_register(spark, path, reg, dt.date(2026, 5, 25), config)

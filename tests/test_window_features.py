@@ -117,6 +117,18 @@ def test_standing_high_water_mark(spark, hot_rows):
     check(wf.feature_rows(frame(spark, rows), F.lit(0.0), spec), simulate(rows, 600))
 
 
+@pytest.mark.parametrize("busy", [5, 40])
+def test_bulk_load_shares_one_arrival(spark, busy):
+    """All of a hot user's rows in one arrival minute, most at one instant."""
+    rng = random.Random(2)
+    rows = [("u", "c", round(rng.random() * 100, 1), rng.choice(["a", "b", None]), DAY0 + rng.randrange(3000), DAY0 + 1.0)
+            for _ in range(150)]
+    rows += [("u", "c", 20.0, "b", DAY0 + 3000.0 + i, DAY0 + 2.0 + i % 3) for i in range(50)]
+    rows += [("v", "c", 20.0, "b", DAY0 + i * 90.0, DAY0 + i * 90.0) for i in range(40)]
+    spec = wf.WindowSpec(hot_user_rows=0, busy_slice_rows=busy)
+    check(wf.feature_rows(frame(spark, rows), F.lit(0.0), spec), simulate(rows, 600))
+
+
 @pytest.mark.parametrize("hot_rows", [10_000, 0])
 def test_vocabulary_wider_than_columns(spark, monkeypatch, hot_rows):
     """More genres than get a column: the long form gives the same vectors."""
