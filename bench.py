@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 HEADLINE = [
@@ -39,6 +40,43 @@ HEADLINE = [
 ]
 
 
+def stream_lag(spark, sf_dir: str, batches: int = 6) -> dict:
+    """All watch events through the stateful stream, cut into equal micro-batches in arrival order.
+
+    The duration of a micro-batch is the longest an event that arrives at its
+    start waits for its feature row. The first batch starts the workers and is
+    reported apart.
+    """
+    from pyspark.sql import functions as F
+
+    from pulsefeed.schemas import ARRIVAL
+    from pulsefeed.sources import adapters
+    from pulsefeed.streaming.features import log_writer, stream_features
+
+    work = tempfile.mkdtemp(prefix="bench-stream-")
+    events = adapters.watch_events(spark, sf_dir)
+    bounds = [q / batches for q in range(1, batches)]
+    edges = events.agg(F.percentile_approx("arrival_us", bounds, 100_000)).first()[0]
+    part = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col("arrival_us")))
+    cut = events.withColumn("part", part).persist()
+    for i in range(batches):
+        cut.filter(F.col("part") == i).drop("part").sortWithinPartitions(*ARRIVAL).coalesce(1).write.parquet(f"{work}/in/{i}")
+    schema = cut.drop("part").schema
+    cut.unpersist()
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in/*")
+    query = log_writer(stream_features(source), f"{work}/log", f"{work}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    done = [p for p in query.recentProgress if p["numInputRows"]]
+    seconds = [p["batchDuration"] / 1000.0 for p in done]
+    later = seconds[1:] or seconds
+    return {
+        "rows": sum(p["numInputRows"] for p in done),
+        "first_batch_sec": round(seconds[0], 3),
+        "max_later_batch_sec": round(max(later), 3),
+        "rows_per_sec": round(sum(p["numInputRows"] for p in done[1:]) / sum(later)) if len(done) > 1 else None,
+    }
+
+
 def main() -> None:
     sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
     from pulsefeed.plans.queries import all_queries
@@ -80,6 +118,8 @@ def main() -> None:
     }
     if "user_features" in timings:
         report["feature_rows_per_sec"] = round(events / timings["user_features"])
+    if not sys.argv[1:]:
+        report["stream"] = stream_lag(spark, sf_dir)
     print(json.dumps(report))
     spark.stop()
 

@@ -59,23 +59,39 @@ def _value_slice(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * 64.0)).cast("bigint")
 
 
-def index_percentiles(df: DataFrame, keys: list[str], value: str, percents: list[int]) -> DataFrame:
+def index_percentiles(
+    df: DataFrame, keys: list[str], value: str, percents: list[int], sums: dict[str, Column] | None = None
+) -> DataFrame:
     """Per key, ``sorted[min(int(n * p / 100), n - 1)]`` for each percent, and n.
 
     Values are reduced to counts per distinct value, cumulated in two levels,
     and the first value whose cumulative count passes the index is taken.
+    ``sums`` are further totals per key taken in the same pass.
     """
-    counts = df.groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("c"))
+    extra = sums or {}
+    # Dropping nulls here keeps both readers of the counts on one shuffle.
+    counts = (
+        df.dropna(subset=[*keys, value])
+        .groupBy(*keys, F.col(value).alias("v"))
+        .agg(F.count("*").alias("c"), *[F.sum(expr).alias(name) for name, expr in extra.items()])
+    )
     sliced = counts.withColumn("bin", _value_slice(F.col("v")))
     cumulative = sliced_running(
-        sliced, keys, ["bin"], ["v"], {"upto": ("sum", F.col("c"))}, grand={"n": "upto"}
+        sliced.withColumnsRenamed({name: f"_s_{name}" for name in extra}),
+        keys,
+        ["bin"],
+        ["v"],
+        {"upto": ("sum", F.col("c"))} | {f"_r_{name}": ("sum", F.col(f"_s_{name}")) for name in extra},
+        grand={"n": "upto"} | {name: f"_r_{name}" for name in extra},
     )
 
     def pick(p: int) -> Column:
         index = F.least(F.floor(F.col("n") * F.lit(p) / F.lit(100.0)).cast("bigint"), F.col("n") - 1)
         return F.min(F.when(F.col("upto") > index, F.col("v"))).alias(f"p{p}")
 
-    return cumulative.groupBy(*keys).agg(F.first("n").alias("n"), *[pick(p) for p in percents])
+    return cumulative.groupBy(*keys).agg(
+        *[F.first(name).alias(name) for name in ["n", *extra]], *[pick(p) for p in percents]
+    )
 
 
 def score_histogram(scored: DataFrame, score: str = "score", bins: int = 10, by: list[str] | None = None) -> DataFrame:

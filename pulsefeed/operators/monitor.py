@@ -13,12 +13,8 @@ _PERCENTS = [50, 95, 99]
 
 def endpoint_stats(log: DataFrame) -> DataFrame:
     """Per endpoint: requests, errors and index percentiles of the latency."""
-    counts = log.groupBy("endpoint").agg(
-        F.count("*").alias("requests"), F.sum((~F.col("ok")).cast("bigint")).alias("errors")
-    )
-    return counts.join(
-        index_percentiles(log, ["endpoint"], "latency_ms", _PERCENTS).drop("n"), "endpoint"
-    )
+    errors = {"errors": (~F.col("ok")).cast("bigint")}
+    return index_percentiles(log, ["endpoint"], "latency_ms", _PERCENTS, errors).withColumnRenamed("n", "requests")
 
 
 def _suites(suites: dict[str, tuple[float, float]]) -> Column:

@@ -546,6 +546,7 @@ def _engagement() -> Column:
 def trending_items(spark, sf):
     feed = recommend.resolve_trending(recommend.trending_frame(spark), recommend.catalog_frame(spark))
     views = ad.watch_events(spark, sf).groupBy("content_id").agg(F.count("*").alias("views"))
+    # The feed is the configured list: a handful of rows.
     return views.join(F.broadcast(feed), "content_id").select(
         "feed_pos", "content_id", "genre", "title", "views"
     ).orderBy("feed_pos")

@@ -147,3 +147,16 @@ def test_publish_and_read_back(spark, tmp_path):
     q.awaitTermination(120)
     row = spark.table("parsed").first()
     assert (row["genre"], row["watch_pct"], row["arrival_us"], row["arrival_seq"]) == ("drama", 50.0, 5, 1)
+
+
+def test_stream_publishes_keyed_messages(spark, tmp_path):
+    ingest.watch_payload(watch(spark, genre="drama"), "k").coalesce(1).write.json(str(tmp_path / "in"))
+    schema = "pseudo_user_id string, content_id string, watch_pct double, timestamp string, genre string, timezone string"
+    payload = spark.readStream.schema(schema).json(str(tmp_path / "in"))
+    for _ in range(2):  # a restart publishes nothing twice
+        q = messages.publish_stream(payload, str(tmp_path / "cp"), path=str(tmp_path / "topic")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+    rows = spark.read.json(str(tmp_path / "topic")).collect()
+    assert len(rows) == 1 and rows[0]["key"] in rows[0]["value"]
+    parsed = ingest.parse_messages(spark.createDataFrame([(rows[0]["value"],)], "value string"))
+    assert parsed.first()["genre"] == "drama"
