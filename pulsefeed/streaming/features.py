@@ -47,127 +47,115 @@ def _limbs(pct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return high.astype(np.int64), low.astype(np.int64)
 
 
-class _Survivors:
-    """Entries minus exits for each new event, for any weight column.
-
-    ``held`` are the survivors before the batch, ``fresh`` the new events in
-    arrival order. An event alive at arrival is an entry from its arrival on and
-    an exit for every cutoff above its time.
-    """
-
-    def __init__(self, held_t: np.ndarray, t: np.ndarray, cutoff: np.ndarray):
-        self.alive = t >= cutoff
-        members = np.concatenate([held_t, t[self.alive]])
-        self.by_time = np.argsort(members, kind="stable")
-        self.gone = np.searchsorted(members[self.by_time], cutoff, side="left")
-
-    def total(self, held_w: np.ndarray, w: np.ndarray) -> np.ndarray:
-        entered = held_w.sum() + np.cumsum(np.where(self.alive, w, 0))
-        members = np.concatenate([held_w, w[self.alive]])[self.by_time]
-        left = np.concatenate([np.zeros(1, members.dtype), np.cumsum(members)])
-        return entered - left[self.gone]
-
-    def exact(self, held_pct: np.ndarray, pct: np.ndarray) -> np.ndarray:
-        (hh, hl), (nh, nl) = _limbs(held_pct), _limbs(pct)
-        return self.total(hh, nh) / 2.0**20 + self.total(hl, nl) / 2.0**60
+def _exact(sums: np.ndarray, at: int) -> np.ndarray:
+    return sums[:, at] / 2.0**20 + sums[:, at + 1] / 2.0**60
 
 
-def _score(weight, exact_pct, n, t, anchor, rate) -> np.ndarray:
+def _score(weight, exact_pct, n, shift, rate) -> np.ndarray:
     with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-        raw = np.maximum(weight, 0.0) * np.exp(rate * (anchor - t) / 1e6) / (100.0 * n)
+        raw = np.maximum(weight, 0.0) * np.exp(rate * shift) / (100.0 * n)
     return np.where((n > 0) & (exact_pct > 0), np.minimum(raw, 1.0), 0.0)
 
 
-def _step(held: pd.DataFrame, rows: pd.DataFrame, cutoff: np.ndarray, anchor: float, spec: WindowSpec) -> pd.DataFrame:
-    """Features of consecutive arrivals whose cutoffs share one axis slice."""
-    ht, hp, hg = held["event_us"].to_numpy(np.int64), held["watch_pct"].to_numpy(float), held["genre"]
-    t, p, g = rows["event_us"].to_numpy(np.int64), rows["watch_pct"].to_numpy(float), rows["genre"]
-    s = _Survivors(ht, t, cutoff)
-    n = s.total(np.ones(len(ht), np.int64), np.ones(len(t), np.int64))
-    pct = s.exact(hp, p)
-
-    def decayed(rate: float, hw: np.ndarray, nw: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return s.total(hw * np.exp(rate * (ht - anchor) / 1e6), np.where(s.alive, nw * np.exp(rate * (t - anchor) / 1e6), 0.0))
-
-    htag, ntag = np.where(hg.notna(), hp, 0.0), np.where(g.notna(), p, 0.0)
-    out = pd.DataFrame(
-        {
-            "watch_count_10min": n.astype(np.int32),
-            "category_affinity_score": _score(
-                decayed(spec.affinity_lambda, htag, ntag), s.exact(htag, ntag), n, t, anchor, spec.affinity_lambda
-            ),
-            "avg_watch_duration": np.where(n > 0, pct / np.maximum(n, 1), 0.0),
-            "recency_score": _score(decayed(spec.recency_lambda, hp, p), pct, n, t, anchor, spec.recency_lambda),
-        }
-    )
-    names = sorted(x for x in set(hg.dropna()) | set(g.dropna()) if x)
-    counts, weights = {}, {}
-    for name in names:
-        hm, nm = (hg == name).to_numpy(bool, na_value=False), (g == name).to_numpy(bool, na_value=False)
-        counts[name] = s.total(hm.astype(np.int64), nm.astype(np.int64))
-        weights[name] = s.exact(np.where(hm, hp, 0.0), np.where(nm, p, 0.0))
-    total = np.sum([weights[x] for x in names], axis=0) if names else np.zeros(len(t))
-    out["session_genre_vector"] = [
-        json.dumps({x: float(weights[x][i] / total[i]) for x in names if counts[x][i] > 0}, separators=(",", ":"))
-        if total[i] > 0 else "{}"
-        for i in range(len(t))
-    ]
-    return out
-
-
-def advance(
-    held: pd.DataFrame, hwm_us: int, rows: pd.DataFrame, spec: WindowSpec
-) -> tuple[pd.DataFrame, pd.DataFrame, int]:
-    """(feature values per row, survivors, high-water mark) after the rows, given in arrival order."""
-    t = rows["event_us"].to_numpy(np.int64)
-    hwm = np.maximum.accumulate(np.maximum(t, hwm_us))
-    cutoff = hwm - spec.us
-    slices = cutoff // spec.slice_us
-    out = []
-    # Cutoffs never fall, so each slice is one consecutive stretch.
-    starts = np.flatnonzero(np.r_[True, slices[1:] != slices[:-1]])
-    for a, b in zip(starts, np.r_[starts[1:], len(t)]):
-        held = held[held["event_us"].to_numpy(np.int64) >= cutoff[a]]
-        part = rows.iloc[a:b]
-        out.append(_step(held, part, cutoff[a:b], float(slices[a] * spec.slice_us), spec))
-        held = pd.concat([held, part[["content_id", "watch_pct", "event_us", "genre"]]], ignore_index=True)
-        held = held[held["event_us"].to_numpy(np.int64) >= cutoff[b - 1]]
-    return pd.concat(out, ignore_index=True), held, int(hwm[-1])
+def _window_values(
+    t: np.ndarray, pct: np.ndarray, genre: np.ndarray, cutoff: np.ndarray, alive: np.ndarray, held: int, spec: WindowSpec
+) -> dict[str, object]:
+    """Feature values of the events after the first ``held``, which are earlier survivors.
 
-
-_HELD = {"content_id": object, "watch_pct": float, "event_us": np.int64, "genre": object}
-
-
-def _genre_counts(held: pd.DataFrame) -> dict[str, float]:
-    tagged = held[held["genre"].notna() & (held["genre"] != "")]
-    return {k: float(v) / 100.0 for k, v in tagged.groupby("genre")["watch_pct"].sum().items()}
+    The same sweep as the batch plan: entries, carried-in entries and exits on
+    the cutoff axis, summed slice by slice.
+    """
+    width = spec.slice_us
+    home, leaves = cutoff // width, t // width
+    crossing = np.flatnonzero(alive & (leaves > home))
+    exits = np.flatnonzero(alive)
+    every = np.arange(len(t))
+    src = np.concatenate([every, crossing, exits])
+    kind = np.repeat([1, 0, 2], [len(every), len(crossing), len(exits)])
+    slice_ = np.concatenate([home, leaves[crossing], leaves[exits]])
+    axis = np.concatenate([cutoff, leaves[crossing] * width, t[exits]])
+    sign = np.concatenate([alive.astype(np.int64), np.ones(len(crossing), np.int64), -np.ones(len(exits), np.int64)])
+    order = np.lexsort((src, kind, axis, slice_))
+    src, kind, slice_, sign = src[order], kind[order], slice_[order], sign[order]
+
+    missing = pd.isna(genre)
+    names = sorted({g for g in genre[~missing] if g})
+    high, low = _limbs(pct)
+    columns = [np.ones(len(t), np.int64), high, low, np.where(missing, 0, high), np.where(missing, 0, low)]
+    for name in names:
+        hit = genre == name
+        columns += [hit.astype(np.int64), np.where(hit, high, 0), np.where(hit, low, 0)]
+    counts = np.stack(columns, axis=1)[src] * sign[:, None]
+    age = np.where(alive[src], (t[src] - slice_ * width) / 1e6, 0.0)
+    decayed = np.stack(
+        [
+            sign * pct[src] * np.exp(spec.recency_lambda * age),
+            sign * np.where(missing, 0.0, pct)[src] * np.exp(spec.affinity_lambda * age),
+        ],
+        axis=1,
+    )
+    starts = np.flatnonzero(np.r_[True, slice_[1:] != slice_[:-1]])
+    for a, b in zip(starts, np.r_[starts[1:], len(src)]):
+        np.cumsum(counts[a:b], axis=0, out=counts[a:b])
+        np.cumsum(decayed[a:b], axis=0, out=decayed[a:b])
+
+    # Rows of the new events, back in arrival order.
+    asks = np.flatnonzero((kind == 1) & (src >= held))
+    asks = asks[np.argsort(src[asks])]
+    sums, decayed, now = counts[asks], decayed[asks], src[asks]
+    shift = (slice_[asks] * width - t[now]) / 1e6
+    n, total_pct = sums[:, 0], _exact(sums, 1)
+    weights = [_exact(sums, 6 + 3 * i) for i in range(len(names))]
+    total = np.sum(weights, axis=0) if names else np.zeros(len(now))
+    return {
+        "watch_count_10min": n.astype(np.int32),
+        "category_affinity_score": _score(decayed[:, 1], _exact(sums, 3), n, shift, spec.affinity_lambda),
+        "avg_watch_duration": np.where(n > 0, total_pct / np.maximum(n, 1), 0.0),
+        "recency_score": _score(decayed[:, 0], total_pct, n, shift, spec.recency_lambda),
+        "session_genre_vector": [
+            json.dumps(
+                {x: float(weights[j][i] / total[i]) for j, x in enumerate(names) if sums[i, 5 + 3 * j] > 0},
+                separators=(",", ":"),
+            )
+            if total[i] > 0
+            else "{}"
+            for i in range(len(now))
+        ],
+    }
 
 
 def _stateful(spec: WindowSpec):
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        frames = list(batches)
+        frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         # A shuffle loses arrival order within the batch: restore it first.
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(ARRIVAL, ignore_index=True)
+        order = np.lexsort((frame["arrival_seq"].to_numpy(), frame["arrival_us"].to_numpy()))
+        rows = {c: frame[c].to_numpy()[order] for c in _INPUT}
         watches, hwm = [], 0
         if state.exists:
             watches, _, _, hwm = state.get
-        held = pd.DataFrame([tuple(w) for w in watches], columns=list(_HELD)).astype(_HELD)
-        values, held, hwm = advance(held, hwm, rows, spec)
+        held = len(watches)
+        t = np.concatenate([np.array([w[2] for w in watches], np.int64), rows["event_us"].astype(np.int64)])
+        pct = np.concatenate([np.array([w[1] for w in watches], float), rows["watch_pct"].astype(float)])
+        genre = np.concatenate([np.array([w[3] for w in watches], object), rows["genre"].astype(object)])
+        marks = np.maximum.accumulate(np.maximum(t[held:], hwm))
+        cutoff = np.concatenate([np.full(held, hwm - spec.us), marks - spec.us])
+        alive = t >= cutoff
+        values = _window_values(t, pct, genre, cutoff, alive, held, spec)
+
         now = time.time()
-        clean = held.astype(object).where(held.notna(), None)
-        state.update(
-            (
-                [(c, float(p), int(t), g) for c, p, t, g in clean[list(_HELD)].itertuples(index=False)],
-                _genre_counts(held),
-                now,
-                int(hwm),
-            )
-        )
-        values[USER] = key[0]
-        values["computed_at_epoch"] = now
-        for c in ("event_us", "timezone", "event_date", *ARRIVAL):
-            values[c] = rows[c].to_numpy()
-        yield values[_OUTPUT.fieldNames()]
+        content = [w[0] for w in watches] + rows["content_id"].tolist()
+        kept = np.flatnonzero(alive & (t >= cutoff[-1]))
+        records, genres = [], {}
+        for i in kept:
+            g = None if pd.isna(genre[i]) else genre[i]
+            records.append((content[i], float(pct[i]), int(t[i]), g))
+            if g:
+                genres[g] = genres.get(g, 0.0) + float(pct[i]) / 100.0
+        state.update((records, genres, now, int(marks[-1])))
+        values |= {c: rows[c] for c in ("event_us", "timezone", "event_date", *ARRIVAL)}
+        values |= {USER: [key[0]] * len(order), "computed_at_epoch": np.full(len(order), now)}
+        yield pd.DataFrame({c: values[c] for c in _OUTPUT.fieldNames()})
 
     return update
 
