@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pulsefeed import settings as cfg
 from pulsefeed.operators.consent import audit_month
 from pulsefeed.schemas import AUDIT_LOG
+from pulsefeed.sources import files
 
 MONTH = "audit_month"
 
@@ -65,19 +66,9 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
 def stored_months(spark: SparkSession, path: str) -> list[str]:
     """Month directories of the log, from the file listing alone (bounded by months)."""
-    fs, target = _filesystem(spark, path)
-    if not fs.exists(target):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{MONTH}="))
+    return files.partition_values(spark, path, MONTH)
 
 
 def drop_expired(
@@ -105,6 +96,5 @@ def drop_expired(
             rows.write.mode("overwrite").parquet(f"{archive}/{MONTH}={month}")
             if spark.read.parquet(f"{archive}/{MONTH}={month}").count() != rows.count():
                 raise RuntimeError(f"archive of {month} is incomplete; nothing was deleted")
-        fs, target = _filesystem(spark, source)
-        fs.delete(target, True)
+        files.delete(spark, source)
     return months

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS, FEATURE_ROW
+from pulsefeed.sources import files
 
 PARTITIONS = ["year", "month", "day"]
 # Files written by the stream also hold the arrival position. Partition values
@@ -59,18 +60,13 @@ def read_log(
     if skip_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
     found = None
-    if _exists(spark, path):
+    if files.exists(spark, path):
         found = reader.parquet(path).filter(_day_path().between(low, high)).select(*FEATURE_COLUMNS)
     if found is None or found.isEmpty():
         raise ValueError(f"no readable feature log rows in {path!r} between {low} and {high}")
     return found
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def rows_in_range(rows: DataFrame, date_from: str, date_to: str) -> DataFrame:
     """The same range on a table that is not partitioned by date."""
     return rows.filter(F.col("event_date").between(date_from, date_to))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsefeed.sources import files
+
 
 class LatestTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, order: list[str]):
@@ -37,7 +39,7 @@ class LatestTable:
         parts = []
         if upto is not None:
             parts.append(self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={upto}"))
-        if self._exists(f"{self.path}/delta"):
+        if files.exists(self.spark, f"{self.path}/delta"):
             with_id = T.StructType(self.schema.fields + [T.StructField("batch_id", T.LongType())])
             deltas = self.spark.read.schema(with_id).parquet(f"{self.path}/delta")
             if upto is not None:
@@ -62,34 +64,19 @@ class LatestTable:
         if upto is not None:
             for i in ids:
                 if i <= upto:
-                    self._delete(f"{self.path}/delta/batch_id={i}")
+                    files.delete(self.spark, f"{self.path}/delta/batch_id={i}")
             for b in self._ids("base", "upto"):
                 if b < upto:
-                    self._delete(f"{self.path}/base/upto={b}")
+                    files.delete(self.spark, f"{self.path}/base/upto={b}")
         return ids[-1]
 
     # --- files -----------------------------------------------------------------
 
-    def _fs(self, path: str):
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
-
-    def _exists(self, path: str) -> bool:
-        fs, target = self._fs(path)
-        return fs.exists(target)
-
-    def _delete(self, path: str) -> None:
-        fs, target = self._fs(path)
-        fs.delete(target, True)
-
     def _ids(self, folder: str, name: str) -> list[int]:
         """Ids of the complete directories of a folder."""
-        fs, target = self._fs(f"{self.path}/{folder}")
-        if not fs.exists(target):
-            return []
-        found = [s.getPath().toString() for s in fs.listStatus(target) if s.isDirectory()]
+        found = files.partition_values(self.spark, f"{self.path}/{folder}", name)
         return sorted(
-            int(p.rsplit("=", 1)[1]) for p in found if f"/{name}=" in p and self._exists(f"{p}/_SUCCESS")
+            int(v) for v in found if files.exists(self.spark, f"{self.path}/{folder}/{name}={v}/_SUCCESS")
         )
 
     def _upto(self) -> int | None:
