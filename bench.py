@@ -13,6 +13,7 @@ import os
 import sys
 import tempfile
 import time
+import uuid
 
 HEADLINE = [
     "parse_watch_json",
@@ -53,7 +54,9 @@ def stream_lag(spark, sf_dir: str, batches: int = 6) -> dict:
     from pulsefeed.sources import adapters
     from pulsefeed.streaming.features import log_writer, stream_features
 
-    work = tempfile.mkdtemp(prefix="bench-stream-")
+    # A cluster names its shared folder; without one this is a local run.
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    work = f"{shared}/bench-stream-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="bench-stream-")
     events = adapters.watch_events(spark, sf_dir)
     bounds = [q / batches for q in range(1, batches)]
     edges = events.agg(F.percentile_approx("arrival_us", bounds, 100_000)).first()[0]

@@ -27,6 +27,8 @@ def consent_writer(changes: DataFrame, table: LatestTable, audit_path: str, chec
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        # Two writes read the batch: keep it so that the source is read once.
+        batch.persist()
         entries = with_month(audit_entries(batch)).withColumn("batch_id", F.lit(batch_id))
         (
             entries.write.mode("overwrite")
@@ -35,6 +37,7 @@ def consent_writer(changes: DataFrame, table: LatestTable, audit_path: str, chec
             .parquet(audit_path)
         )
         table.upsert(batch.withColumnRenamed("ts", "updated_at"), batch_id)
+        batch.unpersist()
 
     return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
