@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,13 +22,16 @@ def check_top_n(top_n: int) -> int:
 
 def catalog_frame(spark: SparkSession, items: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """Catalog with its list position."""
-    rows = [(pos, *item) for pos, item in enumerate(cfg.CATALOG if items is None else items)]
-    return spark.createDataFrame(rows, "pos int, content_id string, genre string, title string")
+    listed = pd.DataFrame(cfg.CATALOG if items is None else items, columns=["content_id", "genre", "title"])
+    listed.insert(0, "pos", range(len(listed)))
+    # Through Arrow: small lists become a local relation of the plan.
+    return spark.createDataFrame(listed, "pos int, content_id string, genre string, title string")
 
 
 def trending_frame(spark: SparkSession, content_ids: list[str] | None = None) -> DataFrame:
     ids = cfg.TRENDING if content_ids is None else content_ids
-    return spark.createDataFrame(list(enumerate(ids)), "feed_pos int, content_id string")
+    listed = pd.DataFrame({"feed_pos": range(len(ids)), "content_id": ids})
+    return spark.createDataFrame(listed, "feed_pos int, content_id string")
 
 
 def resolve_trending(trending: DataFrame, catalog: DataFrame) -> DataFrame:
