@@ -210,7 +210,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                     if out is None:
                         name = f"{path}/part-{part:05d}-{number:03d}-{uuid.uuid4().hex}.tokens.zst"
                         fs.create_dir(base, recursive=True)
-                        out = fs.open_output_stream(f"{base}/{name.rsplit('/', 1)[1]}")
+                        out = fs.open_output_stream(f"{base}/{name.rsplit('/', 1)[1]}", compression=None)
                     data, entry = frame(doc_id, np.concatenate([got, end]), compress)
                     out.write(data)
                     entries.append(entry)
