@@ -81,8 +81,10 @@ def drop_expired(
 ) -> list[str]:
     """Delete month directories past retention; returns the months concerned.
 
-    With ``archive``, a month is copied first and only deleted once the copy
-    holds as many rows. Whole directories go: no data file is rewritten.
+    With ``archive``, the rows of a month that the archive lacks are added to it
+    first, and the month is only deleted once it lacks none: rows that arrive late
+    for an archived month join the earlier ones, and a repeated run adds nothing
+    twice. Whole directories go: no data file is rewritten.
     """
     index = as_of.year * 12 + as_of.month - 1 - keep_months
     cutoff = f"{index // 12:04d}-{index % 12 + 1:02d}"
@@ -92,9 +94,12 @@ def drop_expired(
     for month in months:
         source = f"{path}/{MONTH}={month}"
         if archive is not None:
-            rows = spark.read.parquet(source)
-            rows.write.mode("overwrite").parquet(f"{archive}/{MONTH}={month}")
-            if spark.read.parquet(f"{archive}/{MONTH}={month}").count() != rows.count():
+            target = f"{archive}/{MONTH}={month}"
+            rows = spark.read.schema(AUDIT_LOG).parquet(source).select(*AUDIT_LOG.fieldNames())
+            kept = lambda: spark.read.schema(AUDIT_LOG).parquet(target)
+            missing = rows.exceptAll(kept()) if files.exists(spark, target) else rows
+            missing.write.mode("append").parquet(target)
+            if not rows.exceptAll(kept()).isEmpty():
                 raise RuntimeError(f"archive of {month} is incomplete; nothing was deleted")
         files.delete(spark, source)
     return months

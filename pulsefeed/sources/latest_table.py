@@ -1,10 +1,12 @@
 """A "latest row per key" table fed by micro-batches.
 
-Each batch appends its own latest rows in a directory named after the batch, so
-repeating a batch after a failure replaces that directory and changes nothing.
-Readers take the newest row per key over the last compacted base and the later
-batches. Writing costs what the batch costs, not what the table holds;
-``compact`` folds the batches into a new base now and then.
+Each batch appends its own latest rows in a directory named after the stream run
+and the batch, so repeating a batch after a failure replaces that directory and
+changes nothing. A new checkpoint is a new run: its batch numbers start again and
+meet no directory of an earlier one. Readers take the newest row per key over the
+last compacted base and the batches it does not hold. Writing costs what the
+batch costs, not what the table holds; ``compact`` folds the batches into a new
+base now and then, and records up to which batch of each run it did.
 """
 
 from __future__ import annotations
@@ -15,6 +17,13 @@ from pyspark.sql import types as T
 
 from pulsefeed.sources import files
 
+FIRST_RUN = "0"
+
+
+def stream_run(batch: DataFrame) -> str:
+    """The id of the streaming query that a micro-batch is of: kept by its checkpoint, new with a new one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or FIRST_RUN
+
 
 class LatestTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, order: list[str]):
@@ -31,54 +40,69 @@ class LatestTable:
         picked = rows.groupBy(self.key).agg(F.max(body).alias("_row"))
         return picked.select(self.key, "_row.*").select(*self.schema.fieldNames())
 
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        self.latest(batch).write.mode("overwrite").parquet(f"{self.path}/delta/batch_id={batch_id}")
+    def upsert(self, batch: DataFrame, batch_id: int, run: str = FIRST_RUN) -> None:
+        self.latest(batch).write.mode("overwrite").parquet(f"{self.path}/delta/batch={run}.{batch_id}")
 
     def read(self) -> DataFrame:
-        upto = self._upto()
-        parts = []
-        if upto is not None:
-            parts.append(self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={upto}"))
-        if files.exists(self.spark, f"{self.path}/delta"):
-            with_id = T.StructType(self.schema.fields + [T.StructField("batch_id", T.LongType())])
-            deltas = self.spark.read.schema(with_id).parquet(f"{self.path}/delta")
-            if upto is not None:
-                deltas = deltas.filter(F.col("batch_id") > upto)
-            parts.append(deltas.drop("batch_id"))
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        return self.latest(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
+        base, merged = self._base()
+        return self._over(base, self._pending(merged))
 
     def compact(self) -> int | None:
-        """Fold all finished batches into a new base; returns its batch id.
+        """Fold all finished batches into a new base; returns its number.
 
-        Readers switch once the base is complete (its _SUCCESS marker). The
-        directories it replaces are removed by the next compaction, so plans
-        made before the switch still find their files.
+        Readers switch once the record of merged batches, written last, is
+        complete. The directories a base replaces are removed by the next
+        compaction, so plans made before the switch still find their files.
         """
-        ids = self._ids("delta", "batch_id")
-        upto = self._upto()
-        if not ids or (upto is not None and ids[-1] <= upto):
-            return upto
-        self.read().write.mode("overwrite").parquet(f"{self.path}/base/upto={ids[-1]}")
-        if upto is not None:
-            for i in ids:
-                if i <= upto:
-                    files.delete(self.spark, f"{self.path}/delta/batch_id={i}")
-            for b in self._ids("base", "upto"):
-                if b < upto:
-                    files.delete(self.spark, f"{self.path}/base/upto={b}")
-        return ids[-1]
+        base, merged = self._base()
+        pending = self._pending(merged)
+        if not pending:
+            return base
+        new = 0 if base is None else base + 1
+        self._over(base, pending).write.mode("overwrite").parquet(f"{self.path}/base/number={new}")
+        upto = dict(merged)
+        for run, batch_id in pending:
+            upto[run] = max(batch_id, upto.get(run, -1))
+        record = self.spark.createDataFrame(sorted(upto.items()), "run string, batch_id long")
+        record.coalesce(1).write.mode("overwrite").json(f"{self.path}/merged/number={new}")
+        for run, batch_id in self._batches():
+            if batch_id <= merged.get(run, -1):
+                files.delete(self.spark, f"{self.path}/delta/batch={run}.{batch_id}")
+        if base is not None:
+            for folder in ("base", "merged"):
+                for n in self._numbers(folder):
+                    if n < base:
+                        files.delete(self.spark, f"{self.path}/{folder}/number={n}")
+        return new
 
     # --- files -----------------------------------------------------------------
 
-    def _ids(self, folder: str, name: str) -> list[int]:
-        """Ids of the complete directories of a folder."""
+    def _over(self, base: int | None, batches: list[tuple[str, int]]) -> DataFrame:
+        paths = [f"{self.path}/delta/batch={run}.{batch_id}" for run, batch_id in batches]
+        if base is not None:
+            paths.append(f"{self.path}/base/number={base}")
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.latest(self.spark.read.schema(self.schema).parquet(*paths))
+
+    def _complete(self, folder: str, name: str) -> list[str]:
         found = files.partition_values(self.spark, f"{self.path}/{folder}", name)
-        return sorted(
-            int(v) for v in found if files.exists(self.spark, f"{self.path}/{folder}/{name}={v}/_SUCCESS")
-        )
+        return [v for v in found if files.exists(self.spark, f"{self.path}/{folder}/{name}={v}/_SUCCESS")]
+
+    def _numbers(self, folder: str) -> list[int]:
+        return sorted(int(v) for v in self._complete(folder, "number"))
+
+    def _batches(self) -> list[tuple[str, int]]:
+        named = (v.rsplit(".", 1) for v in self._complete("delta", "batch"))
+        return sorted((run, int(batch_id)) for run, batch_id in named)
+
+    def _base(self) -> tuple[int | None, dict[str, int]]:
+        """The newest base with its record, and the last merged batch of each run: one row per run."""
+        numbers = self._numbers("merged")
+        if not numbers:
+            return None, {}
+        record = self.spark.read.schema("run string, batch_id long").json(f"{self.path}/merged/number={numbers[-1]}")
+        return numbers[-1], {r.run: r.batch_id for r in record.collect()}
 
-    def _upto(self) -> int | None:
-        ids = self._ids("base", "upto")
-        return ids[-1] if ids else None
+    def _pending(self, merged: dict[str, int]) -> list[tuple[str, int]]:
+        return [(run, i) for run, i in self._batches() if i > merged.get(run, -1)]

@@ -10,8 +10,9 @@ from pyspark.sql.streaming import DataStreamWriter
 from pulsefeed.operators.consent import audit_entries
 from pulsefeed.operators.retention import MONTH, with_month
 from pulsefeed.schemas import AUDIT_LOG, CONSENT
-from pulsefeed.sources.latest_table import LatestTable
+from pulsefeed.sources.latest_table import LatestTable, stream_run
 
+BATCH = "batch"
 _STATE = T.StructType(CONSENT.fields + [T.StructField("seq", T.LongType())])
 
 
@@ -19,29 +20,44 @@ def consent_table(spark: SparkSession, path: str) -> LatestTable:
     return LatestTable(spark, path, _STATE, "user_pseudo_id", ["updated_at", "seq"])
 
 
-def consent_writer(changes: DataFrame, table: LatestTable, audit_path: str, checkpoint: str) -> DataStreamWriter:
+def change_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Consent changes from JSON lines."""
+    reader = spark.readStream.schema("user_pseudo_id string, consent_granted boolean, reason string, ts timestamp, seq long")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(path)
+
+
+def consent_writer(
+    changes: DataFrame, table: LatestTable, audit_path: str, checkpoint: str, compact_every: int = 50
+) -> DataStreamWriter:
     """Write both tables per batch, the audit log first.
 
-    Both writes are named after the batch and replace themselves when it is
-    repeated, so after a failure in between the retry brings them back in step.
+    Both writes are named after the stream run and the batch and replace
+    themselves when it is repeated, so after a failure in between the retry brings
+    them back in step, and a new checkpoint never meets the entries of an old one.
+    The consent table is compacted now and then.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         # Two writes read the batch: keep it so that the source is read once.
         batch.persist()
-        entries = with_month(audit_entries(batch)).withColumn("batch_id", F.lit(batch_id))
+        run = stream_run(batch)
+        entries = with_month(audit_entries(batch)).withColumn(BATCH, F.lit(f"{run}.{batch_id}"))
         (
             entries.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH, "batch_id")
+            .partitionBy(MONTH, BATCH)
             .parquet(audit_path)
         )
-        table.upsert(batch.withColumnRenamed("ts", "updated_at"), batch_id)
+        table.upsert(batch.withColumnRenamed("ts", "updated_at"), batch_id, run)
         batch.unpersist()
+        if batch_id and batch_id % compact_every == 0:
+            table.compact()
 
     return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
 def read_audit_log(spark: SparkSession, audit_path: str) -> DataFrame:
-    schema = T.StructType(AUDIT_LOG.fields + [T.StructField(MONTH, T.StringType()), T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(audit_path).drop("batch_id")
+    schema = T.StructType(AUDIT_LOG.fields + [T.StructField(MONTH, T.StringType()), T.StructField(BATCH, T.StringType())])
+    return spark.read.schema(schema).parquet(audit_path).drop(BATCH)

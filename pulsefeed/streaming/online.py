@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pulsefeed import settings as cfg
 from pulsefeed.schemas import ARRIVAL, FEATURE_ROW
 from pulsefeed.sources.feature_log import LOG_SCHEMA, PARTITIONS
-from pulsefeed.sources.latest_table import LatestTable
+from pulsefeed.sources.latest_table import LatestTable, stream_run
 
 USER = "pseudo_user_id"
 _ONLINE = T.StructType(
@@ -38,7 +38,7 @@ def online_writer(
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         table.upsert(
-            batch.withColumn("expires_at", F.col("computed_at_epoch") + F.lit(float(ttl_seconds))), batch_id
+            batch.withColumn("expires_at", F.col("computed_at_epoch") + F.lit(float(ttl_seconds))), batch_id, stream_run(batch)
         )
         if batch_id and batch_id % compact_every == 0:
             table.compact()

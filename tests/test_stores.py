@@ -96,7 +96,7 @@ def test_hash_round_trip_and_tolerant_decode(spark):
     assert (got["k2"]["watch_count_10min"], got["k3"]["watch_count_10min"], got["k4"]["watch_count_10min"]) == (0, 7, None)
 
 
-@pytest.mark.parametrize("hot", [None, [], ["u1"]])
+@pytest.mark.parametrize("hot", [None, [], ["u1"], [None, "u1"]])
 def test_features_as_of_matches_a_direct_scan(spark, hot):
     import random
 
@@ -186,6 +186,18 @@ def test_retention_drops_whole_months(spark, tmp_path):
     assert retention.retained(audit, day, 3).count() == 4
 
 
+def test_late_rows_join_the_archive(spark, tmp_path):
+    path, archive = str(tmp_path / "audit"), str(tmp_path / "cold")
+    as_of = dt.date(2026, 1, 5)
+    retention.write_audit(_audit(spark, [dt.datetime(2025, 9, d) for d in range(1, 6)]), path)
+    retention.drop_expired(spark, path, as_of, 2, archive=archive)
+    late = _audit(spark, [dt.datetime(2025, 9, 20)] * 2)
+    for _ in range(2):  # the second time as after a failure between copy and delete
+        retention.write_audit(late, path)
+        assert retention.drop_expired(spark, path, as_of, 2, archive=archive) == ["2025-09"]
+        assert spark.read.parquet(archive).count() == 7
+
+
 def test_month_bounds_carry_the_year(spark):
     df = spark.createDataFrame([("2026-11",)], "audit_month string")
     got = sorted(tuple(r) for r in retention.month_bounds(df).collect())
