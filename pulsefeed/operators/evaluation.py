@@ -59,39 +59,48 @@ def _value_slice(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * 64.0)).cast("bigint")
 
 
+_NONE = "\u0001none"
+
+
 def index_percentiles(
     df: DataFrame, keys: list[str], value: str, percents: list[int], sums: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Per key, ``sorted[min(int(n * p / 100), n - 1)]`` for each percent, and n.
+    """Per key, ``sorted[min(int(n * p / 100), n - 1)]`` for each percent, and n, the number of values.
 
     Values are reduced to counts per distinct value, cumulated in two levels,
     and the first value whose cumulative count passes the index is taken.
-    ``sums`` are further totals per key taken in the same pass.
+    ``sums`` are further totals per key taken in the same pass, over all rows:
+    also those whose value is null. Null text keys are a group.
     """
     extra = sums or {}
-    # Dropping nulls here keeps both readers of the counts on one shuffle.
-    counts = (
-        df.dropna(subset=[*keys, value])
-        .groupBy(*keys, F.col(value).alias("v"))
-        .agg(F.count("*").alias("c"), *[F.sum(expr).alias(name) for name, expr in extra.items()])
+    text = [k for k in keys if df.schema[k].dataType.typeName() == "string"]
+    named = df.withColumns({k: F.coalesce(F.col(k), F.lit(_NONE)) for k in text})
+    # Rows without a value are one cell before all others. No key or slice is null then, so
+    # no filter sets the two readers of the counts apart and they share one scan and shuffle.
+    counts = named.groupBy(*keys, F.col(value).alias("v")).agg(
+        F.count(value).alias("c"), *[F.coalesce(F.sum(expr), F.lit(0)).alias(name) for name, expr in extra.items()]
     )
-    sliced = counts.withColumn("bin", _value_slice(F.col("v")))
+    sliced = counts.withColumn("bin", F.coalesce(_value_slice(F.col("v")), F.lit(-(1 << 62))))
     cumulative = sliced_running(
         sliced.withColumnsRenamed({name: f"_s_{name}" for name in extra}),
         keys,
         ["bin"],
         ["v"],
         {"upto": ("sum", F.col("c"))} | {f"_r_{name}": ("sum", F.col(f"_s_{name}")) for name in extra},
-        grand={"n": "upto"} | {name: f"_r_{name}" for name in extra},
+        grand={"n": "upto"},
     )
 
     def pick(p: int) -> Column:
         index = F.least(F.floor(F.col("n") * F.lit(p) / F.lit(100.0)).cast("bigint"), F.col("n") - 1)
         return F.min(F.when(F.col("upto") > index, F.col("v"))).alias(f"p{p}")
 
-    return cumulative.groupBy(*keys).agg(
-        *[F.first(name).alias(name) for name in ["n", *extra]], *[pick(p) for p in percents]
+    out = cumulative.groupBy(*keys).agg(
+        F.first("n").alias("n"),
+        # The total is the last running sum: both readers of the counts then need every column of them.
+        *[F.max_by(f"_r_{name}", F.struct("bin", "v")).alias(name) for name in extra],
+        *[pick(p) for p in percents],
     )
+    return out.withColumns({k: F.nullif(F.col(k), F.lit(_NONE)) for k in text})
 
 
 def score_histogram(scored: DataFrame, score: str = "score", bins: int = 10, by: list[str] | None = None) -> DataFrame:

@@ -12,9 +12,13 @@ _PERCENTS = [50, 95, 99]
 
 
 def endpoint_stats(log: DataFrame) -> DataFrame:
-    """Per endpoint: requests, errors and index percentiles of the latency."""
-    errors = {"errors": (~F.col("ok")).cast("bigint")}
-    return index_percentiles(log, ["endpoint"], "latency_ms", _PERCENTS, errors).withColumnRenamed("n", "requests")
+    """Per endpoint: requests, errors and index percentiles of the latency.
+
+    A request without a latency, a time-out, counts as a request; one without an
+    outcome counts as an error.
+    """
+    totals = {"requests": F.lit(1), "errors": (~F.coalesce(F.col("ok"), F.lit(False))).cast("bigint")}
+    return index_percentiles(log, ["endpoint"], "latency_ms", _PERCENTS, totals).drop("n")
 
 
 def _suites(suites: dict[str, tuple[float, float]]) -> Column:

@@ -71,7 +71,8 @@ AUDIT_LOG = _schema(
     ("timestamp", TS, False), ("reason", S, True),
 )
 
-REQUEST_LOG = _schema(("endpoint", S, False), ("latency_ms", D, False), ("ok", B, False), ("ts", TS, False))
+# A time-out has no latency, a request that failed early may lack the rest.
+REQUEST_LOG = _schema(("endpoint", S, True), ("latency_ms", D, True), ("ok", B, True), ("ts", TS, False))
 
 REGISTRY = _schema(
     ("name", S, False), ("version", L, False), ("alias", S, False), ("assigned_at", L, False),

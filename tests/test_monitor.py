@@ -56,6 +56,26 @@ def test_empty_and_failing_logs(spark):
     assert bad["error_pct"] == 100.0 and bad["latency_passed"] and not bad["passed"]
 
 
+def test_requests_without_a_latency_count(spark):
+    import datetime as dt
+
+    at = dt.datetime(2026, 5, 1)
+    log = spark.createDataFrame([("a", 5.0, True, at), ("a", None, False, at), ("b", None, False, at), (None, 7.0, None, at)], REQUEST_LOG)
+    got = {r["endpoint"]: (r["requests"], r["errors"], r["p95"]) for r in monitor.endpoint_stats(log).collect()}
+    assert got == {"a": (2, 1, 5.0), "b": (1, 1, None), None: (1, 1, 7.0)}
+    report = monitor.slo_report(log, {"s": (10.0, 5.0)}).first()
+    assert (report["requests"], report["errors"], report["passed"]) == (4, 3, False)
+
+
+def test_one_scan_of_the_log(spark, tmp_path):
+    frame(spark, [(f"e{i % 3}", i, True) for i in range(50)]).write.parquet(str(tmp_path / "log"))
+    log = reports.read_request_log(spark, str(tmp_path / "log"))
+    stats = monitor.endpoint_stats(log)
+    stats.collect()
+    plan = stats._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") >= 1 or plan.count("FileScan") == 1
+
+
 def test_histogram_and_stability(spark):
     df = spark.createDataFrame([("t", x / 10) for x in range(11)] + [("v", 0.05)] * 4, "split string, score double")
     h = ev.score_histogram(df, by=["split"])
