@@ -9,6 +9,7 @@ from pulsefeed import settings as cfg
 from pulsefeed.functions.times import HOUR_US, floor_div
 from pulsefeed.functions.values import safe_double, safe_int
 from pulsefeed.operators.scan import sliced_running
+from pulsefeed.operators.window_features import named_users, unnamed_users
 from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS
 
 USER = "pseudo_user_id"
@@ -109,6 +110,7 @@ def features_as_of(
         F.lit(None).cast(writes.schema["write"].dataType).alias("write"),
     )
     axis = writes.unionByName(asks)
+    axis = named_users(axis)
     columns = [*axis.columns, "last"]
 
     def plain(part: DataFrame) -> DataFrame:
@@ -127,7 +129,7 @@ def features_as_of(
         listed = F.col(USER).isin(hot)
         carried = plain(axis.filter(~listed)).unionByName(sliced(axis.filter(listed)))
     fresh = F.col("last.row.computed_at_epoch") + F.lit(float(ttl_seconds)) > F.col("at_us") / float(cfg.MICROS)
-    return carried.filter(F.col("side") == 1).select(
+    return unnamed_users(carried.filter(F.col("side") == 1)).select(
         "request_id",
         USER,
         F.col("at_us").alias("request_us"),

@@ -81,8 +81,7 @@ def _arrival_slices(events: DataFrame, spec: WindowSpec) -> DataFrame:
     """Cut hot users' arrivals into consecutive runs small enough for a task.
 
     The usual run is a fixed span of arrival time. The few spans that hold too
-    many rows (at most rows / busy_slice_rows of them, so they can be broadcast)
-    are cut by arrival instant, and each instant by runs of the sequence.
+    many rows are cut by arrival instant, and each instant by runs of the sequence.
     """
     base = events.withColumn("arrival_slice", floor_div(F.col("arrival_us"), spec.arrival_slice_seconds * cfg.MICROS))
     busy = (
@@ -90,7 +89,7 @@ def _arrival_slices(events: DataFrame, spec: WindowSpec) -> DataFrame:
         .filter(F.col("count") > spec.busy_slice_rows)
         .select(USER, "arrival_slice", F.lit(True).alias("_busy"))
     )
-    flagged = base.join(F.broadcast(busy), [USER, "arrival_slice"], "left")
+    flagged = base.join(busy, [USER, "arrival_slice"], "left")
     run = floor_div(F.col("arrival_seq"), max(spec.busy_slice_rows, 1))
     zero = F.lit(0).cast("bigint")
     return flagged.withColumns(
@@ -101,6 +100,19 @@ def _arrival_slices(events: DataFrame, spec: WindowSpec) -> DataFrame:
     ).drop("_busy")
 
 
+# Rows without a user are one group. A name no pseudonym can have stands in for the
+# null inside the operators, so that every comparison and join is safe.
+_NOBODY = "\u0001nobody"
+
+
+def named_users(events: DataFrame) -> DataFrame:
+    return events.withColumn(USER, F.coalesce(F.col(USER).cast("string"), F.lit(_NOBODY)))
+
+
+def unnamed_users(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(USER, F.nullif(F.col(USER), F.lit(_NOBODY)))
+
+
 def high_water_mark(events: DataFrame, spec: WindowSpec = WindowSpec(), split: bool = False) -> DataFrame:
     """Add hwm_us, cutoff_us and alive (survives its own arrival).
 
@@ -122,6 +134,7 @@ def high_water_mark(events: DataFrame, spec: WindowSpec = WindowSpec(), split: b
 
 _HOT_CACHE: dict[tuple, tuple[float, list[str] | None]] = {}
 _HOT_CACHE_SECONDS = 600
+_HOT_CACHE_ENTRIES = 64
 
 
 def hot_users(events: DataFrame, threshold: int) -> list[str] | None:
@@ -133,19 +146,21 @@ def hot_users(events: DataFrame, threshold: int) -> list[str] | None:
     it for a few minutes.
     """
     limit = cfg.MAX_LISTED_HOT_USERS
-    users = events.select(USER)
+    users = named_users(events.select(USER))
     key = (events.sparkSession.sparkContext.applicationId, users.semanticHash(), threshold, limit)
     known = _HOT_CACHE.get(key)
     if known is not None and time.monotonic() - known[0] < _HOT_CACHE_SECONDS:
         return known[1]
     found = users.groupBy(USER).count().filter(F.col("count") > threshold).select(USER).limit(limit + 1).collect()
     hot = None if len(found) > limit else [r[0] for r in found]
+    if len(_HOT_CACHE) >= _HOT_CACHE_ENTRIES:
+        _HOT_CACHE.clear()
     _HOT_CACHE[key] = (time.monotonic(), hot)
     return hot
 
 
 def by_load(events: DataFrame, threshold: int) -> list[tuple[DataFrame, bool]]:
-    """The events as disjoint (part, needs splitting) pieces."""
+    """The events, of named users, as disjoint (part, needs splitting) pieces."""
     hot = hot_users(events, threshold)
     if hot is None:
         return [(events, True)]
@@ -159,12 +174,12 @@ def mark_events(events: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame
     """high_water_mark over ordinary and hot users alike."""
     parts = [
         high_water_mark(part, spec, split).select(*events.columns, "hwm_us", "cutoff_us", "alive")
-        for part, split in by_load(events, spec.hot_user_rows)
+        for part, split in by_load(named_users(events), spec.hot_user_rows)
     ]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return unnamed_users(out)
 
 
 def classify_late(events: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
@@ -339,7 +354,7 @@ def window_state(
     by genre as genre_counts (array of (genre, n, pct), sorted) and as the JSON
     session_genre_vector. Columns a caller does not select are not computed.
 
-    ``genres`` lists the genres to sum if the caller knows them. ``in_order``
+    ``genres`` lists the genres to sum if the caller knows them all; a genre beyond it fails the query. ``in_order``
     promises that no event is late: the high-water mark is then the event time
     itself, and rows go straight to (user, slice).
     """
@@ -350,8 +365,10 @@ def window_state(
         long_form = known is None or len(known) > cfg.MAX_GENRE_COLUMNS
         wide = [] if long_form else known
 
+    if genres is not None:
+        events = _only_listed(events, sorted(set(genres)))
     parts = []
-    for part, split in by_load(events, spec.hot_user_rows):
+    for part, split in by_load(named_users(events), spec.hot_user_rows):
         if in_order:
             marked = _mark(part.withColumn("hwm_us", F.greatest("event_us", F.lit(0).cast("bigint"))), spec)
             if split:
@@ -379,7 +396,14 @@ def window_state(
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return unnamed_users(out)
+
+
+def _only_listed(events: DataFrame, genres: list[str]) -> DataFrame:
+    """The events; a genre that a caller's list lacks is an error, not a row that sums miss."""
+    stray = F.col("genre").isNotNull() & (F.col("genre") != "") & ~F.col("genre").isin(genres)
+    message = F.concat(F.lit("genre not in the given list: "), F.col("genre"))
+    return events.withColumn("genre", F.when(stray, F.raise_error(message).cast("string")).otherwise(F.col("genre")))
 
 
 def _with_long_genres(state: DataFrame, marked: DataFrame, spec: WindowSpec) -> DataFrame:

@@ -99,6 +99,24 @@ def test_mixed_load_splits_only_the_hot_user(spark):
     check(wf.feature_rows(events, F.lit(0.0), spec), simulate(rows, 600))
 
 
+@pytest.mark.parametrize("hot_rows", [10_000, 60, 0])
+def test_rows_without_a_user_are_one_group(spark, hot_rows):
+    """Whatever the threshold, no row is lost: the null group may be the hot one."""
+    rows = disorder(5, 150, users=4) + [("nobody", "c", 50.0, "drama", DAY0 + i * 3.0, DAY0 + i * 3.0) for i in range(80)]
+    events = frame(spark, rows).withColumn("pseudo_user_id", F.nullif("pseudo_user_id", F.lit("nobody")))
+    spec = wf.WindowSpec(hot_user_rows=hot_rows)
+    got = wf.feature_rows(events, F.lit(0.0), spec)
+    assert got.filter("pseudo_user_id IS NULL").count() == 80
+    check(got.fillna("nobody", ["pseudo_user_id"]), simulate(rows, 600))
+    assert wf.classify_late(events, spec).count() == len(rows)
+
+
+def test_a_genre_beyond_the_list_is_an_error(spark):
+    events = frame(spark, disorder(5, 30))
+    with pytest.raises(Exception, match="not in the given list"):
+        wf.feature_rows(events, F.lit(0.0), genres=["no such genre"]).collect()
+
+
 def test_too_many_hot_users_to_list(spark, monkeypatch):
     monkeypatch.setattr(cfg, "MAX_LISTED_HOT_USERS", 1)
     rows = disorder(3, 120)
