@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,6 +73,7 @@ def rank_items(
     engagement: str = "engagement",
     vector: str = "session_genre_vector",
     top_n: int = cfg.TOP_N_DEFAULT,
+    inline_limit: int | None = None,
 ) -> DataFrame:
     """Users with ``items``: their best N as an array of (pos, content_id, genre, title, score).
 
@@ -79,8 +82,9 @@ def rank_items(
     A catalog with too many genres for that is joined instead.
     """
     check_top_n(top_n)
-    items = rankable(catalog, top_n).orderBy("pos").limit(MAX_INLINE_ITEMS + 1).collect()
-    if len(items) > MAX_INLINE_ITEMS:
+    limit = MAX_INLINE_ITEMS if inline_limit is None else inline_limit
+    items = rankable(catalog, top_n).orderBy("pos").limit(limit + 1).collect()
+    if len(items) > limit:
         return _ranked_by_join(users, catalog, engagement, vector, top_n)
     return _ranked(users, items, engagement, vector, top_n)
 
@@ -88,33 +92,41 @@ def rank_items(
 def _ranked_by_join(users: DataFrame, catalog: DataFrame, engagement: str, vector: str, top_n: int) -> DataFrame:
     """Ranking through an equi-join on genre.
 
-    A user meets the items of their own genres only. Items of other genres
-    score zero, and only the first N of the catalog can be among the best then.
+    A ranking depends on the engagement and the vector alone, so it is made once
+    per distinct pair of them and joined back: equal rows, null engagements and
+    columns of any type need no key of their own. A pair meets the items of its
+    own genres; items of other genres, or of none, score zero, and only the
+    first N of the catalog can be among the best then.
     """
-    # The whole row is the key: generated row ids would differ when a lost task reruns.
-    tagged = users.withColumn("_affinity", genre_map(F.col(vector))).withColumn("_row", F.struct(*users.columns))
-    own = tagged.select("_row", F.col(engagement).alias("_e"), F.explode("_affinity").alias("genre", "_a"))
+    pair = users.select(F.col(engagement).alias("_e"), F.col(vector).alias("_v")).distinct()
+    pair = pair.withColumn("_affinity", genre_map(F.col("_v")))
+    own = pair.select("_e", "_v", F.explode("_affinity").alias("genre", "_a"))
     scored = own.join(rankable(catalog, top_n), "genre").select(
-        "_row", F.struct((-F.col("_e") * F.col("_a")).alias("neg_score"), "pos", "content_id", "genre", "title").alias("it")
+        "_e", "_v", F.struct((-F.col("_e") * F.col("_a")).alias("neg_score"), "pos", "content_id", "genre", "title").alias("it")
     )
-    best = Window.partitionBy("_row").orderBy("it.neg_score", "it.pos")
+    best = Window.partitionBy("_e", "_v").orderBy("it.neg_score", "it.pos")
     top = (
         scored.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= top_n)
-        .groupBy("_row").agg(F.collect_list("it").alias("own"))
+        .groupBy("_e", "_v").agg(F.collect_list("it").alias("own"))
+        .select(F.col("_e").alias("_te"), F.col("_v").alias("_tv"), "own")
     )
     head = catalog.orderBy("pos").limit(top_n).collect()
     none = F.array().cast("array<struct<neg_score:double,pos:int,content_id:string,genre:string,title:string>>")
+    is_own = lambda it: F.coalesce(F.map_contains_key(F.col("_affinity"), it["genre"]), F.lit(False))
     filler = F.transform(
-        F.filter(_item_array(head), lambda it: ~F.map_contains_key(F.col("_affinity"), it["genre"])),
+        F.filter(_item_array(head), lambda it: ~is_own(it)),
         lambda it: F.struct(
-            F.lit(0.0).alias("neg_score"), it["pos"].alias("pos"), it["content_id"].alias("content_id"),
+            (-F.col("_e") * F.lit(0.0)).alias("neg_score"), it["pos"].alias("pos"), it["content_id"].alias("content_id"),
             it["genre"].alias("genre"), it["title"].alias("title"),
         ),
     )
-    merged = tagged.join(top, "_row", "left").withColumn(
-        "_all", F.slice(F.array_sort(F.concat(F.coalesce("own", none), filler)), 1, top_n)
+    same = F.col("_e").eqNullSafe(F.col("_te")) & F.col("_v").eqNullSafe(F.col("_tv"))
+    ranked = pair.join(top, same, "left").select(
+        F.col("_e").alias("_re"), F.col("_v").alias("_rv"),
+        _public_items(F.slice(F.array_sort(F.concat(F.coalesce("own", none), filler)), 1, top_n)).alias("items"),
     )
-    return merged.withColumn("items", _public_items(F.col("_all"))).drop("_affinity", "_row", "own", "_all")
+    back = F.col(engagement).eqNullSafe(F.col("_re")) & F.col(vector).eqNullSafe(F.col("_rv"))
+    return users.join(ranked, back, "left").drop("_re", "_rv")
 
 
 def _public_items(best: Column) -> Column:
@@ -172,7 +184,10 @@ def route(
     from pulsefeed.operators.online import lookup
 
     gated = consent_gate(users, consent, USER)
-    found = lookup(gated, latest, as_of)
+    # Features of a user who has not consented are not read.
+    found = lookup(gated.filter("granted"), latest, as_of)
+    denied = gated.filter("NOT granted").withColumn("has_features", F.lit(False))
+    found = found.unionByName(denied, allowMissingColumns=True)
     return found.withColumn(
         "fallback_reason", fallback_reason(F.col("granted"), F.col("has_features"), F.lit(model_ready))
     )
@@ -186,11 +201,12 @@ def recommendations(
     model_version: Column,
     top_n: int = cfg.TOP_N_DEFAULT,
     vector: str = "session_genre_vector",
+    score: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per (user, rank): personalized, or the trending feed with its reason.
 
-    A single pass over the routed users: each row carries either its ranked
-    items or the (constant) feed, and is exploded once.
+    Only users whom every gate lets through are scored (by ``score``, which adds
+    what ``engagement`` reads) and ranked; the others get the constant feed.
     """
     check_top_n(top_n)
     feed = [r.asDict() | {"pos": r["feed_pos"]} for r in resolve_trending(trending, catalog).limit(top_n).collect()]
@@ -198,13 +214,15 @@ def recommendations(
         _item_array(feed) if feed else F.array().cast("array<struct<pos:int,content_id:string,genre:string,title:string>>"),
         lambda it: F.struct(it["pos"], it["content_id"], it["genre"], it["title"], F.lit(None).cast("double")),
     ).cast(_ITEMS)
-    personalized = F.col("fallback_reason").isNull()
-    scored = rank_items(routed.withColumn("_engagement", engagement), catalog, "_engagement", vector, top_n)
-    chosen = scored.withColumn("items", F.when(personalized, F.col("items")).otherwise(feed_array))
-    chosen = chosen.withColumn("personalized", personalized).withColumn(
-        "model_version", F.when(personalized, model_version)
+    own = routed.filter(F.col("fallback_reason").isNull())
+    own = (score(own) if score else own).withColumn("_engagement", engagement)
+    ranked = rank_items(own, catalog, "_engagement", vector, top_n)
+    keep = [USER, "personalized", "fallback_reason", "model_version"]
+    ranked = ranked.withColumns({"personalized": F.lit(True), "model_version": model_version.cast("string")})
+    fed = routed.filter(F.col("fallback_reason").isNotNull()).withColumns(
+        {"personalized": F.lit(False), "model_version": F.lit(None).cast("string"), "items": feed_array}
     )
-    return explode_items(chosen, [USER, "personalized", "fallback_reason", "model_version"])
+    return explode_items(ranked.select(*keep, "items").unionByName(fed.select(*keep, "items")), keep)
 
 
 def fallback_rate(routed: DataFrame) -> DataFrame:

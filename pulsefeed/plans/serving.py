@@ -35,8 +35,9 @@ def recommend_users(
     recommend.check_top_n(top_n)
     routed = recommend.route(users, consent, latest, as_of, model_ready=model is not None)
     if model is None:
-        scored, version = routed.withColumn("engagement", F.lit(0.0)), F.lit(None).cast("string")
-    else:
-        fitted, contract, number = model
-        scored, version = engagement_scores(routed, fitted, contract), F.lit(str(number))
-    return recommend.recommendations(scored, catalog, trending, F.col("engagement"), version, top_n)
+        return recommend.recommendations(routed, catalog, trending, F.lit(0.0), F.lit(None).cast("string"), top_n)
+    fitted, contract, number = model
+    return recommend.recommendations(
+        routed, catalog, trending, F.col("engagement"), F.lit(str(number)), top_n,
+        score=lambda personal: engagement_scores(personal, fitted, contract),
+    )

@@ -210,6 +210,15 @@ def test_ranking_matches_a_stable_sort(spark, monkeypatch, inline, top_n):
         assert got[u] == [(c, round(s, 6)) for c, s in want], (u, top_n)
 
 
+def test_both_rankings_agree_on_odd_rows(spark):
+    """Equal rows, null engagements and vectors, items without a genre, columns that cannot be compared."""
+    items = [(f"i{i}", [None, "drama", "noir"][i % 3], f"t{i}") for i in range(12)]
+    rows = [("a", '{"drama":0.5}', 0.8), ("a", '{"drama":0.5}', 0.8), ("b", '{"noir":1.0}', None), ("c", None, 0.5), ("d", "{}", 0.0)]
+    users = spark.createDataFrame(rows, "pseudo_user_id string, session_genre_vector string, engagement double").withColumn("extra", F.create_map(F.lit("k"), F.lit(1)))
+    ranked = lambda limit: sorted(map(str, recommend.explode_items(recommend.rank_items(users, recommend.catalog_frame(spark, items), top_n=4, inline_limit=limit), ["pseudo_user_id"]).collect()))
+    assert ranked(0) == ranked(100) and len(ranked(0)) == 20
+
+
 def test_trending_skips_unknown_ids(spark):
     catalog = recommend.catalog_frame(spark)
     known = recommend.resolve_trending(recommend.trending_frame(spark, ["c004", "zzz", "c001"]), catalog).collect()
