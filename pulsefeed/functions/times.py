@@ -13,32 +13,59 @@ from pulsefeed.settings import MICROS
 HOUR_US = 3600 * MICROS
 DAY_US = 24 * HOUR_US
 
-# Extended ISO-8601: date, optional time down to the fraction, optional offset.
+# The usual form, which Spark's own cast reads once the comma is a point.
 _DATE = r"\d{4}-\d{2}-\d{2}"
 _OFFSET = r"(Z|[+-]\d{2}:\d{2})"
 _FULL = rf"^{_DATE}[T ]\d{{2}}:\d{{2}}:\d{{2}}([.,]\d{{1,9}})?{_OFFSET}?$"
-_MINUTES = rf"^{_DATE}[T ]\d{{2}}:\d{{2}}{_OFFSET}?$"
-_HOURS = rf"^{_DATE}[T ]\d{{2}}{_OFFSET}?$"
+# All of ISO-8601 that the services read: calendar and week dates, extended or basic, times
+# down to the fraction or cut off earlier, and offsets of hours, minutes and seconds.
+# Groups: 1-3 date, 4-6 week date, 7 time with its offset, 8-10 time, 11 fraction, 12 offset, 13-16 its parts.
+_ANY = (
+    r"^(?:(\d{4})-?(\d{2})-?(\d{2})|(\d{4})-?W(\d{2})(?:-?([1-7]))?)"
+    r"(?:[^0-9]((\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?(Z|([+-])(\d{2})(?::?(\d{2})(?::?(\d{2})(?:\.\d+)?)?)?)?))?$"
+)
+
+
+def _part(text: Column, group: int, default: str) -> Column:
+    found = F.regexp_extract(text, _ANY, group)
+    return F.when(found == "", F.lit(default)).otherwise(found)
+
+
+def _local_date(text: Column) -> Column:
+    """Date part of any form, as text in the extended form; NULL for a week that its year does not have."""
+    number = lambda g, d: _part(text, g, d).cast("int")
+    fourth = F.make_date(number(4, "1970"), F.lit(1), F.lit(4))
+    day = F.date_add(fourth, (number(5, "1") - 1) * 7 + number(6, "1") - 1 - F.weekday(fourth))
+    in_year = (F.extract(F.lit("YEAROFWEEK"), day) == number(4, "1970")) & (number(5, "1") >= 1)
+    week = F.when(in_year, F.date_format(day, "yyyy-MM-dd"))
+    calendar = F.concat_ws("-", *[F.regexp_extract(text, _ANY, g) for g in (1, 2, 3)])
+    return F.when(F.regexp_extract(text, _ANY, 4) != "", week).otherwise(calendar)
 
 
 def parse_iso(text: Column) -> Column:
     """ISO-8601 text to TIMESTAMP, NULL if it does not parse. No offset means UTC.
 
-    The usual full form costs two pattern matches; shorter forms are completed first.
+    The usual full form costs two pattern matches; other forms are put into it first.
     """
-    full = (
-        F.when(text.rlike(_FULL), F.translate(text, ",", "."))
-        .when(text.rlike(_MINUTES), F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 6)))
-        .when(text.rlike(_HOURS), F.concat(F.substring(text, 1, 13), F.lit(":00:00"), F.substring(text, 14, 6)))
-        .when(text.rlike(f"^{_DATE}$"), F.concat(text, F.lit("T00:00:00")))
+    usual = F.concat(
+        F.translate(text, ",", "."), F.when(text.rlike(rf"[T ].*{_OFFSET}$"), F.lit("")).otherwise(F.lit("Z"))
     )
-    suffix = F.when(text.rlike(f"[T ].*{_OFFSET}$"), F.lit("")).otherwise(F.lit("Z"))
-    return F.concat(full, suffix).try_cast("timestamp")
+    clock = F.concat_ws(":", *[_part(text, g, "00") for g in (8, 9, 10)])
+    offset = F.concat(_part(text, 13, "+"), F.concat_ws(":", *[_part(text, g, "00") for g in (14, 15, 16)]))
+    other = F.concat(_local_date(text), F.lit("T"), clock, F.lit("."), _part(text, 11, "0"), offset)
+    return F.when(text.rlike(_FULL), usual).when(text.rlike(_ANY), other).try_cast("timestamp")
+
+
+def parse_boundary_time(text: Column) -> Column:
+    """What the boundary takes as a time: ISO-8601, or unix seconds (milliseconds beyond 2e10) as a number."""
+    number = F.when(text.rlike(r"^[+-]?\d+(\.\d+)?$") & ~text.rlike(r"^\d{8}$"), text.try_cast("double"))
+    seconds = F.when(F.abs(number) > 2e10, number / 1000.0).otherwise(number)
+    return F.coalesce(parse_iso(text), F.timestamp_micros(F.round(seconds * float(MICROS)).cast("bigint")))
 
 
 def local_event_date(text: Column) -> Column:
     """Calendar date of an ISO timestamp in its own offset (not in UTC)."""
-    return F.substring(text, 1, 10)
+    return F.when(text.rlike(_FULL), F.substring(text, 1, 10)).otherwise(_local_date(text))
 
 
 def epoch_us(ts: Column) -> Column:

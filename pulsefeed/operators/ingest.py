@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsefeed.functions.pseudonym import pseudonymize
-from pulsefeed.functions.times import epoch_us, local_event_date, parse_iso
+from pulsefeed.functions.times import epoch_us, local_event_date, parse_boundary_time, parse_iso
 from pulsefeed.schemas import MESSAGE_REQUIRED, SESSION_INPUT, WATCH_INPUT, WATCH_MESSAGE
 
 REASON = "reject_reason"
@@ -43,7 +43,7 @@ def check_watch(raw: DataFrame) -> DataFrame:
             + [
                 ("watch_pct_not_a_number", pct.isNull()),
                 ("watch_pct_out_of_range", ~_in_percent(pct)),
-                ("bad_timestamp", parse_iso(F.col("timestamp")).isNull()),
+                ("bad_timestamp", parse_boundary_time(F.col("timestamp")).isNull()),
             ]
         ),
     )
@@ -52,7 +52,7 @@ def check_watch(raw: DataFrame) -> DataFrame:
 def check_session(raw: DataFrame) -> DataFrame:
     missing = [(f"missing_{c}", F.col(c).isNull()) for c in SESSION_INPUT.fieldNames()]
     return raw.withColumn(
-        REASON, _first_failure(missing + [("bad_start_time", parse_iso(F.col("start_time")).isNull())])
+        REASON, _first_failure(missing + [("bad_start_time", parse_boundary_time(F.col("start_time")).isNull())])
     )
 
 
