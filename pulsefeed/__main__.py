@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -19,6 +19,7 @@ from pulsefeed.operators import ingest, recommend, retention
 from pulsefeed.operators.consent import read_consent
 from pulsefeed.plans.serving import recommend_users
 from pulsefeed.plans.training import TrainingConfig, train_and_register
+from pulsefeed.schemas import ARRIVAL
 from pulsefeed.session import build_session
 from pulsefeed.sources import messages, reports
 from pulsefeed.sources.artifacts import ModelRegistry
@@ -32,19 +33,54 @@ def _run(writer: DataStreamWriter, once: bool) -> None:
     writer.start().awaitTermination()
 
 
+def _start(writer: DataStreamWriter, once: bool):
+    return (writer.trigger(availableNow=True) if once else features.flush_trigger(writer)).start()
+
+
+def _rejects_writer(rejects: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Rejected input as it came, with its reason, through the exactly-once file sink."""
+    return rejects.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+
+
+def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Check raw watch events, replace the user ids, publish what passes and store what does not."""
+    raw = messages.raw_watch(spark, args.events, args.max_files)
+    checked = ingest.check_watch(raw)
+    payload = ingest.watch_payload(ingest.accepted(checked), cfg.pseudonym_secret(), extra=ARRIVAL)
+    fields = [c for c in payload.columns if c not in ARRIVAL]
+    out = messages.publish_stream(
+        payload, f"{args.checkpoint}/published", servers=args.kafka, topic=args.topic, path=args.messages, fields=fields
+    )
+    rejects = _rejects_writer(ingest.rejected(checked).drop("user_id"), args.rejects, f"{args.checkpoint}/rejects")
+    for query in [_start(out, args.once), _start(rejects, args.once)]:
+        query.awaitTermination()
+
+
 def run_features(spark: SparkSession, args: argparse.Namespace) -> None:
     features.use_rocksdb(spark)
     if args.kafka:
         source = messages.kafka_messages(spark, args.kafka, args.topic)
     else:
-        source = messages.file_messages(spark, args.messages)
+        source = messages.file_messages(spark, args.messages, args.max_files)
     rows = features.stream_features(ingest.parse_messages(source))
-    _run(features.log_writer(rows, args.log, args.checkpoint), args.once)
+    queries = [_start(features.log_writer(rows, args.log, args.checkpoint), args.once)]
+    if args.rejects:
+        rejected = ingest.rejected(ingest.check_messages(source)).select(*source.columns, ingest.REASON)
+        queries.append(_start(_rejects_writer(rejected, args.rejects, f"{args.checkpoint}-rejects"), args.once))
+    for query in queries:
+        query.awaitTermination()
+
+
+def run_consent(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Keep the current consent and the audit log from a stream of changes."""
+    changes = consent_stream.change_stream(spark, args.changes, args.max_files)
+    table = consent_stream.consent_table(spark, args.table)
+    _run(consent_stream.consent_writer(changes, table, args.audit, args.checkpoint), args.once)
 
 
 def run_online(spark: SparkSession, args: argparse.Namespace) -> None:
     table = online.online_table(spark, args.table)
-    _run(online.online_writer(online.log_stream(spark, args.log), table, args.checkpoint, args.ttl), args.once)
+    _run(online.online_writer(online.log_stream(spark, args.log, args.max_files), table, args.checkpoint, args.ttl), args.once)
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -96,9 +132,17 @@ def parser() -> argparse.ArgumentParser:
         if stream:
             p.add_argument("--checkpoint", required=True)
             p.add_argument("--once", action="store_true", help="process what is available, then stop")
+            p.add_argument("--max-files", type=int, default=cfg.MAX_FILES_PER_BATCH, help="most input files of a micro-batch")
         return p
 
+    p = job("ingest", run_ingest, "events", "rejects", stream=True)
+    target = p.add_mutually_exclusive_group(required=True)
+    target.add_argument("--kafka", help="bootstrap servers")
+    target.add_argument("--messages", help="directory of message files")
+    p.add_argument("--topic", default=cfg.WATCH_TOPIC)
+    job("consent", run_consent, "changes", "table", "audit", stream=True)
     p = job("features", run_features, "log", stream=True)
+    p.add_argument("--rejects", help="directory for rejected messages")
     source = p.add_mutually_exclusive_group(required=True)
     source.add_argument("--kafka", help="bootstrap servers")
     source.add_argument("--messages", help="directory of message files")

@@ -18,6 +18,7 @@ from pulsefeed.plans.queries import (
     SERVING_TTL,
     TRAIN_AS_OF,
     TRAIN_FROM,
+    WIDE_GENRES,
 )
 
 H = 3_600_000_000
@@ -156,24 +157,29 @@ _CTE: dict[str, tuple[str, list[str]]] = {
         FROM ev e JOIN ids i ON i.user_id = e.user_id WHERE event_type = 'view'""",
         ["ev", "ids"],
     ),
-    "log": ("SELECT event_type AS endpoint, value AS latency_ms, event_id % 50 <> 0 AS ok FROM ev", ["ev"]),
+    "log": (
+        """SELECT CASE WHEN event_id % 31 <> 0 THEN event_type END AS endpoint, CASE WHEN event_id % 50 <> 0 OR event_id % 100 = 0
+            THEN value END AS latency_ms, event_id % 50 <> 0 AS ok FROM ev""",
+        ["ev"],
+    ),
     "ranked_log": (
-        """SELECT *, row_number() OVER (PARTITION BY endpoint ORDER BY latency_ms) - 1 AS pos,
-            count(*) OVER (PARTITION BY endpoint) AS n FROM log""",
+        """SELECT *, row_number() OVER (PARTITION BY endpoint ORDER BY latency_ms NULLS LAST) - 1 AS pos,
+            count(latency_ms) OVER (PARTITION BY endpoint) AS n FROM log""",
         ["log"],
     ),
 }
 
 
-def _window_ctes(seconds: int) -> None:
-    """Survivor pairs, per-event aggregates, genre weights and feature rows of one window length."""
+def _window_ctes(seconds: int, kind: str = "") -> None:
+    """Survivor pairs, per-event aggregates, genre weights and feature rows of one window length and kind of events."""
     us = seconds * 1_000_000
-    s = f"_{seconds}"
+    s = f"{kind}_{seconds}"
+    w, hw = "w" + kind, "hw" + kind
     _CTE["pairs" + s] = (
         f"""SELECT n.u, n.seq, n.t AS now_t, i.seq AS iseq, i.t AS it, i.pct, i.dpct, i.genre
-        FROM hw n JOIN w i ON i.u = n.u AND (i.arr < n.arr OR (i.arr = n.arr AND i.seq <= n.seq))
+        FROM {hw} n JOIN {w} i ON i.u = n.u AND (i.arr < n.arr OR (i.arr = n.arr AND i.seq <= n.seq))
           AND i.t >= n.hwm - {us}""",
-        ["hw", "w"],
+        [hw, w],
     )
     age = "((now_t - it) / 1000000.0::DOUBLE)"
     _CTE["agg" + s] = (
@@ -204,15 +210,24 @@ def _window_ctes(seconds: int) -> None:
             coalesce(a.recency, 0.0) AS recency_score, coalesce(g.genre_shares, '') AS genre_shares,
             h.t / 1000000.0::DOUBLE AS last_event_epoch, h.arr / 1000000.0::DOUBLE + (h.seq % 9) AS computed_at_epoch,
             h.event_date
-        FROM hw h LEFT JOIN agg{s} a ON a.u = h.u AND a.seq = h.seq
+        FROM {hw} h LEFT JOIN agg{s} a ON a.u = h.u AND a.seq = h.seq
           LEFT JOIN shares{s} g ON g.u = h.u AND g.seq = h.seq""",
-        ["hw", "agg" + s, "shares" + s],
+        [hw, "agg" + s, "shares" + s],
     )
 
 
 for _seconds in (cfg.WINDOW_SECONDS, DAY_WINDOW):
     _window_ctes(_seconds)
 
+# Events without a user are one group; a name stands in for the null.
+_CTE["w_null"] = ("SELECT * REPLACE (CASE WHEN seq % 11 = 0 THEN '' ELSE u END AS u) FROM w", ["w"])
+_CTE["w_wide"] = (
+    f"SELECT * REPLACE (CASE WHEN genre <> '' THEN 'g' || (seq % {WIDE_GENRES}) ELSE genre END AS genre) FROM w", ["w"]
+)
+for _kind in ("_null", "_wide"):
+    _CTE["hw" + _kind] = (_CTE["hw"][0].replace("FROM w", f"FROM w{_kind}"), ["w" + _kind])
+    _window_ctes(DAY_WINDOW, _kind)
+
 _F = f"feat_{cfg.WINDOW_SECONDS}"
 _G = f"gw_{cfg.WINDOW_SECONDS}"
 _AD, _GD, _FD = f"agg_{DAY_WINDOW}", f"gw_{DAY_WINDOW}", f"feat_{DAY_WINDOW}"
@@ -354,6 +369,16 @@ def all_sql() -> dict[str, str]:
         "rejects_by_reason": _sql(
             "SELECT reject_reason, count(*) AS n FROM checked WHERE reject_reason IS NOT NULL GROUP BY 1", "checked"
         ),
+        # The instant follows from the event's time and what its form keeps of it; nothing is parsed.
+        "iso_forms": _sql(
+            """SELECT event_id, CASE event_id % 12 WHEN 2 THEN s - 19800000000 WHEN 3 THEN s - 18000000000 WHEN 4 THEN s + 19815000000
+                  WHEN 5 THEN s + 250000 WHEN 8 THEN week WHEN 9 THEN s - s % 3600000000 WHEN 10 THEN s - s % 60000000 - 3600000000
+                  WHEN 11 THEN NULL ELSE s END AS at_us,
+                CASE event_id % 12 WHEN 11 THEN NULL WHEN 8 THEN strftime(make_timestamp(week), '%Y-%m-%d')
+                  ELSE strftime(make_timestamp(s), '%Y-%m-%d') END AS local_date
+            FROM (SELECT event_id, t_us - t_us % 1000000 AS s, epoch_us(CAST(date_trunc('week', ts) AS TIMESTAMP)) AS week FROM ev)""",
+            "ev",
+        ),
         "event_date_local": _sql(
             f"""SELECT {_day('t_us')} AS event_date, count(*) AS n, min(t_us) + {5 * H} AS first_us, max(t_us) + {5 * H} AS last_us
             FROM ev GROUP BY 1""",
@@ -400,6 +425,12 @@ def all_sql() -> dict[str, str]:
         ),
         "time_of_day_bucket": _sql(f"SELECT seq AS arrival_seq, time_of_day_bucket FROM {_F}", _F),
         "user_features": _sql(f"SELECT u AS pseudo_user_id, seq AS arrival_seq, {_VIEW} FROM {_F}", _F),
+        "user_features_split": _sql(
+            f"SELECT nullif(u, '') AS pseudo_user_id, seq AS arrival_seq, {_VIEW} FROM feat_null_{DAY_WINDOW}", f"feat_null_{DAY_WINDOW}"
+        ),
+        "user_features_wide_genres": _sql(
+            f"SELECT u AS pseudo_user_id, seq AS arrival_seq, {_VIEW} FROM feat_wide_{DAY_WINDOW}", f"feat_wide_{DAY_WINDOW}"
+        ),
         "user_features_day": _sql(f"SELECT u AS pseudo_user_id, seq AS arrival_seq, {_VIEW} FROM {_FD}", _FD),
         # stores
         "feature_log_partitions": _sql(
@@ -604,6 +635,18 @@ def all_sql() -> dict[str, str]:
             "routed",
         ),
         # reports
+        "recommend_large_catalog": _sql(
+            f"""SELECT u AS pseudo_user_id, rank, content_id, genre, title, round(score, 6) AS score FROM (
+              SELECT x.u, c.content_id, c.genre, c.title, e * coalesce(g.g_pct / g.total, 0.0) AS score,
+                CAST(row_number() OVER (PARTITION BY x.u, x.copy ORDER BY e * coalesce(g.g_pct / g.total, 0.0) DESC, c.pos) AS INTEGER) AS rank
+              FROM (SELECT u, seq, copy, CASE WHEN CAST('0x' || substr(u, 1, 6) AS BIGINT) % 5 <> 0 THEN avg_watch_duration / 100.0 END AS e
+                    FROM latest, range(2) AS r(copy)) x
+                CROSS JOIN (SELECT p_partkey AS pos, 'p' || p_partkey AS content_id, p_name AS title,
+                    [{", ".join(f"'{g}'" for g in CATALOG_GENRES)}, 'other', NULL][CAST(p_partkey % {len(CATALOG_GENRES) + 2} AS INTEGER) + 1] AS genre FROM part) c
+                LEFT JOIN {_G} g ON g.u = x.u AND g.seq = x.seq AND g.genre = c.genre AND g.total > 0)
+            WHERE rank <= 5""",
+            "latest", _G,
+        ),
         "latency_percentiles": _sql(
             f"SELECT endpoint, n, {_percentiles([50, 66, 75, 90, 95, 99])} FROM ranked_log GROUP BY endpoint, n", "ranked_log"
         ),
@@ -611,9 +654,9 @@ def all_sql() -> dict[str, str]:
             f"""SELECT suite, requests, errors, p50_ms, p95_ms, p99_ms, round(error_pct, 6) AS error_pct,
                 p95_ms <= max_p95 AS latency_passed, error_pct <= max_err AS errors_passed,
                 p95_ms <= max_p95 AND error_pct <= max_err AS passed
-            FROM (SELECT CAST(sum(n) AS BIGINT) AS requests, CAST(sum(errors) AS BIGINT) AS errors, median(p50) AS p50_ms,
-                max(p95) AS p95_ms, max(p99) AS p99_ms, sum(errors) / CAST(sum(n) AS DOUBLE) * 100.0 AS error_pct
-              FROM (SELECT endpoint, n, sum(CAST(NOT ok AS INTEGER)) AS errors, {_percentiles([50, 95, 99])}
+            FROM (SELECT CAST(sum(requests) AS BIGINT) AS requests, CAST(sum(errors) AS BIGINT) AS errors, median(p50) AS p50_ms,
+                max(p95) AS p95_ms, max(p99) AS p99_ms, sum(errors) / CAST(sum(requests) AS DOUBLE) * 100.0 AS error_pct
+              FROM (SELECT endpoint, n, count(*) AS requests, sum(CAST(NOT ok AS INTEGER)) AS errors, {_percentiles([50, 95, 99])}
                 FROM ranked_log GROUP BY endpoint, n)),
               (VALUES {suites}) AS t(suite, max_p95, max_err)""",
             "ranked_log",

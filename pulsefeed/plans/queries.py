@@ -32,6 +32,7 @@ TRAIN_FROM = "2023-12-29"
 AUDIT_AS_OF = "2024-01-30"
 PROMOTION_MINIMUMS = {"auc": 0.7, "precision_at_10": 0.5}
 DAY_WINDOW = 86_400
+WIDE_GENRES = 80
 CATALOG_GENRES = sorted({genre for _, genre, _ in cfg.CATALOG})
 
 _QUERIES: dict[str, Query] = {}
@@ -56,12 +57,12 @@ def _spec(seconds: int = cfg.WINDOW_SECONDS) -> wf.WindowSpec:
 
 def _state(spark: SparkSession, sf: str, seconds: int = cfg.WINDOW_SECONDS, with_genres: bool = False) -> DataFrame:
     return wf.window_state(
-        ad.watch_events(spark, sf), _spec(seconds), genres=CATALOG_GENRES, with_genres=with_genres
+        ad.watch_events(spark, sf), _spec(seconds), with_genres=with_genres
     )
 
 
 def _rows(spark: SparkSession, sf: str, seconds: int = cfg.WINDOW_SECONDS) -> DataFrame:
-    return wf.feature_rows(ad.watch_events(spark, sf), ad.computed_at(), _spec(seconds), CATALOG_GENRES)
+    return wf.feature_rows(ad.watch_events(spark, sf), ad.computed_at(), _spec(seconds))
 
 
 def _training(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,6 +159,26 @@ def rejects_by_reason(spark, sf):
     return ingest.rejects_by_reason(ingest.check_messages(ad.raw_messages(spark, sf)))
 
 
+@query
+def iso_forms(spark, sf):
+    """Event times written in every form of ISO-8601, read back as instant and local date."""
+    form, at = F.col("event_id") % 12, F.timestamp_seconds(F.floor(F.col("t_us") / 1_000_000))
+    text = lambda pattern: F.date_format(at, pattern)
+    week = F.concat(F.extract(F.lit("YEAROFWEEK"), at).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(at).cast("string"), 2, "0"))
+    day = (F.weekday(at) + 1).cast("string")
+    forms = [
+        text("yyyy-MM-dd'T'HH:mm:ss'Z'"), text("yyyyMMdd'T'HHmmss"), text("yyyy-MM-dd'T'HH:mm:ss'+0530'"),
+        text("yyyy-MM-dd'T'HH:mm:ss'+05'"), text("yyyy-MM-dd'T'HH:mm:ss'-05:30:15'"), text("yyyyMMdd HH:mm:ss,25'Z'"),
+        F.concat(week, F.lit("-"), day, text("'T'HH:mm:ss")), F.concat(F.translate(week, "-", ""), day, text("'T'HHmmss'Z'")),
+        F.concat(week, F.lit("")), text("yyyy-MM-dd'T'HH"), text("yyyy-MM-dd'T'HHmm'+01:00'"), F.concat(F.substring(week, 1, 4), F.lit("-W54-1")),
+    ]
+    stamp = F.element_at(F.array(*forms), (form + 1).cast("int"))
+    events = ad.read_events(spark, sf).select("event_id", stamp.alias("stamp"))
+    return events.select(
+        "event_id", epoch_us(parse_iso(F.col("stamp"))).alias("at_us"), local_event_date(F.col("stamp")).alias("local_date")
+    )
+
+
 @query
 def event_date_local(spark, sf):
     text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("-05:00"))
@@ -234,13 +255,13 @@ def category_affinity_score(spark, sf):
 
 @query
 def genre_weights(spark, sf):
-    weights = wf.genre_weights(ad.watch_events(spark, sf), _spec(DAY_WINDOW), CATALOG_GENRES)
+    weights = wf.genre_weights(ad.watch_events(spark, sf), _spec(DAY_WINDOW))
     return weights.select(USER, "arrival_seq", "genre", r6("weight").alias("weight"))
 
 
 @query
 def session_genre_distribution(spark, sf):
-    weights = wf.genre_weights(ad.watch_events(spark, sf), _spec(DAY_WINDOW), CATALOG_GENRES)
+    weights = wf.genre_weights(ad.watch_events(spark, sf), _spec(DAY_WINDOW))
     return weights.filter(F.col("share").isNotNull()).select(USER, "arrival_seq", "genre", r6("share").alias("share"))
 
 
@@ -261,6 +282,23 @@ def user_features_day(spark, sf):
     return _feature_view(_rows(spark, sf, DAY_WINDOW), "arrival_seq")
 
 
+@query
+def user_features_split(spark, sf):
+    """Every user on the split path, one row in eleven without a user."""
+    users = F.when(F.col("arrival_seq") % 11 != 0, F.col(USER))
+    events = ad.watch_events(spark, sf).withColumn(USER, users)
+    rows = wf.feature_rows(events, ad.computed_at(), wf.WindowSpec(seconds=DAY_WINDOW, hot_user_rows=0, busy_slice_rows=40))
+    return _feature_view(rows, "arrival_seq")
+
+
+@query
+def user_features_wide_genres(spark, sf):
+    """More genres than columns are made for."""
+    wide = F.concat(F.lit("g"), (F.col("arrival_seq") % WIDE_GENRES).cast("string"))
+    events = ad.watch_events(spark, sf).withColumn("genre", F.when(F.col("genre") != "", wide).otherwise(F.col("genre")))
+    return _feature_view(wf.feature_rows(events, ad.computed_at(), _spec(DAY_WINDOW)), "arrival_seq")
+
+
 # --- stores --------------------------------------------------------------------------
 
 
@@ -559,6 +597,23 @@ def recommend_top_n(spark, sf):
     return recommend.explode_items(ranked, [USER])
 
 
+@query
+def recommend_large_catalog(spark, sf):
+    """The parts as catalog, joined on genre; repeated users, and one in five without an engagement."""
+    unknown = F.conv(F.substring(USER, 1, 6), 16, 10).cast("bigint") % 5 == 0
+    latest = _latest(spark, sf).withColumn("engagement", F.when(~unknown, _engagement()))
+    parts = spark.read.parquet(f"{sf}/part.parquet")
+    genres = F.array(*[F.lit(g) for g in [*CATALOG_GENRES, "other", None]])
+    catalog = parts.select(
+        F.col("p_partkey").cast("int").alias("pos"),
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("content_id"),
+        F.get(genres, (F.col("p_partkey") % (len(CATALOG_GENRES) + 2)).cast("int")).alias("genre"),
+        F.col("p_name").alias("title"),
+    )
+    ranked = recommend.rank_items(latest.unionByName(latest), catalog, top_n=5, inline_limit=0)
+    return recommend.explode_items(ranked, [USER])
+
+
 def _routed(spark, sf) -> DataFrame:
     return recommend.route(
         ad.users(spark, sf),

@@ -97,3 +97,6 @@ MAX_GENRE_COLUMNS = 64
 def pseudonym_secret() -> str:
     """HMAC secret: from the environment in deployments, a test value otherwise."""
     return os.environ.get("PULSEFEED_PSEUDONYM_SECRET", "pulsefeed-test-secret")
+
+# A first start on a long backlog is cut into micro-batches of at most so many files.
+MAX_FILES_PER_BATCH = 256

@@ -144,10 +144,11 @@ def consent_changes(spark: SparkSession, sf_dir: str, secret: str | None = None)
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Served requests: endpoint, latency and outcome."""
+    """Served requests: endpoint, latency and outcome. Half of the failed ones have no latency, some no endpoint."""
+    n = F.col("event_id")
     return read_events(spark, sf_dir).select(
-        F.col("event_type").alias("endpoint"),
-        F.col("value").alias("latency_ms"),
+        F.when(n % 31 != 0, F.col("event_type")).alias("endpoint"),
+        F.when((n % 50 != 0) | (n % 100 == 0), F.col("value")).alias("latency_ms"),
         (F.col("event_id") % 50 != 0).alias("ok"),
         F.timestamp_micros("t_us").alias("ts"),
     )

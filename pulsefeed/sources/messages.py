@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from pulsefeed import settings as cfg
+from pulsefeed.schemas import WATCH_INPUT
 
 _MESSAGE = "value string, arrival_us bigint, arrival_seq bigint"
 
@@ -45,6 +47,19 @@ def file_messages(spark: SparkSession, path: str, max_files: int | None = None)
     return reader.json(path)
 
 
+def raw_watch(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Unchecked watch events as text, from JSON lines; events without an arrival position get the time of reading."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in WATCH_INPUT.fieldNames()])
+    schema = schema.add("arrival_us", T.LongType()).add("arrival_seq", T.LongType())
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    now = F.unix_micros(F.current_timestamp())
+    return reader.json(path).withColumns(
+        {"arrival_us": F.coalesce("arrival_us", now), "arrival_seq": F.coalesce("arrival_seq", F.lit(0).cast("bigint"))}
+    )
+
+
 def keyed_messages(payload: DataFrame, key: str = "pseudo_user_id", fields: list[str] | None = None) -> DataFrame:
     """Payload rows as (key, value) messages; the key keeps a user on one partition."""
     columns = fields or payload.columns

@@ -20,14 +20,18 @@ def test_messages_to_recommendations(spark, sf_dir, tmp_path):
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     events = ad.watch_events(spark, sf_dir)
-    stamp = F.concat(F.date_format(F.timestamp_micros("event_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
-    body = F.to_json(F.struct("pseudo_user_id", "content_id", "watch_pct", stamp.alias("timestamp"), "genre", "timezone"))
-    sent = events.select(body.alias("value"), "arrival_us", "arrival_seq")
-    sent.unionByName(spark.createDataFrame([("broken", 0, -1)], sent.schema)).coalesce(2).write.json(at("topic"))
+    raw = ad.watch_input(spark, sf_dir).withColumn("arrival_seq", F.col("event_id")).withColumn(
+        "timestamp", F.concat(F.date_format(F.timestamp_micros("event_us"), "yyyyMMdd'T'HHmmss.SSSSSS"), F.lit("+00"))
+    )
+    raw.select("user_id", "content_id", "watch_pct", "timestamp", "genre", "timezone", "arrival_us", "arrival_seq").coalesce(2).write.json(at("raw"))
+    main(["ingest", "--events", at("raw"), "--messages", at("topic"), "--rejects", at("bad"), "--checkpoint", at("cp0"), "--once"])
+    assert spark.read.parquet(at("bad")).count() == raw.count() - events.count() > 0
+    spark.createDataFrame([("broken", 0, -1)], "value string, arrival_us long, arrival_seq long").write.mode("append").json(at("topic2"))
     try:
-        main(["features", "--messages", at("topic"), "--log", at("log"), "--checkpoint", at("cp1"), "--once"])
+        main(["features", "--messages", at("topic*"), "--log", at("log"), "--checkpoint", at("cp1"), "--rejects", at("bad2"), "--once"])
     finally:
         spark.conf.set(provider, before)
+    assert [r["reject_reason"] for r in spark.read.parquet(at("bad2")).collect()] == ["not_json"]
     assert log.read_log(spark, at("log"), "2024-01-01", "2024-01-31").count() == events.count()
     main(["online", "--log", at("log"), "--table", at("online"), "--checkpoint", at("cp2"), "--once"])
     main(["train", "--log", at("log"), "--registry", at("models"), "--as-of", "2024-01-30", "--rounds", "2"])
@@ -39,8 +43,7 @@ def test_messages_to_recommendations(spark, sf_dir, tmp_path):
     schema = "user_pseudo_id string, consent_granted boolean, reason string, ts timestamp, seq long"
     spark.createDataFrame(decisions, schema).coalesce(1).write.json(at("changes"))
     table = sc.consent_table(spark, at("consent"))
-    stream = spark.readStream.schema(schema).json(at("changes"))
-    sc.consent_writer(stream, table, at("audit"), at("cp3")).trigger(availableNow=True).start().awaitTermination(120)
+    main(["consent", "--changes", at("changes"), "--table", at("consent"), "--audit", at("audit"), "--checkpoint", at("cp3"), "--once"])
 
     args = ["recommend", "--users", at("users"), "--consent", at("consent"), "--online", at("online"), "--registry", at("models"),
             "--out", at("recs"), "--top-n", "4"]
