@@ -1,3 +1,4 @@
+import datetime as dt
 import hashlib
 import hmac
 
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsefeed.functions.pseudonym import pseudonymize
-from pulsefeed.functions.times import epoch_us, parse_iso
+from pulsefeed.functions.times import epoch_us, local_event_date, parse_iso
 from pulsefeed.operators import ingest
 from pulsefeed.schemas import SESSION_INPUT, WATCH_INPUT
 from pulsefeed.sources import messages
@@ -92,7 +93,7 @@ GOOD = '{"pseudo_user_id":"t","content_id":"m","watch_pct":75.0,"timestamp":"202
         (GOOD.replace("2026-04-19T10:00:00Z", "yesterday"), "bad_timestamp"),
         (GOOD.replace('"2026-04-19T10:00:00Z"', "1776592800"), "bad_timestamp"),
         (GOOD.replace('"2026-04-19T10:00:00Z"', "null"), "bad_timestamp"),
-        (GOOD.replace("2026-04-19T10:00:00Z", "20260419T100000Z"), "bad_timestamp"),
+        (GOOD.replace("2026-04-19T10:00:00Z", "20260419T100000Z"), None),
         (GOOD.replace("2026-04-19T10:00:00Z", "2026-02-30T10:00:00Z"), "bad_timestamp"),
         (GOOD.replace("Z", ""), None),
     ],
@@ -136,6 +137,33 @@ def test_iso_forms(spark, zone):
     ]
 
 
+def test_every_form_reads_as_the_standard_library_reads_it(spark):
+    dates = ["2026-05-01", "20260501", "2026-W18-5", "2026W185", "2026-W18", "2026-02-30", "2026-W54-1", "2026-W53-1", "2027-W53-1", "2026-W00-1"]
+    clocks = ["", "T10", "T10:05", "T10:05:07", "T1005", "T100507", "T10:05:07.25", "T100507,123456", " 10:05", "T25:00"]
+    offsets = ["", "Z", "+05", "+0530", "-05:30", "+05:30:15"]
+    forms = [d + c + (o if c else "") for d in dates for c in clocks for o in offsets]
+    df = spark.createDataFrame([(f,) for f in sorted(set(forms))], "stamp string")
+    got = df.select("stamp", epoch_us(parse_iso(F.col("stamp"))).alias("us"), local_event_date(F.col("stamp")).alias("day")).collect()
+    for r in got:
+        try:
+            want = dt.datetime.fromisoformat(r["stamp"])
+        except ValueError:
+            assert r["us"] is None, r["stamp"]
+            continue
+        day = want.date().isoformat()
+        want = want if want.tzinfo else want.replace(tzinfo=dt.timezone.utc)
+        assert (r["us"], r["day"]) == ((want - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1), day), r["stamp"]
+
+
+def test_unix_times_at_the_boundary(spark):
+    from pulsefeed.functions.times import parse_boundary_time
+
+    df = spark.createDataFrame([("1704067200",), ("1704067200.5",), ("1704067200000",), ("20240101",), ("x1",), (None,)], "t string")
+    got = [r[0] for r in df.select(epoch_us(parse_boundary_time(F.col("t")))).collect()]
+    at = 1704067200_000_000
+    assert got == [at, at + 500_000, at, at, None, None]
+
+
 def test_publish_and_read_back(spark, tmp_path):
     payload = ingest.watch_payload(watch(spark, genre="drama"), "k").withColumns(
         {"arrival_us": F.lit(5).cast("bigint"), "arrival_seq": F.lit(1).cast("bigint")}
