@@ -33,7 +33,7 @@ SEED = 42
 BITS = 64
 TILE_ROWS = 4096
 # Comparisons per fingerprint that a choice of blocks is expected to leave.
-COMPARISONS = 20_000
+COMPARISONS = 5_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _CHUNK = 1 << 16
 
@@ -119,18 +119,19 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS, tile_rows: int = TI
     blocks = blocks_for(n, radius)
     keyed = distinct.select("fp", _tile_key(F.col("fp"), blocks).alias("tile"))
     # Equal counts beyond a tile's rows go on to more tiles; the parts are even hashes of the bits.
-    sizes = keyed.groupBy("tile").count().withColumn("parts", F.ceil(F.col("count") / tile_rows)).select("tile", "parts")
-    parted = keyed.join(sizes, "tile").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")))
+    # Only the few keys with such a crowd are joined, and rows are dealt by key and part together.
+    crowded = keyed.groupBy("tile").count().filter(F.col("count") > tile_rows)
+    crowded = crowded.select("tile", F.ceil(F.col("count") / tile_rows).alias("parts"))
+    part = F.pmod(F.xxhash64("fp"), F.coalesce("parts", F.lit(1)))
+    parted = keyed.join(crowded, "tile", "left").select("fp", F.concat("tile", F.lit("/"), part).alias("place"))
 
     def pack(got: pa.Table) -> pa.Table:
         data = np.sort(got["fp"].to_numpy()).tobytes()
-        return pa.table({"tile": got["tile"][:1], "part": got["part"][:1], "data": pa.array([data], pa.binary())})
+        return pa.table({"place": got["place"][:1], "data": pa.array([data], pa.binary())})
 
-    tiles = keep(
-        parted.select("tile", "part", "fp").groupBy("tile", "part")
-        .applyInArrow(pack, "tile string, part long, data binary"),
-        "simhash-tiles",
-    )
+    packed = parted.groupBy("place").applyInArrow(pack, "place string, data binary")
+    place = F.split("place", "/")
+    tiles = keep(packed.select(place[0].alias("tile"), place[1].cast("long").alias("part"), "data"), "simhash-tiles")
     steps = F.array(*[F.array(*[F.lit(x) for x in v]) for v in _ball(blocks, radius) if v >= (0,) * blocks])
     digits = F.split("tile", ",").cast("array<int>")
     near = F.explode(F.transform(steps, lambda v: F.concat_ws(",", F.zip_with(digits, v, lambda x, y: x + y).cast("array<string>"))))
