@@ -27,7 +27,7 @@ from pulsefeed.llm.common import held, plain_words
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 200_000
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
