@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from pulsefeed import settings as cfg
 from pulsefeed.functions.values import genre_map, genre_weight
+from pulsefeed.schemas import FEATURE_ROW
 
 GENRE_PREFIX = "genre_"
 VECTOR = "session_genre_vector"
@@ -126,19 +129,33 @@ def feature_matrix(
 # --- contract -----------------------------------------------------------------------
 
 
-def schema_contract(genres: list[str], threshold: float = cfg.ENGAGED_THRESHOLD, columns: list[str] | None = None) -> dict:
-    """Names, order and types of the features a model was trained on."""
+@dataclass(frozen=True)
+class _Kind:
+    """A kind of feature: its name in the contract, its type here, and what stands for a missing value."""
+
+    dtype: str
+    type: T.DataType
+    default: int | float | None  # None: the first category
+
+
+# The names that the contract file uses.
+_KINDS = (_Kind("int32", T.IntegerType(), 0), _Kind("float64", T.DoubleType(), 0.0), _Kind("categorical", T.StringType(), None))
+_OF_TYPE = {k.type: k for k in _KINDS}
+_OF_NAME = {k.dtype: k for k in _KINDS}
+_ROW_TYPES = {f.name: f.dataType for f in FEATURE_ROW.fields}
 
-    def feature(name: str) -> dict:
-        if name == "watch_count_10min":
-            return {"name": name, "dtype": "int32"}
-        if name == "time_of_day_bucket":
-            return {"name": name, "dtype": "categorical", "categories": list(cfg.TIME_OF_DAY)}
-        return {"name": name, "dtype": "float64"}
 
+def schema_contract(genres: list[str], threshold: float = cfg.ENGAGED_THRESHOLD, columns: list[str] | None = None) -> dict:
+    """Names, order and types of the features a model was trained on, from the types of the feature row."""
+    features = []
+    for name in columns or matrix_columns(genres):
+        kind = _OF_TYPE[_ROW_TYPES.get(name, T.DoubleType())]
+        choice = {"categories": list(cfg.TIME_OF_DAY)} if kind.default is None else {}
+        features.append({"name": name, "dtype": kind.dtype, **choice})
+    # The keys of the contract file.
     return {
         "version": cfg.CONTRACT_VERSION,
-        "features": [feature(c) for c in (columns or matrix_columns(genres))],
+        "features": features,
         "label": cfg.LABEL,
         "label_definition": f"avg_watch_duration >= {threshold}",
         "time_of_day_categories": list(cfg.TIME_OF_DAY),
@@ -146,49 +163,54 @@ def schema_contract(genres: list[str], threshold: float = cfg.ENGAGED_THRESHOLD,
     }
 
 
-_SPARK_TYPE = {"int32": T.IntegerType(), "float64": T.DoubleType(), "categorical": T.StringType()}
-
-
-def contract_differences(schema: T.StructType, contract: dict, derived_genres: bool = True) -> list[tuple[str, str]]:
-    """(column, problem) for every base feature missing from or mistyped in ``schema``.
+def contract_differences(
+    schema: T.StructType, contract: dict, derived_genres: bool = True, known: Iterable[str] | None = None
+) -> list[tuple[str, str]]:
+    """(column, problem) for every feature missing from or mistyped in ``schema``.
 
     ``derived_genres``: the table stores the genre vector as JSON, so genre
-    columns are covered by that one column.
+    columns are covered by that one column. With ``known``, columns that are
+    neither features nor known are reported as well.
     """
     present = {f.name: f.dataType for f in schema.fields}
-    problems = []
-    for feature in contract["features"]:
-        name = feature["name"]
-        expected = _SPARK_TYPE[feature["dtype"]]
-        if derived_genres and name.startswith(GENRE_PREFIX):
-            name, expected = VECTOR, T.StringType()
-        if name not in present:
-            problems.append((name, "missing"))
-        elif present[name] != expected:
-            problems.append((name, f"expected {expected.simpleString()}, found {present[name].simpleString()}"))
-    return sorted(set(problems))
+    wanted = {
+        VECTOR if derived_genres and f["name"].startswith(GENRE_PREFIX) else f["name"]:
+        T.StringType() if derived_genres and f["name"].startswith(GENRE_PREFIX) else _OF_NAME[f["dtype"]].type
+        for f in contract["features"]
+    }
+    problems = [(name, "missing") for name in wanted if name not in present]
+    problems += [
+        (name, f"expected {expected.simpleString()}, found {present[name].simpleString()}")
+        for name, expected in wanted.items()
+        if name in present and present[name] != expected
+    ]
+    if known is not None:
+        problems += [(name, "not in the contract") for name in present if name not in wanted and name not in set(known)]
+    return sorted(problems)
+
+
+def require_contract(schema: T.StructType, contract: dict, known: Iterable[str] | None = None) -> None:
+    problems = contract_differences(schema, contract, known=known)
+    if problems:
+        raise ValueError("the table does not fit the feature contract: " + "; ".join(f"{c} {p}" for c, p in problems))
 
 
 def serving_columns(contract: dict) -> list[Column]:
-    """Model input in contract order, with the contract's defaults for missing values."""
+    """Model input in contract order, each feature in its kind's type with its kind's default."""
     features = contract.get("features")
     if not features:
         raise ValueError("the model contract lists no features")
     weights = genre_map(F.col(VECTOR))
-    categories = contract.get("time_of_day_categories", cfg.TIME_OF_DAY)
-    out = []
-    for f in features:
-        name, dtype = f["name"], f["dtype"]
-        if name.startswith(GENRE_PREFIX):
-            col = genre_weight(weights, name[len(GENRE_PREFIX):])
-        elif dtype == "categorical":
-            col = F.coalesce(F.col(name), F.lit(f.get("categories", categories)[0]))
-        elif dtype == "int32":
-            col = F.coalesce(F.col(name).cast("int"), F.lit(0))
-        else:
-            col = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-        out.append(col.alias(name))
-    return out
+    shared = contract.get("time_of_day_categories", cfg.TIME_OF_DAY)
+
+    def column(feature: dict) -> Column:
+        name, kind = feature["name"], _OF_NAME[feature["dtype"]]
+        genre = name.removeprefix(GENRE_PREFIX)
+        value = F.col(name) if genre == name else genre_weight(weights, genre)
+        missing = feature.get("categories", shared)[0] if kind.default is None else kind.default
+        return F.coalesce(value.cast(kind.type), F.lit(missing)).alias(name)
+
+    return [column(f) for f in features]
 
 
 def serving_vectors(features: DataFrame, contract: dict, keep: list[str] | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ _KEPT = "_kept"
 
 def engagement_scores(features: DataFrame, model: PipelineModel, contract: dict) -> DataFrame:
     """Feature rows plus ``engagement``: the model's probability on the contract's vector."""
+    matrix.require_contract(features.schema, contract)
     kept = features.withColumn(_KEPT, F.struct(*features.columns))
     vectors = matrix.serving_vectors(kept, contract, keep=[_KEPT])
     return model.transform(vectors).select(f"{_KEPT}.*", positive_probability().alias("engagement"))

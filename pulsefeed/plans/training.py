@@ -124,6 +124,8 @@ def train(rows: DataFrame, config: TrainingConfig = TrainingConfig()) -> Trained
     cutoff = matrix.find_cutoff(rows, config.validation_days)
     genres = matrix.known_genres(rows.filter(F.col("event_date") < cutoff))
     columns = matrix.matrix_columns(genres, config.drop_label_source)
+    contract = matrix.schema_contract(genres, config.threshold, columns)
+    matrix.require_contract(rows.schema, contract)
     key = ["pseudo_user_id", "last_event_epoch"]
     data = matrix.feature_matrix(rows, genres, config.threshold, keep=[*key, "event_date"]).withColumn(
         _VALIDATION, F.col("event_date") >= cutoff
@@ -152,7 +154,6 @@ def train(rows: DataFrame, config: TrainingConfig = TrainingConfig()) -> Trained
         "positive_rate_train": by_split[False]["rate"],
         **{f"model_param_{k}": v for k, v in config.params.items()},
     }
-    contract = matrix.schema_contract(genres, config.threshold, columns)
     return Trained(model, contract, metrics, params)
 
 

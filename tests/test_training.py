@@ -219,6 +219,17 @@ def test_both_rankings_agree_on_odd_rows(spark):
     assert ranked(0) == ranked(100) and len(ranked(0)) == 20
 
 
+def test_columns_beyond_the_contract_are_reported(spark):
+    contract = matrix.schema_contract(["drama"])
+    extra = rows(spark, [row()]).withColumn("surprise", F.lit(1)).withColumn("recency_score", F.lit("x"))
+    known = rows(spark, [row()]).columns
+    assert matrix.contract_differences(extra.schema, contract, known=known) == [
+        ("recency_score", "expected double, found string"), ("surprise", "not in the contract")
+    ]
+    with pytest.raises(ValueError, match="recency_score"):
+        matrix.require_contract(extra.schema, contract)
+
+
 def test_trending_skips_unknown_ids(spark):
     catalog = recommend.catalog_frame(spark)
     known = recommend.resolve_trending(recommend.trending_frame(spark, ["c004", "zzz", "c001"]), catalog).collect()
