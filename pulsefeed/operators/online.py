@@ -126,7 +126,8 @@ def features_as_of(
     elif not hot:
         carried = plain(axis)
     else:
-        listed = F.col(USER).isin(hot)
+        # A null in the list would make the comparison null for every other user.
+        listed = F.col(USER).isin([u for u in hot if u is not None])
         carried = plain(axis.filter(~listed)).unionByName(sliced(axis.filter(listed)))
     fresh = F.col("last.row.computed_at_epoch") + F.lit(float(ttl_seconds)) > F.col("at_us") / float(cfg.MICROS)
     return unnamed_users(carried.filter(F.col("side") == 1)).select(
