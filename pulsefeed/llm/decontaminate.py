@@ -6,8 +6,13 @@ tracked. Wherever it is at least a window long, the words it covers are hit.
 Items shorter than a window count as a whole. Spans that are hit are removed, and
 a document that they cover beyond a limit goes.
 
-Item blocks are bounded by words, so the automaton that tasks receive is too; a
-larger benchmark is streamed in several passes over the documents. Null and empty
+Tasks cut the items into blocks of at most ``BLOCK_WORDS`` words (longer items in
+pieces that overlap by a window less one word) and build an automaton of each. A
+benchmark of one block is one pass inside the caller's plan. For a larger one the
+documents are written with a row key, and each block is a pass of its own over
+that table: only the rows it hits are written, and its automaton is dropped
+before the next is sent, so a task holds one at a time. The passes, and with them
+the cost, grow with the number of blocks. Null and empty
 texts have no words, hit nothing and stay. Items without words have no window.
 Repeated items are items of their own. Repeated documents are each judged. Other
 columns of any name pass through.
@@ -15,15 +20,17 @@ columns of any name pass through.
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsefeed.llm.common import held, plain_words
+from pulsefeed.llm.common import held, keep, plain_words, shared_path
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -135,17 +142,71 @@ class Automaton:
             state = self.link[state]
 
 
-def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[Automaton]:
-    """Automata of the items, each from at most ``block_words`` words or one item; streamed by partition to the driver."""
-    items, size = [], 0
-    for row in benchmark.select("item_id", "text").orderBy("item_id").toLocalIterator():
-        words = plain_words(row.text)
-        if items and size + len(words) > block_words:
-            yield Automaton(items, window)
-            items, size = [], 0
-        items.append((row.item_id, words))
-        size += len(words)
-    yield Automaton(items, window)
+class Packed:
+    """A pickled automaton that becomes one where a worker unpickles it; the driver only passes the bytes on."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def __reduce__(self) -> tuple:
+        return pickle.loads, (self.data,)
+
+
+def pieces(words: list[bytes], window: int, size: int) -> Iterator[list[bytes]]:
+    """Runs of at most ``size`` words that hold every window of the words, each window once."""
+    if words:
+        yield words[:size]
+    step = size - window + 1
+    for at in range(step, len(words) - window + 1, step):
+        yield words[at : at + size]
+
+
+def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(block, n_words, data): pickled automata of at most ``block_words`` words (two windows at least), as a table.
+
+    Tasks pack the items they read; the driver sees the size of every pack and
+    puts small ones together, and each automaton is built where its packs meet.
+    """
+    size = max(block_words, 2 * window)
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, total, ids, texts = 0, 0, 0, [], []
+
+        def packed() -> pa.RecordBatch:
+            columns = [pa.array([x]) for x in (part, number, total)] + [pa.array([ids], held_ids), pa.array([texts], pa.list_(pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, ["part", "number", "n_words", "ids", "texts"])
+
+        for batch in batches:
+            held_ids = pa.list_(batch.schema.field("item_id").type)
+            for part, name, text in zip(*(batch[c].to_pylist() for c in ("part", "item_id", "text"))):
+                for piece in pieces(plain_words(text), window, size):
+                    if total + len(piece) > size:
+                        yield packed()
+                        number, total, ids, texts = number + 1, 0, [], []
+                    ids.append(name)
+                    texts.append(b" ".join(piece))
+                    total += len(piece)
+        if ids:
+            yield packed()
+
+    items = benchmark.select(F.spark_partition_id().cast("long").alias("part"), "item_id", "text")
+    packs = keep(items.mapInArrow(pack, f"part long, number long, n_words long, ids array<{kind}>, texts array<binary>"), "item-packs")
+    block, total, places = 0, 0, []
+    for row in sorted(packs.select("n_words", "part", "number").collect(), reverse=True):
+        if total + row.n_words > size:
+            block, total = block + 1, 0
+        places.append((row.part, row.number, block))
+        total += row.n_words
+
+    def build(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: (r["part"], r["number"]))
+        items = [(name, text.split()) for r in rows for name, text in zip(r["ids"], r["texts"])]
+        data = pickle.dumps(Automaton(items, window), pickle.HIGHEST_PROTOCOL)
+        return pa.table({"block": [rows[0]["block"]], "n_words": [sum(r["n_words"] for r in rows)], "data": pa.array([data], pa.binary())})
+
+    placed = packs.join(F.broadcast(packs.sparkSession.createDataFrame(places, "part long, number long, block long")), ["part", "number"])
+    return keep(placed.groupBy("block").applyInArrow(build, "block long, n_words long, data binary"), "automata")
 
 
 def spans_hit(hit: np.ndarray) -> list[list[int]]:
@@ -154,31 +215,50 @@ def spans_hit(hit: np.ndarray) -> list[list[int]]:
     return edges.reshape(-1, 2).tolist()
 
 
+def _matcher(shared) -> Callable[[Column], Column]:
+    @F.pandas_udf("n_words long, spans array<array<int>>, items array<string>")
+    def match(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in texts:
+            words = plain_words(text)
+            hit, found = shared.value.match(words)
+            out.append((len(words), spans_hit(hit), sorted(str(x) for x in found)))
+        return pd.DataFrame(out, columns=["n_words", "spans", "items"])
+
+    # A deterministic function would run once more for every filter on its result.
+    return match.asNondeterministic()
+
+
 def matches(rows: DataFrame, text: Column, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``rows`` with ``found``: n_words, the spans hit and the ids (as text) of the items found, over all blocks."""
-    kind = "n_words long, spans array<array<int>>, items array<string>"
-    sofar = None
-    for k, automaton in enumerate(blocks(benchmark, window, block_words)):
-        shared = rows.sparkSession.sparkContext.broadcast(automaton)
-
-        @F.pandas_udf(kind)
-        def match(texts: pd.Series) -> pd.DataFrame:
-            out = []
-            for text in texts:
-                words = plain_words(text)
-                hit, found = shared.value.match(words)
-                out.append((len(words), spans_hit(hit), sorted(str(x) for x in found)))
-            return pd.DataFrame(out, columns=["n_words", "spans", "items"])
-
-        # A deterministic function would run once more for every filter on its result.
-        rows = rows.withColumn(f"found{k}", match.asNondeterministic()(text))
-        got = F.col(f"found{k}")
-        sofar = got if sofar is None else F.struct(
-            got["n_words"].alias("n_words"),
-            F.concat(sofar["spans"], got["spans"]).alias("spans"),
-            F.concat(sofar["items"], got["items"]).alias("items"),
-        )
-    return rows.withColumn("found", sofar)
+    spark = rows.sparkSession
+    automata = blocks(benchmark, window, block_words)
+    numbers = sorted(r.block for r in automata.select("block").collect())
+
+    def shared(block: int):
+        return spark.sparkContext.broadcast(Packed(automata.filter(F.col("block") == block).first().data))
+
+    if len(numbers) < 2:
+        only = shared(numbers[0]) if numbers else spark.sparkContext.broadcast(Automaton([], window))
+        return rows.withColumn("found", _matcher(only)(text))
+
+    # Ids may be null or repeated, so rows get a key of their own; written, it is the same for every pass.
+    sent = shared(numbers[0])
+    kept = keep(rows.withColumn("_key", F.monotonically_increasing_id()).withColumn("found", _matcher(sent)(text)), "found")
+    sent.destroy()
+    base, paths = shared_path(spark, "hits"), []
+    for block in numbers[1:]:
+        sent = shared(block)
+        got = kept.select("_key", _matcher(sent)(text).alias("got")).filter(F.size("got.spans") > 0)
+        paths.append(f"{base}/{block}")
+        got.select("_key", "got.spans", "got.items").write.parquet(paths[-1])
+        sent.destroy()
+    hits = spark.read.schema("_key long, spans array<array<int>>, items array<string>").parquet(*paths)
+    more = hits.groupBy("_key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    both = kept.join(more.select("_key", F.struct("spans", "items").alias("_more")), "_key", "left")
+    joined = lambda c: F.when(F.col("_more").isNull(), F.col("found")[c]).otherwise(F.concat(F.col("found")[c], F.col("_more")[c])).alias(c)
+    found = F.struct(F.col("found.n_words").alias("n_words"), joined("spans"), joined("items"))
+    return both.withColumn("found", found).drop("_key", "_more")
 
 
 def _hit_words(spans: Column) -> Column:
@@ -197,7 +277,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         "doc_id",
         F.col("found.n_words").alias("n_words"),
         _hit_words(F.col("found.spans")).alias("n_hit"),
-        F.array_sort("found.items").alias("items"),
+        F.array_sort(F.array_distinct("found.items")).alias("items"),
     )
 
 

@@ -74,3 +74,27 @@ def test_a_very_long_text(spark):
     text = "filler " * 200_000 + passage + " filler" * 10
     got = de.contamination(docs(spark, [(1, text)]), spark.createDataFrame([(7, passage)], "item_id long, text string")).first()
     assert (got.n_words, got.n_hit, got["items"]) == (200_022, 12, ["7"])
+
+
+def test_large_benchmark_in_bounded_passes(spark):
+    rng = random.Random(6)
+    say = lambda n: " ".join(rng.choices([f"w{i}" for i in range(9)], k=n))
+    items = [(i, say(rng.randint(0, 12))) for i in range(10)] + [(50, say(300)), (51, say(41))]
+    rows = [(i % 7 or None, say(rng.randint(0, 60))) for i in range(20)] + [(200, items[-2][1]), (201, items[-2][1][120:400])] + awkward()[:7]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    sizes = [r.n_words for r in de.blocks(bench, 4, 40).select("n_words").collect()]
+    assert max(sizes) <= 40 and len(sizes) > 8  # the long items too
+    found = de.contamination(docs(spark, rows), bench, 4, 40)
+    # Each block was a pass of its own: no task of what is returned holds an automaton.
+    assert "EvalPython" not in found._jdf.queryExecution().executedPlan().toString()
+    key = lambda r: (r[0] or -1, r[1], r[2], r[3])
+    want = [(r[0], *brute(r[1], items, 4)) for r in rows]
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found.collect()), key=key) == sorted(want, key=key)
+
+
+def test_pieces_hold_each_window_once():
+    for n in range(30):
+        for window, size in ((3, 6), (3, 8), (1, 2)):
+            words = [b"%d" % i for i in range(n)]
+            got = [tuple(p[i : i + window]) for p in de.pieces(words, window, size) for i in range(max(0, len(p) - window) + 1)]
+            assert got == ([tuple(words[i : i + window]) for i in range(max(0, n - window) + 1)] if n else [])
