@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsefeed.llm import hosts, lines, mixing
+from pulsefeed.llm import collocations, conversations, hosts, lines, mixing
 from pulsefeed.llm.queries import RULES
 
 _MIXING = f"""
@@ -113,5 +113,74 @@ SELECT page_id, host, path, rule.name AS rule, coalesce(rule.verdict, by_graph)
 """
 
 
+_COLLOCATIONS = f"""
+WITH p AS (
+    SELECT coalesce(lang, '{collocations.NO_LANG}') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p
+), t AS (
+    SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang
+), g AS (
+    SELECT lang, words[i:i + k - 1] AS words
+    FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, range(1, {collocations.MAX_WORDS + 1}) AS ks(k))
+), f AS MATERIALIZED (
+    SELECT lang, words, count(*) AS a FROM g GROUP BY lang, words HAVING count(*) >= {collocations.MIN_COUNT}
+), c AS (
+    SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM f WHERE len(words) > 1
+), s AS (
+    SELECT c.lang, c.words, c.a, k, x.a AS l, y.a AS r, n, {collocations.SCALE}::HUGEINT * c.a * n // (x.a::HUGEINT * y.a) AS score
+    FROM c JOIN f x ON x.lang = c.lang AND x.words = c.words[1:k] JOIN f y ON y.lang = c.lang AND y.words = c.words[k + 1:] JOIN t ON t.lang = c.lang
+), b AS (
+    SELECT lang, words, a, arg_min(struct_pack(l, r, n, score), struct_pack(score, k)) AS cut FROM s GROUP BY lang, words, a
+), d AS (
+    SELECT DISTINCT b.lang, b.words FROM b
+    JOIN (SELECT lang, a, unnest([words[1:len(words) - 1], words[2:]]) AS part FROM b) o
+      ON o.lang = b.lang AND o.part = b.words AND 100 * o.a >= {collocations.COVERED_PERCENT} * b.a
+), z AS (
+    SELECT lang, array_to_string(words, ' ') AS phrase, a, cut.l AS l, cut.r AS r, cut.n AS n, cut.score::BIGINT AS score FROM b ANTI JOIN d USING (lang, words)
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z) WHERE rank <= {collocations.TOP}
+"""
+
+
+# The CRC-32 of a decimal number, bit by bit.
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"
+)
+
+_CONVERSATIONS = f"""
+WITH t AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS own
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+    SELECT conv_id, own, {_CRC.format("conv_id")} % {conversations.MAX_HEAD + 1} AS h FROM t
+), r AS (
+    SELECT h.conv_id, list_concat(coalesce(b.own[1:h.h], []), h.own[h.h + 1:]) AS turns
+    FROM h LEFT JOIN t b ON b.conv_id = h.conv_id - h.conv_id % {conversations.GROUP}
+), p AS (
+    SELECT conv_id, d, turns[1:d] AS prefix, d = len(turns) AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM r)
+), g AS (
+    SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM p GROUP BY prefix, d
+), k AS (
+    SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n_children FROM g WHERE d > 0 GROUP BY ALL
+), n AS (
+    SELECT g.*, coalesce(n_children, 0) AS n_children,
+           CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(prefix[d].x, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM g LEFT JOIN k USING (prefix, d)
+), s AS (
+    SELECT prefix[1:e] AS prefix, e AS d, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM n) GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, q.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n JOIN s USING (prefix, d) LEFT JOIN g q ON q.d = n.d - 1 AND q.prefix = n.prefix[1:n.d - 1]
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op3_mixing": _MIXING, "op7_line_spread": _LINES, "op8_hosts": _hosts(), "op9_decontamination": _DECONTAMINATION}
+    return {"op3_mixing": _MIXING, "op7_line_spread": _LINES, "op8_hosts": _hosts(), "op9_decontamination": _DECONTAMINATION, "op12_collocations": _COLLOCATIONS, "op13_conversation_trie": _CONVERSATIONS}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsefeed.llm import decontaminate, hosts, lines, mixing, quality, sharding, simhash, spotsigs, tokens, toxicity
+from pulsefeed.llm import collocations, conversations, decontaminate, hosts, lines, mixing, packing, quality, sharding, simhash, spotsigs, tokens, toxicity
 from pulsefeed.llm.common import held_out, shared_path, table, text_or_empty
 
 RULES = (
@@ -95,6 +95,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs.select("doc_id", quality.scores(model, F.col("text")).alias("score")), quality.THRESHOLD)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def _scored(df: DataFrame, threshold: float) -> DataFrame:
     predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
     return df.select("doc_id", held_out().alias("held_out"), "score", predicted)
@@ -110,6 +125,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_token_frames, op2_simhash, op3_mixing, op4_toxicity, op5_spotsigs, op6_sharding, op7_line_spread, op8_hosts,
-        op9_decontamination, op10_quality, pipeline,
+        op9_decontamination, op10_quality, op11_packing, op12_collocations, op13_conversation_trie, pipeline,
     )
     return {f.__name__: f for f in named}
