@@ -2,20 +2,24 @@
 
 A file is a sequence of zstandard frames, one per document in ascending id order:
 eight bytes of document id, then the token ids as little-endian unsigned 32-bit
-integers, the last one the end id. A skippable frame closes the file with the seek
-table of the public zstd seekable format: compressed size, decompressed size and
-checksum (low 32 bits of the XXH64 of the content) of every frame, then the number
-of frames, a descriptor and a magic number. So a reader takes the table from the
-end, decompresses the frames it wants and no others, and checks each of them;
-any zstandard tool can read the file whole.
+integers, the last one the end id. A skippable frame with all document ids
+follows. Another closes the file with the seek table of the public zstd seekable
+format: compressed size, decompressed size and checksum (low 32 bits of the XXH64
+of the content) of every document's frame, then the number of frames, a descriptor
+and a magic number. So a reader takes the tables from the end, finds the frames of
+the documents it wants, decompresses no others, and checks each of them; any
+zstandard tool can read the file whole.
 
 Files are written by tasks to names of their own and count only if the index,
 written by Spark from the rows of the tasks that succeeded, lists them: a retried
-or doubled task leaves an unlisted file, never a wrong one.
+or doubled task leaves an unlisted file, never a wrong one. The index has the first
+and last id of each file.
 
 Null and empty texts have the end id alone. Null document ids come first and are
 kept in the frame as the smallest long. Rows with equal ids are frames of their
-own, in the order of the hash of their text. An empty table gives no files.
+own, in the order of the hash of their text; repeated rows have a tie number as
+well, so any number of them is spread over tasks. A text that holds the spelling
+of a special token has that token's id there. An empty table gives no files.
 """
 
 from __future__ import annotations
@@ -36,10 +40,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsefeed.llm.common import keep, text_or_empty
+from pulsefeed.llm.common import keep, longs, text_or_empty
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
+IDS_MAGIC = 0x184D2A50
 SEEK_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 FOOTER = 9
@@ -49,6 +54,7 @@ END_ID = 0
 LEVEL = 1
 FILE_BYTES = 128 << 20
 NULL_ID = -(1 << 63)
+INDEX = ("file", "part", "number", "n_docs", "n_tokens", "first_id", "last_id")
 BATCH_BYTES = 8 << 20
 CACHE_PIECES = 800_000
 # A space is a safe cut if no white space or control character is on either side of it.
@@ -69,7 +75,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         byte_level = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in byte_level]
@@ -112,7 +117,8 @@ class Encoder:
         offsets = split.offsets.to_numpy()
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
-        ids = [self.piece(" " + p) for p in pieces]
+        known = self.known
+        ids = [known.get(spaced) or self.piece(spaced) for spaced in (" " + p for p in pieces)]
         flat = np.frombuffer(b"".join(ids), "<u4")
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = np.cumsum(lengths) - lengths
@@ -145,14 +151,18 @@ def frame(doc_id: int | None, ids: np.ndarray, compress: zstandard.ZstdCompresso
     return data, struct.pack("<III", len(data), len(content), xxhash.xxh64_intdigest(content) & 0xFFFFFFFF)
 
 
-def seek_table(entries: list[bytes]) -> bytes:
+def closing(doc_ids: list[int | None], entries: list[bytes]) -> bytes:
+    """The frames that close a file: the ids of its documents, and the seek table."""
+    ids = np.array([NULL_ID if x is None else x for x in doc_ids], "<i8").tobytes()
     body = b"".join(entries) + struct.pack("<IBI", len(entries), CHECKSUM_FLAG, SEEK_MAGIC)
-    return struct.pack("<II", SKIPPABLE_MAGIC, len(body)) + body
+    return struct.pack("<II", IDS_MAGIC, len(ids)) + ids + struct.pack("<II", SKIPPABLE_MAGIC, len(body)) + body
 
 
 class TokenFile:
     """Reads single documents of one file."""
 
+    decompressed = 0
+
     def __init__(self, uri: str):
         fs, path = pafs.FileSystem.from_uri(uri)
         self.file = fs.open_input_file(path)
@@ -160,15 +170,26 @@ class TokenFile:
         n, flags, magic = struct.unpack("<IBI", self.file.read_at(FOOTER, size - FOOTER))
         if magic != SEEK_MAGIC or flags != CHECKSUM_FLAG:
             raise ValueError(f"{uri} does not end with a seek table with checksums")
-        table = self.file.read_at(n * ENTRY, size - FOOTER - n * ENTRY)
+        table_at = size - FOOTER - n * ENTRY
+        table = self.file.read_at(n * ENTRY, table_at)
+        # Before the table stands its header, before that the ids.
+        self.ids_at = table_at - 8 - 8 * n
         self.entries = np.frombuffer(table, "<u4").reshape(-1, 3)
         self.starts = np.cumsum(self.entries[:, 0], dtype=np.int64) - self.entries[:, 0]
 
     def __len__(self) -> int:
         return len(self.entries)
 
+    def frames_of(self, doc_ids: list[int]) -> list[int]:
+        """The frames of documents with these ids; only the table of ids is read."""
+        ids = np.frombuffer(self.file.read_at(8 * len(self), self.ids_at), "<i8")
+        wanted = np.unique(np.array(doc_ids, np.int64))
+        first, after = np.searchsorted(ids, wanted), np.searchsorted(ids, wanted, "right")
+        return [k for a, b in zip(first.tolist(), after.tolist()) for k in range(a, b)]
+
     def document(self, k: int) -> tuple[int, np.ndarray]:
         """(doc_id, ids) of frame ``k``, decompressed alone; a frame that fails its checksum is an error."""
+        self.decompressed += 1
         size, full, checksum = (int(x) for x in self.entries[k])
         content = zstandard.ZstdDecompressor().decompress(self.file.read_at(size, int(self.starts[k])), max_output_size=full)
         if len(content) != full or xxhash.xxh64_intdigest(content) & 0xFFFFFFFF != checksum:
@@ -177,12 +198,13 @@ class TokenFile:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Encode the documents into files under ``path``; the index (file, first id, part, n_docs, n_tokens), one row per file.
+    """Encode the documents into files under ``path``; the index, one row per file.
 
-    Documents are range-partitioned by id once, and encoded where they arrive.
+    It has (file, part, number, n_docs, n_tokens, first_id, last_id). Documents are
+    range-partitioned by id once, and encoded where they arrive.
     """
-    rows = docs.select("doc_id", text_or_empty("text").alias("text"))
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    rows = docs.select("doc_id", text_or_empty("text").alias("text"), F.monotonically_increasing_id().alias("tie"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("tie")]
     rows = rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,14 +212,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         encode = encoder(tokenizer)
         compress = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True)
         end = np.array([end_id], "<u4")
-        out, entries, made, part, tokens, number = None, [], [], 0, 0, 0
+        out, entries, doc_ids, made, part, tokens, number = None, [], [], [], 0, 0, 0
 
         def close() -> None:
-            nonlocal out, entries, tokens, number
-            out.write(seek_table(entries))
+            nonlocal out, entries, doc_ids, tokens, number
+            out.write(closing(doc_ids, entries))
             out.close()
-            made.append((name, part, number, len(entries), tokens))
-            out, entries, tokens, number = None, [], 0, number + 1
+            made.append((name, part, number, len(entries), tokens, doc_ids[0], doc_ids[-1]))
+            out, entries, doc_ids, tokens, number = None, [], [], 0, number + 1
 
         for batch in batches:
             part = batch["part"][0].as_py() if batch.num_rows else part
@@ -214,6 +236,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                     data, entry = frame(doc_id, np.concatenate([got, end]), compress)
                     out.write(data)
                     entries.append(entry)
+                    doc_ids.append(doc_id)
                     tokens += len(got) + 1
                     if out.tell() >= file_bytes:
                         close()
@@ -221,11 +244,26 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         if out is not None:
             close()
         if made:
-            columns = zip(*made)
-            yield pa.RecordBatch.from_pydict(dict(zip(("file", "part", "number", "n_docs", "n_tokens"), map(list, columns))))
+            schema = pa.schema([("file", pa.string())] + [(c, pa.int64()) for c in INDEX[1:]])
+            yield pa.RecordBatch.from_pydict(dict(zip(INDEX, map(list, zip(*made)))), schema=schema)
+
+    return keep(rows.mapInArrow(write, "file string, " + ", ".join(f"{c} long" for c in INDEX[1:])), "token-index")
+
+
+def read_documents(index: DataFrame, doc_ids: list[int]) -> DataFrame:
+    """(doc_id, ids) of the documents asked for: files without any of them are not opened, other documents not decompressed."""
+    wanted = sorted(set(doc_ids))
+    inside = F.exists(longs(wanted), lambda x: (x >= F.coalesce("first_id", F.lit(NULL_ID))) & (x <= F.coalesce("last_id", F.lit(NULL_ID))))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri in batch["file"].to_pylist():
+                file = TokenFile(uri)
+                found = [file.document(k) for k in file.frames_of(wanted)]
+                ids = pa.array([x.tolist() for _, x in found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.int64()), ids], ["doc_id", "ids"])
 
-    index = keep(rows.mapInArrow(write, "file string, part long, number long, n_docs long, n_tokens long"), "token-index")
-    return index
+    return index.filter(inside).select("file").mapInArrow(read, "doc_id long, ids array<long>")
 
 
 def read_tokens(index: DataFrame) -> DataFrame:

@@ -14,14 +14,12 @@ from pulsefeed.llm.queries import tokenizer_path
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def test_pieces_give_the_ids_of_whole_texts(tokenizer):
     odd = [r[1] or "" for r in awkward()] + [
-        " ", "a ", " a", "a\n b", "a \n b", "it's don't 'll 'x", "é ́x", "a \x1cb c", "ﬁ ﬂag ⅷ x²", "a b 　 c", "<|endoftext|> x", "don’t 12,5 %", "naïve, über.\nDas ß",
+        " ", "a ", " a", "a\n b", "a \n b", "it's don't 'll 'x", "é ́x", "a \x1cb c", "ﬁ ﬂag ⅷ x²", "a b 　 c", "<|endoftext|> x", "a<|endoftext|> b", "a <|endoftext|>b  <|endoftext|>\n<|endoftext|>", "one <|endoftext|>", "don’t 12,5 %", "naïve, über.\nDas ß",
     ] + texts(50)
     enc = tokens.Encoder(tokenizer_path())
     for _ in range(2):  # the second time from the kept pieces
@@ -70,6 +68,30 @@ def test_one_document_is_read_alone_and_checked(spark):
         file.document(0)
 
 
+def test_reading_by_id_decompresses_nothing_else(spark, tokenizer):
+    rows = [(i, f"text {i} and more") for i in range(60)] + [(7, "another seven"), (None, "no id")]
+    index = tokens.write_tokens(docs(spark, rows), shared_path(spark, "tokens"), tokenizer_path(), file_bytes=400)
+    assert index.count() > 3
+    got = sorted((r.doc_id, list(r.ids)) for r in tokens.read_documents(index, [7, 31, 999]).collect())
+    want = sorted((i, tokenizer.encode(t, add_special_tokens=False).ids + [0]) for i, t in rows if i in (7, 31))
+    assert got == want and len(got) == 3
+    for r in index.collect():
+        file = tokens.TokenFile(r.file)
+        hits = [k for k in range(len(file)) if file.document(k)[0] in (7, 31)]
+        file.decompressed = 0
+        assert file.frames_of([7, 31, 999]) == hits and file.decompressed == 0
+        assert (r.first_id, r.last_id) == tuple(None if x == tokens.NULL_ID else x for x in (file.document(0)[0], file.document(len(file) - 1)[0]))
+
+
+def test_repeated_rows_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(5, "the same row")] * 3000 + [(i, f"text {i}") for i in range(6000)]
+    index = tokens.write_tokens(docs(spark, rows).repartition(8), shared_path(spark, "tokens"), tokenizer_path())
+    parts = [r.n_docs for r in index.groupBy("part").agg({"n_docs": "sum"}).withColumnRenamed("sum(n_docs)", "n_docs").collect()]
+    assert sum(parts) == 9000 and max(parts) < 9000 / len(parts) * 1.6 and len(parts) >= 4
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_empty_table(spark):
     index = tokens.write_tokens(docs(spark, []), shared_path(spark, "tokens"), tokenizer_path())
     assert tokens.read_tokens(index).collect() == []
