@@ -1,7 +1,8 @@
 """SimHash near-duplicates by tiled exact comparison.
 
 Distinct fingerprints are packed into tiles by the population counts of their
-blocks of bits. Two fingerprints within the radius have block counts whose sum of
+blocks of bits; blocks are halved one by one as the table grows, so tiles keep
+their size and there are about as many as the rows need. Two fingerprints within the radius have block counts whose sum of
 differences is within it too, so tile pairs farther apart are skipped without
 loss; the rest are compared whole with numpy exclusive-or and bit counts. A pair
 of tiles gives a spanning forest of its links, never all of them: the components
@@ -11,12 +12,15 @@ Equal fingerprints are one node however many rows carry them. Null and empty
 texts have fingerprint zero and are linked like any other; a text of fewer words
 than a shingle is one shingle. Null ids never name a component unless it has no
 other; repeated rows belong to one component. Empty tables give empty results.
+Joins of the rows with their fingerprint's component, of which one may hold any
+share of the rows, are left to Spark's skew handling: the other side is small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import product, repeat
+from math import ceil, comb, floor, prod, sqrt
 
 import numpy as np
 import pandas as pd
@@ -32,10 +36,13 @@ RADIUS = 2
 SEED = 42
 BITS = 64
 TILE_ROWS = 4096
-# Comparisons per fingerprint that a choice of blocks is expected to leave.
-COMPARISONS = 5_000
+# Rows that a tile is meant to hold, and how many times as many uneven ones may before blocks are halved further.
+TARGET_ROWS = 2048
+UNEVEN = 4
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _CHUNK = 1 << 16
+# Comparisons at a time: what fits a core's cache.
+_COMPARED = 1 << 17
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -66,13 +73,36 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     return of(text)
 
 
-def blocks_for(n: int, radius: int = RADIUS) -> int:
-    """Fewest blocks of bits that leave about ``COMPARISONS`` per fingerprint among ``n`` even ones."""
-    for blocks in (1, 2, 4, 8):
-        alike = (1 / (2 * np.sqrt(np.pi * BITS / blocks / 4))) ** blocks
-        if n * alike * len(_ball(blocks, radius)) <= COMPARISONS:
-            return blocks
-    return 16
+def refined(widths: list[int]) -> list[int] | None:
+    """One block more: the first of the widest is halved. None if all have one bit."""
+    widest = max(widths)
+    if widest == 1:
+        return None
+    at = widths.index(widest)
+    return [*widths[:at], widest // 2, widest - widest // 2, *widths[at + 1 :]]
+
+
+def even_rows(n: int, widths: list[int]) -> float:
+    """Rows that share a row's block counts, among ``n`` even fingerprints."""
+    return n * prod(comb(2 * w, w) / 4**w for w in widths)
+
+
+def choose_widths(distinct: DataFrame, n: int, target: int = TARGET_ROWS) -> list[int]:
+    """Widths of the blocks: halved one at a time until a row shares its tile with about ``target`` others.
+
+    First by what even fingerprints would do, then by the counts themselves, so
+    bits that go together only mean more blocks. A halving cuts tiles to a fifth
+    to a third, at any size of the table.
+    """
+    widths = [BITS]
+    while even_rows(n, widths) > target and refined(widths):
+        widths = refined(widths)
+    while n > target and (finer := refined(widths)):
+        crowd = distinct.groupBy(_tile_key(F.col("fp"), widths).alias("tile")).count()
+        if crowd.agg(F.sum(F.col("count").cast("double") * F.col("count"))).first()[0] <= UNEVEN * target * n:
+            break
+        widths = finer
+    return widths
 
 
 def _ball(blocks: int, radius: int) -> list[tuple[int, ...]]:
@@ -83,12 +113,19 @@ def _ball(blocks: int, radius: int) -> list[tuple[int, ...]]:
     return sorted(found)
 
 
-def _tile_key(fp: Column, blocks: int) -> Column:
-    """The population counts of the blocks, as text."""
-    width = BITS // blocks
-    mask = -1 if width == 64 else (1 << width) - 1
-    counts = [F.bit_count(F.shiftrightunsigned(fp, i * width).bitwiseAND(F.lit(mask).cast("long"))) for i in range(blocks)]
-    return F.concat_ws(",", *[c.cast("string") for c in counts])
+def _tile_key(fp: Column, widths: list[int]) -> Column:
+    """The population counts of the blocks, as text.
+
+    Counts beyond two standard deviations are drawn in to them: that never makes
+    two counts differ more, and the many rare keys become few.
+    """
+    counts, at = [], 0
+    for w in widths:
+        block = F.shiftrightunsigned(fp, at).bitwiseAND(F.lit(-1 if w == 64 else (1 << w) - 1).cast("long"))
+        low, high = ceil(w / 2 - sqrt(w)), floor(w / 2 + sqrt(w))
+        counts.append(F.greatest(F.least(F.bit_count(block), F.lit(high)), F.lit(low)).cast("string"))
+        at += w
+    return F.concat_ws(",", *counts)
 
 
 def _links(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +135,7 @@ def _links(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.nd
     label = np.arange(len(nodes))
     u: list[int] = []
     v: list[int] = []
-    rows = max(1, (1 << 21) // max(1, len(b)))
+    rows = max(1, _COMPARED // max(1, len(b)))
     for at in range(0, len(a), rows):
         near = np.bitwise_count(a[at : at + rows, None] ^ b[None, :]) <= radius
         near &= left[at : at + rows, None] != right[None, :]
@@ -114,10 +151,12 @@ def _links(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.nd
     return nodes[u].view(np.int64), nodes[v].view(np.int64)
 
 
-def links(distinct: DataFrame, n: int, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+def links(
+    distinct: DataFrame, n: int, radius: int = RADIUS, tile_rows: int = TILE_ROWS, widths: list[int] | None = None
+) -> DataFrame:
     """(u, v): links enough to connect what the radius connects, from one row ``fp`` per fingerprint."""
-    blocks = blocks_for(n, radius)
-    keyed = distinct.select("fp", _tile_key(F.col("fp"), blocks).alias("tile"))
+    widths = widths or choose_widths(distinct, n)
+    keyed = distinct.select("fp", _tile_key(F.col("fp"), widths).alias("tile"))
     # Equal counts beyond a tile's rows go on to more tiles; the parts are even hashes of the bits.
     # Only the few keys with such a crowd are joined, and rows are dealt by key and part together.
     crowded = keyed.groupBy("tile").count().filter(F.col("count") > tile_rows)
@@ -132,7 +171,7 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS, tile_rows: int = TI
     packed = parted.groupBy("place").applyInArrow(pack, "place string, data binary")
     place = F.split("place", "/")
     tiles = keep(packed.select(place[0].alias("tile"), place[1].cast("long").alias("part"), "data"), "simhash-tiles")
-    steps = F.array(*[F.array(*[F.lit(x) for x in v]) for v in _ball(blocks, radius) if v >= (0,) * blocks])
+    steps = F.array(*[F.array(*[F.lit(x) for x in v]) for v in _ball(len(widths), radius) if v >= (0,) * len(widths)])
     digits = F.split("tile", ",").cast("array<int>")
     near = F.explode(F.transform(steps, lambda v: F.concat_ws(",", F.zip_with(digits, v, lambda x, y: x + y).cast("array<string>"))))
     ids = tiles.select("tile", "part")

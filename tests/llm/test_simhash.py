@@ -48,9 +48,17 @@ def test_whole_long_text():
     assert simhash.fingerprint(long) == brute_fingerprint(long)
 
 
-@pytest.mark.parametrize("blocks", [1, 2, 4, 8, 16])
-def test_no_link_is_lost_in_any_tiling(spark, monkeypatch, blocks):
-    rng = random.Random(blocks)
+def tilings():
+    widths, out = [64], []
+    while widths:
+        out.append(widths)
+        widths = simhash.refined(widths)
+    return out
+
+
+@pytest.mark.parametrize("widths", [t for t in tilings() if len(t) in (1, 2, 3, 4, 5, 7, 8, 13, 16)], ids=len)
+def test_no_link_is_lost_in_any_tiling(spark, monkeypatch, widths):
+    rng = random.Random(len(widths))
     prints = [rng.getrandbits(64) for _ in range(120)]
     for _ in range(150):  # chains: copies of copies with up to three bits changed
         x = rng.choice(prints)
@@ -58,7 +66,7 @@ def test_no_link_is_lost_in_any_tiling(spark, monkeypatch, blocks):
             x ^= 1 << rng.randrange(64)
         prints.append(x)
     prints += [0, 1, 3, (1 << 64) - 1]
-    monkeypatch.setattr(simhash, "blocks_for", lambda n, radius: blocks)
+    monkeypatch.setattr(simhash, "choose_widths", lambda distinct, n: widths)
     rows = [(i, int(np.uint64(p).view(np.int64))) for i, p in enumerate(prints)]
     got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, fp long"), 2)
     found = {r.doc_id: r.component_id for r in got.collect()}
@@ -75,6 +83,31 @@ def test_small_tiles_and_dense_groups(spark):
     assert simhash.components(edges).select("root").distinct().count() == 1
 
 
+def test_tiles_keep_their_size_as_the_table_grows():
+    """No number of rows at which tiles suddenly become small or comparisons many."""
+    costs = []
+    for n in np.geomspace(1_000, 1e11, 400):
+        widths = [64]
+        while simhash.even_rows(n, widths) > simhash.TARGET_ROWS:
+            widths = simhash.refined(widths)
+        rows = simhash.even_rows(n, widths)
+        assert rows > 200 or n < simhash.TARGET_ROWS * 5
+        costs.append(rows * len(simhash._ball(len(widths), 2)))
+    # Comparisons per row: a step adds a block, and at most six times the work in all between neighbouring steps.
+    assert max(b / a for a, b in zip(costs, costs[1:])) < 1.2
+
+
+def test_bits_that_go_together_are_split_by_what_is_counted(spark):
+    rng = random.Random(4)
+    prints = {rng.getrandbits(20) << 44 for _ in range(30_000)}  # all others equal: blocks of them tell nothing apart
+    table = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in prints], "fp long")
+    widths = simhash.choose_widths(table, len(prints), target=64)
+    even = [64]
+    while simhash.even_rows(len(prints), even) > 64:
+        even = simhash.refined(even)
+    assert len(widths) > len(even) and sum(widths) == 64
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).select((F.col("id") * 7 % 307).alias("u"), ((F.col("id") + 1) * 7 % 307).alias("v"))
     got = simhash.components(edges)
