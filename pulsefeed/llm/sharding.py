@@ -1,17 +1,20 @@
 """Sharding by histogram sort.
 
-The key is (hash of the text, doc_id), so equal texts are neighbours. Exact bytes
-below candidate boundaries are counted over all partitions, the candidates are
-refined between the nearest counted ones until every splitter is within the
-tolerance of its target, and the rows are exchanged once. Splitters are looked
-for between texts first; only a group of equal texts that is too large for a
-shard's edge is cut, by doc_id. Shards are cut into pieces for the exchange, so
-no task gets a whole shard of a large corpus.
+The key is (hash of the text, hash of the id), so equal texts are neighbours.
+Exact bytes below candidate boundaries are counted over all partitions, the
+candidates are refined between the nearest counted ones until every splitter is
+within the tolerance of its target, and the rows are exchanged once. Splitters are
+looked for between texts first; only a group of equal texts that is too large for
+a shard's edge is cut, by the hash of the id. If rows equal in text and id are too
+many for an edge, the rows are stored with a tie number and cut by that as well.
+
+There are as many splitters as edges between shards, however large the corpus.
+For the exchange a shard is dealt to pieces by a hash of the key, as many as keep
+a piece small; slots run through the pieces one after the other, in key order in
+each.
 
 Law ``bytes``: sizes are near equal. A null text has no bytes of its own but the
-8 of its row; a null id sorts as the smallest long. Rows equal in text and id have
-one key and stay together. An empty table has no shards. Other columns of any
-name pass through.
+8 of its row. An empty table has no shards. Other columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pulsefeed.llm.common import bucket_of, held, keep, longs, text_or_empty
+from pulsefeed.llm.common import bucket_of, held, keep, text_or_empty
 
 SHARDS = 24
 ROW_BYTES = 8
@@ -37,8 +40,8 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES
 
 
-def key_of(doc_id: Column, text: Column) -> tuple[Column, Column]:
-    return F.xxhash64(text_or_empty(text)), F.coalesce(doc_id.cast("long"), F.lit(LOW))
+def key_of(doc_id: Column, text: Column, *tie: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text_or_empty(text)), F.xxhash64(doc_id, *tie)
 
 
 def _between(lo: tuple[int, int], hi: tuple[int, int], n: int) -> list[tuple[int, int]]:
@@ -54,18 +57,22 @@ def _between(lo: tuple[int, int], hi: tuple[int, int], n: int) -> list[tuple[int
     return sorted({(lo[0], lo[1] + (top - lo[1]) * k // (n + 1)) for k in range(1, n + 1)} - {lo})
 
 
-def splitters(stats: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, pieces: int = 1, probes: int = PROBES):
-    """Ascending keys that begin the 2nd, 3rd, ... of ``shards * pieces`` ranges of near equal size.
+def splitters(
+    stats: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, probes: int = PROBES
+) -> tuple[list[tuple[int, int]], bool]:
+    """Ascending keys that begin the 2nd, 3rd, ... of ``shards`` ranges of near equal size, and whether all are as near as rows allow.
 
-    ``stats``: (h, id, size), read once per round. Splitters between shards keep
-    ``tolerance`` (a share of a shard), those between pieces a quarter piece.
+    ``stats``: (h, id, size), read once per round. A splitter misses the tolerance
+    (a share of a shard) only if a single key is larger; by more than a row only if
+    several rows have that key.
     """
-    total = stats.agg(F.sum("size")).first()[0] or 0
-    parts = shards * pieces
-    goals = {k: total * k / parts for k in range(1, parts)}
-    slack = {k: (tolerance if k % pieces == 0 else 0.25 / pieces) * total / shards for k in goals}
+    total, largest = stats.agg(F.sum("size"), F.max("size")).first()
+    total, largest = total or 0, largest or 0
+    goals = {k: total * k / shards for k in range(1, shards)}
+    slack = tolerance * total / shards
     counted = {(LOW, LOW): 0, (HIGH, HIGH): total}
     found: dict[int, tuple[int, int]] = {}
+    met = True
     while total and len(found) < len(goals):
         known = sorted(counted)
         below = [counted[k] for k in known]
@@ -76,11 +83,13 @@ def splitters(stats: DataFrame, shards: int = SHARDS, tolerance: float = TOLERAN
             at = min(max(bisect.bisect_right(below, goal), 1), len(known) - 1)
             lo, hi = known[at - 1], known[at]
             best = min((lo, hi), key=lambda x: abs(counted[x] - goal))
-            more = [] if abs(counted[best] - goal) <= slack[k] else _between(lo, hi, probes)
+            near = abs(counted[best] - goal) <= slack
+            more = [] if near else _between(lo, hi, probes)
             if more:
                 wanted.update(more)
             else:
                 found[k] = best
+                met &= abs(counted[best] - goal) <= max(slack, largest)
         wanted = sorted(wanted - counted.keys())
         if not wanted:
             continue
@@ -90,31 +99,32 @@ def splitters(stats: DataFrame, shards: int = SHARDS, tolerance: float = TOLERAN
         for i, k in enumerate(wanted):
             running += sums.get(i, 0)
             counted[k] = running
-    return [found.get(k, (HIGH, HIGH)) for k in sorted(goals)]
+    return [found.get(k, (HIGH, HIGH)) for k in sorted(goals)], met
+
+
+def _keyed(rows: DataFrame, *tie: Column) -> DataFrame:
+    high, low = key_of(F.col("row.doc_id"), F.col("row.text"), *tie)
+    return rows.select("row", high.alias("h"), low.alias("id"), size_of(F.col("row.text")).alias("size"))
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """(row, size, shard, slot): slots count from 0 in key order, without gaps."""
-    high, low = key_of(F.col("doc_id"), F.col("text"))
-    stats = keep(docs.select(high.alias("h"), low.alias("id"), size_of(F.col("text")).alias("size")), "shard-sizes")
+    """(row, size, shard, slot): slots count from 0, without gaps."""
+    rows = _keyed(held(docs))
+    stats = keep(rows.select("h", "id", "size"), "shard-sizes")
+    bounds, met = splitters(stats, shards, tolerance)
+    if not met:
+        rows = _keyed(keep(held(docs).withColumn("tie", F.monotonically_increasing_id()), "shard-ties"), F.col("tie"))
+        stats = keep(rows.select("h", "id", "size"), "shard-sizes")
+        bounds, _ = splitters(stats, shards, tolerance)
     total = stats.agg(F.sum("size")).first()[0] or 0
     pieces = max(MIN_PIECES, -(-total // (shards * piece_bytes)))
-    bounds = splitters(stats, shards, tolerance, pieces)
-    counts = dict(stats.groupBy(bucket_of(F.col("h"), F.col("id"), bounds).alias("piece")).count().collect())
-    starts = []
-    for piece in range(shards * pieces):
-        starts.append(0 if piece % pieces == 0 else starts[-1] + counts.get(piece - 1, 0))
-    high, low = key_of(F.col("row.doc_id"), F.col("row.text"))
-    rows = held(docs).select("row", high.alias("h"), low.alias("id"))
-    rows = rows.withColumn("piece", bucket_of(F.col("h"), F.col("id"), bounds))
-    place = F.row_number().over(Window.partitionBy("piece").orderBy("h", "id"))
-    slot = F.get(longs(starts), F.col("piece")) + place - 1
-    return rows.withColumn("slot", slot).select(
-        "row",
-        size_of(F.col("row.text")).alias("size"),
-        F.floor(F.col("piece") / pieces).cast("int").alias("shard"),
-        "slot",
-    )
+    at = [bucket_of(F.col("h"), F.col("id"), bounds).alias("shard"), F.pmod(F.xxhash64("h", "id"), F.lit(pieces)).alias("piece")]
+    counts = stats.groupBy(*at).count()
+    before = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("shard", "piece", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("shard", "piece").orderBy("h", "id"))
+    out = rows.select("*", *at).join(starts, ["shard", "piece"]).withColumn("slot", F.col("start") + place - 1)
+    return out.select("row", "size", "shard", "slot")
 
 
 def shard(docs: DataFrame, **rule) -> DataFrame:

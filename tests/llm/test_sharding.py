@@ -40,7 +40,7 @@ def test_hot_text_is_cut_by_id_only_where_needed(spark):
 def test_splitters_against_counting(spark):
     rng = random.Random(3)
     stats = [(rng.choice([5, rng.getrandbits(63), -rng.getrandbits(63)]), rng.randrange(1000), rng.randint(8, 90)) for _ in range(800)]
-    bounds = sharding.splitters(spark.createDataFrame(stats, "h long, id long, size long"), 10, 0.001)
+    bounds, _ = sharding.splitters(spark.createDataFrame(stats, "h long, id long, size long"), 10, 0.001)
     total = sum(s[2] for s in stats)
     assert bounds == sorted(bounds)
     for k, b in enumerate(bounds, 1):
@@ -48,6 +48,22 @@ def test_splitters_against_counting(spark):
         assert abs(below - total * k / 10) <= 0.001 * total / 10 + 5 * 90
 
 
+def test_a_third_of_the_rows_alike(spark):
+    """Rows equal in text and id, and rows of null ids, are cut as well; no task gets them all."""
+    for same in (7, None):
+        rows = [(same, "the same text again and again")] * 900 + [(1000 + i, t) for i, t in enumerate(texts(600, seed=5))]
+        random.Random(2).shuffle(rows)
+        out = sharding.assign_shards(docs(spark, rows).repartition(6), shards=24)
+        got = check(rows, out, 24, 0.05)
+        assert len({g["shard"] for g in got}) == 24
+
+
+def test_repeated_rows_alone_are_told_from_large_ones(spark):
+    make = lambda stats: spark.createDataFrame(stats, "h long, id long, size long")
+    assert sharding.splitters(make([(i, 0, 5000 if i == 3 else 50) for i in range(100)]), 8)[1]
+    assert not sharding.splitters(make([(3, 0, 50)] * 100 + [(i, 0, 50) for i in range(100)]), 8)[1]
+
+
 def test_awkward_rows_and_clashing_names(spark):
     rows = awkward()
     out = sharding.shard(docs(spark, rows), shards=3)
