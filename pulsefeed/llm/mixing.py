@@ -8,8 +8,10 @@ come nearest its target; this matters for sources of few documents.
 
 Null and empty texts have size 0 and are emitted like others of their source;
 null sources are one source, last in order; null ids are drawn by their text.
-Repeated rows share one draw. A source without words has rate 1. An empty table
-gives an empty mix. Other columns of any name pass through.
+Rows that repeat an id share one draw, unless together they hold more than a
+thousandth of their source: those are drawn apart, by their place in the input,
+so that no draw decides over much of a target. A source without words has rate 1.
+An empty table gives an empty mix. Other columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ SEEDS = 16
 # Sources beyond this are joined in salted parts instead of broadcast.
 BROADCAST_SOURCES = 100_000
 SALTS = 64
+# Rows that share an id are drawn apart if they hold more than this share of their source: at most a thousand ids of each.
+APART = 0.001
 
 
 def n_words(text: Column) -> Column:
@@ -90,11 +94,32 @@ def with_rates(rows: DataFrame, targets: DataFrame, salt: Column, broadcast_limi
     return rows.withColumn("salt", F.pmod(salt, F.lit(SALTS)).cast("int")).join(spread, on).drop("of_source", "of_salt", "salt")
 
 
+def draws_apart(sizes: DataFrame, targets: DataFrame, broadcast_limit: int = BROADCAST_SOURCES) -> DataFrame | None:
+    """(of_source, of_name) of the repeated names that hold much of their source; None if there is none."""
+    repeated = sizes.groupBy("source", "name").agg(F.count("*").alias("n"), F.sum("size").alias("held")).filter("n > 1")
+    heavy = with_rates(repeated, targets, F.xxhash64("name"), broadcast_limit).filter(F.col("held") > F.col("source_size") * APART)
+    heavy = keep(heavy.select(F.col("source").alias("of_source"), F.col("name").alias("of_name")), "mix-apart")
+    return None if heavy.isEmpty() else heavy
+
+
+def _own_names(rows: DataFrame, apart: DataFrame | None, broadcast_limit: int) -> DataFrame:
+    """The rows with names of their own where their draws are apart. Few such names are broadcast, after counting them."""
+    if apart is None:
+        return rows.drop("tie")
+    few = apart.count() <= broadcast_limit
+    on = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("name") == F.col("of_name"))
+    own = F.when(F.col("of_name").isNotNull(), F.concat_ws("#", "name", "tie")).otherwise(F.col("name"))
+    return rows.join(F.broadcast(apart) if few else apart, on, "left").withColumn("name", own).drop("of_source", "of_name", "tie")
+
+
 def plan_mix(docs: DataFrame, seeds: int = SEEDS, broadcast_limit: int = BROADCAST_SOURCES, **rule) -> DataFrame:
     """(row, size, source_size, target, copies) for every document, also those not taken."""
     name = lambda r: F.coalesce(F.col(f"{r}doc_id").cast("string"), F.md5(text_or_empty(f"{r}text")))
-    sizes = keep(docs.select("source", n_words(F.col("text")).alias("size"), name("").alias("name")), "mix-sizes")
+    tie = F.monotonically_increasing_id().alias("tie")
+    sizes = keep(docs.select("source", n_words(F.col("text")).alias("size"), name("").alias("name"), tie), "mix-sizes")
     targets = source_targets(sizes, **rule)
+    apart = draws_apart(sizes, targets, broadcast_limit)
+    sizes = _own_names(sizes, apart, broadcast_limit)
     salt = F.xxhash64("name")
     tried = with_rates(sizes, targets, salt, broadcast_limit).groupBy("source").agg(
         *[F.sum(_copies(F.col("rate"), F.col("name"), F.lit(k)) * F.col("size")).alias(f"seed{k}") for k in range(seeds)],
@@ -103,7 +128,8 @@ def plan_mix(docs: DataFrame, seeds: int = SEEDS, broadcast_limit: int = BROADCA
     miss = F.array(*[F.struct(F.abs(F.col(f"seed{k}") - F.col("target")).alias("miss"), F.lit(k).alias("seed")) for k in range(seeds)])
     tried = tried.select(F.col("source").alias("tried"), F.array_min(miss)["seed"].alias("seed"))
     targets = keep(targets.join(tried, F.col("source").eqNullSafe(F.col("tried"))).drop("tried"), "mix-rates")
-    rows = held(docs).select("row", F.col("row.source").alias("source"), n_words(F.col("row.text")).alias("size"), name("row.").alias("name"))
+    rows = held(docs).select("row", F.col("row.source").alias("source"), n_words(F.col("row.text")).alias("size"), name("row.").alias("name"), tie)
+    rows = _own_names(rows, apart, broadcast_limit)
     rows = with_rates(rows, targets, salt, broadcast_limit)
     return rows.select("row", "size", "source_size", "target", _copies(F.col("rate"), F.col("name"), F.col("seed")).alias("copies"))
 

@@ -45,6 +45,20 @@ def test_both_joins_and_reruns_agree(spark):
     assert pick(mixing.plan_mix(table)) == pick(mixing.plan_mix(table.repartition(9), broadcast_limit=0))
 
 
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_a_third_of_the_rows_alike(spark, limit):
+    """Rows that share an id, or a text without one, are drawn apart: their source comes near its target."""
+    rows = [(7, "the same row of several words", "b")] * 900 + [(None, "no id at all here", "b")] * 500
+    rows += [(1000 + i, t, f"src{i % 3}") for i, t in enumerate(texts(1500, seed=9))]
+    table = docs(spark, rows).repartition(6)
+    got = mixing.plan_mix(table, broadcast_limit=limit).select("row.source", "size", "target", "copies").collect()
+    taken, target = {}, {}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r.copies * r["size"]
+        target[r.source] = r.target
+    assert all(taken[s] == pytest.approx(target[s], rel=0.05) for s in target)
+
+
 def test_mix_emits_copies(spark):
     table = docs(spark, corpus_rows())
     out = mixing.mix(table)
