@@ -60,7 +60,8 @@ class Automaton:
             for w in words:
                 state, length = self._step(state, length, w)
                 if length >= window:
-                    self.items.setdefault(self._suffix(state, window), set()).add(name)
+                    state, length = self._suffix(state, window), window
+                    self.items.setdefault(state, set()).add(name)
             if len(words) < window:
                 self.shorts.setdefault(state, []).append((len(words), name))
 
@@ -125,9 +126,12 @@ class Automaton:
             for at, w in enumerate(codes[start:end].tolist(), start):
                 state, length = self._step(state, length, w)
                 if length >= self.window:
+                    # The match goes on as a window: a word leaves as many links as it takes, so all walks are one pass.
+                    length = self.window
+                    state = self._suffix(state, length)
                     hit[at + 1 - length] += 1
                     hit[at + 1] -= 1
-                    found |= self.items[self._suffix(state, self.window)]
+                    found |= self.items[state]
                 if self.shorts:
                     for size, name in self._ends(state, length):
                         hit[at + 1 - size] += 1

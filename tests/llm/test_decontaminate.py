@@ -76,6 +76,26 @@ def test_a_very_long_text(spark):
     assert (got.n_words, got.n_hit, got["items"]) == (200_022, 12, ["7"])
 
 
+def test_one_word_repeated_takes_time_in_proportion():
+    """Suffix links walked, not seconds: a run of one word is walked once."""
+    walked = []
+    for n in (2_000, 8_000):
+        automaton = de.Automaton([(1, [b"a"] * n), (2, [b"a"] * 3)], 10)
+        steps = 0
+
+        class Counted(list):
+            def __getitem__(self, i):
+                nonlocal steps
+                steps += 1
+                return list.__getitem__(self, i)
+
+        automaton.link = Counted(automaton.link)
+        hit, found = automaton.match([b"b", *[b"a"] * n, b"b"])
+        assert hit.sum() == n and found == {1, 2}
+        walked.append(steps)
+    assert walked[1] < 5 * walked[0]
+
+
 def test_large_benchmark_in_bounded_passes(spark):
     rng = random.Random(6)
     say = lambda n: " ".join(rng.choices([f"w{i}" for i in range(9)], k=n))
