@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsefeed.llm.common import held_out
+from pulsefeed.llm.common import held_out, keep
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
@@ -22,4 +22,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     # Aggregated before the exchange too: an id sends one text from each task.
     least = F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text")))
-    return rows.groupBy("doc_id", "label").agg(least.alias("text")).select("doc_id", "text", "label")
+    return keep(rows.groupBy("doc_id", "label").agg(least.alias("text")).select("doc_id", "text", "label"), "labelled")

@@ -7,7 +7,10 @@ model is flat arrays (feature, cut, children, value), and tasks walk all rows of
 a batch through a tree at once with numpy.
 
 Null and empty texts have statistics of zero. No usable labels give the score
-0.5, labels of one class nearly 0 or 1. Repeated rows score alike.
+0.5, labels of one class nearly 0 or 1. Repeated rows score alike. A very long
+text is reduced whole, a text at a time. Of cuts with equal gain the first
+statistic's lowest is taken, so a fit is the same in every run. An empty table
+has no scores; columns other than the text's are not read.
 """
 
 from __future__ import annotations
@@ -105,9 +108,11 @@ class Trees:
         rows = np.arange(len(x))
         for root in self.roots:
             at = np.full(len(x), root)
-            for _ in range(DEPTH):
+            while True:
                 f = self.feature[at]
                 inner = f >= 0
+                if not inner.any():
+                    break
                 goes = x[rows, np.maximum(f, 0)] <= self.cut[at]
                 at = np.where(inner, np.where(goes, self.left[at], self.right[at]), at)
             z += self.value[at]
@@ -164,7 +169,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEP
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> Trees:
-    sample = labelled_sample(docs, labels, label, max_rows).select("doc_id", "text", "label")
+    sample = labelled_sample(docs, labels, label, max_rows)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

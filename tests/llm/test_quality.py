@@ -28,6 +28,15 @@ def test_flat_traversal_equals_walking():
     assert ((model.scores(x) > 0.5) == (y == 1)).mean() > 0.95
 
 
+def test_any_depth_is_walked_to_the_leaves():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(800, len(quality.STATISTICS)))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0) ^ (x[:, 2] > 0)).astype(float)
+    for depth in (1, 3, 8):
+        trees = quality.fit_trees(x, y, trees=6, depth=depth)
+        assert np.allclose(trees.scores(x), [walk(trees, r) for r in x])
+
+
 def test_first_split_is_the_best_of_all_cuts():
     rng = np.random.default_rng(2)
     x = rng.integers(0, 12, size=(200, 3)).astype(float)

@@ -83,3 +83,32 @@ def test_no_labels_or_one_class(spark):
     assert toxicity.fit(table, labels.filter("false")).score("x") == 0.5
     assert toxicity.fit(table, labels.withColumn("toxic", F.lit(0))).score("x") < 0.01
     assert toxicity.fit(table, labels.withColumn("toxic", F.lit(None).cast("int"))).score("x") == 0.5
+
+
+def test_weights_against_a_plain_dense_minimiser():
+    """The same objective written out over dense rows, minimised by small full steps."""
+    rng = np.random.default_rng(7)
+    m, n = 80, 9
+    x = (rng.random((m, n)) < 0.4).astype(float)
+    y = (rng.random(m) < 1 / (1 + np.exp(-(x @ np.linspace(-2, 2, n))))).astype(float)
+    pairs = [(i, np.flatnonzero((rng.random(n) < 0.4)).tolist()) for i in range(0, m, 4)]
+    swapped = np.array([[float(j in f) for j in range(n)] for _, f in pairs])
+    change = x[[i for i, _ in pairs]] - swapped
+    l2, penalty = 0.5, 0.7
+
+    def objective(bias, w):
+        z = x @ w + bias
+        loss = np.mean(np.logaddexp(0, z) - y * z)
+        return loss + l2 * (w @ w) / m + penalty * np.mean((change @ w) ** 2)
+
+    bias, w = 0.0, np.zeros(n)
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp(-(x @ w + bias)))
+        w = w - 0.1 * (x.T @ (p - y) / m + 2 * l2 * w / m + 2 * penalty * change.T @ (change @ w) / len(pairs))
+        bias -= 0.1 * (p - y).mean()
+    rows = [np.flatnonzero(r).tolist() for r in x]
+    got_bias, got = toxicity.fit_weights(rows, y, pairs, n, l2=l2, penalty=penalty, steps=3000)
+    assert objective(got_bias, got) == pytest.approx(objective(bias, w), rel=1e-3)
+    assert np.allclose(got, w, atol=0.05) and got_bias == pytest.approx(bias, abs=0.05)
+    unpenalised = toxicity.fit_weights(rows, y, pairs, n, l2=l2, penalty=0.0, steps=3000)[1]
+    assert np.mean((change @ unpenalised) ** 2) > np.mean((change @ w) ** 2)
