@@ -1,9 +1,12 @@
 """SpotSigs document fingerprints, in DataFrame functions only.
 
 Common words are anchors. The content word after an anchor (or at the start) and
-the content words that follow it, anchors between them skipped, form a chain; the
-hashes of a text's distinct chains, sorted, are its fingerprint. Likeness is the
-Jaccard coefficient of two fingerprints.
+the content words that follow it, anchors between them skipped, form a chain; so
+does every content word with no anchor among the ``STRETCH`` words before it, so
+text without anchors is fingerprinted whole. The hashes of a text's distinct
+chains, sorted, are its fingerprint. Likeness is the Jaccard coefficient of two
+fingerprints. Words beyond the chain but within the stretch after an anchor are
+what a fingerprint does not see.
 
 ``similar`` finds all pairs of classes of equal fingerprints at or above a
 likeness: sets are partitioned by their length so that only a partition and the
@@ -13,7 +16,8 @@ that no pair is missed), lengths prune, and the rest is compared exactly.
 A null text counts as empty and has the empty fingerprint; a text of common words
 only has one signature, of the whole text. Two empty fingerprints are alike (1),
 an empty and another are not (0). Rows with equal ids are ordered by the hash of
-their text; null ids come last. An empty table gives an empty result.
+their text (and of a tie number, if they are too many for a bucket); null ids come
+last. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,9 +32,12 @@ from pulsefeed.llm.common import bucket_of, keep, longs, text_or_empty
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CHAIN = 3
+STRETCH = 8
 SIMILAR = 0.8
 BUCKET_ROWS = 1_000
 MAX_BUCKETS = 10_000
+# An id with more rows than so many buckets is cut.
+_CROWDED = 4
 LOW = -(1 << 63)
 
 # Anchors: the commonest words of four languages; a parameter of the fingerprint.
@@ -53,12 +60,14 @@ def with_signatures(df: DataFrame, text: str, name: str, common: tuple = COMMON_
     The steps are columns one after the other, so no lambda computes its array again.
     """
     words, chains = f"{name}_words", f"{name}_chains"
-    split = F.split(F.lower(text), SEPARATORS)
+    split = F.array_remove(F.split(F.lower(text), SEPARATORS), "")
     df = df.withColumn(words, F.transform(split, lambda w: F.when(w.isin(*common), "").otherwise(w)))
 
     def opens(w: Column, i: Column) -> Column:
         before = F.get(F.col(words), i - 1)
-        return F.when(w != "", F.when((i == 0) | (before == ""), F.concat(F.lit("^"), w)).otherwise(w))
+        recent = F.slice(F.col(words), F.greatest(i - STRETCH, F.lit(0)) + 1, F.least(i, F.lit(STRETCH)))
+        opening = (i == 0) | (before == "") | ~F.array_contains(recent, "")
+        return F.when(w != "", F.when(opening, F.concat(F.lit("^"), w)).otherwise(w))
 
     df = df.withColumn(chains, F.array_compact(F.transform(F.col(words), opens)))
 
@@ -87,7 +96,10 @@ def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFram
     Ids are cut into buckets of rows at approximate quantiles. Each bucket also
     gets a guest: the first document of the bucket that follows (after the last
     one: of the first). One exchange then brings every document beside its next,
-    and no task sees more than a bucket. Rows with ``guest`` 1 are to be dropped.
+    and no task sees more than a bucket (beyond ``MAX_BUCKETS`` times
+    ``bucket_rows`` rows, buckets grow with the table). If an id, or the null,
+    has more rows than a few buckets, the rows are stored with a tie number, and
+    those of that id are cut by a hash of it. Rows with ``guest`` 1 are to be dropped.
     """
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOW))
     rows = docs.select("doc_id", ident.alias("id"), text_or_empty("text").alias("text"))
@@ -95,7 +107,16 @@ def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFram
     buckets = max(1, min(MAX_BUCKETS, n // bucket_rows))
     cuts = rows.agg(F.percentile_approx("id", [k / buckets for k in range(1, buckets)] or [0.5], 100 * buckets)).first()[0]
     bounds = [(c, LOW) for c in sorted(set(cuts or []))] if buckets > 1 else []
-    rows = rows.withColumn("bucket", bucket_of(F.col("id"), F.lit(LOW), bounds)).withColumn("place", F.xxhash64("text"))
+    rows = rows.withColumn("place", F.xxhash64("text"))
+    size = max(bucket_rows, n // MAX_BUCKETS)
+    often = rows.groupBy("id").count().filter(F.col("count") > _CROWDED * size).collect()  # n / size rows at most
+    if often:
+        rows = keep(rows.withColumn("place", F.xxhash64("text", F.monotonically_increasing_id())), "spotsigs-rows")
+        for r in often:
+            parts = -(-r["count"] // size)
+            bounds += [(r["id"], LOW + (k << 64) // parts) for k in range(parts)]
+        bounds = sorted(set(bounds))
+    rows = rows.withColumn("bucket", bucket_of(F.col("id"), F.col("place"), bounds))
     tops = dict(rows.groupBy("bucket").agg(F.max("id")).collect())
     order = sorted(tops, reverse=True)
     receiver = {b: order[k - 1] for k, b in enumerate(order)}  # the first document of b follows the last of the bucket before

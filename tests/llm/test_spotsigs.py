@@ -11,7 +11,9 @@ from pulsefeed.llm import spotsigs
 def chains(text, chain=spotsigs.CHAIN):
     """Chains by walking the words."""
     words = [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower()) if w]
-    content = [(w, i == 0 or words[i - 1] in spotsigs.COMMON_WORDS) for i, w in enumerate(words) if w not in spotsigs.COMMON_WORDS]
+    common = [w in spotsigs.COMMON_WORDS for w in words]
+    opens = [i == 0 or common[i - 1] or not any(common[max(0, i - spotsigs.STRETCH) : i]) for i in range(len(words))]
+    content = [(w, opens[i]) for i, w in enumerate(words) if not common[i]]
     got = {tuple(w for w, _ in content[i : i + chain]) for i, (_, opens) in enumerate(content) if opens}
     return got or ({(text.lower(),)} if text else set())
 
@@ -53,6 +55,33 @@ def test_edits_against_brute_force(spark, monkeypatch, bucket):
     assert got[5000].fingerprint == got[5001].fingerprint and got[5001].near_next == 1.0
 
 
+def test_text_without_anchors_is_fingerprinted_whole(spark):
+    alike = "zeta eta theta " + " ".join(f"x{i}" for i in range(500))
+    other = "zeta eta theta " + " ".join(f"y{i}" for i in range(500))
+    got = {r.doc_id: r for r in spotsigs.edits(docs(spark, [(1, alike), (2, other), (3, "  " + alike + " !")])).collect()}
+    assert got[2].near_next < 0.01 and got[1].near_edited < 0.7 and got[1].fingerprint != got[2].fingerprint
+    assert got[1].fingerprint == got[3].fingerprint
+
+
+def test_an_id_with_a_third_of_the_rows_is_cut(spark, monkeypatch):
+    """Equal ids, null ids and wholly equal rows: every row once, no bucket far beyond its size."""
+    monkeypatch.setattr(spotsigs.with_next, "__defaults__", (20,))
+    for same in (7, None):
+        rows = [(same, "the same row again")] * 400 + [(same, f"the row {i} of them") for i in range(100)] + [(1000 + i, t) for i, t in enumerate(texts(700, seed=3))]
+        table = docs(spark, rows).repartition(5)
+        spread, _ = spotsigs.with_next(table, 20)
+        sizes = [r["count"] for r in spread.groupBy("bucket").count().collect()]
+        assert max(sizes) <= 130 and sum(sizes) >= len(rows)
+        got = spotsigs.edits(table).collect()
+        assert len(got) == len(rows)
+        unique = {r.doc_id: r for r in got if r.doc_id is not None and r.doc_id >= 1000}
+        ordered = sorted(unique, reverse=True)
+        text = {1000 + i: t for i, t in enumerate(texts(700, seed=3))}
+        for a, b in zip(ordered, ordered[1:]):
+            half = len(text[a]) // 2
+            assert unique[a].edited_sha256 == hashlib.sha256((text[a][: len(text[a]) - half] + text[b][:half]).encode()).hexdigest()
+
+
 def test_ties_nulls_and_one_document(spark):
     assert spotsigs.edits(docs(spark, awkward())).count() == len(awkward())
     alone = spotsigs.edits(docs(spark, [(4, "the first half and the second")])).first()
