@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,9 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share; a local one only where the session names none, as in tests."""
+    """A new path in the folder all executors share. Where the session names none, a local one is used on a local master only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"file://{tempfile.gettempdir()}/pulsefeed-{spark.sparkContext.applicationId}"
     return f"{base}/{name}-{uuid.uuid4().hex}"
 

@@ -5,6 +5,7 @@ import random
 
 import pytest
 from corpus import awkward
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pulsefeed.llm import oracle, queries
@@ -67,6 +68,23 @@ def test_run_equals_the_stages(spark, tables):
     assert rows(got) == rows(spark.read.parquet(f"{tables[0]}/sharding"))
 
 
+def test_extra_columns_and_empty_tables(spark, tables, tmp_path):
+    """Columns of any other name pass every stage; shard and slot are the last stage's own. Empty tables give an empty corpus."""
+    docs = spark.read.parquet(f"{tables[0]}/documents.parquet")
+    clash = {c: F.lit(i) for i, c in enumerate(("row", "size", "score", "copies", "tie", "name", "fp", "h", "id", "piece", "shard", "slot"))}
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{tables[0]}/{table}.parquet").withColumn("text2", F.lit("x")).write.parquet(f"{tmp_path}/{table}.parquet")
+    docs.withColumns(clash).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(got.columns) == sorted([*docs.columns, *clash]) and got.select("size", "row").distinct().collect() == [(1, 0)]
+    plain = corpus_pipeline.run(spark, tables[0])
+    assert {r.doc_id for r in got.select("doc_id").collect()} == {r.doc_id for r in plain.select("doc_id").collect()}
+    empty = tmp_path / "empty"
+    for table in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{tables[0]}/{table}.parquet").limit(0).write.parquet(f"{empty}/{table}.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).collect() == []
+
+
 @pytest.mark.parametrize("name", sorted(oracle.llm_sql()))
 def test_twins(spark, sf_dir, name):
     from compare import connect, difference
@@ -78,6 +96,8 @@ def test_twins(spark, sf_dir, name):
 def test_every_document_is_returned(spark, sf_dir, name):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = queries.llm_queries()[name](spark, sf_dir)
+    if name == "op11_packing":
+        got = got.filter("piece = 0")
     ids = [r.doc_id for r in got.select("doc_id").collect()]
     if name == "pipeline":
         assert 0 < len(set(ids)) <= docs.count()
