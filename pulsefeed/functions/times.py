@@ -5,6 +5,7 @@ from __future__ import annotations
 import zoneinfo
 from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,6 +64,29 @@ def parse_boundary_time(text: Column) -> Column:
     return F.coalesce(parse_iso(text), F.timestamp_micros(F.round(seconds * float(MICROS)).cast("bigint")))
 
 
+def iso_text(text: Column) -> Column:
+    """A time that the boundary took, as extended ISO-8601 with the offset it came with (or none); unix times are in UTC.
+
+    What it names is the same instant and the same local date, and the message parser reads it.
+    """
+    part = lambda g: F.regexp_extract(text, _ANY, g)
+    seconds = F.when(part(16) == "", F.lit("")).otherwise(F.concat(F.lit(":"), part(16)))
+    offset = F.when(part(12) == "Z", F.lit("Z")).when(
+        part(12) != "", F.concat(part(13), part(14), F.lit(":"), _part(text, 15, "00"), seconds)
+    ).otherwise(F.lit(""))
+    fraction = F.when(part(11) == "", F.lit("")).otherwise(F.concat(F.lit("."), part(11)))
+    clock = F.concat_ws(":", *[_part(text, g, "00") for g in (8, 9, 10)])
+    other = F.concat(_local_date(text), F.lit("T"), clock, fraction, offset)
+    at = epoch_us(parse_boundary_time(text))
+    in_day = F.pmod(at, F.lit(DAY_US))
+    two = lambda value: F.lpad(value.cast("string"), 2, "0")
+    utc = F.concat(
+        utc_date(at), F.lit("T"), two(floor_div(in_day, HOUR_US)), F.lit(":"), two(floor_div(in_day, HOUR_US // 60) % 60), F.lit(":"),
+        two(floor_div(in_day, MICROS) % 60), F.lit("."), F.lpad((in_day % MICROS).cast("string"), 6, "0"), F.lit("+00:00"),
+    )
+    return F.when(text.rlike(_FULL), F.translate(text, ", ", ".T")).when(text.rlike(_ANY), other).otherwise(utc)
+
+
 def local_event_date(text: Column) -> Column:
     """Calendar date of an ISO timestamp in its own offset (not in UTC)."""
     return F.when(text.rlike(_FULL), F.substring(text, 1, 10)).otherwise(_local_date(text))
@@ -93,8 +117,12 @@ def utc_date(us: Column) -> Column:
 
 @lru_cache(maxsize=1)
 def known_zones() -> tuple[str, ...]:
-    """IANA names of the driver's zone database that the JVM resolves as well."""
-    return tuple(sorted(zoneinfo.available_timezones() - {"Factory", "localtime", "ROC"}))
+    """IANA names of the driver's zone database that the JVM has as well; without a JVM to ask, less those it is known to lack."""
+    names = zoneinfo.available_timezones() - {"Factory", "localtime", "ROC"}
+    context = SparkContext._active_spark_context
+    if context is not None:
+        names &= set(context._jvm.java.time.ZoneId.getAvailableZoneIds().toArray())
+    return tuple(sorted(names))
 
 
 def time_of_day(event_us: Column, tz: str) -> Column:

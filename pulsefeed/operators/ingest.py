@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsefeed.functions.pseudonym import pseudonymize
-from pulsefeed.functions.times import epoch_us, local_event_date, parse_boundary_time, parse_iso
+from pulsefeed.functions.times import epoch_us, iso_text, local_event_date, parse_boundary_time, parse_iso
 from pulsefeed.schemas import MESSAGE_REQUIRED, SESSION_INPUT, WATCH_INPUT, WATCH_MESSAGE
 
 REASON = "reject_reason"
@@ -69,12 +69,12 @@ def rejects_by_reason(checked: DataFrame) -> DataFrame:
 
 
 def watch_payload(valid: DataFrame, secret: str, extra: list[str] | None = None) -> DataFrame:
-    """What may leave the boundary: the raw user id is replaced, never carried."""
+    """What may leave the boundary: the raw user id is replaced, never carried, and the time is ISO-8601 whatever form it had."""
     return valid.select(
         pseudonymize(F.col("user_id"), secret).alias("pseudo_user_id"),
         "content_id",
         F.col("watch_pct").cast("double").alias("watch_pct"),
-        "timestamp",
+        iso_text(F.col("timestamp")).alias("timestamp"),
         *[c for c in WATCH_INPUT.fieldNames() if c in ("genre", "timezone")],
         *(extra or []),
     )
@@ -85,7 +85,7 @@ def session_payload(valid: DataFrame, secret: str, extra: list[str] | None = Non
         pseudonymize(F.col("user_id"), secret).alias("pseudo_user_id"),
         "session_id",
         "device",
-        "start_time",
+        iso_text(F.col("start_time")).alias("start_time"),
         *(extra or []),
     )
 

@@ -65,8 +65,23 @@ def watch_events(spark: SparkSession, sf_dir: str, secret: str | None = None) ->
     )
 
 
-def raw_watch_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+def boundary_stamps() -> Column:
+    """The event time in the forms a client may send: full, unix seconds, unix milliseconds, basic with an offset, naive."""
+    wall = lambda pattern: F.date_format("ts", pattern)
+    micros = F.col("t_us")
+    forms = [
+        wall("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
+        F.format_string("%d.%06d", F.floor(micros / 1_000_000), F.pmod(micros, F.lit(1_000_000))),
+        F.floor(micros / 1_000).cast("string"),
+        wall("yyyyMMdd'T'HHmmss.SSSSSS'+0530'"),
+        wall("yyyy-MM-dd HH:mm:ss,SSSSSS"),
+    ]
+    return F.element_at(F.array(*forms), (F.col("event_id") % len(forms) + 1).cast("int"))
+
+
+def raw_watch_input(spark: SparkSession, sf_dir: str, stamp: Column | None = None) -> DataFrame:
     """Watch events as untyped text with every kind of invalid row among them."""
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") if stamp is None else stamp
     events = read_events(spark, sf_dir)
     n = F.col("event_id")
     return events.select(
@@ -75,7 +90,7 @@ def raw_watch_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 89 != 0, _pick([c[0] for c in cfg.CATALOG], n % len(cfg.CATALOG))).alias("content_id"),
         F.when(n % 83 == 0, F.lit("abc")).when(n % 79 != 0, F.col("value").cast("string")).alias("watch_pct"),
         F.when(n % 73 == 0, F.lit("not-a-date"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).alias("timestamp"),
+        .otherwise(stamp).alias("timestamp"),
         F.lit(None).cast("string").alias("genre"),
         F.lit(None).cast("string").alias("timezone"),
     )

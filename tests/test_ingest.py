@@ -5,6 +5,7 @@ import hmac
 import pytest
 from pyspark.sql import functions as F
 
+from pulsefeed.functions import times
 from pulsefeed.functions.pseudonym import pseudonymize
 from pulsefeed.functions.times import epoch_us, local_event_date, parse_iso
 from pulsefeed.operators import ingest
@@ -164,6 +165,28 @@ def test_unix_times_at_the_boundary(spark):
     assert got == [at, at + 500_000, at, at, None, None]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("text,published", [
+    ("2026-05-01T10:00:00Z", "2026-05-01T10:00:00Z"), ("2026-05-01 10:00:00,25", "2026-05-01T10:00:00.25"),
+    ("20260501T100000+0530", "2026-05-01T10:00:00+05:30"), ("2026-W18-5T10Z", "2026-05-01T10:00:00Z"),
+    ("2026-05-01T10:00:00-05:30:15", "2026-05-01T10:00:00-05:30:15"), ("1777629600", "2026-05-01T10:00:00.000000+00:00"),
+    ("1777629600.5", "2026-05-01T10:00:00.500000+00:00"), ("1777629600123", "2026-05-01T10:00:00.123000+00:00"),
+    ("-1.5", "1969-12-31T23:59:58.500000+00:00"), ("20260501", "2026-05-01T00:00:00"), ("2026-05-01T10+01", "2026-05-01T10:00:00+01:00"),
+])
+def test_times_are_published_in_one_form_and_read_back(spark, zone, text, published):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        t = spark.createDataFrame([(text,)], "t string")
+        got = t.select(
+            times.iso_text(F.col("t")).alias("out"), times.epoch_us(times.parse_boundary_time(F.col("t"))).alias("at"),
+            times.epoch_us(times.parse_iso(times.iso_text(F.col("t")))).alias("back"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got["out"] == published and got["at"] == got["back"] is not None
+
+
 def test_publish_and_read_back(spark, tmp_path):
     payload = ingest.watch_payload(watch(spark, genre="drama"), "k").withColumns(
         {"arrival_us": F.lit(5).cast("bigint"), "arrival_seq": F.lit(1).cast("bigint")}
