@@ -6,12 +6,12 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pulsefeed import settings as cfg
 from pulsefeed.operators.consent import audit_month
 from pulsefeed.schemas import AUDIT_LOG
 from pulsefeed.sources import files
+from pulsefeed.sources.batch_log import BatchLog
 
 MONTH = "audit_month"
 
@@ -60,10 +60,13 @@ def write_audit(audit: DataFrame, path: str, mode: str = "append") -> None:
     with_month(audit).write.partitionBy(MONTH).mode(mode).parquet(path)
 
 
+def audit_log(spark: SparkSession, path: str) -> BatchLog:
+    return BatchLog(spark, path, AUDIT_LOG, [MONTH])
+
+
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The partitioned log; months stay text so that filters on them prune directories."""
-    schema = T.StructType([*AUDIT_LOG.fields, T.StructField(MONTH, T.StringType())])
-    return spark.read.schema(schema).parquet(path)
+    return audit_log(spark, path).read()
 
 
 def stored_months(spark: SparkSession, path: str) -> list[str]:
@@ -91,15 +94,15 @@ def drop_expired(
     months = [m for m in stored_months(spark, path) if m < cutoff]
     if dry_run:
         return months
+    log = audit_log(spark, path)
     for month in months:
-        source = f"{path}/{MONTH}={month}"
         if archive is not None:
             target = f"{archive}/{MONTH}={month}"
-            rows = spark.read.schema(AUDIT_LOG).parquet(source).select(*AUDIT_LOG.fieldNames())
+            rows = log.read([f"{MONTH}={month}"]).select(*AUDIT_LOG.fieldNames())
             kept = lambda: spark.read.schema(AUDIT_LOG).parquet(target)
             missing = rows.exceptAll(kept()) if files.exists(spark, target) else rows
             missing.write.mode("append").parquet(target)
             if not rows.exceptAll(kept()).isEmpty():
                 raise RuntimeError(f"archive of {month} is incomplete; nothing was deleted")
-        files.delete(spark, source)
+        log.drop(f"{MONTH}={month}")
     return months

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from pulsefeed.operators.consent import audit_entries
-from pulsefeed.operators.retention import MONTH, with_month
-from pulsefeed.schemas import AUDIT_LOG, CONSENT
+from pulsefeed.operators import retention
+from pulsefeed.operators.retention import with_month
+from pulsefeed.schemas import CONSENT
 from pulsefeed.sources.latest_table import LatestTable, stream_run
 
-BATCH = "batch"
 _STATE = T.StructType(CONSENT.fields + [T.StructField("seq", T.LongType())])
 
 
@@ -36,28 +35,23 @@ def consent_writer(
     Both writes are named after the stream run and the batch and replace
     themselves when it is repeated, so after a failure in between the retry brings
     them back in step, and a new checkpoint never meets the entries of an old one.
-    The consent table is compacted now and then.
+    Both are compacted now and then; the audit log month by month.
     """
+    audit = retention.audit_log(changes.sparkSession, audit_path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         # Two writes read the batch: keep it so that the source is read once.
         batch.persist()
         run = stream_run(batch)
-        entries = with_month(audit_entries(batch)).withColumn(BATCH, F.lit(f"{run}.{batch_id}"))
-        (
-            entries.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH, BATCH)
-            .parquet(audit_path)
-        )
+        audit.append(with_month(audit_entries(batch)), batch_id, run)
         table.upsert(batch.withColumnRenamed("ts", "updated_at"), batch_id, run)
         batch.unpersist()
         if batch_id and batch_id % compact_every == 0:
             table.compact()
+            audit.compact(max(2, compact_every // 2))
 
     return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
 def read_audit_log(spark: SparkSession, audit_path: str) -> DataFrame:
-    schema = T.StructType(AUDIT_LOG.fields + [T.StructField(MONTH, T.StringType()), T.StructField(BATCH, T.StringType())])
-    return spark.read.schema(schema).parquet(audit_path).drop(BATCH)
+    return retention.audit_log(spark, audit_path).read()

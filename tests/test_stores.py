@@ -56,6 +56,90 @@ def test_unreadable_day_is_skipped(spark, tmp_path):
         log.read_log(spark, path, "2026-05-02", "2026-05-02")
 
 
+def test_unreadable_files_are_reported(spark, tmp_path):
+    """Also a file whose first row groups can be read: it is named with the reason, and left out whole."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path, report = str(tmp_path / "log"), str(tmp_path / "report")
+    log.write_log(arrived(spark, [feature(date="2026-05-01"), feature(date="2026-05-02"), feature(date="2026-05-03")]), path)
+    day = lambda d: tmp_path / "log" / "year=2026" / "month=05" / f"day={d}"
+    next(day("02").glob("*.parquet")).write_bytes(b"not parquet at all")
+    half = next(day("03").glob("*.parquet"))
+    whole = pa.concat_tables([pq.read_table(half, partitioning=None)] * 4000)
+    pq.write_table(whole, half, row_group_size=1000)
+    data = bytearray(half.read_bytes())
+    at = pq.ParquetFile(half).metadata.row_group(3).column(0).data_page_offset
+    data[at : at + 8] = b"\xff" * 8
+    half.write_bytes(data)
+    for crc in (tmp_path / "log").rglob("*.crc"):
+        crc.unlink()
+    assert log.read_log(spark, path, "2026-05-01", "2026-05-03", report=report).count() == 1
+    found = {r["file"].rsplit("/", 2)[-2]: r for r in spark.read.parquet(report).collect()}
+    assert set(found) == {"day=02", "day=03"} and found["day=02"]["rows"] == 0 and 1000 <= found["day=03"]["rows"] < 4000
+    assert all(r["error"] and r["length"] for r in found.values())
+    outcomes = {r["file"].rsplit("/", 2)[-2]: r["error"] for r in log.file_outcomes(spark, [path]).collect()}
+    assert outcomes["day=01"] is None and len(outcomes) == 3
+    with pytest.raises(ValueError, match="no readable"):
+        log.read_log(spark, path, "2026-05-02", "2026-05-03", report=report)
+
+
+def test_batch_log_stays_bounded_and_loses_nothing(spark, tmp_path):
+    from pulsefeed.sources import files
+    from pulsefeed.sources.batch_log import BatchLog
+
+    path = str(tmp_path / "log")
+    batches = BatchLog(spark, path, StructType([StructField("id", LongType())]), ["month"])
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    most, ids = 0, []
+    for run, n in (("one", 24), ("two", 24)):  # a new checkpoint numbers its batches from 0 again
+        for i in range(n):
+            ids += [len(ids), len(ids) + 1]
+            rows = spark.createDataFrame([(x, f"2026-0{1 + x % 2}") for x in ids[-2:]], "id long, month string").coalesce(1)
+            batches.append(rows, i, run)
+            if i % 11 == 0:
+                batches.append(rows, i, run)  # repeated after a failure
+            if i % 8 == 7:
+                assert batches.compact(4) == ["month=2026-01", "month=2026-02"]
+                batches.append(rows, i, run)  # repeated after it was folded in
+            most = max(most, len(files.partition_values(spark, f"{path}/month=2026-01", "batch")))
+    assert most <= 20
+    got = [r["id"] for r in batches.read().collect()]
+    assert sorted(got) == ids
+    assert sorted(r["id"] for r in batches.read(["month=2026-01"]).collect()) == ids[::2]
+    # A failed compaction, before its manifest is whole, changes nothing for readers and is passed over.
+    assert files.create_new(spark, f"{path}/_manifests/month=2026-01/99", "{")
+    assert not files.create_new(spark, f"{path}/_manifests/month=2026-01/99", "other")
+    assert batches.read().count() == len(ids)
+    batches.append(spark.createDataFrame([(-1, "2026-01"), (-2, "2026-02")], "id long, month string"), 500, "two")
+    assert batches.compact(1) == ["month=2026-01", "month=2026-02"] and batches.read().count() == len(ids) + 2
+    batches.drop("month=2026-01")
+    assert sorted(r["id"] for r in batches.read().collect()) == sorted([-2, *ids[1::2]])
+
+
+def test_readers_keep_their_files_over_a_compaction(spark, tmp_path):
+    from pulsefeed.sources.batch_log import BatchLog
+
+    batches = BatchLog(spark, str(tmp_path / "log"), StructType([StructField("id", LongType())]), ["month"])
+    for i in range(4):
+        batches.append(spark.createDataFrame([(i, "2026-01")], "id long, month string"), i, "r")
+    planned = batches.read()
+    batches.compact()
+    assert planned.count() == 4 and batches.read().count() == 4
+
+
+def test_expired_months_of_a_compacted_log_are_archived_whole(spark, tmp_path):
+    path, archive = str(tmp_path / "audit"), str(tmp_path / "cold")
+    entries = retention.audit_log(spark, path)
+    for i in range(6):
+        entries.append(retention.with_month(_audit(spark, [dt.datetime(2025, 9, 1 + i), dt.datetime(2025, 12, 1 + i)])), i, "r")
+        if i in (2, 4):
+            entries.compact()
+    assert retention.drop_expired(spark, path, dt.date(2026, 1, 10), 2, archive=archive) == ["2025-09"]
+    assert spark.read.parquet(f"{archive}/audit_month=2025-09").count() == 6
+    assert retention.read_audit(spark, path).count() == 6 and retention.stored_months(spark, path) == ["2025-12"]
+
+
 def test_dedup_keeps_newest_then_fullest(spark):
     data = [feature(epoch=1, computed=5, count=1), feature(epoch=1, computed=9, count=2), feature(epoch=1, computed=9, count=3),
             feature(epoch=2, computed=1)]
@@ -96,8 +180,8 @@ def test_hash_round_trip_and_tolerant_decode(spark):
     assert (got["k2"]["watch_count_10min"], got["k3"]["watch_count_10min"], got["k4"]["watch_count_10min"]) == (0, 7, None)
 
 
-@pytest.mark.parametrize("hot", [None, [], ["u1"], [None, "u1"]])
-def test_features_as_of_matches_a_direct_scan(spark, hot):
+@pytest.mark.parametrize("hot,busy", [(None, 10**6), ([], 10**6), (["u1"], 10**6), ([None, "u1"], 10**6), (None, 2), (["u1"], 1)])
+def test_features_as_of_matches_a_direct_scan(spark, hot, busy):
     import random
 
     rng = random.Random(4)
@@ -106,8 +190,10 @@ def test_features_as_of_matches_a_direct_scan(spark, hot):
     df = spark.createDataFrame(writes, schema).toDF(*FEATURE_COLUMNS, *ARRIVAL).withColumn(
         "written_us", (F.col("computed_at_epoch") * 1_000_000).cast("bigint"))
     asks = [(i, f"u{rng.randrange(4)}", rng.randrange(50_000) * 1_000_000) for i in range(100)]
+    # A load: many requests at the instant of a write.
+    asks += [(i, "u1", int(next(w[8] for w in writes if w[0] == "u1") * 1_000_000)) for i in range(100, 160)]
     requests = spark.createDataFrame(asks, "request_id long, pseudo_user_id string, request_us long")
-    got = {r["request_id"]: r for r in online.features_as_of(requests, df, 3600, hot).collect()}
+    got = {r["request_id"]: r for r in online.features_as_of(requests, df, 3600, hot, busy).collect()}
     for i, u, at in asks:
         seen = [w for w in writes if w[0] == u and w[8] * 1e6 <= at]
         best = max(seen, key=lambda w: (w[8], w[10], w[11]), default=None)
