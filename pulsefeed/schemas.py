@@ -53,16 +53,14 @@ FEATURE_COLUMNS = FEATURE_ROW.fieldNames()
 # Arrival position travels with a feature row until it is stored.
 ARRIVAL = ["arrival_us", "arrival_seq"]
 
-# Keyed state of the streaming feature operator. Fields may be added at the
-# end; none may change its type or be removed.
-WATCH_RECORD = _schema(
-    ("content_id", S, True), ("watch_pct", D, False), ("event_us", L, False), ("genre", S, True),
-)
+# Keyed state of the streaming feature operator: the events of a user's last
+# window as columns of numbers (times as int64, percentages as float64, genres as
+# int32 positions in ``genres``, -1 for none). It is stored in Avro, so fields may
+# be added at the end and a restart reads older state with them null; none may
+# change its type or be removed.
 USER_STATE = _schema(
-    ("recent_watches", T.ArrayType(WATCH_RECORD), False),
-    ("session_genre_counts", T.MapType(S, D), False),
-    ("last_computed_at_epoch", D, False),
-    ("hwm_us", L, False),
+    ("hwm_us", L, True), ("event_us", T.BinaryType(), True), ("watch_pct", T.BinaryType(), True),
+    ("genre_at", T.BinaryType(), True), ("genres", T.ArrayType(S), True),
 )
 
 CONSENT = _schema(("user_pseudo_id", S, False), ("consent_granted", B, False), ("updated_at", TS, False))

@@ -42,6 +42,18 @@ FRESHNESS_LIMIT_SECONDS = 5.0
 TOP_N_DEFAULT = 10
 TOP_N_MAX = 100
 
+# --- fixed values: names of the logged training parameters ------------------
+LOGGED_PARAMETERS = {
+    "model": "model_type",
+    "range_days": "training_date_range_days",
+    "validation_days": "validation_split_days",
+    "threshold": "engaged_threshold",
+    "train_rows": "train_rows",
+    "validation_rows": "val_rows",
+    "positive_rate": "positive_rate_train",
+}
+LOGGED_MODEL_PREFIX = "model_param_"
+
 # --- fixed values: default catalog, in list order ---------------------------
 CATALOG = [
     ("c001", "action", "Shadow Strike"),
@@ -92,7 +104,14 @@ BUSY_SLICE_ROWS = 20_000_000
 # Up to this many genres get a column each inside the window; beyond it the
 # long form is used.
 MAX_GENRE_COLUMNS = 64
-
+# Most genres that a model's vocabulary holds.
+MAX_VOCABULARY = 50_000
+# More of them than this are one sparse vector instead of a column each.
+MAX_GENRE_FEATURES = 256
+# The online view gets a micro-batch as often as this, and its directories are
+# folded together after so many.
+ONLINE_TRIGGER_SECONDS = 1
+COMPACT_EVERY_BATCHES = 60
 
 def pseudonym_secret() -> str:
     """HMAC secret: from the environment in deployments, a test value otherwise."""

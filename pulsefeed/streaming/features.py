@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from pulsefeed import settings as cfg
 from pulsefeed.functions.times import time_of_day, us_to_seconds
 from pulsefeed.operators.window_features import WindowSpec
-from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS, USER_STATE
-from pulsefeed.sources.feature_log import PARTITIONS, with_partitions
+from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS, FEATURE_ROW, USER_STATE
+from pulsefeed.sources.batch_log import BatchLog
+from pulsefeed.sources.feature_log import PARTITIONS, batch_log, with_partitions
+from pulsefeed.sources.latest_table import LatestTable, stream_run
 
 USER = "pseudo_user_id"
-_INPUT = ["content_id", "watch_pct", "genre", "timezone", "event_us", "event_date", *ARRIVAL]
+_INPUT = ["watch_pct", "genre", "timezone", "event_us", "event_date", *ARRIVAL]
 _OUTPUT = T.StructType(
     [
         T.StructField(USER, T.StringType()),
@@ -29,7 +29,9 @@ _OUTPUT = T.StructType(
         T.StructField("category_affinity_score", T.DoubleType()),
         T.StructField("avg_watch_duration", T.DoubleType()),
         T.StructField("recency_score", T.DoubleType()),
-        T.StructField("session_genre_vector", T.StringType()),
+        # Shares of the named genres, no number for those without an event in the window.
+        T.StructField("genres", T.ArrayType(T.StringType())),
+        T.StructField("shares", T.ArrayType(T.DoubleType())),
         T.StructField("event_us", T.LongType()),
         T.StructField("timezone", T.StringType()),
         T.StructField("computed_at_epoch", T.DoubleType()),
@@ -58,7 +60,7 @@ def _score(weight, exact_pct, n, shift, rate) -> np.ndarray:
 
 
 def _window_values(
-    t: np.ndarray, pct: np.ndarray, genre: np.ndarray, cutoff: np.ndarray, alive: np.ndarray, held: int, spec: WindowSpec
+    t: np.ndarray, pct: np.ndarray, genre_at: np.ndarray, genres: list[str], cutoff: np.ndarray, alive: np.ndarray, held: int, spec: WindowSpec
 ) -> dict[str, object]:
     """Feature values of the events after the first ``held``, which are earlier survivors.
 
@@ -78,12 +80,12 @@ def _window_values(
     order = np.lexsort((src, kind, axis, slice_))
     src, kind, slice_, sign = src[order], kind[order], slice_[order], sign[order]
 
-    missing = pd.isna(genre)
-    names = sorted({g for g in genre[~missing] if g})
+    missing = genre_at < 0
+    names = sorted((g, at) for at, g in enumerate(genres) if g)
     high, low = _limbs(pct)
     columns = [np.ones(len(t), np.int64), high, low, np.where(missing, 0, high), np.where(missing, 0, low)]
-    for name in names:
-        hit = genre == name
+    for _, at in names:
+        hit = genre_at == at
         columns += [hit.astype(np.int64), np.where(hit, high, 0), np.where(hit, low, 0)]
     counts = np.stack(columns, axis=1)[src] * sign[:, None]
     age = np.where(alive[src], (t[src] - slice_ * width) / 1e6, 0.0)
@@ -105,72 +107,82 @@ def _window_values(
     sums, decayed, now = counts[asks], decayed[asks], src[asks]
     shift = (slice_[asks] * width - t[now]) / 1e6
     n, total_pct = sums[:, 0], _exact(sums, 1)
-    weights = [_exact(sums, 6 + 3 * i) for i in range(len(names))]
-    total = np.sum(weights, axis=0) if names else np.zeros(len(now))
+    weights = np.stack([_exact(sums, 6 + 3 * i) for i in range(len(names))] or [np.zeros(len(now))], axis=1)
+    total = weights.sum(axis=1, keepdims=True)
+    present = sums[:, 5::3] > 0 if names else np.zeros((len(now), 1), bool)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        shares = np.where(present & (total > 0), weights / total, np.nan)
     return {
         "watch_count_10min": n.astype(np.int32),
         "category_affinity_score": _score(decayed[:, 1], _exact(sums, 3), n, shift, spec.affinity_lambda),
         "avg_watch_duration": np.where(n > 0, total_pct / np.maximum(n, 1), 0.0),
         "recency_score": _score(decayed[:, 0], total_pct, n, shift, spec.recency_lambda),
-        "session_genre_vector": [
-            json.dumps(
-                {x: float(weights[j][i] / total[i]) for j, x in enumerate(names) if sums[i, 5 + 3 * j] > 0},
-                separators=(",", ":"),
-            )
-            if total[i] > 0
-            else "{}"
-            for i in range(len(now))
-        ],
+        "genres": [[g for g, _ in names]] * len(now),
+        "shares": list(shares[:, : len(names)]),
     }
 
 
-def _stateful(spec: WindowSpec):
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        frames = list(batches)
+class WindowState(StatefulProcessor):
+    """One user's window: state and rows are columns, nothing is done per event."""
+
+    def __init__(self, spec: WindowSpec, state: T.StructType = USER_STATE):
+        self.spec, self.schema = spec, state
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("window", self.schema)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frames = list(rows)
         frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         # A shuffle loses arrival order within the batch: restore it first.
         order = np.lexsort((frame["arrival_seq"].to_numpy(), frame["arrival_us"].to_numpy()))
-        rows = {c: frame[c].to_numpy()[order] for c in _INPUT}
-        watches, hwm = [], 0
-        if state.exists:
-            watches, _, _, hwm = state.get
-        held = len(watches)
-        t = np.concatenate([np.array([w[2] for w in watches], np.int64), rows["event_us"].astype(np.int64)])
-        pct = np.concatenate([np.array([w[1] for w in watches], float), rows["watch_pct"].astype(float)])
-        genre = np.concatenate([np.array([w[3] for w in watches], object), rows["genre"].astype(object)])
+        frame = frame.iloc[order]
+        found = self.state.get()
+        hwm, times, pcts, places, genres = found[:5] if found else (0, b"", b"", b"", [])
+        codes, fresh = pd.factorize(frame["genre"])
+        genres = list(genres) + [g for g in fresh if g not in genres]
+        place_of = np.array([genres.index(g) for g in fresh] + [-1], np.int32)
+        t = np.concatenate([np.frombuffer(times, np.int64), frame["event_us"].to_numpy(np.int64)])
+        pct = np.concatenate([np.frombuffer(pcts, float), frame["watch_pct"].to_numpy(float)])
+        genre_at = np.concatenate([np.frombuffer(places, np.int32), place_of[codes]])
+        held = len(t) - len(frame)
         marks = np.maximum.accumulate(np.maximum(t[held:], hwm))
-        cutoff = np.concatenate([np.full(held, hwm - spec.us), marks - spec.us])
+        cutoff = np.concatenate([np.full(held, hwm - self.spec.us), marks - self.spec.us])
         alive = t >= cutoff
-        values = _window_values(t, pct, genre, cutoff, alive, held, spec)
-
-        now = time.time()
-        content = [w[0] for w in watches] + rows["content_id"].tolist()
-        kept = np.flatnonzero(alive & (t >= cutoff[-1]))
-        records, genres = [], {}
-        for i in kept:
-            g = None if pd.isna(genre[i]) else genre[i]
-            records.append((content[i], float(pct[i]), int(t[i]), g))
-            if g:
-                genres[g] = genres.get(g, 0.0) + float(pct[i]) / 100.0
-        state.update((records, genres, now, int(marks[-1])))
-        values |= {c: rows[c] for c in ("event_us", "timezone", "event_date", *ARRIVAL)}
-        values |= {USER: [key[0]] * len(order), "computed_at_epoch": np.full(len(order), now)}
+        values = _window_values(t, pct, genre_at, genres, cutoff, alive, held, self.spec)
+
+        kept = alive & (t >= cutoff[-1])
+        used, compact = np.unique(genre_at[kept], return_inverse=True)
+        if len(used) and used[0] < 0:
+            used, compact = used[1:], compact - 1
+        new = (int(marks[-1]), t[kept].tobytes(), pct[kept].tobytes(), compact.astype(np.int32).tobytes(), [genres[i] for i in used])
+        # Fields added after these are null until they are filled.
+        self.state.update(new + (None,) * (len(self.schema) - len(new)))
+        values |= {c: frame[c].to_numpy() for c in ("event_us", "timezone", "event_date", *ARRIVAL)}
+        values |= {USER: [key[0]] * len(frame), "computed_at_epoch": np.full(len(frame), time.time())}
         yield pd.DataFrame({c: values[c] for c in _OUTPUT.fieldNames()})
 
-    return update
+    def close(self) -> None:
+        pass
+
 
+def _vector_text(genres: Column, shares: Column) -> Column:
+    """The genre vector as compact JSON, without absent genres."""
+    pairs = F.filter(F.arrays_zip(genres.alias("g"), shares.alias("s")), lambda p: p["s"].isNotNull() & ~F.isnan(p["s"]))
+    return F.to_json(F.map_from_entries(pairs))
 
-def stream_features(events: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
+
+def stream_features(events: DataFrame, spec: WindowSpec = WindowSpec(), state: T.StructType = USER_STATE) -> DataFrame:
     """Feature rows of a stream of parsed watch events, one per event.
 
     No watermark and no state expiry: late events are absorbed by the
-    high-water mark. A user's state is the events of the last window. The size
-    of a micro-batch, and so of one user's share of it, is bounded by the
-    source's rate options. The zone is resolved after the operator, in the JVM.
+    high-water mark. A user's state is the events of the last window, in RocksDB
+    and encoded in Avro, so a restart may add fields to it. The size of a
+    micro-batch, and so of one user's share of it, is bounded by the source's rate
+    options. Zone and vector text are made after the operator, in the JVM.
     """
-    rows = events.select(USER, *_INPUT).groupBy(USER).applyInPandasWithState(
-        _stateful(spec), _OUTPUT, USER_STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    use_rocksdb(events.sparkSession)
+    rows = events.select(USER, *_INPUT).groupBy(USER).transformWithStateInPandas(WindowState(spec, state), _OUTPUT, "append", "none")
     return rows.select(
         USER,
         "watch_count_10min",
@@ -178,7 +190,7 @@ def stream_features(events: DataFrame, spec: WindowSpec = WindowSpec()) -> DataF
         "avg_watch_duration",
         time_of_day(F.col("event_us"), "timezone").alias("time_of_day_bucket"),
         "recency_score",
-        "session_genre_vector",
+        _vector_text(F.col("genres"), F.col("shares")).alias("session_genre_vector"),
         us_to_seconds(F.col("event_us")).alias("last_event_epoch"),
         "computed_at_epoch",
         "event_date",
@@ -204,14 +216,49 @@ def log_writer(rows: DataFrame, path: str, checkpoint: str, max_rows: int | None
 
 
 def flush_trigger(writer: DataStreamWriter) -> DataStreamWriter:
-    """The deployed cadence: a micro-batch at least every flush interval."""
+    """The cadence of a log alone: a micro-batch at least every flush interval."""
     return writer.trigger(processingTime=f"{cfg.LOG_FLUSH_SECONDS} seconds")
 
 
-def use_rocksdb(spark) -> None:
-    """State on local disk instead of the heap, with only changes uploaded per batch."""
+def online_trigger(writer: DataStreamWriter) -> DataStreamWriter:
+    """The cadence of the online view: a micro-batch as soon as the one before is done, at most one a second."""
+    return writer.trigger(processingTime=f"{cfg.ONLINE_TRIGGER_SECONDS} seconds")
+
+
+def both_writer(
+    rows: DataFrame, log_path: str, table: LatestTable, checkpoint: str, ttl_seconds: int = cfg.ONLINE_TTL_SECONDS,
+    compact_every: int = cfg.COMPACT_EVERY_BATCHES,
+) -> DataStreamWriter:
+    """One stream into the online view and the feature log, so a feature is online when its batch is done.
+
+    Both writes are named after the stream run and the batch and replace
+    themselves when a batch is repeated: after a failure in between the retry
+    brings them back in step. Many small batches leave many directories: the
+    writes of every ``compact_every`` batches are folded into one.
+    """
+    log: BatchLog = batch_log(rows.sparkSession, log_path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run = stream_run(batch)
+        # The state is stepped once; both writes read its rows from here.
+        batch.persist()
+        try:
+            table.upsert(batch.withColumn("expires_at", F.col("computed_at_epoch") + F.lit(float(ttl_seconds))), batch_id, run)
+            log.append(with_partitions(batch), batch_id, run)
+        finally:
+            batch.unpersist()
+        if batch_id and batch_id % compact_every == 0:
+            table.compact()
+            log.compact(compact_every // 2)
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """State on local disk instead of the heap, with only changes uploaded per batch, in an encoding that may gain fields."""
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.encodingFormat", "avro")

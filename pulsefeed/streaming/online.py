@@ -9,7 +9,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from pulsefeed import settings as cfg
 from pulsefeed.schemas import ARRIVAL, FEATURE_ROW
-from pulsefeed.sources.feature_log import LOG_SCHEMA, PARTITIONS
+from pulsefeed.sources import files
+from pulsefeed.sources.batch_log import BATCH
+from pulsefeed.sources.feature_log import LOG_SCHEMA, PARTITIONS, batch_log
 from pulsefeed.sources.latest_table import LatestTable, stream_run
 
 USER = "pseudo_user_id"
@@ -24,6 +26,10 @@ def online_table(spark: SparkSession, path: str) -> LatestTable:
 
 
 def log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Feature rows as the file sink logs them; a log that is compacted in place cannot be followed file by file."""
+    if files.exists(spark, path) and not files.exists(spark, f"{path}/_spark_metadata"):
+        if any(BATCH in part for day in batch_log(spark, path).stored() for part in files.names(spark, f"{path}/{day}", True)):
+            raise ValueError(f"{path} is written in compacted batches: keep the online view with the stream that writes it")
     reader = spark.readStream.schema(LOG_SCHEMA)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

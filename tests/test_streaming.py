@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from pulsefeed.operators import consent as co
 from pulsefeed.operators import window_features as wf
-from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS
+from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS, USER_STATE
 from pulsefeed.sources import adapters as ad
 from pulsefeed.sources.feature_log import read_log
 from pulsefeed.streaming import consent as sc
@@ -84,6 +84,55 @@ def test_restart_continues_from_the_checkpoint(spark, sf_dir, tmp_path):
     _close(streamed, wf.feature_rows(events, F.lit(0.0), spec).orderBy(*ARRIVAL).collect())
 
 
+def test_state_takes_a_new_field_over_a_restart(spark, sf_dir, tmp_path):
+    """State written before a field was added is read with it null, and nothing is recomputed or lost."""
+    spec = wf.WindowSpec(seconds=86_400)
+    whole = str(tmp_path / "whole")
+    events = _batches(spark, sf_dir, whole, 2)
+    live = tmp_path / "live"
+    live.mkdir()
+    wider = T.StructType([*USER_STATE.fields, T.StructField("seen_in", T.StringType(), True)])
+    for name, state in (("000", USER_STATE), ("001", wider)):
+        spark.read.schema(EVENT).json(f"{whole}/{name}").coalesce(1).write.json(str(live / name))
+        rows = sf_.stream_features(_read(spark, str(live)), spec, state)
+        sf_.log_writer(rows, str(tmp_path / "log"), str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(240)
+    streamed = spark.read.parquet(str(tmp_path / "log")).orderBy(*ARRIVAL).collect()
+    _close(streamed, wf.feature_rows(events, F.lit(0.0), spec).orderBy(*ARRIVAL).collect())
+
+
+def test_one_stream_keeps_the_online_view_and_the_log(spark, sf_dir, tmp_path):
+    events = _batches(spark, sf_dir, str(tmp_path / "in"), 4)
+    rows = sf_.stream_features(_read(spark, str(tmp_path / "in")))
+    log, table = str(tmp_path / "log"), so.online_table(spark, str(tmp_path / "online"))
+    sf_.both_writer(rows, log, table, str(tmp_path / "cp"), compact_every=2).trigger(availableNow=True).start().awaitTermination(240)
+    last = {}
+    for r in events.orderBy(*ARRIVAL).collect():
+        last[r["pseudo_user_id"]] = r
+    got = {r["pseudo_user_id"]: r for r in table.read().collect()}
+    assert {u: r["arrival_seq"] for u, r in got.items()} == {u: r["arrival_seq"] for u, r in last.items()}
+    logged = read_log(spark, log, "2024-01-01", "2024-01-31")
+    assert logged.count() == events.count()
+    batch = wf.feature_rows(events, F.lit(0.0))
+    assert logged.agg(F.sum("watch_count_10min")).first() == batch.agg(F.sum("watch_count_10min")).first()
+    # A log that is compacted in place is not followed file by file.
+    with pytest.raises(ValueError, match="compacted"):
+        so.log_stream(spark, log)
+
+
+def test_a_repeated_batch_changes_neither_table(spark, sf_dir, tmp_path):
+    """The commit of the last batch is taken back, as if the driver had died before it: the batch runs again."""
+    events = _batches(spark, sf_dir, str(tmp_path / "in"), 2)
+    log, table = str(tmp_path / "log"), so.online_table(spark, str(tmp_path / "online"))
+    for _ in range(2):
+        rows = sf_.stream_features(_read(spark, str(tmp_path / "in")))
+        sf_.both_writer(rows, log, table, str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(240)
+        commits = sorted((tmp_path / "cp" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+        for p in [commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")]:
+            p.unlink(missing_ok=True)
+    assert read_log(spark, log, "2024-01-01", "2024-01-31").count() == events.count()
+    assert table.read().count() == events.select("pseudo_user_id").distinct().count()
+
+
 def test_online_view_follows_the_log(spark, sf_dir, tmp_path):
     events = _batches(spark, sf_dir, str(tmp_path / "in"), 3)
     rows = sf_.stream_features(_read(spark, str(tmp_path / "in")))
