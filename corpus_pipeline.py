@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns what it keeps; ``run`` writes
 each result to the shared folder and reads it for the next stage, so a lost
 executor repeats one stage at most.
+
+What the operators say of nulls, empty and very long texts, ties and repeated rows
+holds for the stages. Columns of any other name pass through; the last stage's
+``shard`` and ``slot`` replace such columns. Empty tables give an empty result,
+and without usable labels nothing is rejected.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ from pulsefeed.session import build_session
 from pulsefeed.sources import messages, reports
 from pulsefeed.sources.artifacts import ModelRegistry
 from pulsefeed.streaming import consent as consent_stream
-from pulsefeed.streaming import features, online
+from pulsefeed.sources.latest_table import stream_run
+from pulsefeed.streaming import features, online, scoring
 
 
 def _run(writer: DataStreamWriter, once: bool) -> None:
@@ -42,11 +43,8 @@ def _rejects_writer(rejects: DataFrame, path: str, checkpoint: str) -> DataStrea
     return rejects.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
 
 
-def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Check raw watch events, replace the user ids, publish what passes and store what does not."""
-    raw = messages.raw_watch(spark, args.events, args.max_files)
-    checked = ingest.check_watch(raw)
-    payload = ingest.watch_payload(ingest.accepted(checked), cfg.pseudonym_secret(), extra=ARRIVAL)
+def _publish(checked: DataFrame, payload: DataFrame, args: argparse.Namespace) -> None:
+    """Publish what passed the boundary and store what did not, without the user id."""
     fields = [c for c in payload.columns if c not in ARRIVAL]
     out = messages.publish_stream(
         payload, f"{args.checkpoint}/published", servers=args.kafka, topic=args.topic, path=args.messages, fields=fields
@@ -56,14 +54,31 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         query.awaitTermination()
 
 
+def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Check raw watch events, replace the user ids, publish what passes and store what does not."""
+    checked = ingest.check_watch(messages.raw_watch(spark, args.events, args.max_files))
+    _publish(checked, ingest.watch_payload(ingest.accepted(checked), cfg.pseudonym_secret(), extra=ARRIVAL), args)
+
+
+def run_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The same for session starts."""
+    checked = ingest.check_session(messages.raw_sessions(spark, args.events, args.max_files))
+    _publish(checked, ingest.session_payload(ingest.accepted(checked), cfg.pseudonym_secret(), extra=ARRIVAL), args)
+
+
 def run_features(spark: SparkSession, args: argparse.Namespace) -> None:
-    features.use_rocksdb(spark)
     if args.kafka:
         source = messages.kafka_messages(spark, args.kafka, args.topic)
     else:
         source = messages.file_messages(spark, args.messages, args.max_files)
     rows = features.stream_features(ingest.parse_messages(source))
-    queries = [_start(features.log_writer(rows, args.log, args.checkpoint), args.once)]
+    if args.online:
+        table = online.online_table(spark, args.online)
+        writer = features.both_writer(rows, args.log, table, args.checkpoint, args.ttl)
+        writer = writer.trigger(availableNow=True) if args.once else features.online_trigger(writer)
+        queries = [writer.start()]
+    else:
+        queries = [_start(features.log_writer(rows, args.log, args.checkpoint), args.once)]
     if args.rejects:
         rejected = ingest.rejected(ingest.check_messages(source)).select(*source.columns, ingest.REASON)
         queries.append(_start(_rejects_writer(rejected, args.rejects, f"{args.checkpoint}-rejects"), args.once))
@@ -83,6 +98,17 @@ def run_online(spark: SparkSession, args: argparse.Namespace) -> None:
     _run(online.online_writer(online.log_stream(spark, args.log, args.max_files), table, args.checkpoint, args.ttl), args.once)
 
 
+def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Score feature rows as they are logged, with the model that is current at each batch."""
+
+    def store(scored: DataFrame, version: int, batch_id: int) -> None:
+        out = scored.select("pseudo_user_id", "last_event_epoch", "engagement", F.lit(version).alias("model_version"))
+        out.write.mode("overwrite").parquet(f"{args.out}/batch={stream_run(scored)}.{batch_id}")
+
+    rows = online.log_stream(spark, args.log, args.max_files)
+    _run(scoring.scoring_writer(rows, scoring.CurrentModel(ModelRegistry(spark, args.registry)), store, args.checkpoint), args.once)
+
+
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
     config = TrainingConfig(
         range_days=args.days, validation_days=args.validation_days, model_type=args.model_type, alias=args.alias,
@@ -135,20 +161,24 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--max-files", type=int, default=cfg.MAX_FILES_PER_BATCH, help="most input files of a micro-batch")
         return p
 
-    p = job("ingest", run_ingest, "events", "rejects", stream=True)
-    target = p.add_mutually_exclusive_group(required=True)
-    target.add_argument("--kafka", help="bootstrap servers")
-    target.add_argument("--messages", help="directory of message files")
-    p.add_argument("--topic", default=cfg.WATCH_TOPIC)
+    for name, run, topic in (("ingest", run_ingest, cfg.WATCH_TOPIC), ("sessions", run_sessions, cfg.SESSION_TOPIC)):
+        p = job(name, run, "events", "rejects", stream=True)
+        target = p.add_mutually_exclusive_group(required=True)
+        target.add_argument("--kafka", help="bootstrap servers")
+        target.add_argument("--messages", help="directory of message files")
+        p.add_argument("--topic", default=topic)
     job("consent", run_consent, "changes", "table", "audit", stream=True)
     p = job("features", run_features, "log", stream=True)
     p.add_argument("--rejects", help="directory for rejected messages")
+    p.add_argument("--online", help="online table to keep from the same stream, a micro-batch a second")
+    p.add_argument("--ttl", type=int, default=cfg.ONLINE_TTL_SECONDS)
     source = p.add_mutually_exclusive_group(required=True)
     source.add_argument("--kafka", help="bootstrap servers")
     source.add_argument("--messages", help="directory of message files")
     p.add_argument("--topic", default=cfg.WATCH_TOPIC)
     p = job("online", run_online, "log", "table", stream=True)
     p.add_argument("--ttl", type=int, default=cfg.ONLINE_TTL_SECONDS)
+    job("score", run_score, "log", "registry", "out", stream=True)
     p = job("train", run_train, "log", "registry")
     p.add_argument("--as-of", type=day, default=dt.date.today())
     p.add_argument("--days", type=int, default=cfg.TRAINING_RANGE_DAYS)

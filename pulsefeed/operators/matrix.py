@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,8 @@ from pulsefeed.schemas import FEATURE_ROW
 
 GENRE_PREFIX = "genre_"
 VECTOR = "session_genre_vector"
+GENRE_VECTOR = "genre_vector"
+LABEL_SOURCE = "avg_watch_duration"
 
 
 # --- split --------------------------------------------------------------------------
@@ -56,9 +60,11 @@ def split_column(cutoff: Column) -> Column:
     return F.when(F.col("event_date") < cutoff, F.lit("train")).otherwise(F.lit("validation"))
 
 
-def split_stats(rows: DataFrame, cutoff: str, threshold: float = cfg.ENGAGED_THRESHOLD) -> DataFrame:
+def split_stats(
+    rows: DataFrame, cutoff: str, threshold: float = cfg.ENGAGED_THRESHOLD, mean: str = LABEL_SOURCE
+) -> DataFrame:
     return (
-        rows.select(split_column(F.lit(cutoff)).alias("split"), "event_date", label(threshold).alias("y"))
+        rows.select(split_column(F.lit(cutoff)).alias("split"), "event_date", label(threshold, mean).alias("y"))
         .groupBy("split")
         .agg(
             F.count("*").alias("n_rows"),
@@ -77,13 +83,24 @@ def genre_keys(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.json_object_keys(VECTOR)).alias("genre")).distinct()
 
 
-def known_genres(train: DataFrame) -> list[str]:
-    """Sorted genre names of the training split (the only split that may define them)."""
-    return sorted(r[0] for r in genre_keys(train).collect())
+def vocabulary(rows: DataFrame, limit: int = cfg.MAX_VOCABULARY) -> DataFrame:
+    """(genre, n_rows) of the ``limit`` genres that most rows hold; ties in name order.
+
+    Genres are text that clients send: there may be any number of them, so they
+    are counted before they are exchanged, and the list has a bound.
+    """
+    counts = rows.select(F.explode(F.json_object_keys(VECTOR)).alias("genre")).groupBy("genre").agg(F.count("*").alias("n_rows"))
+    return counts.orderBy(F.desc("n_rows"), "genre").limit(limit)
+
+
+def known_genres(train: DataFrame, limit: int = cfg.MAX_VOCABULARY) -> list[str]:
+    """Sorted genre names of the training split (the only split that may define them), of at most ``limit``."""
+    return sorted(r["genre"] for r in vocabulary(train, limit).collect())
 
 
-def label(threshold: float = cfg.ENGAGED_THRESHOLD) -> Column:
-    return (F.col("avg_watch_duration") >= F.lit(threshold)).cast("int")
+def label(threshold: float = cfg.ENGAGED_THRESHOLD, mean: str = LABEL_SOURCE) -> Column:
+    """Whether the mean, as it was computed and not as it is shown, reaches the threshold."""
+    return (F.col(mean) >= F.lit(threshold)).cast("int")
 
 
 def time_bucket_index() -> Column:
@@ -110,6 +127,7 @@ def feature_matrix(
     genres: list[str],
     threshold: float = cfg.ENGAGED_THRESHOLD,
     keep: list[str] | None = None,
+    mean: str = LABEL_SOURCE,
 ) -> DataFrame:
     """Base columns, category index, one column per known genre, and the label.
 
@@ -122,8 +140,45 @@ def feature_matrix(
         "time_of_day_bucket",
         time_bucket_index().alias("time_of_day_index"),
         *genre_columns(genres, F.col("_genres")),
-        label(threshold).alias(cfg.LABEL),
+        label(threshold, mean).alias(cfg.LABEL),
+    )
+
+
+def sparse_weights(genres: list[str], vector: str = VECTOR) -> Column:
+    """The genre weights of a row as (size, indices, values) over the sorted vocabulary; genres outside it are ignored.
+
+    One column whatever the size of the vocabulary, and of a length that only the
+    row's own genres decide. The places are one literal map, looked up per genre of the row.
+    """
+    places = F.from_json(F.lit(json.dumps({g: i for i, g in enumerate(genres)})), "map<string,int>")
+    entries = F.transform(
+        F.map_entries(genre_map(F.col(vector))),
+        lambda e: F.struct(F.try_element_at(places, e["key"]).alias("at"), e["value"].alias("weight")),
     )
+    known = F.array_sort(F.filter(entries, lambda e: e["at"].isNotNull() & e["weight"].isNotNull()))
+    return F.struct(F.lit(len(genres)).alias("size"), known["at"].alias("indices"), known["weight"].alias("values"))
+
+
+def sparse_matrix(
+    rows: DataFrame, genres: list[str], threshold: float = cfg.ENGAGED_THRESHOLD, keep: list[str] | None = None,
+    mean: str = LABEL_SOURCE,
+) -> DataFrame:
+    """As ``feature_matrix``, with all genre weights in the one sparse column ``genre_weights``."""
+    return rows.select(
+        *(keep or []), *cfg.BASE_FEATURES, "time_of_day_bucket", time_bucket_index().alias("time_of_day_index"),
+        sparse_weights(genres).alias("genre_weights"), label(threshold, mean).alias(cfg.LABEL),
+    )
+
+
+def sparse_vector(weights: Column) -> Column:
+    """The sparse column as MLlib's vector. MLlib has no built-in way to make one, so this is a Python step per row."""
+    make = F.udf(lambda w: SparseVector(w["size"], w["indices"], w["values"]), VectorUDT(), useArrow=False)
+    return make(weights)
+
+
+def is_wide(genres: list[str]) -> bool:
+    """Whether a model's genres are one sparse vector instead of a column each."""
+    return len(genres) > cfg.MAX_GENRE_FEATURES
 
 
 # --- contract -----------------------------------------------------------------------
@@ -196,10 +251,18 @@ def require_contract(schema: T.StructType, contract: dict, known: Iterable[str]
 
 
 def serving_columns(contract: dict) -> list[Column]:
-    """Model input in contract order, each feature in its kind's type with its kind's default."""
+    """Model input in contract order, each feature in its kind's type with its kind's default.
+
+    Many genres are the one column ``genre_vector``.
+    """
     features = contract.get("features")
     if not features:
         raise ValueError("the model contract lists no features")
+    genres = contract.get("genres", [])
+    if is_wide(genres):
+        features = [f for f in features if not f["name"].startswith(GENRE_PREFIX)]
+        narrow = serving_columns({**contract, "features": features, "genres": []})
+        return [*narrow, sparse_vector(sparse_weights(genres)).alias(GENRE_VECTOR)]
     weights = genre_map(F.col(VECTOR))
     shared = contract.get("time_of_day_categories", cfg.TIME_OF_DAY)
 

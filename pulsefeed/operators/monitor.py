@@ -32,29 +32,52 @@ def _suites(suites: dict[str, tuple[float, float]]) -> Column:
     )
 
 
-def slo_summary(stats: DataFrame) -> DataFrame:
-    """Overall figures: worst endpoint for the tails, median endpoint for p50."""
+def slo_summary(stats: DataFrame, *more: Column) -> DataFrame:
+    """Overall figures: worst endpoint for the tails, median endpoint for p50; and ``more`` aggregates of the endpoints."""
     return stats.agg(
         F.coalesce(F.sum("requests"), F.lit(0)).alias("requests"),
         F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"),
         F.coalesce(F.percentile("p50", 0.5), F.lit(0.0)).alias("p50_ms"),
         F.coalesce(F.max("p95"), F.lit(0.0)).alias("p95_ms"),
         F.coalesce(F.max("p99"), F.lit(0.0)).alias("p99_ms"),
+        *more,
     ).withColumn(
         "error_pct",
         F.when(F.col("requests") > 0, F.col("errors") / F.col("requests") * 100.0).otherwise(F.lit(0.0)),
     )
 
 
-def slo_report(log: DataFrame, suites: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+def _judged(summary: DataFrame, suites: dict[str, tuple[float, float]] | None) -> DataFrame:
     """The summary against each suite's thresholds; reaching a threshold exactly passes."""
-    summary = slo_summary(endpoint_stats(log))
     latency_ok = F.col("p95_ms") <= F.col("max_p95_ms")
     errors_ok = F.col("error_pct") <= F.col("max_error_pct")
-    return summary.select("*", F.inline(_suites(suites or cfg.SLO_SUITES))).select(
-        "suite", "requests", "errors", "p50_ms", "p95_ms", "p99_ms", "error_pct",
-        latency_ok.alias("latency_passed"), errors_ok.alias("errors_passed"),
-        (latency_ok & errors_ok).alias("passed"),
+    return summary.select("*", F.inline(_suites(suites or cfg.SLO_SUITES))).withColumns(
+        {"latency_passed": latency_ok, "errors_passed": errors_ok, "passed": latency_ok & errors_ok}
+    )
+
+
+def slo_report(log: DataFrame, suites: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    return _judged(slo_summary(endpoint_stats(log)), suites).select(
+        "suite", "requests", "errors", "p50_ms", "p95_ms", "p99_ms", "error_pct", "latency_passed", "errors_passed", "passed"
+    )
+
+
+def slo_snapshot(log: DataFrame, suites: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """The report with its thresholds and the figures of each endpoint, one pass over the log.
+
+    Endpoints are the service's routes, so their figures fit a row; requests
+    without one are an endpoint of their own, last in order.
+    """
+    rate = F.col("errors") / F.col("requests") * 100.0
+    figures = F.struct(
+        F.col("endpoint").isNull().alias("unnamed"), "endpoint", "requests", "errors", rate.alias("error_pct"),
+        F.col("p50").alias("p50_ms"), F.col("p95").alias("p95_ms"), F.col("p99").alias("p99_ms"),
+    )
+    shown = F.transform(F.sort_array(F.collect_list(figures)), lambda f: f.dropFields("unnamed"))
+    report = _judged(slo_summary(endpoint_stats(log), shown.alias("endpoints")), suites)
+    limits = F.struct("max_p95_ms", "max_error_pct").alias("thresholds")
+    return report.select(
+        "suite", "requests", "errors", "p50_ms", "p95_ms", "p99_ms", "error_pct", "latency_passed", "errors_passed", "passed", limits, "endpoints"
     )
 
 

@@ -13,6 +13,9 @@ from pulsefeed.operators.window_features import named_users, unnamed_users
 from pulsefeed.schemas import ARRIVAL, FEATURE_COLUMNS
 
 USER = "pseudo_user_id"
+# An hour is cut into spans of a millisecond at least, an instant into so many runs of each side.
+_MOST_SPANS = 3_600_000
+_RUNS = 64
 _TEXT_FIELDS = {"pseudo_user_id", "time_of_day_bucket", "session_genre_vector", "event_date"}
 _INT_FIELDS = {"watch_count_10min"}
 
@@ -89,13 +92,16 @@ def features_as_of(
     rows: DataFrame,
     ttl_seconds: int = cfg.ONLINE_TTL_SECONDS,
     hot: list[str] | None = None,
+    busy_rows: int = cfg.BUSY_SLICE_ROWS,
 ) -> DataFrame:
     """Each request with the feature row a lookup at its time would have returned.
 
     Rows and requests are merged on one time axis per user and the last row
     written is carried forward (a running maximum of its position): no range
     join. Users in ``hot`` are carried over slices of one hour, so that no task
-    sorts their whole history; None treats every user that way.
+    sorts their whole history; None treats every user that way. An hour of more
+    than ``busy_rows`` rows, of either side, is cut into as many spans as bring it
+    under, and each instant in it into runs: all of a user's rows may lie in one.
 
     ``rows`` need written_us besides the feature columns and arrival position;
     ``requests`` need request_id and request_us.
@@ -119,7 +125,20 @@ def features_as_of(
 
     def sliced(part: DataFrame) -> DataFrame:
         hourly = part.withColumn("hour", floor_div(F.col("at_us"), HOUR_US))
-        return sliced_running(hourly, [USER], ["hour"], ["at_us", "side"], {"last": ("max", F.col("write"))}).select(*columns)
+        busy = hourly.groupBy(USER, "hour").agg(F.count("*").alias("_n")).filter(F.col("_n") > busy_rows)
+        busy = busy.select(USER, "hour", F.ceil(F.col("_n") / busy_rows).alias("_spans"))
+        cut = hourly.join(busy, [USER, "hour"], "left")
+        spans = F.coalesce("_spans", F.lit(1))
+        in_hour = F.pmod(F.col("at_us"), F.lit(HOUR_US))
+        span = floor_div(in_hour * F.least(spans, F.lit(_MOST_SPANS)), HOUR_US)
+        # Writes of an instant come before its requests; within either, order does not matter to the last write.
+        run = F.col("side") * _RUNS + F.pmod(F.xxhash64("request_id", "write.arrival_us", "write.arrival_seq"), F.lit(_RUNS))
+        fine = F.col("_spans").isNotNull()
+        cut = cut.withColumns(
+            {"span": span, "instant": F.when(fine, F.col("at_us")).otherwise(F.lit(0)), "run": F.when(fine, run).otherwise(F.lit(0))}
+        )
+        slices = ["hour", "span", "instant", "run"]
+        return sliced_running(cut, [USER], slices, ["at_us", "side"], {"last": ("max", F.col("write"))}).select(*columns)
 
     if hot is None:
         carried = sliced(axis)

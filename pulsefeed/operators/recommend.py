@@ -74,9 +74,12 @@ def rank_items(
     vector: str = "session_genre_vector",
     top_n: int = cfg.TOP_N_DEFAULT,
     inline_limit: int | None = None,
+    only: Column | None = None,
 ) -> DataFrame:
     """Users with ``items``: their best N as an array of (pos, content_id, genre, title, score).
 
+    With ``only``, users for whom it does not hold are not ranked: their items are null.
+
     score = engagement x share of the item's genre; ties keep catalog order.
     Usually no join and no shuffle: the row is mapped over the small item array.
     A catalog with too many genres for that is joined instead.
@@ -85,8 +88,13 @@ def rank_items(
     limit = MAX_INLINE_ITEMS if inline_limit is None else inline_limit
     items = rankable(catalog, top_n).orderBy("pos").limit(limit + 1).collect()
     if len(items) > limit:
-        return _ranked_by_join(users, catalog, engagement, vector, top_n)
-    return _ranked(users, items, engagement, vector, top_n)
+        if only is None:
+            return _ranked_by_join(users, catalog, engagement, vector, top_n)
+        # All others share the one pair of nulls.
+        masked = users.withColumns({"_oe": F.when(only, F.col(engagement)), "_ov": F.when(only, F.col(vector))})
+        ranked = _ranked_by_join(masked, catalog, "_oe", "_ov", top_n).drop("_oe", "_ov")
+        return ranked.withColumn("items", F.when(only, F.col("items")))
+    return _ranked(users, items, engagement, vector, top_n, only)
 
 
 def _ranked_by_join(users: DataFrame, catalog: DataFrame, engagement: str, vector: str, top_n: int) -> DataFrame:
@@ -140,7 +148,7 @@ def _public_items(best: Column) -> Column:
     ).cast(_ITEMS)
 
 
-def _ranked(users: DataFrame, items: list, engagement: str, vector: str, top_n: int) -> DataFrame:
+def _ranked(users: DataFrame, items: list, engagement: str, vector: str, top_n: int, only: Column | None = None) -> DataFrame:
     affinity = users.withColumn("_affinity", genre_map(F.col(vector)))
     scored = F.transform(
         _item_array(items),
@@ -152,7 +160,8 @@ def _ranked(users: DataFrame, items: list, engagement: str, vector: str, top_n:
         ),
     )
     best = F.slice(F.array_sort(scored), 1, top_n)
-    return affinity.withColumn("items", _public_items(best)).drop("_affinity")
+    best = _public_items(best)
+    return affinity.withColumn("items", best if only is None else F.when(only, best)).drop("_affinity")
 
 
 def explode_items(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -184,10 +193,12 @@ def route(
     from pulsefeed.operators.online import lookup
 
     gated = consent_gate(users, consent, USER)
-    # Features of a user who has not consented are not read.
-    found = lookup(gated.filter("granted"), latest, as_of)
-    denied = gated.filter("NOT granted").withColumn("has_features", F.lit(False))
-    found = found.unionByName(denied, allowMissingColumns=True)
+    found = lookup(gated, latest, as_of)
+    # Nothing is passed on of a user who has not consented.
+    features = [c for c in latest.columns if c != USER]
+    found = found.withColumns(
+        {c: F.when(F.col("granted"), F.col(c)) for c in features} | {"has_features": F.col("granted") & F.col("has_features")}
+    )
     return found.withColumn(
         "fallback_reason", fallback_reason(F.col("granted"), F.col("has_features"), F.lit(model_ready))
     )
@@ -206,7 +217,9 @@ def recommendations(
     """One row per (user, rank): personalized, or the trending feed with its reason.
 
     Only users whom every gate lets through are scored (by ``score``, which adds
-    what ``engagement`` reads) and ranked; the others get the constant feed.
+    what ``engagement`` reads) and ranked; the others get the constant feed. Without
+    ``score`` that is one pass over ``routed``: the gates are columns, and the
+    ranking stands under them. A model reads ``routed`` twice, so keep it first.
     """
     check_top_n(top_n)
     feed = [r.asDict() | {"pos": r["feed_pos"]} for r in resolve_trending(trending, catalog).limit(top_n).collect()]
@@ -214,15 +227,18 @@ def recommendations(
         _item_array(feed) if feed else F.array().cast("array<struct<pos:int,content_id:string,genre:string,title:string>>"),
         lambda it: F.struct(it["pos"], it["content_id"], it["genre"], it["title"], F.lit(None).cast("double")),
     ).cast(_ITEMS)
-    own = routed.filter(F.col("fallback_reason").isNull())
-    own = (score(own) if score else own).withColumn("_engagement", engagement)
-    ranked = rank_items(own, catalog, "_engagement", vector, top_n)
     keep = [USER, "personalized", "fallback_reason", "model_version"]
-    ranked = ranked.withColumns({"personalized": F.lit(True), "model_version": model_version.cast("string")})
-    fed = routed.filter(F.col("fallback_reason").isNotNull()).withColumns(
-        {"personalized": F.lit(False), "model_version": F.lit(None).cast("string"), "items": feed_array}
-    )
-    return explode_items(ranked.select(*keep, "items").unionByName(fed.select(*keep, "items")), keep)
+    passes = F.col("fallback_reason").isNull()
+    outcome = {"personalized": passes, "model_version": F.when(passes, model_version.cast("string"))}
+    if score is None:
+        ranked = rank_items(routed.withColumn("_engagement", F.when(passes, engagement)), catalog, "_engagement", vector, top_n, only=passes)
+        served = ranked.withColumns(outcome | {"items": F.when(passes, F.col("items")).otherwise(feed_array)})
+    else:
+        own = score(routed.filter(passes)).withColumn("_engagement", engagement)
+        ranked = rank_items(own, catalog, "_engagement", vector, top_n).withColumns(outcome).select(*keep, "items")
+        fed = routed.filter(~passes).withColumns(outcome | {"items": feed_array})
+        served = ranked.unionByName(fed.select(*keep, "items"))
+    return explode_items(served, keep)
 
 
 def fallback_rate(routed: DataFrame) -> DataFrame:

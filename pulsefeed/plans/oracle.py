@@ -18,6 +18,8 @@ from pulsefeed.plans.queries import (
     SERVING_TTL,
     TRAIN_AS_OF,
     TRAIN_FROM,
+    SPARSE_GENRES,
+    SPARSE_VOCABULARY,
     WIDE_GENRES,
 )
 
@@ -224,9 +226,13 @@ _CTE["w_null"] = ("SELECT * REPLACE (CASE WHEN seq % 11 = 0 THEN '' ELSE u END A
 _CTE["w_wide"] = (
     f"SELECT * REPLACE (CASE WHEN genre <> '' THEN 'g' || (seq % {WIDE_GENRES}) ELSE genre END AS genre) FROM w", ["w"]
 )
-for _kind in ("_null", "_wide"):
+_CTE["w_sparse"] = (
+    f"SELECT * REPLACE (CASE WHEN genre <> '' THEN 'g' || lpad(CAST(seq * 7 % {SPARSE_GENRES} AS VARCHAR), 4, '0') ELSE genre END AS genre) FROM w",
+    ["w"],
+)
+for _kind, _length in (("_null", DAY_WINDOW), ("_wide", DAY_WINDOW), ("_sparse", cfg.WINDOW_SECONDS)):
     _CTE["hw" + _kind] = (_CTE["hw"][0].replace("FROM w", f"FROM w{_kind}"), ["w" + _kind])
-    _window_ctes(DAY_WINDOW, _kind)
+    _window_ctes(_length, _kind)
 
 _F = f"feat_{cfg.WINDOW_SECONDS}"
 _G = f"gw_{cfg.WINDOW_SECONDS}"
@@ -243,7 +249,7 @@ _CTE |= {
     "train_rows": (
         f"""SELECT u, seq, last_event_epoch, watch_count_10min, round(category_affinity_score, 6) AS category_affinity_score,
             round(avg_watch_duration, 6) AS avg_watch_duration, round(recency_score, 6) AS recency_score,
-            time_of_day_bucket, event_date
+            time_of_day_bucket, event_date, avg_watch_duration AS mean
         FROM (SELECT *, row_number() OVER (PARTITION BY u, t ORDER BY computed_at_epoch DESC, watch_count_10min DESC,
             arr DESC, seq DESC) AS rn FROM {_F} WHERE event_date BETWEEN '{TRAIN_FROM}' AND '{TRAIN_AS_OF}') WHERE rn = 1""",
         [_F],
@@ -258,7 +264,7 @@ _CTE |= {
     ),
     "split": (
         f"""SELECT r.*, CASE WHEN event_date < cutoff THEN 'train' ELSE 'validation' END AS split,
-            CAST(avg_watch_duration >= {cfg.ENGAGED_THRESHOLD} AS INTEGER) AS engaged,
+            CAST(mean >= {cfg.ENGAGED_THRESHOLD} AS INTEGER) AS engaged,
             round(0.6 * recency_score + 0.4 * category_affinity_score, 4) AS score
         FROM train_rows r, cut""",
         ["train_rows", "cut"],
@@ -268,6 +274,19 @@ _CTE |= {
         WHERE s.split = 'train' AND g.total > 0""",
         ["split", _G],
     ),
+    "train_sparse": (
+        f"""SELECT u, seq, last_event_epoch, watch_count_10min, time_of_day_bucket, event_date, avg_watch_duration AS mean
+        FROM (SELECT *, row_number() OVER (PARTITION BY u, t ORDER BY computed_at_epoch DESC, watch_count_10min DESC,
+            arr DESC, seq DESC) AS rn FROM feat_sparse_{cfg.WINDOW_SECONDS} WHERE event_date BETWEEN '{TRAIN_FROM}' AND '{TRAIN_AS_OF}')
+        WHERE rn = 1""",
+        [f"feat_sparse_{cfg.WINDOW_SECONDS}"],
+    ),
+    "vocabulary": (
+        f"""SELECT genre, row_number() OVER (ORDER BY genre) - 1 AS place FROM (SELECT g.genre FROM train_sparse s JOIN cut
+              ON s.event_date < cut.cutoff JOIN gw_sparse_{cfg.WINDOW_SECONDS} g ON g.u = s.u AND g.seq = s.seq
+            WHERE g.total > 0 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT {SPARSE_VOCABULARY})""",
+        ["train_sparse", "cut", f"gw_sparse_{cfg.WINDOW_SECONDS}"],
+    ),
     "routed": (
         f"""SELECT i.pid AS u, l.seq, l.avg_watch_duration, CASE WHEN NOT coalesce(c.consent_granted, false) THEN 'consent_denied'
               WHEN l.u IS NULL THEN 'cold_start' END AS fallback_reason
@@ -340,6 +359,19 @@ def all_sql() -> dict[str, str]:
     month = f"strftime(date_trunc('month', DATE '{AUDIT_AS_OF}') - INTERVAL {cfg.AUDIT_RETENTION_MONTHS} MONTH, '%Y-%m')"
     hole = "(CAST(('0x' || substr(l.u, 1, 6)) AS BIGINT) % 4 = 0)"
     damaged = "(CAST(('0x' || substr(u, 1, 6)) AS BIGINT) % 3 = 0)"
+    as_of = _sql(
+        f"""SELECT request_id, u AS pseudo_user_id, has_features,
+            CASE WHEN has_features THEN watch_count_10min END AS watch_count_10min,
+            CASE WHEN has_features THEN round(last_event_epoch, 6) END AS last_event_epoch,
+            CASE WHEN has_features THEN round(avg_watch_duration, 6) END AS avg_watch_duration
+        FROM (SELECT q.request_id, q.u, f.watch_count_10min, f.last_event_epoch, f.avg_watch_duration,
+            coalesce(f.computed_at_epoch + {SERVING_TTL}.0 > q.request_us / 1000000.0::DOUBLE, false) AS has_features,
+            row_number() OVER (PARTITION BY q.request_id ORDER BY CAST(f.computed_at_epoch * 1000000 AS BIGINT) DESC NULLS LAST,
+              f.arr DESC, f.seq DESC) AS rn
+          FROM requests q LEFT JOIN {_F} f ON f.u = q.u
+            AND CAST(f.computed_at_epoch * 1000000 AS BIGINT) <= q.request_us) WHERE rn = 1""",
+        "requests", _F,
+    )
     return {
         # ingest
         "validate_watch_valid": _sql(
@@ -369,6 +401,13 @@ def all_sql() -> dict[str, str]:
         "rejects_by_reason": _sql(
             "SELECT reject_reason, count(*) AS n FROM checked WHERE reject_reason IS NOT NULL GROUP BY 1", "checked"
         ),
+        "boundary_to_parser": _sql(
+            f"""SELECT event_id, {_hmac('w.user_id')} AS pseudo_user_id, CAST(watch_pct AS DOUBLE) AS watch_pct,
+                CASE event_id % 5 WHEN 2 THEN t_us - t_us % 1000 WHEN 3 THEN t_us - 19800000000 ELSE t_us END AS event_us,
+                {_day('t_us')} AS event_date
+            FROM watch_checked w JOIN (SELECT event_id, t_us FROM ev) USING (event_id) WHERE reject_reason IS NULL""",
+            "watch_checked", "ev",
+        ),
         # The instant follows from the event's time and what its form keeps of it; nothing is parsed.
         "iso_forms": _sql(
             """SELECT event_id, CASE event_id % 12 WHEN 2 THEN s - 19800000000 WHEN 3 THEN s - 18000000000 WHEN 4 THEN s + 19815000000
@@ -465,19 +504,8 @@ def all_sql() -> dict[str, str]:
                 AND l.expires_at > {ONLINE_AS_OF})""",
             "ids", "latest",
         ),
-        "features_as_of_request": _sql(
-            f"""SELECT request_id, u AS pseudo_user_id, has_features,
-                CASE WHEN has_features THEN watch_count_10min END AS watch_count_10min,
-                CASE WHEN has_features THEN round(last_event_epoch, 6) END AS last_event_epoch,
-                CASE WHEN has_features THEN round(avg_watch_duration, 6) END AS avg_watch_duration
-            FROM (SELECT q.request_id, q.u, f.watch_count_10min, f.last_event_epoch, f.avg_watch_duration,
-                coalesce(f.computed_at_epoch + {SERVING_TTL}.0 > q.request_us / 1000000.0::DOUBLE, false) AS has_features,
-                row_number() OVER (PARTITION BY q.request_id ORDER BY CAST(f.computed_at_epoch * 1000000 AS BIGINT) DESC NULLS LAST,
-                  f.arr DESC, f.seq DESC) AS rn
-              FROM requests q LEFT JOIN {_F} f ON f.u = q.u
-                AND CAST(f.computed_at_epoch * 1000000 AS BIGINT) <= q.request_us) WHERE rn = 1""",
-            "requests", _F,
-        ),
+        "features_as_of_request": as_of,
+        "features_as_of_split": as_of,
         # consent
         "consent_current": _sql("SELECT * FROM consent", "consent"),
         "consent_audit_log": _sql("SELECT id, user_pseudo_id, action, at_us, reason FROM audit", "audit"),
@@ -550,6 +578,18 @@ def all_sql() -> dict[str, str]:
                 s.recency_score, s.time_of_day_bucket, s.engaged""",
             "split", _G,
         ),
+        "feature_matrix_sparse": _sql(
+            f"""SELECT s.u AS pseudo_user_id, round(s.last_event_epoch, 6) AS last_event_epoch, s.watch_count_10min,
+                CAST(list_position(['morning', 'afternoon', 'evening', 'night'], s.time_of_day_bucket) - 1 AS INTEGER) AS time_of_day_index,
+                CAST(s.mean >= {cfg.ENGAGED_THRESHOLD} AS INTEGER) AS engaged,
+                (SELECT CAST(count(*) AS INTEGER) FROM vocabulary) AS size,
+                coalesce(string_agg(CAST(v.place AS VARCHAR), ',' ORDER BY v.place) FILTER (v.place IS NOT NULL), '') AS indices,
+                coalesce(string_agg(CAST(CAST(round(g.g_pct / g.total * 1000000.0) AS BIGINT) AS VARCHAR), ',' ORDER BY v.place)
+                  FILTER (v.place IS NOT NULL), '') AS millionths
+            FROM train_sparse s LEFT JOIN gw_sparse_{cfg.WINDOW_SECONDS} g ON g.u = s.u AND g.seq = s.seq AND g.total > 0
+              LEFT JOIN vocabulary v ON v.genre = g.genre GROUP BY s.u, s.seq, 2, 3, 4, 5""",
+            "train_sparse", "vocabulary",
+        ),
         "schema_contract_rows": _sql(
             f"""SELECT (SELECT count(*) FROM split WHERE split = 'train') AS train_rows, pos, name, dtype FROM (
                 SELECT CAST(row_number() OVER (ORDER BY part, name_order) - 1 AS INTEGER) AS pos, name, dtype FROM (
@@ -661,6 +701,14 @@ def all_sql() -> dict[str, str]:
               (VALUES {suites}) AS t(suite, max_p95, max_err)""",
             "ranked_log",
         ),
+        "slo_endpoints": _sql(
+            f"""SELECT {cfg.SLO_SUITES['baseline'][0]}::DOUBLE AS max_p95_ms, {cfg.SLO_SUITES['baseline'][1]}::DOUBLE AS max_error_pct, endpoint,
+                count(*) AS requests, CAST(sum(CAST(NOT ok AS INTEGER)) AS BIGINT) AS errors,
+                round(sum(CAST(NOT ok AS INTEGER)) / CAST(count(*) AS DOUBLE) * 100.0, 6) AS error_pct, p50_ms, p95_ms, p99_ms
+            FROM ranked_log JOIN (SELECT endpoint AS e, {_percentiles([50, 95, 99]).replace(' AS p50', ' AS p50_ms').replace(' AS p95', ' AS p95_ms').replace(' AS p99', ' AS p99_ms')}
+              FROM ranked_log GROUP BY 1) ON e IS NOT DISTINCT FROM endpoint GROUP BY endpoint, p50_ms, p95_ms, p99_ms""",
+            "ranked_log",
+        ),
         "feature_freshness": _sql(
             f"""SELECT count(*) AS n, round(min({ONLINE_AS_OF} - computed_at_epoch), 6) AS min_age,
                 round(avg({ONLINE_AS_OF} - computed_at_epoch), 6) AS avg_age,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from pulsefeed.operators import evaluation as ev
 from pulsefeed.operators import window_features as wf
 from pulsefeed.sources import adapters as ad
 from pulsefeed.sources import feature_log as log
+from pulsefeed.sources.messages import keyed_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +35,9 @@ AUDIT_AS_OF = "2024-01-30"
 PROMOTION_MINIMUMS = {"auc": 0.7, "precision_at_10": 0.5}
 DAY_WINDOW = 86_400
 WIDE_GENRES = 80
+SPARSE_GENRES = 5_000
+SPARSE_VOCABULARY = 4_000
+MEAN = "_mean"
 CATALOG_GENRES = sorted({genre for _, genre, _ in cfg.CATALOG})
 
 _QUERIES: dict[str, Query] = {}
@@ -66,11 +71,28 @@ def _rows(spark: SparkSession, sf: str, seconds: int = cfg.WINDOW_SECONDS) -> Da
 
 
 def _training(spark: SparkSession, sf: str) -> DataFrame:
-    """Feature rows of the training range, deduplicated, scores rounded."""
-    rows = dedup.dedup_feature_rows(log.rows_in_range(_rows(spark, sf), TRAIN_FROM, TRAIN_AS_OF))
+    """Feature rows of the training range, deduplicated, scores rounded; ``MEAN`` is the mean as it was computed."""
+    return _training_rows(_rows(spark, sf))
+
+
+def _training_rows(rows: DataFrame) -> DataFrame:
+    rows = dedup.dedup_feature_rows(log.rows_in_range(rows, TRAIN_FROM, TRAIN_AS_OF)).withColumn(MEAN, F.col("avg_watch_duration"))
     return rows.withColumns({c: r6(c) for c in ("category_affinity_score", "avg_watch_duration", "recency_score")})
 
 
+_held: list[DataFrame] = []
+
+
+def _hold(rows: DataFrame) -> DataFrame:
+    """Rows that a query reads twice, kept until the next query holds some: features are computed once."""
+    while _held:
+        old = _held.pop()
+        if old.sparkSession.sparkContext._jsc is not None:
+            old.unpersist()
+    _held.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+    return _held[0]
+
+
 def _training_cutoff(spark: SparkSession, sf: str) -> str:
     """Split date from the events: every event has a row of its own date, so no features are computed."""
     dates = ad.watch_events(spark, sf).select("event_date")
@@ -85,7 +107,7 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
         F.round(0.6 * F.col("recency_score") + 0.4 * F.col("category_affinity_score"), 4).alias("score"),
         "recency_score",
         "category_affinity_score",
-        matrix.label().alias(cfg.LABEL),
+        matrix.label(mean=MEAN).alias(cfg.LABEL),
         matrix.split_column(F.lit(_training_cutoff(spark, sf))).alias("split"),
     )
 
@@ -159,6 +181,16 @@ def rejects_by_reason(spark, sf):
     return ingest.rejects_by_reason(ingest.check_messages(ad.raw_messages(spark, sf)))
 
 
+@query
+def boundary_to_parser(spark, sf):
+    """Events with times of every accepted form, published by the boundary and read back by the message parser."""
+    valid = ingest.accepted(ingest.check_watch(ad.raw_watch_input(spark, sf, ad.boundary_stamps())))
+    payload = ingest.watch_payload(valid, cfg.pseudonym_secret(), ["event_id"])
+    fields = [c for c in payload.columns if c != "event_id"]
+    messages = keyed_messages(payload, fields=fields).select("event_id", "value")
+    return ingest.parse_messages(messages).select("event_id", USER, "watch_pct", "event_us", "event_date")
+
+
 @query
 def iso_forms(spark, sf):
     """Event times written in every form of ISO-8601, read back as instant and local date."""
@@ -357,9 +389,20 @@ def cold_start_users(spark, sf):
 
 @query
 def features_as_of_request(spark, sf):
+    # A user is hot by writes and requests together.
+    both = ad.watch_events(spark, sf).select(USER).unionByName(ad.recommendation_requests(spark, sf).select(USER))
+    return _as_of(spark, sf, wf.hot_users(both, cfg.HOT_USER_ROWS))
+
+
+@query
+def features_as_of_split(spark, sf):
+    """Every user's time axis cut into hours, and hours of more than a few rows again."""
+    return _as_of(spark, sf, None, busy_rows=3)
+
+
+def _as_of(spark, sf, hot: list[str] | None, **rule) -> DataFrame:
     rows = _rows(spark, sf).withColumn("written_us", (F.col("computed_at_epoch") * 1_000_000.0).cast("bigint"))
-    hot = wf.hot_users(ad.watch_events(spark, sf), cfg.HOT_USER_ROWS)
-    found = online.features_as_of(ad.recommendation_requests(spark, sf), rows, SERVING_TTL, hot)
+    found = online.features_as_of(ad.recommendation_requests(spark, sf), rows, SERVING_TTL, hot, **rule)
     return found.select(
         "request_id", USER, "has_features", "watch_count_10min",
         r6("last_event_epoch").alias("last_event_epoch"), r6("avg_watch_duration").alias("avg_watch_duration"),
@@ -454,7 +497,7 @@ def split_cutoff(spark, sf):
 
 @query
 def split_stats(spark, sf):
-    stats = matrix.split_stats(_training(spark, sf), _training_cutoff(spark, sf))
+    stats = matrix.split_stats(_training(spark, sf), _training_cutoff(spark, sf), mean=MEAN)
     return stats.withColumn("positive_rate", r6("positive_rate"))
 
 
@@ -465,16 +508,15 @@ def chronological_split(spark, sf):
     return rows.groupBy("split", "event_date").agg(F.count("*").alias("n"))
 
 
-def _train_genres(spark, sf) -> list[str]:
-    return matrix.known_genres(
-        _training(spark, sf).filter(F.col("event_date") < _training_cutoff(spark, sf))
-    )
+def _train_genres(training: DataFrame, spark, sf) -> list[str]:
+    return matrix.known_genres(training.filter(F.col("event_date") < _training_cutoff(spark, sf)))
 
 
 @query
 def genre_matrix(spark, sf):
-    genres = _train_genres(spark, sf)
-    rows = _training(spark, sf).select(USER, r6("last_event_epoch").alias("last_event_epoch"), *matrix.genre_columns(genres))
+    training = _hold(_training(spark, sf))
+    genres = _train_genres(training, spark, sf)
+    rows = training.select(USER, r6("last_event_epoch").alias("last_event_epoch"), *matrix.genre_columns(genres))
     return rows.select(USER, "last_event_epoch", *[r6(F.col(f"`genre_{g}`")).alias(f"genre_{g}") for g in genres])
 
 
@@ -488,21 +530,39 @@ def time_bucket_index(spark, sf):
 @query
 def engaged_label(spark, sf):
     return _training(spark, sf).select(
-        USER, r6("last_event_epoch").alias("last_event_epoch"), matrix.label().alias(cfg.LABEL)
+        USER, r6("last_event_epoch").alias("last_event_epoch"), matrix.label(mean=MEAN).alias(cfg.LABEL)
     )
 
 
 @query
 def feature_matrix(spark, sf):
-    genres = _train_genres(spark, sf)
-    x = matrix.feature_matrix(_training(spark, sf), genres, keep=[USER, "last_event_epoch"])
+    training = _hold(_training(spark, sf))
+    genres = _train_genres(training, spark, sf)
+    x = matrix.feature_matrix(training, genres, keep=[USER, "last_event_epoch"], mean=MEAN)
     floats = [c for c, t in x.dtypes if t == "double"]
     return x.select([r6(F.col(f"`{c}`")).alias(c) if c in floats else F.col(f"`{c}`") for c in x.columns])
 
 
+@query
+def feature_matrix_sparse(spark, sf):
+    """Thousands of genres in one sparse column; the vocabulary is bounded by how many training rows hold a genre."""
+    wide = F.concat(F.lit("g"), F.lpad((F.col("arrival_seq") * 7 % SPARSE_GENRES).cast("string"), 4, "0"))
+    events = ad.watch_events(spark, sf).withColumn("genre", F.when(F.col("genre") != "", wide).otherwise(F.col("genre")))
+    training = _hold(_training_rows(wf.feature_rows(events, ad.computed_at(), _spec())))
+    train = training.filter(F.col("event_date") < _training_cutoff(spark, sf))
+    x = matrix.sparse_matrix(training, matrix.known_genres(train, SPARSE_VOCABULARY), keep=[USER, "last_event_epoch"], mean=MEAN)
+    weights = F.col("genre_weights")
+    millionths = F.transform(weights["values"], lambda v: F.round(v * 1_000_000.0, 0).cast("bigint").cast("string"))
+    return x.select(
+        USER, r6("last_event_epoch").alias("last_event_epoch"), "watch_count_10min", "time_of_day_index", cfg.LABEL,
+        weights["size"].alias("size"),
+        F.array_join(weights["indices"].cast("array<string>"), ",").alias("indices"), F.array_join(millionths, ",").alias("millionths"),
+    )
+
+
 @query
 def schema_contract_rows(spark, sf):
-    train = _training(spark, sf).filter(F.col("event_date") < _training_cutoff(spark, sf))
+    train = _hold(_training(spark, sf)).filter(F.col("event_date") < _training_cutoff(spark, sf))
     contract = matrix.schema_contract(matrix.known_genres(train))
     features = F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(f["name"]).alias("name"), F.lit(f["dtype"]).alias("dtype"))
@@ -514,8 +574,9 @@ def schema_contract_rows(spark, sf):
 
 @query
 def serving_vectors(spark, sf):
-    contract = matrix.schema_contract(_train_genres(spark, sf))
-    latest = _latest(spark, sf)
+    rows = _hold(_rows(spark, sf))
+    contract = matrix.schema_contract(_train_genres(_training_rows(rows), spark, sf))
+    latest = online.latest_rows(rows, cfg.ONLINE_TTL_SECONDS)
     # One user in four lacks its bucket and count, as after a partial write.
     gap = F.conv(F.substring(USER, 1, 6), 16, 10).cast("bigint") % 4 == 0
     holes = latest.withColumns(
@@ -654,6 +715,14 @@ def slo_report(spark, sf):
     return report.withColumn("error_pct", r6("error_pct"))
 
 
+@query
+def slo_endpoints(spark, sf):
+    """The endpoints' part of a report snapshot, with the thresholds of one suite."""
+    snapshot = monitor.slo_snapshot(ad.request_log(spark, sf)).filter("suite = 'baseline'")
+    rows = snapshot.select("thresholds.*", F.inline("endpoints"))
+    return rows.withColumn("error_pct", r6("error_pct"))
+
+
 @query
 def feature_freshness(spark, sf):
     report = monitor.freshness_report(_latest(spark, sf), F.lit(ONLINE_AS_OF))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ def recommend_users(
     if model is None:
         return recommend.recommendations(routed, catalog, trending, F.lit(0.0), F.lit(None).cast("string"), top_n)
     fitted, contract, number = model
+    # Those to be scored and those to be fed are read apart; lost blocks are rebuilt.
+    routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
     return recommend.recommendations(
         routed, catalog, trending, F.col("engagement"), F.lit(str(number)), top_n,
         score=lambda personal: engagement_scores(personal, fitted, contract),

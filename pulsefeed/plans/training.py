@@ -79,6 +79,9 @@ def build_pipeline(columns: list[str], model_type: str, params: dict | None = No
     if model_type == "logistic":
         bucket = "_bucket_onehot"
         stages.append(OneHotEncoder(inputCols=[_BUCKET_INDEX], outputCols=[bucket], handleInvalid="keep"))
+    genres = [c for c in columns if c.startswith(matrix.GENRE_PREFIX)]
+    if matrix.is_wide(genres):
+        columns = [*[c for c in columns if c not in set(genres)], matrix.GENRE_VECTOR]
     inputs = [bucket if c == "time_of_day_bucket" else c for c in columns]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=_FEATURES))
     stages.append(make_trainer(model_type, params))
@@ -127,9 +130,13 @@ def train(rows: DataFrame, config: TrainingConfig = TrainingConfig()) -> Trained
     contract = matrix.schema_contract(genres, config.threshold, columns)
     matrix.require_contract(rows.schema, contract)
     key = ["pseudo_user_id", "last_event_epoch"]
-    data = matrix.feature_matrix(rows, genres, config.threshold, keep=[*key, "event_date"]).withColumn(
-        _VALIDATION, F.col("event_date") >= cutoff
-    )
+    keep = [*key, "event_date"]
+    if matrix.is_wide(genres):
+        data = matrix.sparse_matrix(rows, genres, config.threshold, keep)
+        data = data.withColumn(matrix.GENRE_VECTOR, matrix.sparse_vector(F.col("genre_weights"))).drop("genre_weights")
+    else:
+        data = matrix.feature_matrix(rows, genres, config.threshold, keep)
+    data = data.withColumn(_VALIDATION, F.col("event_date") >= cutoff)
     # Read once for many boosting rounds; lost blocks are rebuilt from the log.
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -144,16 +151,13 @@ def train(rows: DataFrame, config: TrainingConfig = TrainingConfig()) -> Trained
     finally:
         data.unpersist()
     metrics |= {f"importance_{c}": v for c, v in feature_importances(model, columns).items()}
-    params = {
-        "model_type": config.model_type,
-        "training_date_range_days": config.range_days,
-        "validation_split_days": config.validation_days,
-        "engaged_threshold": config.threshold,
-        "train_rows": by_split[False]["n"],
-        "val_rows": by_split[True]["n"],
-        "positive_rate_train": by_split[False]["rate"],
-        **{f"model_param_{k}": v for k, v in config.params.items()},
+    logged = {
+        "model": config.model_type, "range_days": config.range_days, "validation_days": config.validation_days,
+        "threshold": config.threshold, "train_rows": by_split[False]["n"], "validation_rows": by_split[True]["n"],
+        "positive_rate": by_split[False]["rate"],
     }
+    params = {cfg.LOGGED_PARAMETERS[k]: v for k, v in logged.items()}
+    params |= {f"{cfg.LOGGED_MODEL_PREFIX}{k}": v for k, v in config.params.items()}
     return Trained(model, contract, metrics, params)
 
 

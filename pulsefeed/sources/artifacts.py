@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pulsefeed import settings as cfg
 from pulsefeed.operators.registry import current_aliases, resolve
 from pulsefeed.schemas import REGISTRY
+from pulsefeed.sources import files
 
 
 class ModelRegistry:
@@ -35,6 +37,14 @@ class ModelRegistry:
     def next_version(self) -> int:
         return (self.assignments().agg(F.max("version")).first()[0] or 0) + 1
 
+    def _claim(self, run: str) -> int:
+        claims = f"{self.root}/claims/{self.name}"
+        taken = [int(n) for n in files.names(self.spark, claims, False) if n.isdigit()]
+        version = max([self.next_version(), *(n + 1 for n in taken)])
+        while not files.create_new(self.spark, f"{claims}/{version}", run):
+            version += 1
+        return version
+
     def _append(self, **row) -> None:
         record = {f: row.get(f) for f in REGISTRY.fieldNames()}
         frame = self.spark.createDataFrame([tuple(record.values())], REGISTRY)
@@ -44,12 +54,18 @@ class ModelRegistry:
         self, model: PipelineModel, contract: dict, alias: str, model_type: str,
         params: dict[str, str], metrics: dict[str, float],
     ) -> int:
-        """Save model and contract, then make the version visible with one registry row."""
-        version = self.next_version()
-        path = f"{self.root}/models/{self.name}/version={version}"
+        """Save model and contract, then make the version visible with one registry row.
+
+        The number is claimed by creating its file, which only one of several
+        trainings can; the next one takes the next number. Each writes to a
+        directory of its own, so none can touch what another has saved.
+        """
+        run = uuid.uuid4().hex
+        version = self._claim(run)
+        path = f"{self.root}/models/{self.name}/version={version}/run={run}"
         text = self.spark.createDataFrame([(json.dumps(contract),)], "value string")
-        text.coalesce(1).write.mode("overwrite").text(f"{path}/feature_schema")
-        model.write().overwrite().save(f"{path}/model")
+        text.coalesce(1).write.text(f"{path}/feature_schema")
+        model.save(f"{path}/model")
         self._append(
             name=self.name, version=version, alias=alias, assigned_at=time.time_ns() // 1000, path=path,
             model_type=model_type, params={k: str(v) for k, v in params.items()}, metrics=metrics,
@@ -83,6 +99,9 @@ class ModelRegistry:
         return None if found is None else found["version"]
 
     def load(self, version: int) -> tuple[PipelineModel, dict]:
-        path = f"{self.root}/models/{self.name}/version={version}"
+        found = self.assignments().filter(F.col("version") == version).select("path").first()
+        if found is None:
+            raise ValueError(f"model {self.name!r} has no version {version}")
+        path = found["path"]
         contract = json.loads(self.spark.read.text(f"{path}/feature_schema").first()[0])
         return PipelineModel.load(f"{path}/model"), contract

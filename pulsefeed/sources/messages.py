@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from pulsefeed import settings as cfg
-from pulsefeed.schemas import WATCH_INPUT
+from pulsefeed.schemas import SESSION_INPUT, WATCH_INPUT
 
 _MESSAGE = "value string, arrival_us bigint, arrival_seq bigint"
 
@@ -47,9 +47,18 @@ def file_messages(spark: SparkSession, path: str, max_files: int | None = None)
     return reader.json(path)
 
 
+def raw_sessions(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Unchecked session starts, as ``raw_watch``."""
+    return _raw(spark, path, SESSION_INPUT, max_files)
+
+
 def raw_watch(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Unchecked watch events as text, from JSON lines; events without an arrival position get the time of reading."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in WATCH_INPUT.fieldNames()])
+    return _raw(spark, path, WATCH_INPUT, max_files)
+
+
+def _raw(spark: SparkSession, path: str, fields: T.StructType, max_files: int | None) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in fields.fieldNames()])
     schema = schema.add("arrival_us", T.LongType()).add("arrival_seq", T.LongType())
     reader = spark.readStream.schema(schema)
     if max_files is not None:

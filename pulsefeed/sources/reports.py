@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsefeed.operators.monitor import slo_report
+from pulsefeed.operators.monitor import slo_snapshot
 from pulsefeed.schemas import REQUEST_LOG
 
 
@@ -15,8 +15,8 @@ def read_request_log(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
 
 
 def write_slo_snapshot(log: DataFrame, path: str, suites: dict[str, tuple[float, float]] | None = None) -> None:
-    """Append one JSON row per suite, stamped with the time of the report."""
-    report = slo_report(log, suites).withColumn("ran_at", F.current_timestamp())
+    """Append one JSON row per suite with its thresholds and the endpoints' figures, stamped with the time of the report."""
+    report = slo_snapshot(log, suites).withColumn("ran_at", F.current_timestamp())
     report.coalesce(1).write.mode("append").json(path)
 
 

@@ -12,6 +12,7 @@ from pulsefeed.schemas import FEATURE_ROW
 from pulsefeed.sources import adapters as ad
 from pulsefeed.sources import feature_log as log
 from pulsefeed.streaming import consent as sc
+from pulsefeed.streaming import online as so
 from pulsefeed.streaming.dedup import drop_replays
 
 
@@ -65,12 +66,38 @@ def test_messages_to_recommendations(spark, sf_dir, tmp_path):
     assert table.read().count() == len(known)
 
 
+def test_unix_times_reach_the_online_view(spark, sf_dir, tmp_path):
+    """Events with times in every accepted form, through the boundary and one stream into the log and the online view."""
+    at = lambda name: str(tmp_path / name)
+    raw = ad.raw_watch_input(spark, sf_dir, ad.boundary_stamps())
+    raw.select("user_id", "content_id", "watch_pct", "timestamp", "genre", "timezone").coalesce(2).write.json(at("raw"))
+    main(["ingest", "--events", at("raw"), "--messages", at("topic"), "--rejects", at("bad"), "--checkpoint", at("cp0"), "--once"])
+    accepted = raw.count() - spark.read.parquet(at("bad")).count()
+    main(["features", "--messages", at("topic"), "--log", at("log"), "--online", at("online"), "--checkpoint", at("cp1"), "--rejects", at("bad2"), "--once"])
+    assert spark.read.schema("reject_reason string").parquet(at("bad2")).count() == 0
+    assert log.read_log(spark, at("log"), "2023-12-31", "2024-02-28").count() == accepted > 0
+    assert so.online_table(spark, at("online")).read().count() > 0
+
+
+def test_session_job(spark, sf_dir, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    sessions = ad.session_input(spark, sf_dir)
+    sessions.drop("event_id").coalesce(1).write.json(at("raw"))
+    main(["sessions", "--events", at("raw"), "--messages", at("topic"), "--rejects", at("bad"), "--checkpoint", at("cp"), "--once"])
+    sent, bad = spark.read.json(at("topic")), spark.read.parquet(at("bad"))
+    assert sent.count() + bad.count() == sessions.count() and bad.count() > 0 and "user_id" not in bad.columns
+    body = json.loads(sent.first()["value"])
+    assert set(body) == {"pseudo_user_id", "session_id", "device", "start_time"}
+
+
 def test_slo_job(spark, tmp_path):
     ad_log = spark.createDataFrame([("a", 5.0, True, dt.datetime(2026, 1, 1))], "endpoint string, latency_ms double, ok boolean, ts timestamp")
     ad_log.write.parquet(str(tmp_path / "log"))
     main(["slo", "--requests", str(tmp_path / "log"), "--out", str(tmp_path / "out")])
     rows = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "out")).collect()]
     assert len(rows) == 5 and all(r["passed"] for r in rows)
+    assert rows[0]["endpoints"] == [{"endpoint": "a", "requests": 1, "errors": 0, "error_pct": 0.0, "p50_ms": 5.0, "p95_ms": 5.0, "p99_ms": 5.0}]
+    assert set(rows[0]["thresholds"]) == {"max_p95_ms", "max_error_pct"}
 
 
 def test_stream_drops_replays(spark, tmp_path):

@@ -141,6 +141,60 @@ def test_register_resolve_promote(spark, trained):
         reg.set_alias(99, "production")
 
 
+def test_two_trainings_at_once_get_two_versions(spark, trained, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    registries = [ModelRegistry(spark, str(tmp_path / "models")) for _ in range(2)]
+    one = lambda r: r.register(trained.model, trained.contract | {"by": id(r)}, "staging", "gbt", {}, {"auc": 0.5})
+    with ThreadPoolExecutor(2) as pool:
+        versions = list(pool.map(one, registries))
+    assert sorted(versions) == [1, 2]
+    for r, v in zip(registries, versions):
+        assert r.load(v)[1]["by"] == id(r)
+    assert registries[0].register(trained.model, trained.contract, "staging", "gbt", {}, {}) == 3
+    with pytest.raises(ValueError, match="no version"):
+        registries[0].load(9)
+
+
+def test_wide_vocabularies_train_and_serve_as_one_vector(spark, monkeypatch):
+    """The same model comes out of a column per genre and of one sparse column."""
+    data = rows(spark, many())
+    narrow = training.train(data, training.TrainingConfig(model_type="logistic"))
+    monkeypatch.setattr(cfg, "MAX_GENRE_FEATURES", 1)
+    wide = training.train(data, training.TrainingConfig(model_type="logistic"))
+    assert wide.contract == narrow.contract and wide.metrics["auc"] == pytest.approx(narrow.metrics["auc"], abs=1e-6)
+    assert {k for k in wide.metrics} == {k for k in narrow.metrics}
+    scored = serving.engagement_scores(data, wide.model, wide.contract).select("pseudo_user_id", "last_event_epoch", "engagement")
+    monkeypatch.setattr(cfg, "MAX_GENRE_FEATURES", 100)
+    same = serving.engagement_scores(data, narrow.model, narrow.contract).select("pseudo_user_id", "last_event_epoch", "engagement")
+    a, b = ({r["last_event_epoch"]: r["engagement"] for r in df.collect()} for df in (scored, same))
+    assert a == pytest.approx(b, abs=1e-6)
+
+
+def test_sparse_weights_and_the_bounded_vocabulary(spark):
+    df = rows(spark, [row("a", 1, vector='{"z":0.25,"m":0.75}'), row("b", 2, vector='{"m":1.0,"x":0.0}'), row("c", 3, vector="broken"), row("d", 4)])
+    assert [(r["genre"], r["n_rows"]) for r in matrix.vocabulary(df).collect()] == [("m", 2), ("x", 1), ("z", 1)]
+    assert matrix.known_genres(df, 2) == ["m", "x"]
+    got = {r["pseudo_user_id"]: r["w"] for r in df.select("pseudo_user_id", matrix.sparse_weights(["m", "x"]).alias("w")).collect()}
+    assert (got["a"]["size"], got["a"]["indices"], got["a"]["values"]) == (2, [0], [0.75])
+    assert (got["b"]["indices"], got["b"]["values"]) == ([0, 1], [1.0, 0.0]) and got["c"]["indices"] == got["d"]["indices"] == []
+
+
+def test_routing_is_one_pass(spark):
+    users, consent, latest = _stores(spark)
+    routed = recommend.route(users, consent, latest, F.lit(10.0))
+    out = recommend.recommendations(routed, recommend.catalog_frame(spark), recommend.trending_frame(spark), F.lit(0.5), F.lit("1"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("LogicalRDD") + plan.count("LocalRelation") <= 3
+
+
+def test_the_label_is_of_the_mean_as_computed(spark):
+    df = rows(spark, [row("a", 1, avg=69.9999996), row("b", 2, avg=70.0)])
+    shown = df.withColumn("mean", F.col("avg_watch_duration")).withColumn("avg_watch_duration", F.round("avg_watch_duration", 6))
+    got = matrix.feature_matrix(shown, [], keep=["pseudo_user_id"], mean="mean").collect()
+    assert {r["pseudo_user_id"]: r[cfg.LABEL] for r in got} == {"a": 0, "b": 1}
+
+
 def test_empty_registry_resolves_to_nothing(spark, tmp_path):
     assert ModelRegistry(spark, str(tmp_path / "none")).resolve() is None
 
