@@ -27,7 +27,9 @@ class ModelRegistry:
 
     def table(self) -> DataFrame:
         try:
-            return self.spark.read.schema(REGISTRY).parquet(f"{self.root}/registry")
+            # Each row lies in a directory of its own: two writers of one directory would clear each other's work.
+            reader = self.spark.read.schema(REGISTRY).option("recursiveFileLookup", "true")
+            return reader.parquet(f"{self.root}/registry")
         except AnalysisException:
             return self.spark.createDataFrame([], REGISTRY)
 
@@ -48,7 +50,7 @@ class ModelRegistry:
     def _append(self, **row) -> None:
         record = {f: row.get(f) for f in REGISTRY.fieldNames()}
         frame = self.spark.createDataFrame([tuple(record.values())], REGISTRY)
-        frame.coalesce(1).write.mode("append").parquet(f"{self.root}/registry")
+        frame.coalesce(1).write.parquet(f"{self.root}/registry/{uuid.uuid4().hex}")
 
     def register(
         self, model: PipelineModel, contract: dict, alias: str, model_type: str,

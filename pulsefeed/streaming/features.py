@@ -255,7 +255,10 @@ def both_writer(
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """State on local disk instead of the heap, with only changes uploaded per batch, in an encoding that may gain fields."""
+    """State on local disk instead of the heap, with only changes uploaded per batch, in an encoding that may gain fields.
+
+    A query takes these settings when it starts: start it before another kind of stateful stream is built in the session.
+    """
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -144,14 +144,15 @@ def test_register_resolve_promote(spark, trained):
 def test_two_trainings_at_once_get_two_versions(spark, trained, tmp_path):
     from concurrent.futures import ThreadPoolExecutor
 
+    model, contract = trained[0].load(1)
     registries = [ModelRegistry(spark, str(tmp_path / "models")) for _ in range(2)]
-    one = lambda r: r.register(trained.model, trained.contract | {"by": id(r)}, "staging", "gbt", {}, {"auc": 0.5})
+    one = lambda r: r.register(model, contract | {"by": id(r)}, "staging", "gbt", {}, {"auc": 0.5})
     with ThreadPoolExecutor(2) as pool:
         versions = list(pool.map(one, registries))
     assert sorted(versions) == [1, 2]
     for r, v in zip(registries, versions):
         assert r.load(v)[1]["by"] == id(r)
-    assert registries[0].register(trained.model, trained.contract, "staging", "gbt", {}, {}) == 3
+    assert registries[0].register(model, contract, "staging", "gbt", {}, {}) == 3
     with pytest.raises(ValueError, match="no version"):
         registries[0].load(9)
 
@@ -163,7 +164,7 @@ def test_wide_vocabularies_train_and_serve_as_one_vector(spark, monkeypatch):
     monkeypatch.setattr(cfg, "MAX_GENRE_FEATURES", 1)
     wide = training.train(data, training.TrainingConfig(model_type="logistic"))
     assert wide.contract == narrow.contract and wide.metrics["auc"] == pytest.approx(narrow.metrics["auc"], abs=1e-6)
-    assert {k for k in wide.metrics} == {k for k in narrow.metrics}
+    assert set(wide.metrics) == set(narrow.metrics)
     scored = serving.engagement_scores(data, wide.model, wide.contract).select("pseudo_user_id", "last_event_epoch", "engagement")
     monkeypatch.setattr(cfg, "MAX_GENRE_FEATURES", 100)
     same = serving.engagement_scores(data, narrow.model, narrow.contract).select("pseudo_user_id", "last_event_epoch", "engagement")
