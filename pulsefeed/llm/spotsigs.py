@@ -55,7 +55,7 @@ COMMON_WORDS = tuple(
 
 
 def with_signatures(df: DataFrame, text: str, name: str, common: tuple = COMMON_WORDS, chain: int = CHAIN) -> DataFrame:
-    """``name``: sorted distinct 32-bit hashes of the chains of the (non-null) column ``text``.
+    """``name``: sorted distinct 64-bit hashes of the chains of the (non-null) column ``text``.
 
     The steps are columns one after the other, so no lambda computes its array again.
     """
@@ -73,10 +73,10 @@ def with_signatures(df: DataFrame, text: str, name: str, common: tuple = COMMON_
 
     def hashed(w: Column, i: Column) -> Column:
         following = [F.ltrim(F.get(F.col(chains), i + k), F.lit("^")) for k in range(1, chain)]
-        return F.when(F.startswith(w, F.lit("^")), F.hash(w, *following))
+        return F.when(F.startswith(w, F.lit("^")), F.xxhash64(w, *following))
 
     spots = F.array_sort(F.array_distinct(F.array_compact(F.transform(F.col(chains), hashed))))
-    bare = F.when(F.col(text) == "", F.array().cast("array<int>")).otherwise(F.array(F.hash(F.lower(text))))
+    bare = F.when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.lower(text))))
     return df.withColumn(name, F.when(F.size(chains) > 0, spots).otherwise(bare)).drop(words, chains)
 
 
