@@ -42,17 +42,18 @@ HEADLINE = [
 
 
 def stream_lag(spark, sf_dir: str, batches: int = 6) -> dict:
-    """All watch events through the stateful stream, cut into equal micro-batches in arrival order.
+    """All watch events through the stateful stream into the log and the online view, cut into micro-batches in arrival order.
 
     The duration of a micro-batch is the longest an event that arrives at its
-    start waits for its feature row. The first batch starts the workers and is
-    reported apart.
+    start waits until its feature row is online. The first batch starts the
+    workers and is reported apart.
     """
     from pyspark.sql import functions as F
 
     from pulsefeed.schemas import ARRIVAL
     from pulsefeed.sources import adapters
-    from pulsefeed.streaming.features import log_writer, stream_features
+    from pulsefeed.streaming.features import both_writer, stream_features
+    from pulsefeed.streaming.online import online_table
 
     # A cluster names its shared folder; without one this is a local run.
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -67,14 +68,18 @@ def stream_lag(spark, sf_dir: str, batches: int = 6) -> dict:
     schema = cut.drop("part").schema
     cut.unpersist()
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in/*")
-    query = log_writer(stream_features(source), f"{work}/log", f"{work}/checkpoint").trigger(availableNow=True).start()
+    table = online_table(spark, f"{work}/online")
+    writer = both_writer(stream_features(source), f"{work}/log", table, f"{work}/checkpoint")
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     done = [p for p in query.recentProgress if p["numInputRows"]]
     seconds = [p["batchDuration"] / 1000.0 for p in done]
     later = seconds[1:] or seconds
     return {
         "rows": sum(p["numInputRows"] for p in done),
+        "batches": len(done),
         "first_batch_sec": round(seconds[0], 3),
+        "median_later_batch_sec": round(sorted(later)[len(later) // 2], 3),
         "max_later_batch_sec": round(max(later), 3),
         "rows_per_sec": round(sum(p["numInputRows"] for p in done[1:]) / sum(later)) if len(done) > 1 else None,
     }
@@ -123,6 +128,7 @@ def main() -> None:
         report["feature_rows_per_sec"] = round(events / timings["user_features"])
     if not sys.argv[1:]:
         report["stream"] = stream_lag(spark, sf_dir)
+        report["event_to_online"] = stream_lag(spark, sf_dir, 24)
     print(json.dumps(report))
     spark.stop()
 

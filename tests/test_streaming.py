@@ -94,7 +94,7 @@ def test_state_takes_a_new_field_over_a_restart(spark, sf_dir, tmp_path):
     wider = T.StructType([*USER_STATE.fields, T.StructField("seen_in", T.StringType(), True)])
     for name, state in (("000", USER_STATE), ("001", wider)):
         spark.read.schema(EVENT).json(f"{whole}/{name}").coalesce(1).write.json(str(live / name))
-        rows = sf_.stream_features(_read(spark, str(live)), spec, state)
+        rows = sf_.stream_features(_read(spark, str(live)), spec, state, evolving=True)
         sf_.log_writer(rows, str(tmp_path / "log"), str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(240)
     streamed = spark.read.parquet(str(tmp_path / "log")).orderBy(*ARRIVAL).collect()
     _close(streamed, wf.feature_rows(events, F.lit(0.0), spec).orderBy(*ARRIVAL).collect())
