@@ -71,7 +71,7 @@ def run_features(spark: SparkSession, args: argparse.Namespace) -> None:
         source = messages.kafka_messages(spark, args.kafka, args.topic)
     else:
         source = messages.file_messages(spark, args.messages, args.max_files)
-    rows = features.stream_features(ingest.parse_messages(source))
+    rows = features.stream_features(ingest.parse_messages(source), evolving=args.evolving)
     if args.online:
         table = online.online_table(spark, args.online)
         writer = features.both_writer(rows, args.log, table, args.checkpoint, args.ttl)
@@ -170,6 +170,7 @@ def parser() -> argparse.ArgumentParser:
     job("consent", run_consent, "changes", "table", "audit", stream=True)
     p = job("features", run_features, "log", stream=True)
     p.add_argument("--rejects", help="directory for rejected messages")
+    p.add_argument("--evolving", action="store_true", help="keep state in a form that may gain fields over a restart")
     p.add_argument("--online", help="online table to keep from the same stream, a micro-batch a second")
     p.add_argument("--ttl", type=int, default=cfg.ONLINE_TTL_SECONDS)
     source = p.add_mutually_exclusive_group(required=True)
