@@ -22,7 +22,9 @@ from pulsefeed.sources.feature_log import PARTITIONS, batch_log, with_partitions
 from pulsefeed.sources.latest_table import LatestTable, stream_run
 
 USER = "pseudo_user_id"
-_INPUT = ["watch_pct", "genre", "timezone", "event_us", "event_date", *ARRIVAL]
+# A column costs every group the same whatever its rows, so a user's events come in three.
+_NUMBERS = ["event_us", *ARRIVAL]
+_TEXTS = ["genre", "timezone", "event_date"]
 _OUTPUT = T.StructType(
     [
         T.StructField(USER, T.StringType()),
@@ -41,6 +43,7 @@ _OUTPUT = T.StructType(
         T.StructField("arrival_seq", T.LongType()),
     ]
 )
+_COLUMNS = pd.Index(_OUTPUT.fieldNames())
 
 
 def _limbs(pct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,32 +121,35 @@ def _window_values(
         "category_affinity_score": _score(decayed[:, 1], _exact(sums, 3), n, shift, spec.affinity_lambda),
         "avg_watch_duration": np.where(n > 0, total_pct / np.maximum(n, 1), 0.0),
         "recency_score": _score(decayed[:, 0], total_pct, n, shift, spec.recency_lambda),
-        "genres": [[g for g, _ in names]] * len(now),
-        "shares": list(shares[:, : len(names)]),
+        "genres": [g for g, _ in names],
+        "shares": shares[:, : len(names)],
     }
 
 
 def _step(key: tuple, rows: Iterator[pd.DataFrame], found: tuple | None, spec: WindowSpec) -> tuple[tuple, pd.DataFrame]:
-    """One user's new state and feature rows. State and rows are columns: nothing is done per event."""
+    """One user's new state and feature rows. State and window are columns: an event is handled by itself only on the way in and out."""
     frames = list(rows)
     frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    numbers = np.array(frame["numbers"].tolist(), np.int64)
     # A shuffle loses arrival order within the batch: restore it first.
-    order = np.lexsort((frame["arrival_seq"].to_numpy(), frame["arrival_us"].to_numpy()))
-    column = {c: frame[c].to_numpy()[order] for c in _INPUT}
+    order = np.lexsort((numbers[:, 2], numbers[:, 1]))
+    numbers = numbers[order]
+    pct = frame["watch_pct"].to_numpy(float)[order]
+    texts = np.array(frame["texts"].tolist(), object)[order]
     hwm, times, pcts, places, genres = found[:5] if found else (0, b"", b"", b"", [])
     genres = list(genres)
     place_of = {g: k for k, g in enumerate(genres)}
     fresh = np.empty(len(order), np.int32)
-    for k, g in enumerate(column["genre"].tolist()):
-        if g is None or g != g:
+    for k, g in enumerate(texts[:, 0].tolist()):
+        if g is None:
             fresh[k] = -1
             continue
         if g not in place_of:
             place_of[g] = len(genres)
             genres.append(g)
         fresh[k] = place_of[g]
-    t = np.concatenate([np.frombuffer(times, np.int64), column["event_us"].astype(np.int64)])
-    pct = np.concatenate([np.frombuffer(pcts, float), column["watch_pct"].astype(float)])
+    t = np.concatenate([np.frombuffer(times, np.int64), numbers[:, 0]])
+    pct = np.concatenate([np.frombuffer(pcts, float), pct])
     genre_at = np.concatenate([np.frombuffer(places, np.int32), fresh])
     held = len(t) - len(order)
     marks = np.maximum.accumulate(np.maximum(t[held:], hwm))
@@ -156,9 +162,18 @@ def _step(key: tuple, rows: Iterator[pd.DataFrame], found: tuple | None, spec: W
     if len(used) and used[0] < 0:
         used, compact = used[1:], compact - 1
     state = (int(marks[-1]), t[kept].tobytes(), pct[kept].tobytes(), compact.astype(np.int32).tobytes(), [genres[i] for i in used])
-    values |= {c: column[c] for c in ("event_us", "timezone", "event_date", *ARRIVAL)}
-    values |= {USER: [key[0]] * len(order), "computed_at_epoch": np.full(len(order), time.time())}
-    return state, pd.DataFrame({c: values[c] for c in _OUTPUT.fieldNames()})
+    values |= {c: numbers[:, k] for k, c in enumerate(_NUMBERS)}
+    values |= {"timezone": texts[:, 1], "event_date": texts[:, 2], USER: key[0], "computed_at_epoch": time.time()}
+    # One block of objects: a frame of typed columns costs a small group more than its window.
+    block = np.empty((len(order), len(_COLUMNS)), object)
+    for k, c in enumerate(_COLUMNS):
+        if c in ("genres", "shares"):
+            continue
+        block[:, k] = values[c]
+    at_genres, at_shares = _COLUMNS.get_loc("genres"), _COLUMNS.get_loc("shares")
+    for i in range(len(order)):
+        block[i, at_genres], block[i, at_shares] = values["genres"], values["shares"][i]
+    return state, pd.DataFrame(block, columns=_COLUMNS, dtype=object)
 
 
 class WindowState(StatefulProcessor):
@@ -212,7 +227,8 @@ def stream_features(
     made after the operator, in the JVM.
     """
     use_rocksdb(events.sparkSession, evolving)
-    users = events.select(USER, *_INPUT).groupBy(USER)
+    numbers = F.array(*[F.col(c).cast("long") for c in _NUMBERS]).alias("numbers")
+    users = events.select(USER, "watch_pct", numbers, F.array(*_TEXTS).alias("texts")).groupBy(USER)
     if evolving:
         rows = users.transformWithStateInPandas(WindowState(spec, state), _OUTPUT, "append", "none")
     else:
