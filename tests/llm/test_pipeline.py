@@ -1,14 +1,20 @@
 """The pipeline over planted cases, and the queries over the given tables."""
 
 import hashlib
+import math
 import random
+import re
+from collections import Counter
 
 import pytest
 from corpus import awkward
 from pyspark.sql import functions as F
+from test_decontaminate import words_of
+from test_mixing import brute_targets
+from test_simhash import brute_components, brute_fingerprint
 
 import corpus_pipeline
-from pulsefeed.llm import oracle, queries
+from pulsefeed.llm import oracle, queries, toxicity
 
 PASSAGE = " ".join(f"bench{i}" for i in range(20))
 
@@ -62,6 +68,99 @@ def test_stages_on_planted_cases(spark, tables):
     assert {r.shard for r in after["sharding"]} <= set(range(24))
 
 
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def plain_score(model, text):
+    """The score of the fitted weights, feature by feature."""
+    words = set(words_of(text))
+    present = words | {w.encode()[:k] + b"-" for w in words for k in (4, 5, 6) if len(w.encode()) > k}
+    z = model.intercept + sum(model.weights.get(f.encode() if isinstance(f, str) else f, 0.0) for f in present)
+    return 1 / (1 + math.exp(-z))
+
+
+def plain_cut(text, items, window=10):
+    """The text without the stretches of words inside item windows; None if they are over half of its words."""
+    at = list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(text or "")))
+    words, hit = [m.group() for m in at], set()
+    for item in items:
+        w = words_of(item)
+        n = min(len(w), window)
+        grams = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if n else set()
+        for i in range(len(words) - n + 1):
+            if tuple(words[i : i + n]) in grams:
+                hit.update(range(i, i + n))
+    if len(hit) > len(words) / 2:
+        return None, False
+    out, copied = "", 0
+    for i in sorted(hit):
+        if i - 1 not in hit:
+            out += text[copied : at[i].start()]
+        copied = at[i].end()
+    return (out + text[copied:] if hit else text), True
+
+
+def test_every_stage_against_brute_force(spark, tables):
+    """Each stage on all that its predecessor kept, row by row in plain Python."""
+    path, _, _ = tables
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    model = toxicity.fit(spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet"))
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    rows, after = [tuple(r) for r in docs.select(columns).collect()], {}
+    for name, stage in corpus_pipeline.STAGES:
+        kept = corpus_pipeline.keep(stage(spark, docs, path), name)
+        after[name], docs = kept.collect(), kept
+        got = Counter(tuple(r[c] for c in columns) for r in after[name])
+        if name == "toxicity":
+            assert got == Counter(r for r in rows if plain_score(model, r[1]) < 0.5)
+        elif name == "simhash":
+            roots = brute_components([brute_fingerprint(r[1]) for r in rows], 2)
+            groups = {}
+            for root, r in zip(roots, rows):
+                groups.setdefault(root, []).append(r)
+            # One of each group, of its least id (null last); rows of one id are told apart by a hash.
+            chosen = Counter()
+            for members in groups.values():
+                least = min((r[0] is None, r[0] or 0) for r in members)
+                same = [r for r in members if (r[0] is None, r[0] or 0) == least and got[r] > chosen[r]]
+                assert same
+                chosen[same[0]] += 1
+            assert got == chosen
+        elif name == "decontamination":
+            items = [r.text for r in spark.read.parquet(f"{path}/benchmark.parquet").collect()]
+            want = Counter()
+            for r in rows:
+                text, stays = plain_cut(r[1], items)
+                if stays:
+                    want[(r[0], text, r[2], r[3], len(text) if text != r[1] else r[4])] += 1
+            assert got == want
+        elif name == "mixing":
+            size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+            sizes, taken = Counter(), Counter()
+            for r in rows:
+                sizes[r[3]] += size(r)
+            targets = brute_targets(dict(sizes))
+            times = Counter(rows)
+            assert set(got) <= set(times)
+            for r, n in times.items():
+                rate = targets[r[3]] / sizes[r[3]] if sizes[r[3]] else 0
+                assert math.floor(rate) * n <= got[r] <= math.ceil(rate) * n or not size(r)
+                taken[r[3]] += got[r] * size(r)
+            for source, target in targets.items():
+                largest = max(size(r) for r in rows if r[3] == source)
+                assert abs(taken[source] - target) <= largest
+        else:
+            assert got == Counter(rows)
+            size = lambda r: len((r.text or "").encode()) + 8
+            total, largest = sum(map(size, after[name])), max(map(size, after[name]))
+            for k in range(24):
+                members = [r for r in after[name] if r.shard == k]
+                assert sorted(r.slot for r in members) == list(range(len(members)))
+                assert abs(sum(map(size, members)) - total / 24) <= 0.01 * total / 24 + 2 * largest
+        rows = [tuple(r[c] for c in columns) for r in after[name]]
+
+
 def test_run_equals_the_stages(spark, tables):
     got = corpus_pipeline.run(spark, tables[0])
     rows = lambda df: sorted(hashlib.md5(repr((r.doc_id, r.text, r.source)).encode()).hexdigest() for r in df.collect())
