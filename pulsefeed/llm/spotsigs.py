@@ -36,6 +36,7 @@ STRETCH = 8
 SIMILAR = 0.8
 BUCKET_ROWS = 1_000
 MAX_BUCKETS = 10_000
+SALTS = 16
 # An id with more rows than so many buckets is cut.
 _CROWDED = 4
 LOW = -(1 << 63)
@@ -153,32 +154,51 @@ def edits(docs: DataFrame, common: tuple = COMMON_WORDS, chain: int = CHAIN) ->
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """Membership: (doc_id, class_id), the least id of the documents with an equal fingerprint, and the signatures."""
+    """Membership: (doc_id, class_id, class_key, own): the least id of the documents with an equal fingerprint, and what tells classes apart.
+
+    ``class_id`` is a label: null if all ids of the class are, and not unique if ids
+    repeat with different texts. ``class_key``, two hashes of the fingerprint, is.
+    """
     rows = with_signatures(docs.select("doc_id", text_or_empty("text").alias("text")), "text", "own")
-    rows = keep(rows.select("doc_id", "own", F.xxhash64("own").alias("h"), F.hash("own").alias("h2")), "spotsigs")
-    named = rows.groupBy("h", "h2").agg(F.min("doc_id").alias("class_id"))
-    return rows.join(named, ["h", "h2"]).select("doc_id", "class_id", "own")
+    key = F.struct(F.xxhash64("own").alias("h"), F.hash("own").alias("h2")).alias("class_key")
+    rows = keep(rows.select("doc_id", "own", key), "spotsigs")
+    # A class may hold a third of all rows: its name is sent in parts, each beside its share of the rows.
+    named = rows.groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
+    named = named.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(SALTS)).cast("int"))
+    return rows.join(named, ["class_key", "salt"]).select("doc_id", "class_id", "class_key", "own")
 
 
 def similar(members: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """(a, b, likeness): all pairs of different classes at ``least`` or above, from ``classes``; a < b.
+    """(a_key, b_key, a, b, likeness): all pairs of different classes at ``least`` or above, from ``classes``; (a, a_key) < (b, b_key).
 
     A set of n signatures can only match lengths up to n / least, which is its own
     length partition or the next. Of any matching pair both hold a common signature
-    among their n - ceil(least n) + 1 rarest.
+    among their n - ceil(least n) + 1 rarest, and the place of the first such one in
+    both bounds what they can still share: candidates below that bound are dropped
+    before they are exchanged, so a signature that many classes hold costs the
+    comparison of two places a pair.
     """
-    sets = keep(members.groupBy("class_id").agg(F.first("own").alias("own")).filter(F.size("own") > 0), "spotsigs-sets")
-    each = sets.select("class_id", F.size("own").alias("n"), F.explode("own").alias("s"))
+    sets = members.groupBy("class_key").agg(F.first("own").alias("own"), F.min("class_id").alias("class_id"))
+    sets = keep(sets.filter(F.size("own") > 0), "spotsigs-sets")
+    each = sets.select("class_key", "class_id", F.size("own").alias("n"), F.explode("own").alias("s"))
     often = each.groupBy("s").agg(F.count("*").alias("df"))
-    rank = F.row_number().over(Window.partitionBy("class_id").orderBy("df", "s"))
+    rank = F.row_number().over(Window.partitionBy("class_key").orderBy("df", "s"))
     level = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(1 / least)) + 1e-9).cast("int")
     rare = each.join(often, "s").withColumn("rank", rank).filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
-    rare = keep(rare.select("class_id", "n", "s", level.alias("level")), "spotsigs-rare")
-    probe = rare.select(F.col("class_id").alias("a"), F.col("n").alias("n_a"), "s", F.explode(F.array("level", F.col("level") + 1)).alias("level"))
-    found = probe.join(rare.withColumnRenamed("class_id", "b"), ["s", "level"])
-    found = found.filter((F.col("a") != F.col("b")) & (F.col("n_a") <= F.col("n")) & (F.col("n") * least <= F.col("n_a") + 1e-9))
+    rare = rare.select(F.struct("class_id", "class_key").alias("b"), "n", "s", "rank", level.alias("level"))
+    rare = keep(rare, "spotsigs-rare")
+    probe = rare.select(
+        F.col("b").alias("a"), F.col("n").alias("n_a"), F.col("rank").alias("rank_a"), "s",
+        F.explode(F.array("level", F.col("level") + 1)).alias("level"),
+    )
+    found = probe.join(rare, ["s", "level"])
+    found = found.filter((F.col("a.class_key") != F.col("b.class_key")) & (F.col("n_a") <= F.col("n")) & (F.col("n") * least <= F.col("n_a") + 1e-9))
+    # Before this signature at most the smaller rank less one is common, after it at most the shorter rest.
+    most = F.least("rank_a", "rank") + F.least(F.col("n_a") - F.col("rank_a"), F.col("n") - F.col("rank"))
+    found = found.filter(most * (1 + least) >= (F.col("n_a") + F.col("n")) * least - 1e-9)
     pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    left = sets.select(F.col("class_id").alias("a"), F.col("own").alias("own_a"))
-    right = sets.select(F.col("class_id").alias("b"), F.col("own").alias("own_b"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("likeness", likeness("own_a", "own_b"))
-    return both.filter(F.col("likeness") >= least - 1e-12).select("a", "b", "likeness")
+    pairs = pairs.select(F.col("a.class_key").alias("a_key"), F.col("b.class_key").alias("b_key"))
+    side = lambda x: sets.select(F.col("class_key").alias(f"{x}_key"), F.col("class_id").alias(x), F.col("own").alias(f"own_{x}"))
+    both = pairs.join(side("a"), "a_key").join(side("b"), "b_key").withColumn("likeness", likeness("own_a", "own_b"))
+    return both.filter(F.col("likeness") >= least - 1e-12).select("a_key", "b_key", "a", "b", "likeness")

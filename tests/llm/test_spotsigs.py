@@ -109,6 +109,32 @@ def test_similar_pairs_against_all_pairs(spark):
     assert classes[200] == 0 and classes[202] == 201
 
 
+@pytest.mark.parametrize("least", [0.8, 0.5])
+def test_similar_keeps_classes_of_repeated_and_null_ids(spark, least):
+    """Every class counts, whatever its ids; also where most texts share their signatures, and one text is a third of all rows."""
+    base = [" the ".join(t.split()) for t in texts(12, seed=4, length=(30, 50), vocabulary=300)]
+    shared = " the " + " the ".join(f"common{i}" for i in range(20))
+    cut = lambda t, n: " ".join(t.split()[:-n])
+    rows = [(7, t) for t in base] + [(7, cut(t, 4)) for t in base] + [(None, cut(t, 8)) for t in base]
+    rows += [(20 + i, t + shared) for i, t in enumerate(base)] + [(None, base[0])] * 40 + [(3, None), (None, "")]
+    members = spotsigs.classes(docs(spark, rows).repartition(4)).collect()
+    assert len(members) == len(rows)
+    key_of = {}
+    for r in members:
+        key_of.setdefault(tuple(r.own), set()).add(r.class_key)
+    assert all(len(k) == 1 for k in key_of.values())
+    ids = {}
+    for r in members:
+        ids.setdefault(r.class_key, []).append(r.doc_id)
+    assert all(r.class_id == min((i for i in ids[r.class_key] if i is not None), default=None) for r in members)
+    sets = {r.class_key: set(r.own) for r in members if r.own}
+    assert len(sets) == len({frozenset(chains(t)) for _, t in rows if t})
+    want = {(a, b): jaccard(sets[a], sets[b]) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= least}
+    found = spotsigs.similar(spotsigs.classes(docs(spark, rows)), least).collect()
+    assert len(found) == len(want) > 20
+    assert {tuple(sorted((r.a_key, r.b_key))): r.likeness for r in found} == pytest.approx(want)
+
+
 def test_likeness_of_empty_sets(spark):
     df = spark.sql("SELECT array() AS a, array(1) AS b")
     assert df.select(spotsigs.likeness("a", "a").alias("x"), spotsigs.likeness("a", "b").alias("y")).first() == (1.0, 0.0)
