@@ -55,12 +55,13 @@ LEVEL = 1
 FILE_BYTES = 128 << 20
 NULL_ID = -(1 << 63)
 INDEX = ("file", "part", "number", "n_docs", "n_tokens", "first_id", "last_id")
-BATCH_BYTES = 8 << 20
-CACHE_PIECES = 800_000
+BATCH_BYTES = 4 << 20
+CACHE_PIECES = 400_000
+CACHE_PARTS = 20_000
 # A space is a safe cut if no white space or control character is on either side of it.
 _UNSAFE = re.compile(r" (?:(?![\x21-\x7e\w])|(?<![\x21-\x7e\w] ))")
-# A leading space and letters are one pre-token, whatever follows that is no letter.
-_LETTERS = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+(?![^\t\n\x20-\x40\x5b-\x60\x7b-\x7e])")
+# Letters after a space are one pre-token with it, whatever follows that is no letter.
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^\t\n\x20-\x40\x5b-\x60\x7b-\x7e])")
 
 
 class Encoder:
@@ -69,13 +70,20 @@ class Encoder:
     The vocabulary's pre-tokenizer never joins what a single space between
     printing characters separates. Texts are cut there, equal pieces are encoded
     once, and the ids are put together by position. Other texts go whole.
+
+    Kept pieces are a column of text beside one of ids, smaller than as many Python
+    objects, for an executor holds as many encoders as it has started workers.
+    When they are too many, those of the last texts stay.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        # Ids of ``known[k]``, with a space before it: ``ids[bounds[k]:bounds[k + 1]]``.
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.bounds = np.array([], "<u4"), np.zeros(1, np.int64)
+        self.parts: dict[str, np.ndarray] = {}
         byte_level = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in byte_level]
         self.letters = {b: chr(b) for b in byte_level} | {b: chr(256 + k) for k, b in enumerate(rest)}
@@ -83,24 +91,41 @@ class Encoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def piece(self, piece: str) -> bytes:
-        """Ids of one piece: its leading word goes to the model directly, what follows is encoded apart."""
-        leading = _LETTERS.match(piece)
-        if not leading:
-            return self.kept(piece)
-        word = leading[0]
-        ids = self.known.get(word)
-        if ids is None:
-            spelled = word.encode().decode("latin-1").translate(self.letters)
-            ids = self.known[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
-        return ids if len(word) == len(piece) else ids + self.kept(piece[len(word) :])
-
-    def kept(self, part: str) -> bytes:
-        ids = self.known.get(part)
+    def part(self, text: str) -> np.ndarray:
+        """Ids of what recurs much: first words, punctuation after a word."""
+        ids = self.parts.get(text)
         if ids is None:
-            ids = self.known[part] = self.whole(part).tobytes()
+            if len(self.parts) >= CACHE_PARTS:
+                self.parts.clear()
+            ids = self.parts[text] = self.whole(text)
         return ids
 
+    def add(self, pieces: list[str]) -> None:
+        """Encodes and keeps pieces: a leading word goes to the model directly, what follows is encoded apart."""
+        ids, ends, tokenize = array("I"), array("q"), self.tokenizer.model.tokenize
+        space = self.letters[32]
+        for piece in pieces:
+            leading = _LETTERS.match(piece)
+            if leading:
+                word = leading[0]
+                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                ids.extend([t.id for t in tokenize(space + spelled)])
+                if len(word) < len(piece):
+                    ids.extend(self.part(piece[len(word) :]).tolist())
+            else:
+                ids.extend(self.whole(" " + piece).tolist())
+            ends.append(len(ids))
+        self.known = pa.concat_arrays([self.known, pa.array(pieces, pa.large_string())])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.array(ends, np.int64)])
+        self.ids = np.concatenate([self.ids, np.array(ids, "<u4")])
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the kept pieces ``at``, in a row, and how many each has."""
+        starts = self.bounds[at]
+        sizes = self.bounds[at + 1] - starts
+        ends = np.cumsum(sizes)
+        return self.ids[np.arange(sizes.sum()) + np.repeat(starts - (ends - sizes), sizes)], sizes
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         cut = []
@@ -112,25 +137,19 @@ class Encoder:
         if not cut:
             return out
         split = pc.split_pattern(pa.array([texts[i] for i in cut], pa.large_string()), " ")
-        coded = split.flatten().dictionary_encode()
-        pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        offsets = split.offsets.to_numpy()
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        known = self.known
-        ids = [known.get(spaced) or self.piece(spaced) for spaced in (" " + p for p in pieces)]
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(lengths) - lengths
-        # A text's first piece has no space before it.
-        first = {int(at): np.frombuffer(self.kept(pieces[codes[at]]), "<u4") for at in offsets[:-1]}
-        sizes = lengths[codes]
-        ends = np.cumsum(sizes)
-        where = np.arange(int(ends[-1])) + np.repeat(starts[codes] - (ends - sizes), sizes)
-        ids_of_all = flat[where]
+        coded, offsets = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+        pieces, codes = coded.dictionary, coded.indices.to_numpy()
+        at = pc.index_in(pieces, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        at[new] = np.arange(len(new)) + len(self.known)
+        self.add(pieces.take(pa.array(new)).to_pylist())
         for k, i in enumerate(cut):
             a, b = int(offsets[k]), int(offsets[k + 1])
-            out[i] = np.concatenate([first[a], ids_of_all[ends[a] : ends[b - 1]]])
+            # A text's first piece has no space before it.
+            out[i] = np.concatenate([self.part(pieces[codes[a]].as_py()), self.gather(at[codes[a + 1 : b]])[0]])
+        if len(self.known) > CACHE_PIECES:
+            self.ids, sizes = self.gather(at)
+            self.known, self.bounds = pieces, np.concatenate([[0], np.cumsum(sizes)])
         return out
 
 

@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -26,6 +29,38 @@ def test_pieces_give_the_ids_of_whole_texts(tokenizer):
         assert [x.tolist() for x in enc.encode(odd)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_pieces_are_right_when_kept_ones_go(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 150)
+    monkeypatch.setattr(tokens, "CACHE_PARTS", 3, raising=False)
+    enc = tokens.Encoder(tokenizer_path())
+    for seed in range(12):
+        some = [r[1] or "" for r in awkward()][seed % 5 :: 5] + [f"{t}, naïve{seed}x end.\n" for t in texts(20, seed, vocabulary=400)]
+        assert [x.tolist() for x in enc.encode(some)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
+GROWTH = """
+import random, re, sys
+from pulsefeed.llm import tokens
+from pulsefeed.llm.queries import tokenizer_path
+
+def mb():
+    return int(re.search(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+rng, enc = random.Random(3), tokens.Encoder(tokenizer_path())
+enc.encode(["a text of some words"])
+before = mb()
+for _ in range(26):
+    enc.encode([" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(30_000))])
+print(mb() - before)
+"""
+
+
+def test_new_words_do_not_fill_the_memory():
+    # 780,000 words; an executor holds two such workers or more beside its heap.
+    got = subprocess.run([sys.executable, "-c", GROWTH], env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)}, capture_output=True, text=True, check=True)
+    assert float(got.stdout) < 100
+
+
 def brute(rows, tokenizer):
     start, out = 0, []
     for doc_id, ids in rows:
