@@ -117,11 +117,15 @@ def utc_date(us: Column) -> Column:
 
 @lru_cache(maxsize=1)
 def known_zones() -> tuple[str, ...]:
-    """IANA names of the driver's zone database that the JVM has as well; without a JVM to ask, less those it is known to lack."""
+    """IANA names of the driver's zone database that Spark reads as well; without a JVM to ask, less those it is known to lack.
+
+    EST, MST and HST may be missing from the JVM's zones, but Spark takes them from its table of short names.
+    """
     names = zoneinfo.available_timezones() - {"Factory", "localtime", "ROC"}
     context = SparkContext._active_spark_context
     if context is not None:
-        names &= set(context._jvm.java.time.ZoneId.getAvailableZoneIds().toArray())
+        zones = context._jvm.java.time.ZoneId
+        names &= {*zones.getAvailableZoneIds().toArray(), *zones.SHORT_IDS.keySet().toArray()}
     return tuple(sorted(names))
 
 

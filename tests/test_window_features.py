@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsefeed import settings as cfg
-from pulsefeed.functions.times import time_of_day
+from pulsefeed.functions.times import known_zones, time_of_day
 from pulsefeed.operators import window_features as wf
 from pulsefeed.schemas import ARRIVAL, WATCH_EVENT
 
@@ -222,6 +222,14 @@ def test_lower_edge_is_inclusive(spark):
     assert got[3] == 3
 
 
+def test_short_zone_names_are_known(spark):
+    known_zones.cache_clear()
+    at = 16 * 3600 * 1_000_000
+    df = spark.createDataFrame([(at, "EST"), (at, "MST"), (at, "HST"), (at, "PST")], "us long, tz string")
+    # 11, 9 and 6 o'clock; PST is no IANA name, so UTC.
+    assert [r[0] for r in df.select(time_of_day(F.col("us"), "tz")).collect()] == ["morning"] * 3 + ["afternoon"]
+
+
 @pytest.mark.parametrize(
     "when,zone,bucket",
     [
