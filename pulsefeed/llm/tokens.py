@@ -53,6 +53,7 @@ ENTRY = 12
 END_ID = 0
 LEVEL = 1
 FILE_BYTES = 128 << 20
+READ_TOKENS = 4 << 20
 NULL_ID = -(1 << 63)
 INDEX = ("file", "part", "number", "n_docs", "n_tokens", "first_id", "last_id")
 BATCH_BYTES = 4 << 20
@@ -266,7 +267,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             schema = pa.schema([("file", pa.string())] + [(c, pa.int64()) for c in INDEX[1:]])
             yield pa.RecordBatch.from_pydict(dict(zip(INDEX, map(list, zip(*made)))), schema=schema)
 
-    return keep(rows.mapInArrow(write, "file string, " + ", ".join(f"{c} long" for c in INDEX[1:])), "token-index")
+    # The index has few rows, however many tasks wrote files: it is one file, not one for each of them.
+    return keep(rows.mapInArrow(write, "file string, " + ", ".join(f"{c} long" for c in INDEX[1:])).repartition(1), "token-index")
 
 
 def read_documents(index: DataFrame, doc_ids: list[int]) -> DataFrame:
@@ -288,8 +290,8 @@ def read_documents(index: DataFrame, doc_ids: list[int]) -> DataFrame:
 def read_tokens(index: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files; ``start`` counts the ids of all before it.
 
-    The index has a row per file, so its running sum is small; each file is read
-    in its own task, frame by frame.
+    The index has a row per file, so its running sum is small; files are read
+    frame by frame, as many in a task as have about ``READ_TOKENS`` ids.
     """
     files = index.orderBy("part", "number").select("file", "n_tokens").collect()
     start, rows = 0, []
@@ -297,7 +299,7 @@ def read_tokens(index: DataFrame) -> DataFrame:
         rows.append((f.file, start))
         start += f.n_tokens
     spark = index.sparkSession
-    listed = spark.createDataFrame(rows, "file string, start long").repartition(max(1, len(rows)))
+    listed = spark.createDataFrame(rows, "file string, start long").repartition(max(1, min(len(rows), -(-start // READ_TOKENS))))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

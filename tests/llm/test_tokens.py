@@ -127,6 +127,13 @@ def test_repeated_rows_are_spread(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_small_files_share_tasks(spark):
+    index = tokens.write_tokens(docs(spark, [(i, f"text {i} and more") for i in range(300)]), shared_path(spark, "tokens"), tokenizer_path(), file_bytes=400)
+    assert index.count() > 20 and len(index.inputFiles()) == 1
+    read = tokens.read_tokens(index)
+    assert read.rdd.getNumPartitions() == 1 and sorted(r.doc_id for r in read.collect()) == list(range(300))
+
+
 def test_empty_table(spark):
     index = tokens.write_tokens(docs(spark, []), shared_path(spark, "tokens"), tokenizer_path())
     assert tokens.read_tokens(index).collect() == []
