@@ -20,11 +20,15 @@ it touches at most two slices, and each slice is summed on its own:
 
 Percentages are summed as decimals, so taking exits away is exact; decayed
 weights are anchored at the slice start, which bounds their exponents.
+
+Hot users are cut into pieces of consecutive arrivals (see ``_placed``). Events are
+still shuffled once; those that leave in a later piece send a narrow row there.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import time
 from dataclasses import dataclass, replace
 
@@ -41,7 +45,9 @@ _EXACT = "decimal(21,18)"
 _SUM = "decimal(38,18)"
 _GENRES = f"array<struct<genre:string,n:bigint,pct:{_SUM}>>"
 _AXIS_CELLS = 64
-_SLICES = ["arrival_slice", "arrival_part", "seq_part"]
+# What a row is to the piece it is sent to: the sum of lives that reach into it, an arrival, the
+# exit of an earlier piece's arrival, an arrival whose exit belongs to a later piece.
+_CARRIED, _ARRIVES, _EXITS, _OUTLIVES = range(4)
 _MAX_EXPONENT = 60.0
 
 
@@ -53,7 +59,6 @@ class WindowSpec:
     recency_lambda: float = cfg.RECENCY_LAMBDA
     affinity_lambda: float = cfg.AFFINITY_LAMBDA
     hot_user_rows: int = cfg.HOT_USER_ROWS
-    arrival_slice_seconds: int = cfg.ARRIVAL_SLICE_SECONDS
     busy_slice_rows: int = cfg.BUSY_SLICE_ROWS
     max_windows_per_slice: int = 16
 
@@ -77,32 +82,76 @@ def _mark(df: DataFrame, spec: WindowSpec) -> DataFrame:
     return df.withColumn("cutoff_us", cutoff).withColumn("alive", F.col("event_us") >= F.col("cutoff_us"))
 
 
-def _arrival_slices(events: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Cut hot users' arrivals into consecutive runs small enough for a task.
+def _sizes(events: DataFrame, spec: WindowSpec) -> tuple[int, int]:
+    """Rows per piece, and the number of tasks that the pieces are dealt over."""
+    rows = events.count()
+    every = max(1, min(spec.busy_slice_rows, cfg.PIECE_ROWS), math.ceil(rows / cfg.MAX_CUTS))
+    return every, max(events.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / cfg.PIECE_ROWS))
+
+
+def _up_to(values: str, at: str) -> str:
+    """How many entries of a sorted array are at most ``at``, by halving; none of a missing array."""
+    steps = ", ".join(str(1 << bit) for bit in reversed(range(cfg.MAX_USER_CUTS.bit_length())))
+    return f"aggregate(array({steps}), 0, (n, step) -> IF(get({values}, n + step - 1) <= {at}, n + step, n))"
+
 
-    The usual run is a fixed span of arrival time. The few spans that hold too
-    many rows are cut by arrival instant, and each instant by runs of the sequence.
+def _bounds(events: DataFrame, every: int) -> DataFrame:
+    """Per cut user: where its pieces begin (the first at its first arrival), and the high-water mark before each.
+
+    One arrival in ``every`` begins a piece, chosen by a hash of its key: no sort, no
+    count per slice, and every reading of the events chooses the same ones. There are
+    about MAX_CUTS at most, and MAX_USER_CUTS of one user, so the result is broadcast.
     """
-    base = events.withColumn("arrival_slice", floor_div(F.col("arrival_us"), spec.arrival_slice_seconds * cfg.MICROS))
-    busy = (
-        base.groupBy(USER, "arrival_slice").count()
-        .filter(F.col("count") > spec.busy_slice_rows)
-        .select(USER, "arrival_slice", F.lit(True).alias("_busy"))
+    chosen = F.pmod(F.xxhash64(USER, *ARRIVAL), F.lit(every).cast("bigint")) == 0
+    step = f"CAST(ceil(size(_all) / {cfg.MAX_USER_CUTS}D) AS INT)"
+    cuts = (
+        events.filter(chosen)
+        .groupBy(USER)
+        .agg(F.array_sort(F.collect_set(F.struct(*ARRIVAL))).alias("_all"))
+        .selectExpr(USER, f"filter(_all, (c, i) -> i % {step} = 0) AS _cuts")
+    )
+    top = (
+        events.join(F.broadcast(cuts), USER, "inner")
+        .withColumn("_piece", F.expr(_up_to("_cuts", f"struct({', '.join(ARRIVAL)})")))
+        .groupBy(USER, "_piece")
+        .agg(F.max("event_us").alias("_top"))
+    )
+    earlier = Window.partitionBy(USER).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.greatest(F.max("_top").over(earlier), F.lit(0).cast("bigint"))
+    marks = (
+        top.withColumn("_before", before)
+        .filter("_piece > 0")
+        .groupBy(USER)
+        .agg(F.array_sort(F.collect_list(F.struct("_piece", "_before"))).getField("_before").alias("_marks"))
+    )
+    return cuts.join(marks, USER, "inner")
+
+
+def _placed(events: DataFrame, bounds: DataFrame, spec: WindowSpec) -> DataFrame:
+    """The events with _piece, the mark before it (_start_us) and the piece of their exit (_last).
+
+    A piece is a run of one user's arrivals. No cutoff before a piece is above ``mark before
+    it - W`` and none from there on is below, so an exit belongs to the last piece
+    whose ``mark - W`` it has reached. If that is a later piece than the arrival's, the event
+    survived its arrival; if it is an earlier one, it did not. So the small table of
+    bounds tells where each event is needed, and events are shuffled once.
+    """
+    at = f"struct({', '.join(ARRIVAL)})"
+    found = events.join(F.broadcast(bounds), USER, "left").selectExpr(
+        *events.columns, "_marks", f"{_up_to('_cuts', at)} AS _piece"
+    )
+    return found.selectExpr(
+        *events.columns,
+        "_piece",
+        "coalesce(get(_marks, _piece - 1), 0L) AS _start_us",
+        f"{_up_to('_marks', f'event_us + {spec.us}L')} AS _last",
     )
-    flagged = base.join(busy, [USER, "arrival_slice"], "left")
-    run = floor_div(F.col("arrival_seq"), max(spec.busy_slice_rows, 1))
-    zero = F.lit(0).cast("bigint")
-    return flagged.withColumns(
-        {
-            "arrival_part": F.when(F.col("_busy"), F.col("arrival_us")).otherwise(zero),
-            "seq_part": F.when(F.col("_busy"), run).otherwise(zero),
-        }
-    ).drop("_busy")
 
 
 # Rows without a user are one group. A name no pseudonym can have stands in for the
 # null inside the operators, so that every comparison and join is safe.
 _NOBODY = "\u0001nobody"
+_OTHER = "\u0001other"
 
 
 def named_users(events: DataFrame) -> DataFrame:
@@ -116,14 +165,14 @@ def unnamed_users(rows: DataFrame) -> DataFrame:
 def high_water_mark(events: DataFrame, spec: WindowSpec = WindowSpec(), split: bool = False) -> DataFrame:
     """Add hwm_us, cutoff_us and alive (survives its own arrival).
 
-    ``split`` carries the running maximum over arrival slices instead of
-    sorting each user's history in one task, and keeps the slice columns.
+    ``split`` goes piece by piece instead of sorting each user's history in one task.
     """
     if split:
-        running = sliced_running(
-            _arrival_slices(events, spec), [USER], _SLICES, ARRIVAL, {"hwm_us": ("max", F.col("event_us"))}
-        )
-        marked = running.withColumn("hwm_us", F.greatest(F.col("hwm_us"), F.lit(0).cast("bigint")))
+        every, tasks = _sizes(events, spec)
+        placed = _placed(events, _bounds(events, every), spec).repartition(tasks, USER, "_piece")
+        so_far = Window.partitionBy(USER, "_piece").orderBy(*ARRIVAL).rowsBetween(Window.unboundedPreceding, 0)
+        marked = placed.withColumn("hwm_us", F.greatest(F.max("event_us").over(so_far), "_start_us"))
+        marked = marked.drop("_piece", "_start_us", "_last")
     else:
         so_far = Window.partitionBy(USER).orderBy(*ARRIVAL).rowsBetween(Window.unboundedPreceding, 0)
         marked = events.withColumn(
@@ -160,14 +209,18 @@ def hot_users(events: DataFrame, threshold: int) -> list[str] | None:
 
 
 def by_load(events: DataFrame, threshold: int) -> list[tuple[DataFrame, bool]]:
-    """The events, of named users, as disjoint (part, needs splitting) pieces."""
+    """The events, of named users, as disjoint (part, needs splitting) pieces.
+
+    A part to split has no rows without an arrival time: they have no place in its order.
+    """
     hot = hot_users(events, threshold)
+    arrived = events.filter(F.col("arrival_us").isNotNull())
     if hot is None:
-        return [(events, True)]
+        return [(arrived, True)]
     if not hot:
         return [(events, False)]
     listed = F.col(USER).isin(hot)
-    return [(events.filter(~listed), False), (events.filter(listed), True)]
+    return [(events.filter(~listed), False), (arrived.filter(listed), True)]
 
 
 def mark_events(events: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
@@ -202,10 +255,11 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _sweep(marked: DataFrame, spec: WindowSpec) -> DataFrame:
+def _sweep(marked: DataFrame, spec: WindowSpec, pieces: bool = False) -> DataFrame:
     """Entries, carried-in entries and exits on the cutoff axis, with their signed contributions.
 
-    Adds slice, axis, kind, sign and d_n, d_pct, d_recency, d_affinity.
+    Adds slice, axis, kind, sign and d_n, d_pct, d_recency, d_affinity. With ``pieces`` the rows
+    are those of ``_piece_rows``.
     """
     width = spec.slice_us
     home = floor_div(F.col("cutoff_us"), width)
@@ -217,19 +271,23 @@ def _sweep(marked: DataFrame, spec: WindowSpec) -> DataFrame:
     entry = step("_home", "cutoff_us", 1, "alive")
     carry = step("_leaves", f"_leaves * {width}L", 0, "1")
     leave = step("_leaves", "event_us", 2, "-1")
-    steps = f"""explode(CASE WHEN NOT alive THEN array({entry}) WHEN _leaves = _home THEN array({entry}, {leave})
-        ELSE array({entry}, {carry}, {leave}) END) AS _step"""
+    held = step("_carried.slice", f"_carried.slice * {width}L", 0, "1")
+    elsewhere = f"""WHEN _role = {_CARRIED} THEN array({held}) WHEN _role = {_EXITS} THEN array({leave})
+        WHEN _role = {_OUTLIVES} THEN IF(_leaves = _home, array({entry}), array({entry}, {carry}))"""
+    steps = f"""explode(CASE {elsewhere if pieces else ""} WHEN NOT alive THEN array({entry})
+        WHEN _leaves = _home THEN array({entry}, {leave}) ELSE array({entry}, {carry}, {leave}) END) AS _step"""
     # Ages count from the slice start, so exponents stay small.
     age = f"((event_us - _step.slice * {width}L) / {float(cfg.MICROS)}D)"
+    moves = {
+        "n": "CAST(_step.sign AS BIGINT)",
+        "pct": f"CAST(CAST(watch_pct AS {_EXACT}) * _step.sign AS {_EXACT})",
+        "recency": f"_step.sign * watch_pct * exp({spec.recency_lambda}D * {age})",
+        "affinity": f"_step.sign * watch_pct * exp({spec.affinity_lambda}D * {age})",
+    }
+    if pieces:
+        moves = {name: f"IF(_role = {_CARRIED}, _carried.{name}, {expr})" for name, expr in moves.items()}
     placed = marked.withColumns({"_home": home, "_leaves": leaves}).selectExpr(*marked.columns, steps)
-    return placed.selectExpr(
-        *marked.columns,
-        "_step.*",
-        "CAST(_step.sign AS BIGINT) AS d_n",
-        f"CAST(CAST(watch_pct AS {_EXACT}) * _step.sign AS {_EXACT}) AS d_pct",
-        f"_step.sign * watch_pct * exp({spec.recency_lambda}D * {age}) AS d_recency",
-        f"_step.sign * watch_pct * exp({spec.affinity_lambda}D * {age}) AS d_affinity",
-    )
+    return placed.selectExpr(*marked.columns, "_step.*", *[f"{expr} AS d_{name}" for name, expr in moves.items()])
 
 
 def _measures(genres: list[str]) -> dict[str, str]:
@@ -251,52 +309,86 @@ def _measures(genres: list[str]) -> dict[str, str]:
     return out
 
 
-def _running_plain(marked: DataFrame, spec: WindowSpec, genres: list[str]) -> DataFrame:
-    """One sort per (user, slice); reuses the user partitioning of the mark."""
+def _running(swept: DataFrame, keys: list[str], genres: list[str]) -> DataFrame:
+    """The running sums at the events themselves: one sort inside the partitioning that the rows have."""
     along = (
-        f"PARTITION BY {USER}, slice ORDER BY axis, kind, {', '.join(ARRIVAL)} "
+        f"PARTITION BY {', '.join([*keys, 'slice'])} ORDER BY axis, kind, {', '.join(ARRIVAL)} "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     )
     sums = [f"sum({expr}) OVER ({along}) AS w_{name}" for name, expr in _measures(genres).items()]
-    return _sweep(marked, spec).selectExpr("*", *sums).filter("kind = 1")
+    return swept.selectExpr("*", *sums).filter("kind = 1")
+
+
+def _running_split(events: DataFrame, spec: WindowSpec, genres: list[str]) -> DataFrame:
+    """The same sums for users too large for one task, piece by piece."""
+    every, tasks = _sizes(events, spec)
+    rows = _piece_rows(events, _bounds(events, every), spec, genres).repartition(tasks, USER, "_piece")
+    arrived = F.when(F.col("_role").isin(_ARRIVES, _OUTLIVES), F.col("event_us"))
+    so_far = Window.partitionBy(USER, "_piece").orderBy(*ARRIVAL).rowsBetween(Window.unboundedPreceding, 0)
+    marked = _mark(rows.withColumn("hwm_us", F.greatest(F.max(arrived).over(so_far), "_start_us")), spec)
+    return _running(_sweep(marked, spec, pieces=True), [USER, "_piece"], genres)
+
+
+def _piece_rows(events: DataFrame, bounds: DataFrame, spec: WindowSpec, genres: list[str]) -> DataFrame:
+    """What each piece needs, _role telling what a row is: its arrivals, exits of earlier ones, carried sums."""
+    placed = _placed(events, bounds, spec)
+    sent = f"""explode(IF(_last > _piece,
+        array(struct(_piece AS to, {_OUTLIVES} AS role), struct(_last AS to, {_EXITS} AS role)),
+        array(struct(_piece AS to, {_ARRIVES} AS role)))) AS _sent"""
+    # An exit is told by its time, percentage and genre.
+    whole = {USER, "event_us", "watch_pct", "genre"}
+    columns = [c if c in whole else f"IF(_sent.role = {_EXITS}, NULL, {c}) AS {c}" for c in [*events.columns, "_start_us"]]
+    own = placed.selectExpr(*events.columns, "_start_us", sent).selectExpr(
+        *columns, "_sent.to AS _piece", "_sent.role AS _role"
+    )
+    return own.unionByName(_carried(placed, bounds, spec, genres), allowMissingColumns=True)
 
 
-def _running_split(marked: DataFrame, spec: WindowSpec, genres: list[str]) -> DataFrame:
-    """The same sums for users too large for one task.
+def _carried(placed: DataFrame, bounds: DataFrame, spec: WindowSpec, genres: list[str]) -> DataFrame:
+    """Sums over the lives that began before a piece and last into it, for the slices of it that they reach.
 
-    Sweep rows are pre-aggregated (map-side) into cells: entries per (cutoff,
-    arrival slice), exits and carried-in entries per event time. Offsets
-    before each cell come from a two-level running sum over cells, and rows
-    are only ordered within their own cell. A high-water mark that stands still
-    for long is still cut by arrival slice.
+    A life counts from the piece after its own up to that of its exit: changes per piece, combined
+    map-side, then their running sum, which is repeated for pieces without a change. One
+    row per (piece, slice of exit, genre), and a life reaches at most two slices of a piece.
     """
-    measures = _measures(genres)
-    rows = _sweep(marked, spec)
-    cells = (
-        rows.withColumns({f"c_{c}": F.expr(f"IF(kind = 1, {c}, 0L)") for c in _SLICES})
-        .groupBy(USER, "slice", "axis", "kind", *[f"c_{c}" for c in _SLICES])
-        .agg(*[F.expr(f"sum({expr}) AS s_{name}") for name, expr in measures.items()])
-        .withColumn("axis_cell", floor_div(F.col("axis"), spec.slice_us // _AXIS_CELLS))
-    )
-    offsets = sliced_running(
-        cells,
-        [USER, "slice"],
-        ["axis_cell"],
-        ["axis", "kind", *[f"c_{c}" for c in _SLICES]],
-        {f"o_{name}": ("sum", F.col(f"s_{name}")) for name in measures},
-        inclusive=False,
+    width = spec.slice_us
+    age = f"((event_us - slice * {width}L) / {float(cfg.MICROS)}D)"
+    listed = ", ".join(["''", *map(_quoted, genres)])
+    # Genres without a column of their own are alike to every sum.
+    change = "explode(array(struct(_piece + 1 AS piece, 1 AS sign), struct(_last + 1 AS piece, -1 AS sign))) AS _at"
+    changes = (
+        placed.filter("_last > _piece")
+        .withColumn("slice", floor_div(F.col("event_us"), width))
+        .selectExpr(
+            USER, "slice", f"IF(genre IS NULL OR genre IN ({listed}), genre, {_quoted(_OTHER)}) AS genre", change,
+            f"CAST(watch_pct AS {_EXACT}) AS pct",
+            f"watch_pct * exp({spec.recency_lambda}D * {age}) AS recency",
+            f"watch_pct * exp({spec.affinity_lambda}D * {age}) AS affinity",
+        )
+        .groupBy(USER, "slice", "genre", F.col("_at.piece").alias("_from"))
+        .agg(
+            F.expr("sum(_at.sign) AS n"),
+            *[F.expr(f"sum(IF(_at.sign > 0, {c}, -{c})) AS {c}") for c in ("pct", "recency", "affinity")],
+        )
     )
-    offsets = offsets.filter("kind = 1").select(
-        USER, "slice", "axis", *[F.col(f"c_{c}").alias(c) for c in _SLICES], *[f"o_{name}" for name in measures]
+    along = f"(PARTITION BY {USER}, slice, genre ORDER BY _from ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    lasting = changes.selectExpr(
+        USER, "slice", "genre", "_from", f"lead(_from) OVER (PARTITION BY {USER}, slice, genre ORDER BY _from) - 1 AS _to",
+        *[f"sum({c}) OVER {along} AS {c}" for c in ("n", "pct", "recency", "affinity")],
+    ).filter("n > 0")
+    at_start = (
+        lasting.selectExpr(USER, "slice", "genre", "n", "pct", "recency", "affinity", "explode(sequence(_from, _to)) AS _piece")
+        .join(F.broadcast(bounds), USER, "inner")
+        .withColumn("_first", floor_div(F.expr(f"get(_marks, _piece - 1) - {spec.us}L"), width))
+        .selectExpr("*", "explode(IF(_first < slice, array(slice, _first), array(slice))) AS _in")
     )
-    joined = rows.filter("kind = 1").join(offsets, [USER, "slice", "axis", *_SLICES], "inner")
-    along = (
-        f"PARTITION BY {USER}, slice, axis, {', '.join(_SLICES)} ORDER BY {', '.join(ARRIVAL)} "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    # Weights count from the start of the slice they are added in.
+    shift = f"((slice - _in) * {width // cfg.MICROS}D)"
+    return at_start.selectExpr(
+        USER, "genre", "_piece", f"{_CARRIED} AS _role",
+        f"struct(_in AS slice, n, CAST(pct AS {_SUM}) AS pct, recency * exp({spec.recency_lambda}D * {shift}) AS recency, "
+        f"affinity * exp({spec.affinity_lambda}D * {shift}) AS affinity) AS _carried",
     )
-    local = {name: f"sum({expr}) OVER ({along})" for name, expr in measures.items()}
-    sums = [f"coalesce(o_{name} + {term}, {term}) AS w_{name}" for name, term in local.items()]
-    return joined.selectExpr("*", *sums)
 
 
 def _score(weight: str, exact_pct: str, rate: float, spec: WindowSpec) -> str:
@@ -371,13 +463,10 @@ def window_state(
     for part, split in by_load(named_users(events), spec.hot_user_rows):
         if in_order:
             marked = _mark(part.withColumn("hwm_us", F.greatest("event_us", F.lit(0).cast("bigint"))), spec)
-            if split:
-                marked = _arrival_slices(marked, spec)
-        else:
+        elif long_form or not split:
             marked = high_water_mark(part, spec, split)
-        running = _running_split if split else _running_plain
-        state = running(marked, spec, wide)
-        state = state.selectExpr(
+        running = _running_split(part, spec, wide) if split else _running(_sweep(marked, spec), [USER], wide)
+        state = running.selectExpr(
             *events.columns,
             "hwm_us",
             "cutoff_us",

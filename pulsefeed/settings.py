@@ -97,10 +97,14 @@ HOT_USER_ROWS = 2_000_000
 # More hot users than this and every row takes the split path instead of
 # listing the users in the plan.
 MAX_LISTED_HOT_USERS = 5_000
-ARRIVAL_SLICE_SECONDS = 60
-# A hot user's arrival slice with more rows than this is cut again by arrival
-# instant and by runs of the arrival sequence (bulk loads share one instant).
+# A hot user's slice of time with more rows than this is cut again, by instant
+# and by runs of the sequence (bulk loads share one instant).
 BUSY_SLICE_ROWS = 20_000_000
+# A hot user's arrivals are cut into pieces of about so many rows, or of BUSY_SLICE_ROWS if
+# that is less; of more where there would be more cuts than these, in all or of one user.
+PIECE_ROWS = 125_000
+MAX_CUTS = 16_384
+MAX_USER_CUTS = 1_024
 # Up to this many genres get a column each inside the window; beyond it the
 # long form is used.
 MAX_GENRE_COLUMNS = 64

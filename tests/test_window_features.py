@@ -147,6 +147,60 @@ def test_bulk_load_shares_one_arrival(spark, busy):
     check(wf.feature_rows(frame(spark, rows), F.lit(0.0), spec), simulate(rows, 600))
 
 
+@pytest.mark.parametrize("busy", [1, 3, 40])
+@pytest.mark.parametrize("window", [600, 86_400])
+def test_pieces_of_hot_users(spark, busy, window):
+    """Lives that end in their own piece, in a later one and many pieces on, on both sides of the epoch."""
+    rows = [(u, c, p, g, t - DAY0 - 9_000, a) for u, c, p, g, t, a in disorder(17, 300)]
+    # Seven rows a second for a minute: a window is many pieces.
+    rows += [("dense", "c", i % 101 + 0.3, "ab"[i % 2], DAY0 + i / 7, DAY0 + i / 7) for i in range(400)]
+    spec = wf.WindowSpec(seconds=window, hot_user_rows=0, busy_slice_rows=busy)
+    events = frame(spark, rows)
+    check(wf.feature_rows(events, F.lit(0.0), spec), simulate(rows, window))
+    marks = lambda s: {r["arrival_seq"]: r["hwm_us"] for r in wf.mark_events(events, s).collect()}
+    assert marks(spec) == marks(wf.WindowSpec(seconds=window))
+
+
+@pytest.mark.parametrize("name", ["MAX_CUTS", "MAX_USER_CUTS"])
+def test_fewer_cuts_than_pieces_asked_for(spark, monkeypatch, name):
+    monkeypatch.setattr(cfg, name, 3)
+    monkeypatch.setattr(cfg, "MAX_GENRE_COLUMNS", 2)
+    rows = disorder(19, 250)
+    spec = wf.WindowSpec(hot_user_rows=0, busy_slice_rows=2)
+    assert max(len(r["_cuts"]) for r in wf._bounds(frame(spark, rows), 2).collect()) <= (3 if name == "MAX_USER_CUTS" else 99)
+    check(wf.feature_rows(frame(spark, rows), F.lit(0.0), spec), simulate(rows, 600))
+
+
+def test_wide_genres_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(cfg, "MAX_GENRE_COLUMNS", 3)
+    rows = disorder(23, 200, genres=tuple(f"g{i}" for i in range(9)) + ("", None))
+    spec = wf.WindowSpec(hot_user_rows=0, busy_slice_rows=4)
+    check(wf.feature_rows(frame(spark, rows), F.lit(0.0), spec), simulate(rows, 600))
+
+
+def _shuffled_bytes(spark, df):
+    """Bytes of the shuffle files that a query leaves on local disks."""
+    disks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disks.getAllFiles()
+        return {f.getPath(): f.length() for f in (found.apply(i) for i in range(found.size())) if f.getName().endswith(".data")}
+
+    before = files()
+    df.write.format("noop").mode("overwrite").save()
+    return sum(size for path, size in files().items() if path not in before)
+
+
+def test_split_path_shuffles_each_event_once(spark):
+    """Disk of the split path is of the order of the ordinary path's, not many times it."""
+    rows = [(f"u{i % 97}", "c", i % 100 + 0.5, ["drama", "action", "", None][i % 4], DAY0 + i * 37.0, DAY0 + i * 37.0 + i % 5)
+            for i in range(6000)]
+    events = frame(spark, rows)
+    specs = [wf.WindowSpec(seconds=86_400), wf.WindowSpec(seconds=86_400, hot_user_rows=0, busy_slice_rows=40)]
+    plain, split = [_shuffled_bytes(spark, wf.feature_rows(events, F.lit(0.0), s)) for s in specs]
+    assert 0 < split < 4 * plain
+
+
 @pytest.mark.parametrize("hot_rows", [10_000, 0])
 def test_vocabulary_wider_than_columns(spark, monkeypatch, hot_rows):
     """More genres than get a column: the long form gives the same vectors."""
